@@ -1,0 +1,323 @@
+"""Streaming queries: raw events, quarantine, team windows, enrichment, refresh."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
+
+from touchline import schemas
+from touchline.operators.enrich import with_names
+from touchline.operators.recent import latest_per_key
+from touchline.operators.windows import KEYS, flatten_window, window_counts
+from touchline.sources import files, messages
+from touchline.sources.keyed_log import KeyedLog
+
+#: Columns that order the writes of one (match, team) key, by window policy.
+POLICY_ORDER = {
+    "latest": ("window_end",),
+    "max": ("total_events", "window_end"),
+}
+
+ENRICHED_SCHEMA = StructType(
+    [
+        *schemas.EVENT_SCHEMA.fields,
+        StructField("team_name", StringType()),
+        StructField("player_name", StringType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Trigger:
+    """``every`` such as ``1.5 seconds``, or all data at hand and stop."""
+
+    every: str | None = None
+
+    @property
+    def options(self) -> dict:
+        return {"processingTime": self.every} if self.every else {"availableNow": True}
+
+
+def team_stats_log(path: str, policy: str = "latest") -> KeyedLog:
+    """Serving table of team counts; writes compete by event time, not arrival."""
+    return KeyedLog(path, schemas.TEAM_WINDOW_SCHEMA, KEYS, POLICY_ORDER[policy])
+
+
+def append_rows(
+    rows: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = Trigger(),
+    partition_by: tuple[str, ...] = (),
+) -> StreamingQuery:
+    """Append sink in Parquet; the sink's own log makes each batch count once."""
+    writer = rows.writeStream.format("parquet").outputMode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return (
+        writer.option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger.options)
+        .start()
+    )
+
+
+def match_bucket(match_id: str = "match_id", buckets: int = 256) -> Column:
+    """Bucket of a match: a bounded number of folders, however many matches."""
+    return F.pmod(F.xxhash64(match_id), F.lit(buckets)).cast("int")
+
+
+def append_events(
+    decoded: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Trigger = Trigger(),
+    buckets: int | None = None,
+) -> StreamingQuery:
+    """Raw event log, split by match or, given ``buckets``, by match bucket."""
+    events = messages.valid_events(decoded).drop("event_time")
+    if buckets is None:
+        return append_rows(events, path, checkpoint, trigger, ("match_id",))
+    bucketed = events.withColumn("match_bucket", match_bucket(buckets=buckets))
+    return append_rows(bucketed, path, checkpoint, trigger, ("match_bucket",))
+
+
+def read_live_events(
+    spark: SparkSession, path: str, match_id: str | None = None, buckets: int | None = None
+) -> DataFrame:
+    """Keyed view of the raw log: one row per (match, timestamp), the last write.
+
+    A match id prunes the scan to its folder.
+    """
+    raw = spark.read.parquet(path)
+    if match_id is not None:
+        raw = raw.filter(F.col("match_id") == match_id)
+        if buckets is not None:
+            wanted = match_bucket(buckets=buckets)
+            raw = raw.filter(F.col("match_bucket") == wanted)
+    ingest = [c for c in messages.INGEST_COLUMNS if c in raw.columns]
+    values = [
+        c for c in schemas.EVENT_SCHEMA.fieldNames() if c not in schemas.SERVING_KEYS["live_events"]
+    ]
+    keyed = latest_per_key(
+        raw.select(
+            F.col("match_id").cast("string"), *[c for c in raw.columns if c != "match_id"]
+        ),
+        schemas.SERVING_KEYS["live_events"],
+        [*ingest, *values],
+        keep_order=True,
+    )
+    return keyed.select(*schemas.EVENT_SCHEMA.fieldNames(), *ingest)
+
+
+def append_quarantine(
+    decoded: DataFrame, path: str, checkpoint: str, trigger: Trigger = Trigger()
+) -> StreamingQuery:
+    """Rows without a usable key, kept as raw text."""
+    return append_rows(messages.quarantined(decoded), path, checkpoint, trigger)
+
+
+def windowed_counts(
+    events: DataFrame,
+    width: str = schemas.WINDOW_WIDTH,
+    slide: str = schemas.WINDOW_SLIDE,
+    delay: str = schemas.WATERMARK_DELAY,
+) -> DataFrame:
+    """Stateful count per sliding window, match and team under a watermark."""
+    return window_counts(events.withWatermark("event_time", delay), width, slide)
+
+
+def _write_once(log: KeyedLog, rows: DataFrame, batch_id: int) -> None:
+    """Write a batch; on replay of a committed one just run it, for its state."""
+    if not log.write_batch(rows, batch_id):
+        rows.write.format("noop").mode("overwrite").save()
+
+
+def upsert_into(log: KeyedLog) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` callback: write the batch's newest row per key.
+
+    The batch is persisted because it is used twice, for the emptiness test and
+    the write; otherwise the stateful plan would run and count dropped rows twice.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                rows = latest_per_key(
+                    flatten_window(batch), log.key, [*log.order], keep_order=True
+                )
+                _write_once(log, rows, batch_id)
+        finally:
+            batch.unpersist()
+
+    return upsert
+
+
+def start_team_stats(
+    events: DataFrame,
+    log: KeyedLog,
+    checkpoint: str,
+    width: str = schemas.WINDOW_WIDTH,
+    slide: str = schemas.WINDOW_SLIDE,
+    delay: str = schemas.WATERMARK_DELAY,
+    trigger: Trigger = Trigger(),
+) -> StreamingQuery:
+    """Update-mode query that keeps the team counts current.
+
+    The checkpoint fixes the number of state partitions; take a new one when
+    the window or that number changes.
+    """
+    return (
+        windowed_counts(events, width, slide, delay)
+        .writeStream.outputMode("update")
+        .foreachBatch(upsert_into(log))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger.options)
+        .start()
+    )
+
+
+def start_window_log(
+    events: DataFrame,
+    log: KeyedLog,
+    checkpoint: str,
+    width: str = schemas.WINDOW_WIDTH,
+    slide: str = schemas.WINDOW_SLIDE,
+    delay: str = schemas.WATERMARK_DELAY,
+    trigger: Trigger = Trigger(),
+) -> StreamingQuery:
+    """Update-mode query that logs every changed window, keyed by window."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_once(log, flatten_window(batch), batch_id)
+
+    return (
+        windowed_counts(events, width, slide, delay)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger.options)
+        .start()
+    )
+
+
+def window_log(path: str) -> KeyedLog:
+    """Counts keyed by match, team and window; the last batch wins."""
+    return KeyedLog(path, schemas.TEAM_WINDOW_SCHEMA, (*KEYS, "window_start", "window_end"))
+
+
+def enriched_log(path: str) -> KeyedLog:
+    return KeyedLog(path, ENRICHED_SCHEMA, schemas.SERVING_KEYS["live_events"])
+
+
+def start_enriched(
+    events: DataFrame,
+    load_dimensions: Callable[[], tuple[DataFrame, DataFrame]],
+    log: KeyedLog,
+    checkpoint: str,
+    trigger: Trigger = Trigger(),
+) -> StreamingQuery:
+    """Live events with names; the dimensions are read anew for every batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        teams, players = load_dimensions()
+        log.write_batch(with_names(batch, teams, players), batch_id)
+
+    return (
+        events.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger.options)
+        .start()
+    )
+
+
+@dataclass(frozen=True)
+class ServingFrames:
+    """Materialised views, one folder per version; readers take the newest whole one."""
+
+    path: str
+
+    def write(self, name: str, frame: DataFrame, version: int) -> None:
+        frame.write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        markers = files.glob(spark, f"{self.path}/{name}/version=*/_SUCCESS")
+        folders = [marker.rsplit("/", 1)[0] for marker in markers]
+        newest = max(folders, key=lambda folder: int(folder.rsplit("=", 1)[1]))
+        return spark.read.parquet(newest)
+
+
+def start_refresh(
+    events: DataFrame,
+    build_frames: Callable[[], dict[str, DataFrame]],
+    serving: ServingFrames,
+    checkpoint: str,
+    trigger: Trigger = Trigger("1.5 seconds"),
+) -> StreamingQuery:
+    """Rebuild the serving views whenever new events came in.
+
+    ``build_frames`` runs for every batch, so it sees the control documents,
+    dimensions and live tables as they are then.
+    """
+
+    def rebuild(batch: DataFrame, batch_id: int) -> None:
+        for name, frame in build_frames().items():
+            serving.write(name, frame, batch_id)
+
+    return (
+        events.writeStream.foreachBatch(rebuild)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger.options)
+        .start()
+    )
+
+
+def start_pipeline(
+    source: DataFrame,
+    root: str,
+    trigger: Trigger = Trigger(),
+    version: str = "v1",
+    buckets: int | None = None,
+) -> list[StreamingQuery]:
+    """Raw log, quarantine and team counts as concurrent queries on one source.
+
+    Each query reads the source for itself and has its own checkpoint; a new
+    ``version`` starts afresh. Wait with :func:`await_any`.
+    """
+    decoded = messages.decode(source)
+    events = messages.valid_events(decoded)
+    checkpoint = f"{root}/checkpoints/{version}"
+    return [
+        append_events(decoded, f"{root}/live_events", f"{checkpoint}/raw", trigger, buckets),
+        append_quarantine(decoded, f"{root}/quarantine", f"{checkpoint}/quarantine", trigger),
+        start_team_stats(
+            events,
+            team_stats_log(f"{root}/live_team_stats"),
+            f"{checkpoint}/stats",
+            trigger=trigger,
+        ),
+    ]
+
+
+def await_any(spark: SparkSession, timeout: float | None = None) -> None:
+    """Block until one of the running queries ends; its error is raised."""
+    if timeout is None:
+        spark.streams.awaitAnyTermination()
+    else:
+        spark.streams.awaitAnyTermination(timeout)
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows dropped as too late, over the progress reports still kept."""
+    return sum(
+        operator["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )

@@ -45,8 +45,9 @@ _FRAME = (
     + """,
 recent AS (
   SELECT match_id, "timestamp", team, player_id, event_type, x_coord, y_coord,
-         row_number() OVER (PARTITION BY match_id
-                            ORDER BY "timestamp" DESC, player_id, event_type) AS recency
+         CAST(row_number() OVER (PARTITION BY match_id
+                                 ORDER BY "timestamp" DESC, player_id, event_type)
+              AS INTEGER) AS recency
   FROM ev),
 frame AS (
   SELECT recent.*, team_a_id, team_a_name, team_b_id, team_b_name
@@ -55,7 +56,7 @@ frame AS (
 named AS (
   SELECT frame.*, coalesce(official_name, team) AS team_name,
          coalesce(short_name, frame.player_id) AS player_name,
-         row_number() OVER (PARTITION BY match_id ORDER BY recency) AS position
+         CAST(row_number() OVER (PARTITION BY match_id ORDER BY recency) AS INTEGER) AS position
   FROM frame
   LEFT JOIN teams ON team = team_id
   LEFT JOIN players ON frame.player_id = players.player_id)
@@ -85,7 +86,8 @@ last_pos AS (
   SELECT * FROM frame
   QUALIFY row_number() OVER (PARTITION BY match_id, team, player_id ORDER BY recency) = 1),
 squad AS (
-  SELECT *, row_number() OVER (PARTITION BY match_id, team ORDER BY recency) AS squad_rank
+  SELECT *, CAST(row_number() OVER (PARTITION BY match_id, team ORDER BY recency) AS INTEGER)
+              AS squad_rank
   FROM last_pos),
 radar AS (
   SELECT match_id, team,
@@ -298,8 +300,8 @@ ORACLE: dict[str, str] = {
          FROM routes WHERE reason IS NULL""",
     "live_recent_topk": _with(_EVENTS)
     + """SELECT * EXCLUDE (event_time),
-                row_number() OVER (PARTITION BY match_id
-                  ORDER BY "timestamp" DESC, player_id, event_type) AS recency
+                CAST(row_number() OVER (PARTITION BY match_id
+                  ORDER BY "timestamp" DESC, player_id, event_type) AS INTEGER) AS recency
          FROM ev QUALIFY recency <= 100""",
     "live_recent_single_match": _with(_EVENTS)
     + """SELECT * EXCLUDE (event_time, event_id) FROM ev WHERE match_id = '2024-01-02'

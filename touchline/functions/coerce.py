@@ -15,12 +15,14 @@ def null_if_missing(text: Column) -> Column:
 
 def strip_decimal_suffix(text: Column) -> Column:
     """Drop one trailing ``.0``, the trace of an id that was read as a float."""
-    return F.regexp_replace(text, r"\.0$", "")
+    kept = F.left(text, F.length(text) - 2)
+    return F.when(F.endswith(text, F.lit(".0")), kept).otherwise(text)
 
 
 def try_double(text: Column) -> Column:
     """Null unless the text is a plain number (no Java ``d``/``f`` suffix)."""
-    return F.when(~text.rlike(r"[dDfF]\s*$"), text.try_cast("double"))
+    last = F.lower(F.right(F.rtrim(text), F.lit(1)))
+    return F.when(~last.isin("d", "f"), text.try_cast("double"))
 
 
 def int_or_zero(text: Column) -> Column:

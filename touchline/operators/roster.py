@@ -48,11 +48,14 @@ def roster(
     of better tiers are in the squad, at most c of them repeat, and the rest
     still fill it. So every tier is cut per team before it meets the others, and
     names of tier 2 are joined after the cut. Free places get synthetic players.
+    Tiers 1 and 2 come out of aggregates, spread over the shuffle partitions:
+    each of those sends at most ``squad_size`` rows per team to the final cut.
     """
     by_player = [F.col(PLAYER_ORDER)]
     ids = teams.select("team_id").distinct()
 
-    tier1 = top_k(current_members(players), ["team_id"], by_player, squad_size)
+    members = current_members(players)
+    tier1 = top_k(members, ["team_id"], by_player, squad_size, fan_in=None)
     tier1 = tier1.select("team_id", "player_id", "short_name", F.lit(1).alias("tier"))
 
     seen = top_k(seen_in_facts(facts), ["team_id"], by_player, squad_size, fan_in=None)

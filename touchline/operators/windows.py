@@ -86,8 +86,7 @@ def latest_window(
     the teams that have events in the latest window of their match.
     """
     if seconds_of(slide) > seconds_of(width):
-        counts = sliding_window_counts(events, width, slide)
-        return latest_of_counts(counts, aligned)
+        raise ValueError("the slide must not exceed the width")
     panes = pane_counts(events, slide)
     latest = panes.groupBy(*KEYS).agg(
         F.max("pane_start").alias("window_start"),

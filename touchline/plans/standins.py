@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from touchline.functions.eventtime import epoch_seconds, event_time
 
@@ -20,8 +21,15 @@ EVENT_NAMES = {
 TEAM_COUNT = 6
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file footer once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _text(column: str) -> Column:
@@ -37,7 +45,7 @@ def live_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .select(
             "event_id",
-            F.date_format("ts", "yyyy-MM-dd").alias("match_id"),
+            F.col("ts").cast("date").cast("string").alias("match_id"),
             epoch_seconds(F.col("ts")).alias("timestamp"),
             (F.col("user_id") % TEAM_COUNT).cast("string").alias("team"),
             _text("user_id").alias("player_id"),
@@ -69,7 +77,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per match; its two teams follow from the day of the month."""
     days = (
         table(spark, sf_dir, "events")
-        .select(F.date_format("ts", "yyyy-MM-dd").alias("match_id"))
+        .select(F.col("ts").cast("date").cast("string").alias("match_id"))
         .distinct()
         .withColumn("day", F.substring("match_id", 9, 2).cast("int"))
     )
@@ -149,7 +157,7 @@ def match_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         key.alias("wyId"),
         F.concat(priority, F.lit(", 1 - 0")).alias("label"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("dateutc"),
+        F.col("o_orderdate").cast("date").cast("string").alias("dateutc"),
         _text("o_custkey").alias("competitionId"),
         F.col("o_orderstatus").alias("seasonId"),
         week.alias("gameweek"),

@@ -67,13 +67,15 @@ def decode(messages: DataFrame) -> DataFrame:
 
     Works on streams and on batches. A badly typed field becomes null and leaves
     its row; text that is no JSON document gives nulls throughout.
+
+    The parsed struct passes through a generator of one row. Later filters stay
+    above it, so each message is parsed once, not again for every predicate.
     """
     schema = StructType([*schemas.EVENT_SCHEMA.fields, StructField(CORRUPT, StringType())])
     data = F.from_json(
         F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT}
     )
-    passed = [c for c in messages.columns if c != "value"]
-    return messages.select(data.alias("data"), "value", *passed).select("data.*", "value", *passed)
+    return messages.select(F.inline(F.array(data)), *messages.columns)
 
 
 def has_key(decoded: DataFrame) -> DataFrame:

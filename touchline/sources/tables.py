@@ -50,14 +50,20 @@ def create_serving(spark: SparkSession, database: str, location: str | None = No
         _create_table(spark, f"{database}.{name}", schema, {"touchline.key": key})
 
 
-def clustered(rows: DataFrame, table: WarehouseTable) -> DataFrame:
-    """Lay rows out by the sort key, so that file statistics prune reads.
+def laid_out(rows: DataFrame, table: WarehouseTable, layout: str = "sorted") -> DataFrame:
+    """Order rows by the table's sort key, so that file statistics prune reads.
 
-    The range split runs over all columns: rows of one hot match or player are
-    spread over many files instead of one.
+    ``sorted`` orders the rows of each task where they are: no shuffle, every
+    file is sorted by itself. ``ranged`` also splits the key range over the files,
+    for one shuffle and a sampling pass. That split runs over all columns: rows of
+    one hot match or player are spread over many files instead of one.
     """
-    rest = [c for c in table.columns if c not in table.sort_key]
-    return rows.repartitionByRange(*table.sort_key, *rest).sortWithinPartitions(*table.sort_key)
+    if layout == "ranged":
+        rest = [c for c in table.columns if c not in table.sort_key]
+        rows = rows.repartitionByRange(*table.sort_key, *rest)
+    elif layout != "sorted":
+        raise ValueError(f"unknown layout: {layout}")
+    return rows.sortWithinPartitions(*table.sort_key)
 
 
 @dataclass(frozen=True)
@@ -69,13 +75,12 @@ class AppendReport:
 
 
 def append(
-    rows: DataFrame, target: str, table: WarehouseTable, cluster: bool = True
+    rows: DataFrame, target: str, table: WarehouseTable, layout: str = "sorted"
 ) -> AppendReport:
     """Append to a table or path (one with a slash); counts while writing."""
-    laid_out = clustered(rows, table) if cluster else rows
     seen = Observation()
-    observed = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = observed.select(*table.columns).write.mode("append")
+    counted = rows.select(*table.columns).observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = laid_out(counted, table, layout).write.mode("append")
     if "/" in target:
         writer.parquet(target)
     else:

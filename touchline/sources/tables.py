@@ -79,8 +79,9 @@ def append(
 ) -> AppendReport:
     """Append to a table or path (one with a slash); counts while writing."""
     seen = Observation()
-    counted = rows.select(*table.columns).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = laid_out(counted, table, layout).write.mode("append")
+    # counted last: the sampling pass of a range split would count rows twice
+    ordered = laid_out(rows.select(*table.columns), table, layout)
+    writer = ordered.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append")
     if "/" in target:
         writer.parquet(target)
     else:

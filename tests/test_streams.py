@@ -233,21 +233,76 @@ def test_enrichment_sees_reloaded_dimensions(spark, feed, tmp_path):
     assert [(r.team_name, r.player_name) for r in found] == [("Old", "One"), ("New", "One")]
 
 
-def test_refresh_rebuilds_views(spark, feed, tmp_path):
-    serving = pipeline.ServingFrames(f"{tmp_path}/views")
-    built = []
-
-    def build():
-        built.append(1)
-        return {"n": spark.createDataFrame([(len(built),)], "n int")}
+def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
+    """Deploying another match switches the views at the next batch."""
+    from touchline.operators.sessions import team_options
+    from touchline.plans.dashboard import Inputs
+    from touchline.sources import control
+
+    root, control_path = f"{tmp_path}/live", f"{tmp_path}/control"
+    teams = spark.createDataFrame(
+        [("A", "Alpha"), ("B", "Beta")], "team_id string, official_name string"
+    )
+    players = spark.createDataFrame([("1", "P. One")], "player_id string, short_name string")
+    facts = spark.createDataFrame([("x",)] * 10, "match_id string")
+    serving = pipeline.ServingFrames(f"{root}/views")
+
+    def load_inputs():
+        return Inputs(
+            live=pipeline.read_live_events(spark, f"{root}/live_events"),
+            stats=pipeline.team_stats_log(f"{root}/live_team_stats").read(spark),
+            sessions=control.current_session(spark, control_path),
+            teams=teams,
+            players=players,
+            facts=facts,
+        )
 
-    for second in (1, 2):
-        feed.events(second)
-        source = messages.valid_events(decoded(spark, feed))
+    for home, away, count in (("Alpha", "Beta", 3), ("Beta", "Alpha", 1)):
+        match = control.deploy_match(spark, team_options(teams), home, away, control_path)
+        feed.events(*range(count), team="A", match=match)
+        feed.events(0.5, team="B", match=match)
+        for query in pipeline.start_pipeline(
+            messages.file_stream(spark, str(feed.folder)), root, version="v1"
+        ):
+            query.awaitTermination()
         pipeline.start_refresh(
-            source, build, serving, f"{tmp_path}/cp", pipeline.Trigger()
+            messages.valid_events(decoded(spark, feed)),
+            load_inputs,
+            serving,
+            f"{tmp_path}/cp",
+            pipeline.Trigger(),
+        ).awaitTermination()
+        card = serving.read(spark, "possession").first()
+        assert card.match_id == match
+        assert (card.events_a, card.events_b) == ((3, 1) if home == "Alpha" else (1, 1))
+        assert serving.read(spark, "baseline").first().delta == 10 - count - 1
+        assert {r.team_name: r.players for r in serving.read(spark, "radar_counts").collect()} == {
+            "Alpha": 1, "Beta": 1
+        }
+        assert serving.read(spark, "feed").count() == count + 1
+        assert serving.read(spark, "actions").first().marker == "o"
+
+
+def test_match_ids_stay_text_and_prune_folders(spark, feed, tmp_path):
+    for match in ("007", "2024-01-02", "7"):
+        feed.events(1, match=match)
+    feed.push('{"match_id":"","timestamp":1.0}')
+    for buckets in (None, 3):
+        root = f"{tmp_path}/raw{buckets}"
+        pipeline.append_events(
+            decoded(spark, feed), root, f"{root}-cp", buckets=buckets
         ).awaitTermination()
-    assert serving.read(spark, "n").first().n == 2
+        live = pipeline.read_live_events(spark, root, buckets=buckets)
+        assert sorted(r.match_id for r in live.collect()) == ["007", "2024-01-02", "7"]
+        one = pipeline.read_live_events(spark, root, "007", buckets)
+        assert one.count() == 1
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert f"PartitionFilters: [isnotnull({'match_id' if not buckets else 'match_bucket'}" in plan
+
+
+def test_unknown_sink(spark):
+    with pytest.raises(ValueError):
+        messages.produce(spark.createDataFrame([("x",)], "value string"), "socket", "localhost")
 
 
 def test_interval_trigger(spark, feed, tmp_path):

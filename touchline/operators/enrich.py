@@ -42,6 +42,15 @@ def in_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
     return events.join(named, "match_id").filter(is_a | is_b)
 
 
+def of_sessions(events: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Events of the given sessions only.
+
+    Use it before :func:`live_frame` where few of many matches are on show: on a
+    table split by match the other folders are then not read.
+    """
+    return events.join(sessions.select("match_id").distinct(), "match_id", "left_semi")
+
+
 def of_teams(events: DataFrame, team_a: str, team_b: str) -> DataFrame:
     """Events of two given teams."""
     return events.filter(F.col("team").isin(team_a, team_b))

@@ -29,9 +29,13 @@ def top_k(
     partition therefore never sends more than ``k * fan_in`` rows to one task of
     the first step, and ``k`` per such group to the second. The result does not
     depend on the grouping. ``fan_in=None`` merges in one step, for input that is
-    already small.
+    already small. Spark plans no group limit for a ``k`` above its threshold;
+    then every group is one input partition.
     """
     ranked = df
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > threshold:
+        fan_in = 1
     if fan_in is not None:
         group = "__merge_group"
         near = Window.partitionBy(*keys, group).orderBy(*order)

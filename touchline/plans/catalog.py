@@ -23,7 +23,7 @@ from touchline.operators import (
     windows,
 )
 from touchline.operators import sessions as match_setup
-from touchline.plans import standins
+from touchline.plans import dashboard, standins
 from touchline.session import scratch_path
 from touchline.sources import control, csvfiles, messages, tables
 from touchline.sources.keyed_log import KeyedLog
@@ -589,18 +589,39 @@ def enriched_stream(spark, sf_dir):
     return log.read(spark)
 
 
-@query
-def refreshed_views(spark, sf_dir):
-    """The feed, rebuilt by a stream whenever events come in."""
-    root = scratch_path(spark, "refresh")
-    events = _wire_events(spark, sf_dir)
-    messages.encode(events).write.text(f"{root}/messages")
+def _dashboard(spark: SparkSession, sf_dir: str) -> pipeline.ServingFrames:
+    """Messages through the raw log and the team counts into the dashboard views."""
+    root = scratch_path(spark, "dashboard")
+    messages.produce(messages.encode(_wire_events(spark, sf_dir)), "files", f"{root}/messages")
+    source = messages.file_stream(spark, f"{root}/messages")
+    for started in pipeline.start_pipeline(source, root):
+        started.awaitTermination()
+    teams, players = _dimensions(spark, sf_dir)
+
+    def load_inputs() -> dashboard.Inputs:
+        return dashboard.Inputs(
+            live=pipeline.read_live_events(spark, f"{root}/live_events"),
+            stats=pipeline.team_stats_log(f"{root}/live_team_stats").read(spark),
+            sessions=standins.sessions(spark, sf_dir),
+            teams=teams,
+            players=players,
+            facts=standins.facts(spark, sf_dir),
+        )
+
     serving = pipeline.ServingFrames(f"{root}/views")
     pipeline.start_refresh(
         _stream(spark, f"{root}/messages"),
-        lambda: {"feed": live_feed(spark, sf_dir)},
+        load_inputs,
         serving,
-        f"{root}/checkpoint",
+        f"{root}/checkpoints/v1/views",
         pipeline.Trigger(),
     ).awaitTermination()
-    return serving.read(spark, "feed")
+    return serving
+
+
+@query
+def dashboard_refresh(spark, sf_dir):
+    """The feed and the baseline card as the streams leave them."""
+    serving = _dashboard(spark, sf_dir)
+    card = serving.read(spark, "baseline").select("match_id", "live_events", "delta")
+    return serving.read(spark, "feed").join(card, "match_id")

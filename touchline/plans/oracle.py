@@ -445,5 +445,11 @@ mark AS (
                 coalesce(short_name, ev.player_id) AS player_name
          FROM ev LEFT JOIN teams ON team = team_id
          LEFT JOIN players ON ev.player_id = players.player_id""",
+    "dashboard_refresh": _with(_FRAME)
+    + """SELECT match_id, position, team_name AS "Team", player_name AS "Player",
+                event_type AS "Event", live_events,
+                (SELECT CAST(trunc(count(*) / count(DISTINCT l_orderkey)) AS INTEGER)
+                 FROM lineitem) - live_events AS delta
+         FROM (SELECT *, count(*) OVER (PARTITION BY match_id) AS live_events FROM named)
+         WHERE position <= 6""",
 }
-ORACLE["refreshed_views"] = ORACLE["live_feed"]

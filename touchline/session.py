@@ -55,3 +55,10 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_root(spark)}/touchline/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what earlier runs left under the shared folder; none may be running."""
+    from touchline.sources.files import delete
+
+    delete(spark, f"{shared_root(spark)}/touchline")

@@ -80,8 +80,8 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def has_key(decoded: DataFrame) -> DataFrame:
     """Add ``valid``: both key columns are there and the time is usable."""
-    valid = decoded["match_id"].isNotNull() & is_event_time(decoded["timestamp"])
-    return decoded.withColumn("valid", valid)
+    named = F.coalesce(F.col("match_id") != "", F.lit(False))
+    return decoded.withColumn("valid", named & is_event_time(F.col("timestamp")))
 
 
 def valid_events(decoded: DataFrame, truncate: bool = False) -> DataFrame:
@@ -101,7 +101,7 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     reason = (
         F.when(F.col("value").isNull() | (F.trim("value") == ""), "empty")
         .when(F.col("match_id").isNull() & F.col("timestamp").isNull(), "unreadable")
-        .when(F.col("match_id").isNull(), "no match_id")
+        .when(F.col("match_id").isNull() | (F.col("match_id") == ""), "no match_id")
         .otherwise("no timestamp")
     )
     return (
@@ -109,6 +109,19 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     )
 
 
+def produce(
+    documents: DataFrame, kind: str, location: str, topic: str = schemas.LIVE_TOPIC
+) -> None:
+    """Send encoded documents to a Kafka topic or append them to a folder."""
+    if kind == "kafka":
+        writer = documents.write.format("kafka").option("kafka.bootstrap.servers", location)
+        writer.option("topic", topic).save()
+    elif kind == "files":
+        documents.write.mode("append").text(location)
+    else:
+        raise ValueError(f"unknown message sink: {kind}")
+
+
 def encode(events: DataFrame) -> DataFrame:
     """One JSON document per event in column ``value``, ready for a sink."""
     return events.select(F.to_json(F.struct(*events.columns)).alias("value"))

@@ -8,12 +8,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from touchline import schemas
 from touchline.operators.enrich import with_names
 from touchline.operators.recent import latest_per_key
 from touchline.operators.windows import KEYS, flatten_window, window_counts
+from touchline.plans import dashboard
 from touchline.sources import files, messages
 from touchline.sources.keyed_log import KeyedLog
 
@@ -32,6 +40,18 @@ ENRICHED_SCHEMA = StructType(
 )
 
 
+#: Raw event log: the event and where its message came from. Declared, because a
+#: match id read from a folder name would otherwise turn into a number or a date.
+RAW_SCHEMA = StructType(
+    [
+        *schemas.EVENT_SCHEMA.fields,
+        StructField("ingest_time", TimestampType()),
+        StructField("ingest_partition", LongType()),
+        StructField("ingest_offset", LongType()),
+    ]
+)
+
+
 @dataclass(frozen=True)
 class Trigger:
     """``every`` such as ``1.5 seconds``, or all data at hand and stop."""
@@ -67,7 +87,10 @@ def append_rows(
     )
 
 
-def match_bucket(match_id: str = "match_id", buckets: int = 256) -> Column:
+BUCKET = "match_bucket"
+
+
+def match_bucket(match_id: Column, buckets: int) -> Column:
     """Bucket of a match: a bounded number of folders, however many matches."""
     return F.pmod(F.xxhash64(match_id), F.lit(buckets)).cast("int")
 
@@ -83,8 +106,8 @@ def append_events(
     events = messages.valid_events(decoded).drop("event_time")
     if buckets is None:
         return append_rows(events, path, checkpoint, trigger, ("match_id",))
-    bucketed = events.withColumn("match_bucket", match_bucket(buckets=buckets))
-    return append_rows(bucketed, path, checkpoint, trigger, ("match_bucket",))
+    bucketed = events.withColumn(BUCKET, match_bucket(F.col("match_id"), buckets))
+    return append_rows(bucketed, path, checkpoint, trigger, (BUCKET,))
 
 
 def read_live_events(
@@ -94,25 +117,20 @@ def read_live_events(
 
     A match id prunes the scan to its folder.
     """
-    raw = spark.read.parquet(path)
+    schema = RAW_SCHEMA
+    if buckets is not None:
+        schema = StructType([*RAW_SCHEMA.fields, StructField(BUCKET, IntegerType())])
+    raw = spark.read.schema(schema).parquet(path)
     if match_id is not None:
         raw = raw.filter(F.col("match_id") == match_id)
         if buckets is not None:
-            wanted = match_bucket(buckets=buckets)
-            raw = raw.filter(F.col("match_bucket") == wanted)
-    ingest = [c for c in messages.INGEST_COLUMNS if c in raw.columns]
-    values = [
-        c for c in schemas.EVENT_SCHEMA.fieldNames() if c not in schemas.SERVING_KEYS["live_events"]
-    ]
-    keyed = latest_per_key(
-        raw.select(
-            F.col("match_id").cast("string"), *[c for c in raw.columns if c != "match_id"]
-        ),
-        schemas.SERVING_KEYS["live_events"],
-        [*ingest, *values],
-        keep_order=True,
+            raw = raw.filter(F.col(BUCKET) == match_bucket(F.lit(match_id), buckets))
+    key = schemas.SERVING_KEYS["live_events"]
+    values = [c for c in schemas.EVENT_SCHEMA.fieldNames() if c not in key]
+    order = [*messages.INGEST_COLUMNS, *values]
+    return latest_per_key(raw.select(*RAW_SCHEMA.fieldNames()), key, order, keep_order=True).select(
+        *RAW_SCHEMA.fieldNames()
     )
-    return keyed.select(*schemas.EVENT_SCHEMA.fieldNames(), *ingest)
 
 
 def append_quarantine(
@@ -256,20 +274,26 @@ class ServingFrames:
 
 def start_refresh(
     events: DataFrame,
-    build_frames: Callable[[], dict[str, DataFrame]],
+    load_inputs: Callable[[], dashboard.Inputs],
     serving: ServingFrames,
     checkpoint: str,
     trigger: Trigger = Trigger("1.5 seconds"),
 ) -> StreamingQuery:
-    """Rebuild the serving views whenever new events came in.
+    """Rebuild the dashboard views whenever new events came in.
 
-    ``build_frames`` runs for every batch, so it sees the control documents,
-    dimensions and live tables as they are then.
+    ``load_inputs`` runs for every batch, so it sees the control documents,
+    dimensions and live tables as they are then. The views share the live frame,
+    which is small, and so it is persisted while they are written.
     """
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
-        for name, frame in build_frames().items():
-            serving.write(name, frame, batch_id)
+        inputs = load_inputs()
+        frame = dashboard.live_frame(inputs).persist()
+        try:
+            for name, view in dashboard.views(inputs, frame).items():
+                serving.write(name, view, batch_id)
+        finally:
+            frame.unpersist()
 
     return (
         events.writeStream.foreachBatch(rebuild)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.sources.messages import encode
+from touchline.sources.messages import encode, produce
 
 
 def time_slices(events: DataFrame, slices: int) -> Iterator[Column]:
@@ -43,7 +43,7 @@ def replay(
     """
     queries = []
     for condition in conditions:
-        encode(events.filter(condition)).write.mode("append").text(folder)
+        produce(encode(events.filter(condition)), "files", folder)
         query = start()
         query.awaitTermination()
         queries.append(query)

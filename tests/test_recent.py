@@ -21,7 +21,7 @@ def crowded(events):
     return data, events(data).drop("event_time").repartition(16)
 
 
-@pytest.mark.parametrize("fan_in", [1, 3, 1024, None])
+@pytest.mark.parametrize("fan_in", [1, 3, 1024, 0, None])
 @pytest.mark.parametrize("k", [1, 100, 1000])
 def test_top_k_is_exact_for_any_grouping(crowded, rows, fan_in, k):
     data, frame = crowded
@@ -35,9 +35,27 @@ def test_top_k_is_exact_for_any_grouping(crowded, rows, fan_in, k):
 
 def test_top_k_cuts_before_each_shuffle(crowded):
     _, frame = crowded
-    plan = recent.recent_events(frame, 100)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 4
-    assert plan.count("Exchange hashpartitioning") == 2
+    for fan_in, steps in ((None, 2), (0, 1), (8, 2)):
+        found = recent.recent_events(frame, 100, fan_in)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("WindowGroupLimit") == 2 * steps
+        assert plan.count("Exchange hashpartitioning") == steps
+
+
+def test_small_files_merge_in_one_step(spark, crowded, tmp_path):
+    crowded[1].write.parquet(f"{tmp_path}/events")
+    found = recent.recent_events(spark.read.parquet(f"{tmp_path}/events"), 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_k_above_the_group_limit_threshold(spark, crowded, rows):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "50")
+    try:
+        found = rows(recent.recent_events(crowded[1], 60), "match_id", "timestamp")
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert found == rows(recent.recent_events(crowded[1], 60, 0), "match_id", "timestamp")
 
 
 def test_single_match_plans_as_top_k(crowded):

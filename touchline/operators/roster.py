@@ -55,10 +55,10 @@ def roster(
     ids = teams.select("team_id").distinct()
 
     members = current_members(players)
-    tier1 = top_k(members, ["team_id"], by_player, squad_size, fan_in=None)
+    tier1 = top_k(members, ["team_id"], by_player, squad_size, fan_in=0)
     tier1 = tier1.select("team_id", "player_id", "short_name", F.lit(1).alias("tier"))
 
-    seen = top_k(seen_in_facts(facts), ["team_id"], by_player, squad_size, fan_in=None)
+    seen = top_k(seen_in_facts(facts), ["team_id"], by_player, squad_size, fan_in=0)
     names = players.select("player_id", "short_name")
     tier2 = seen.join(names, "player_id", "left").select(
         "team_id", "player_id", F.coalesce("short_name", F.lit("")), F.lit(2)
@@ -83,7 +83,7 @@ def roster(
         [F.col("tier"), F.col(PLAYER_ORDER)],
         squad_size,
         rank="number",
-        fan_in=None,
+        fan_in=0,
     )
     slots = ids.withColumn("number", F.explode(F.sequence(F.lit(1), F.lit(squad_size))))
     number = F.col("number").cast("string")

@@ -13,6 +13,12 @@ from touchline.operators.joins import measured
 
 KEYS = ("match_id", "team")
 
+#: Above this many panes per window, frames cost more than grouping does.
+MAX_FRAMES = 24
+
+#: Length of a stretch of panes, in windows.
+PANES_PER_STRETCH = 60
+
 
 def window_counts(
     events: DataFrame,
@@ -59,19 +65,80 @@ def sliding_window_counts(
 ) -> DataFrame:
     """Batch count per sliding window, through panes.
 
-    Events are counted once into panes of gcd(width, slide); only the pane
-    counts are then copied into the windows that cover them. Every window is a
-    whole number of panes, so the sums equal counting each event once per
-    window, but events themselves are neither copied nor shuffled per window.
+    Events are counted once, into panes that every window is a whole number of.
+    Only the pane counts are worked on after that, so events are neither copied
+    nor shuffled once per window that holds them.
     """
-    pane = f"{math.gcd(seconds_of(width), seconds_of(slide))} seconds"
-    panes = pane_counts(events, pane, keys)
+    width_s, slide_s = seconds_of(width), seconds_of(slide)
+    if width_s % slide_s == 0 and width_s // slide_s <= MAX_FRAMES:
+        return _windows_by_last_pane(
+            pane_counts(events, slide, keys), width_s // slide_s, slide_s, keys
+        )
+    panes = pane_counts(events, f"{math.gcd(width_s, slide_s)} seconds", keys)
     counts = panes.groupBy(F.window("pane_start", width, slide).alias("window"), *keys).agg(
         F.sum("pane_events").alias("total_events")
     )
     return flatten_window(counts)
 
 
+def _windows_by_last_pane(
+    panes: DataFrame, panes_per_window: int, slide_s: int, keys: tuple[str, ...]
+) -> DataFrame:
+    """Window counts from panes of one slide, each window built exactly once.
+
+    A window is emitted by the last pane in it that has events: its count is a
+    range frame ending there, and no window needs to be gathered by a group by.
+    A pane emits the windows it is in that end before the next pane with events.
+
+    Panes are spread by key and stretch of time, so a match that runs long is not
+    one task's work. The few panes near the ends of a stretch are copied to its
+    neighbour, where they are counted but emit nothing.
+    """
+    stretch = panes_per_window * PANES_PER_STRETCH
+    reach = panes_per_window - 1
+    at = F.col("pane")
+    stretches = F.array_distinct(
+        F.array(*[F.floor((at + shift) / stretch) for shift in (-reach, 0, reach)])
+    )
+    placed = panes.select(
+        *keys,
+        "pane_events",
+        F.floor(F.unix_seconds("pane_start") / slide_s).alias("pane"),
+    ).withColumn("stretch", F.explode(stretches))
+
+    line = Window.partitionBy(*keys, "stretch").orderBy("pane")
+    window_type = "struct<first_pane: bigint, total_events: bigint>"
+    ending_here = F.array(
+        *[
+            F.struct(
+                (at - back).alias("first_pane"),
+                F.sum("pane_events").over(line.rangeBetween(-back, 0)).alias("total_events"),
+            ).cast(window_type)
+            for back in range(panes_per_window)
+        ]
+    )
+    until_next = F.coalesce(F.lead("pane").over(line) - at, F.lit(panes_per_window))
+    emitted = F.least(until_next, F.lit(panes_per_window)).cast("int")
+    start = F.col("first_pane") * slide_s
+    return (
+        placed.select(
+            *keys,
+            at,
+            "stretch",
+            ending_here.alias("windows"),
+            emitted.alias("emitted"),
+        )
+        .filter(F.col("stretch") == F.floor(at / stretch))
+        .select(*keys, F.inline(F.slice("windows", -F.col("emitted"), F.col("emitted"))))
+        .select(
+            F.timestamp_seconds(start).alias("window_start"),
+            F.timestamp_seconds(start + slide_s * panes_per_window).alias("window_end"),
+            *keys,
+            "total_events",
+        )
+    )
+
+
 def latest_window(
     events: DataFrame,
     width: str = schemas.WINDOW_WIDTH,

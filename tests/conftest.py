@@ -8,7 +8,7 @@ import pytest
 ROOT = Path(__file__).resolve().parent.parent
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from touchline.session import build_session  # noqa: E402
+from touchline.session import build_session, clear_scratch  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -29,6 +29,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

@@ -196,15 +196,25 @@ def test_replayed_and_half_written_batches(spark, tmp_path):
     assert log.read(spark).isEmpty()
 
 
+def window_batch(row):
+    window = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
+    return row.select(window.alias("window"), "match_id", "team", "total_events")
+
+
+def test_log_compacts_itself(spark, tmp_path):
+    log = pipeline.team_stats_log(f"{tmp_path}/stats")
+    upsert = pipeline.upsert_into(log, compact_every=2)
+    for batch_id in range(5):
+        upsert(window_batch(stats_row(spark, "A", 60 + 10 * batch_id, batch_id)), batch_id)
+        assert log.uncompacted(spark) < 2
+        assert log.read(spark).first().total_events == batch_id
+    assert sorted(log.snapshots(spark)) == [1, 3]
+
+
 def test_callback_runs_twice_without_change(spark, tmp_path):
     log = pipeline.team_stats_log(f"{tmp_path}/stats")
-    batch = stats_row(spark, "A", 60, 1).unionByName(stats_row(spark, "A", 70, 3)).select(
-        F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias(
-            "window"
-        ),
-        "match_id",
-        "team",
-        "total_events",
+    batch = window_batch(
+        stats_row(spark, "A", 60, 1).unionByName(stats_row(spark, "A", 70, 3))
     )
     upsert = pipeline.upsert_into(log)
     upsert(batch, 4)
@@ -248,10 +258,11 @@ def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
     serving = pipeline.ServingFrames(f"{root}/views")
 
     def load_inputs():
+        current = control.current_session(spark, control_path)
         return Inputs(
-            live=pipeline.read_live_events(spark, f"{root}/live_events"),
+            live=pipeline.read_live_events(spark, f"{root}/live_events", sessions=current),
             stats=pipeline.team_stats_log(f"{root}/live_team_stats").read(spark),
-            sessions=control.current_session(spark, control_path),
+            sessions=current,
             teams=teams,
             players=players,
             facts=facts,
@@ -300,6 +311,19 @@ def test_match_ids_stay_text_and_prune_folders(spark, feed, tmp_path):
         assert f"PartitionFilters: [isnotnull({'match_id' if not buckets else 'match_bucket'}" in plan
 
 
+def test_shown_sessions_prune_folders(spark, feed, tmp_path):
+    for match in "abc":
+        feed.events(1, 2, match=match)
+    root = f"{tmp_path}/raw"
+    pipeline.append_events(decoded(spark, feed), root, f"{root}-cp").awaitTermination()
+    columns = "match_id string, team_a_id string"
+    spark.createDataFrame([("a", "1"), ("b", "2")], columns).write.json(f"{tmp_path}/s")
+    shown = spark.read.schema(columns).json(f"{tmp_path}/s").filter("team_a_id = '1'")
+    live = pipeline.read_live_events(spark, root, sessions=shown)
+    assert {r.match_id for r in live.collect()} == {"a"}
+    assert "dynamicpruning" in live._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unknown_sink(spark):
     with pytest.raises(ValueError):
         messages.produce(spark.createDataFrame([("x",)], "value string"), "socket", "localhost")

@@ -45,10 +45,10 @@ def in_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
 def of_sessions(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """Events of the given sessions only.
 
-    Use it before :func:`live_frame` where few of many matches are on show: on a
-    table split by match the other folders are then not read.
+    Use it first where few of many matches are on show: right above the scan of a
+    table split by match, Spark can skip the other folders.
     """
-    return events.join(sessions.select("match_id").distinct(), "match_id", "left_semi")
+    return events.join(sessions.select("match_id"), "match_id", "left_semi")
 
 
 def of_teams(events: DataFrame, team_a: str, team_b: str) -> DataFrame:

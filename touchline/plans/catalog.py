@@ -598,11 +598,13 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> pipeline.ServingFrames:
         started.awaitTermination()
     teams, players = _dimensions(spark, sf_dir)
 
+    sessions = standins.sessions(spark, sf_dir)
+
     def load_inputs() -> dashboard.Inputs:
         return dashboard.Inputs(
-            live=pipeline.read_live_events(spark, f"{root}/live_events"),
+            live=pipeline.read_live_events(spark, f"{root}/live_events", sessions=sessions),
             stats=pipeline.team_stats_log(f"{root}/live_team_stats").read(spark),
-            sessions=standins.sessions(spark, sf_dir),
+            sessions=sessions,
             teams=teams,
             players=players,
             facts=standins.facts(spark, sf_dir),

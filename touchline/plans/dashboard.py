@@ -11,7 +11,7 @@ from touchline.operators import baseline, enrich, pitch, possession
 
 @dataclass(frozen=True)
 class Inputs:
-    """Tables the dashboard reads."""
+    """Tables the dashboard reads; ``live`` may be cut to the sessions on show."""
 
     live: DataFrame
     stats: DataFrame
@@ -26,8 +26,7 @@ def live_frame(inputs: Inputs) -> DataFrame:
 
     Most views start from it; persist it when several are written at once.
     """
-    shown = enrich.of_sessions(inputs.live, inputs.sessions)
-    return enrich.live_frame(shown, inputs.sessions)
+    return enrich.live_frame(inputs.live, inputs.sessions)
 
 
 def views(inputs: Inputs, frame: DataFrame) -> dict[str, DataFrame]:

@@ -180,7 +180,7 @@ def roster_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 def roster_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Historical events of nine teams; most of their players have no name."""
     return table(spark, sf_dir, "lineitem").select(
-        F.round(F.col("l_tax") * 100).cast("int").cast("string").alias("team_id"),
+        F.floor(F.col("l_tax") * 100 + 0.5).cast("string").alias("team_id"),
         _text("l_partkey").alias("player_id"),
     )
 

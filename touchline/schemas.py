@@ -202,7 +202,7 @@ FALLBACK_EVENTS_PER_MATCH = 1450
 RECENT_LIMIT = 1000
 ACTION_LIMIT = 100
 FEED_LIMIT = 6
-LIVE_TOPIC = "fc26_live_events"
+LIVE_TOPIC = "live_events"
 
 WINDOW_WIDTH = "60 seconds"
 WINDOW_SLIDE = "10 seconds"

@@ -52,13 +52,19 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_root(spark)}/touchline/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/touchline/{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove what earlier runs left under the shared folder; none may be running."""
+    """Remove this process's scratch data; its results must be consumed by then."""
     from touchline.sources.files import delete
 
-    delete(spark, f"{shared_root(spark)}/touchline")
+    while _scratch:
+        delete(spark, _scratch.pop())

@@ -54,6 +54,11 @@ class KeyedLog:
     def snapshots(self, spark: SparkSession) -> dict[int, str]:
         return self._committed(spark, "snapshot", "upto")
 
+    def uncompacted(self, spark: SparkSession) -> int:
+        """Committed batches that no snapshot covers yet."""
+        upto = max(self.snapshots(spark), default=-1)
+        return sum(n > upto for n in self.batches(spark))
+
     def write_batch(self, rows: DataFrame, batch_id: int) -> bool:
         """Write one micro-batch; False when it was committed before."""
         target = f"{self.path}/log/{BATCH}={batch_id}"

@@ -18,7 +18,7 @@ from pyspark.sql.types import (
 )
 
 from touchline import schemas
-from touchline.operators.enrich import with_names
+from touchline.operators.enrich import of_sessions, with_names
 from touchline.operators.recent import latest_per_key
 from touchline.operators.windows import KEYS, flatten_window, window_counts
 from touchline.plans import dashboard
@@ -111,11 +111,16 @@ def append_events(
 
 
 def read_live_events(
-    spark: SparkSession, path: str, match_id: str | None = None, buckets: int | None = None
+    spark: SparkSession,
+    path: str,
+    match_id: str | None = None,
+    buckets: int | None = None,
+    sessions: DataFrame | None = None,
 ) -> DataFrame:
     """Keyed view of the raw log: one row per (match, timestamp), the last write.
 
-    A match id prunes the scan to its folder.
+    A match id prunes the scan to its folder; ``sessions`` keeps only their
+    matches, before any row is shuffled.
     """
     schema = RAW_SCHEMA
     if buckets is not None:
@@ -125,6 +130,8 @@ def read_live_events(
         raw = raw.filter(F.col("match_id") == match_id)
         if buckets is not None:
             raw = raw.filter(F.col(BUCKET) == match_bucket(F.lit(match_id), buckets))
+    if sessions is not None:
+        raw = of_sessions(raw, sessions)
     key = schemas.SERVING_KEYS["live_events"]
     values = [c for c in schemas.EVENT_SCHEMA.fieldNames() if c not in key]
     order = [*messages.INGEST_COLUMNS, *values]
@@ -156,11 +163,13 @@ def _write_once(log: KeyedLog, rows: DataFrame, batch_id: int) -> None:
         rows.write.format("noop").mode("overwrite").save()
 
 
-def upsert_into(log: KeyedLog) -> Callable[[DataFrame, int], None]:
+def upsert_into(log: KeyedLog, compact_every: int = 0) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: write the batch's newest row per key.
 
     The batch is persisted because it is used twice, for the emptiness test and
     the write; otherwise the stateful plan would run and count dropped rows twice.
+    After ``compact_every`` batches the log is folded, so that readers never meet
+    a long list of small batches.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -171,6 +180,8 @@ def upsert_into(log: KeyedLog) -> Callable[[DataFrame, int], None]:
                     flatten_window(batch), log.key, [*log.order], keep_order=True
                 )
                 _write_once(log, rows, batch_id)
+                if compact_every and log.uncompacted(rows.sparkSession) >= compact_every:
+                    log.compact(rows.sparkSession)
         finally:
             batch.unpersist()
 
@@ -185,6 +196,7 @@ def start_team_stats(
     slide: str = schemas.WINDOW_SLIDE,
     delay: str = schemas.WATERMARK_DELAY,
     trigger: Trigger = Trigger(),
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Update-mode query that keeps the team counts current.
 
@@ -194,7 +206,7 @@ def start_team_stats(
     return (
         windowed_counts(events, width, slide, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(upsert_into(log))
+        .foreachBatch(upsert_into(log, compact_every))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
         .start()

@@ -46,6 +46,18 @@ def test_documents_without_session_id(spark):
     assert (row.match_id, row.team_a_id) == (schemas.DEFAULT_SESSION, "1")
 
 
+def test_last_document_of_a_session_counts(spark, tmp_path):
+    path = tmp_path / "control"
+    path.mkdir()
+    for i, name in enumerate(("First", "Second")):
+        (path / f"{i}.json").write_text(
+            f'{{"team_a_id": "1", "team_a_name": "{name}", "team_b_id": "2", '
+            f'"team_b_name": "B", "deployed_at": "2024-01-0{i + 1}T00:00:00Z"}}\n'
+        )
+    found = control.read_sessions(spark, str(path)).collect()
+    assert [(r.match_id, r.team_a_name) for r in found] == [(schemas.DEFAULT_SESSION, "Second")]
+
+
 def test_reset_hides_earlier_events(spark, tmp_path):
     path = f"{tmp_path}/resets"
     live = spark.sql(

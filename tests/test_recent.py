@@ -72,7 +72,10 @@ def test_latest_per_key(spark, rows):
     )
     assert rows(recent.latest_per_key(frame, ["k"], ["seq"])) == [("a", None, 6), ("b", "z", 1)]
     plan = recent.latest_per_key(frame, ["k"], ["seq"])._jdf.queryExecution().toString()
-    assert "partial_max_by" in plan
+    assert "partial_max(" in plan
+    ties = spark.createDataFrame([("a", 1, "x", 5), ("a", 1, "y", 1)], frame.schema).coalesce(1)
+    for rows_in in (ties, ties.orderBy(F.col("w"))):
+        assert rows(recent.latest_per_key(rows_in, ["k"], ["seq"])) == [("a", "y", 1)]
 
 
 @pytest.fixture

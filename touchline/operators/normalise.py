@@ -59,10 +59,5 @@ def normalise(
 
 
 def dedupe(dimension: DataFrame, key: tuple[str, ...], load_order: str) -> DataFrame:
-    """Keep the row loaded last per key; drops the load order column.
-
-    Rows with equal load order fall back to their own values, so the choice
-    never depends on where a row was read.
-    """
-    others = [c for c in dimension.columns if c not in key and c != load_order]
-    return latest_per_key(dimension, key, [load_order, *others], keep_order=True).drop(load_order)
+    """Keep the row loaded last per key; drops the load order column."""
+    return latest_per_key(dimension, key, [load_order])

@@ -64,13 +64,16 @@ def _estimated_bytes(df: DataFrame) -> int:
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], keep_order: bool = False
 ) -> DataFrame:
-    """One row per key: the one greatest by ``order`` (later columns break ties).
+    """One row per key: the one greatest by ``order``.
 
-    A ``max_by`` aggregate: every partition sends at most one row per key.
+    Rows equal in that compare by their other columns, so the choice never
+    depends on where a row was read. A plain aggregate: every partition sends at
+    most one row per key to the shuffle.
     """
-    values = [c for c in df.columns if c not in keys and (keep_order or c not in order)]
-    newest = F.max_by(F.struct(*values), F.struct(*order))
-    return df.groupBy(*keys).agg(newest.alias("__row")).select(*keys, "__row.*")
+    values = [c for c in df.columns if c not in keys and c not in order]
+    newest = F.max(F.struct(*order, *values)).alias("__row")
+    kept = [c for c in df.columns if c not in keys and (keep_order or c not in order)]
+    return df.groupBy(*keys).agg(newest).select(*keys, *[F.col("__row")[c].alias(c) for c in kept])
 
 
 def recent_events(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from touchline import schemas
+from touchline.operators.recent import latest_per_key
 from touchline.operators.sessions import new_session, resolve_sessions
 from touchline.sources import files
 from touchline.sources.keyed_log import KeyedLog
@@ -54,8 +55,11 @@ def read_documents(spark: SparkSession, control_path: str) -> DataFrame:
 def read_sessions(
     spark: SparkSession, control_path: str, default_session: str = schemas.DEFAULT_SESSION
 ) -> DataFrame:
-    """Sessions of all control documents; files are listed anew on each call."""
-    return resolve_sessions(read_documents(spark, control_path), default_session)
+    """One row per session, from its last document; files are listed anew on each call."""
+    documents = read_documents(spark, control_path).fillna(
+        default_session, subset=["match_session_id"]
+    )
+    return resolve_sessions(latest_per_key(documents, ["match_session_id"], [DEPLOYED]))
 
 
 def current_session(

@@ -14,7 +14,6 @@ leaves no half batch in view.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -86,17 +85,11 @@ class KeyedLog:
         return rows
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """One row per key: the greatest by ``order``, then by batch.
-
-        Equal in both, the row greatest by its own values is kept, so the view
-        never depends on file order.
-        """
+        """One row per key: the greatest by ``order``, then by batch."""
         return self._latest(self.writes(spark)).select(*self.schema.fieldNames())
 
     def _latest(self, rows: DataFrame) -> DataFrame:
-        values = [c for c in self.schema.fieldNames() if c not in (*self.key, *self.order)]
-        order: Sequence[str] = (*self.order, BATCH, *values)
-        return latest_per_key(rows, self.key, order, keep_order=True)
+        return latest_per_key(rows, self.key, [*self.order, BATCH], keep_order=True)
 
     def compact(self, spark: SparkSession) -> int | None:
         """Fold all committed batches into a new snapshot; returns its batch."""

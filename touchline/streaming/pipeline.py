@@ -132,12 +132,9 @@ def read_live_events(
             raw = raw.filter(F.col(BUCKET) == match_bucket(F.lit(match_id), buckets))
     if sessions is not None:
         raw = of_sessions(raw, sessions)
-    key = schemas.SERVING_KEYS["live_events"]
-    values = [c for c in schemas.EVENT_SCHEMA.fieldNames() if c not in key]
-    order = [*messages.INGEST_COLUMNS, *values]
-    return latest_per_key(raw.select(*RAW_SCHEMA.fieldNames()), key, order, keep_order=True).select(
-        *RAW_SCHEMA.fieldNames()
-    )
+    columns = RAW_SCHEMA.fieldNames()
+    key, order = schemas.SERVING_KEYS["live_events"], messages.INGEST_COLUMNS
+    return latest_per_key(raw.select(*columns), key, order, keep_order=True).select(*columns)
 
 
 def append_quarantine(

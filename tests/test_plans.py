@@ -73,7 +73,10 @@ def test_scans_read_only_needed_columns(spark, sf_dir):
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in plan
 
 
-def test_window_counts_combine_before_the_shuffle(spark, sf_dir):
+def test_window_counts_shuffle_panes_only(spark, sf_dir):
+    """Events combine before the first shuffle and are not copied per window."""
     plan = plan_of(contract.queries()["sliding_window_counts"](spark, sf_dir))
-    below_expand = plan[plan.index("Expand") :]
-    assert "partial_count(1)" in below_expand and "Exchange" in below_expand
+    assert "partial_count(1)" in plan and "Expand" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+    latest = plan_of(contract.queries()["latest_window_per_team"](spark, sf_dir))
+    assert "Expand" not in latest and "partial_max_by(pane_events" in latest

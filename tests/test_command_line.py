@@ -4,7 +4,7 @@ import json
 
 from touchline.__main__ import main
 from touchline.sources import control
-from touchline.streaming import pipeline
+from touchline.streaming import jobs
 
 
 def test_from_csv_to_live_tables(spark, tmp_path, capsys):
@@ -33,6 +33,6 @@ def test_from_csv_to_live_tables(spark, tmp_path, capsys):
         json.dumps({"match_id": session.match_id, "timestamp": 5.0, "team": "1"}) + "\nbad\n"
     )
     main(["stream", "--source", "files", "--messages", str(source), "--root", root], spark)
-    assert pipeline.read_live_events(spark, f"{root}/live_events").count() == 1
-    stats = pipeline.team_stats_log(f"{root}/live_team_stats").read(spark)
+    assert jobs.read_live_events(spark, f"{root}/live_events").count() == 1
+    stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
     assert [(r.team, r.total_events) for r in stats.collect()] == [("1", 1)]

@@ -5,7 +5,7 @@ import pytest
 from touchline import schemas
 from touchline.operators import baseline, roster, sessions
 from touchline.sources import control
-from touchline.streaming.pipeline import team_stats_log
+from touchline.streaming.jobs import team_stats_log
 
 
 @pytest.fixture

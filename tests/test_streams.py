@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from touchline import schemas
 from touchline.sources import messages
 from touchline.sources.keyed_log import KeyedLog
-from touchline.streaming import pipeline, replay
+from touchline.streaming import jobs, replay
 
 
 class Feed:
@@ -89,16 +89,16 @@ def test_pipeline_end_to_end(spark, feed, tmp_path):
     feed.events(62, team="B")
     feed.push(*BAD_AND_GOOD)
     root = f"{tmp_path}/live"
-    for query in pipeline.start_pipeline(
+    for query in jobs.start_all(
         messages.file_stream(spark, str(feed.folder)), root, buckets=4
     ):
         query.awaitTermination()
         assert query.exception() is None
-    live = pipeline.read_live_events(spark, f"{root}/live_events")
+    live = jobs.read_live_events(spark, f"{root}/live_events")
     assert live.count() == 6
-    assert pipeline.read_live_events(spark, f"{root}/live_events", "m", buckets=4).count() == 6
+    assert jobs.read_live_events(spark, f"{root}/live_events", "m", buckets=4).count() == 6
     assert spark.read.parquet(f"{root}/quarantine").count() == 5
-    stats = pipeline.team_stats_log(f"{root}/live_team_stats").read(spark)
+    stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
     found = {r.team: (r.window_start.timestamp(), r.total_events) for r in stats.collect()}
     assert found == {"A": (60.0, 1), "B": (60.0, 1), "7": (0.0, 1)}
 
@@ -107,21 +107,21 @@ def test_last_write_wins_in_the_raw_log(spark, feed, tmp_path):
     feed.events(1, team="A")
     feed.events(1, team="B")
     root = f"{tmp_path}/raw"
-    pipeline.append_events(decoded(spark, feed), root, f"{tmp_path}/cp").awaitTermination()
-    assert [r.team for r in pipeline.read_live_events(spark, root).collect()] == ["B"]
+    jobs.append_events(decoded(spark, feed), root, f"{tmp_path}/cp").awaitTermination()
+    assert [r.team for r in jobs.read_live_events(spark, root).collect()] == ["B"]
 
 
 def windows_after(spark, feed, tmp_path, pushes):
-    log = pipeline.window_log(f"{tmp_path}/windows")
+    log = jobs.window_log(f"{tmp_path}/windows")
     for seconds in pushes:
         feed.events(*seconds)
     events = messages.valid_events(decoded(spark, feed, 1))
-    query = pipeline.start_window_log(events, log, f"{tmp_path}/cp")
+    query = jobs.start_window_log(events, log, f"{tmp_path}/cp")
     query.awaitTermination()
     counts = {
         int(r.window_end.timestamp()): r.total_events for r in log.read(spark).collect()
     }
-    return counts, pipeline.dropped_by_watermark(query)
+    return counts, jobs.dropped_by_watermark(query)
 
 
 def test_late_events_within_reach_count(spark, feed, tmp_path):
@@ -143,8 +143,8 @@ def test_stream_folds_to_the_batch_result(spark, feed, tmp_path, events, rows):
     for i in range(0, 300, 100):
         for team in "AB":
             feed.events(*[t for _, t, x in by_time[i : i + 100] if x == team], team=team)
-    stats = pipeline.team_stats_log(f"{tmp_path}/stats")
-    query = pipeline.start_team_stats(
+    stats = jobs.team_stats_log(f"{tmp_path}/stats")
+    query = jobs.start_team_stats(
         messages.valid_events(decoded(spark, feed, 2)), stats, f"{tmp_path}/cp"
     )
     query.awaitTermination()
@@ -168,18 +168,18 @@ def stats_row(spark, team, end, count):
 
 
 def test_older_window_arriving_later_does_not_win(spark, tmp_path):
-    log = pipeline.team_stats_log(f"{tmp_path}/stats")
+    log = jobs.team_stats_log(f"{tmp_path}/stats")
     log.write_batch(stats_row(spark, "A", 160, 5), 1)
     log.write_batch(stats_row(spark, "A", 140, 9), 2)
     assert log.read(spark).first().total_events == 5
     log.write_batch(stats_row(spark, "A", 160, 6), 3)
     assert log.read(spark).first().total_events == 6
-    fullest = KeyedLog(log.path, log.schema, log.key, pipeline.POLICY_ORDER["max"])
+    fullest = KeyedLog(log.path, log.schema, log.key, jobs.POLICY_ORDER["max"])
     assert fullest.read(spark).first().total_events == 9
 
 
 def test_replayed_and_half_written_batches(spark, tmp_path):
-    log = pipeline.team_stats_log(f"{tmp_path}/stats")
+    log = jobs.team_stats_log(f"{tmp_path}/stats")
     assert log.read(spark).isEmpty() and log.compact(spark) is None
     assert log.write_batch(stats_row(spark, "A", 60, 1), 0)
     assert not log.write_batch(stats_row(spark, "A", 60, 99), 0)
@@ -202,8 +202,8 @@ def window_batch(row):
 
 
 def test_log_compacts_itself(spark, tmp_path):
-    log = pipeline.team_stats_log(f"{tmp_path}/stats")
-    upsert = pipeline.upsert_into(log, compact_every=2)
+    log = jobs.team_stats_log(f"{tmp_path}/stats")
+    upsert = jobs.upsert_into(log, compact_every=2)
     for batch_id in range(5):
         upsert(window_batch(stats_row(spark, "A", 60 + 10 * batch_id, batch_id)), batch_id)
         assert log.uncompacted(spark) < 2
@@ -212,11 +212,11 @@ def test_log_compacts_itself(spark, tmp_path):
 
 
 def test_callback_runs_twice_without_change(spark, tmp_path):
-    log = pipeline.team_stats_log(f"{tmp_path}/stats")
+    log = jobs.team_stats_log(f"{tmp_path}/stats")
     batch = window_batch(
         stats_row(spark, "A", 60, 1).unionByName(stats_row(spark, "A", 70, 3))
     )
-    upsert = pipeline.upsert_into(log)
+    upsert = jobs.upsert_into(log)
     upsert(batch, 4)
     upsert(batch, 4)
     upsert(batch.filter("false"), 5)
@@ -233,11 +233,11 @@ def test_enrichment_sees_reloaded_dimensions(spark, feed, tmp_path):
             spark.createDataFrame([("1", "One")], "player_id string, short_name string"),
         )
 
-    log = pipeline.enriched_log(f"{tmp_path}/enriched")
+    log = jobs.enriched_log(f"{tmp_path}/enriched")
     for second in (1, 2):
         feed.events(second)
         source = messages.valid_events(decoded(spark, feed))
-        pipeline.start_enriched(source, dimensions, log, f"{tmp_path}/cp").awaitTermination()
+        jobs.start_enriched(source, dimensions, log, f"{tmp_path}/cp").awaitTermination()
         teams["A"] = "New"
     found = log.read(spark).orderBy("timestamp").collect()
     assert [(r.team_name, r.player_name) for r in found] == [("Old", "One"), ("New", "One")]
@@ -255,13 +255,13 @@ def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
     )
     players = spark.createDataFrame([("1", "P. One")], "player_id string, short_name string")
     facts = spark.createDataFrame([("x",)] * 10, "match_id string")
-    serving = pipeline.ServingFrames(f"{root}/views")
+    serving = jobs.ServingFrames(f"{root}/views")
 
     def load_inputs():
         current = control.current_session(spark, control_path)
         return Inputs(
-            live=pipeline.read_live_events(spark, f"{root}/live_events", sessions=current),
-            stats=pipeline.team_stats_log(f"{root}/live_team_stats").read(spark),
+            live=jobs.read_live_events(spark, f"{root}/live_events", sessions=current),
+            stats=jobs.team_stats_log(f"{root}/live_team_stats").read(spark),
             sessions=current,
             teams=teams,
             players=players,
@@ -272,16 +272,16 @@ def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
         match = control.deploy_match(spark, team_options(teams), home, away, control_path)
         feed.events(*range(count), team="A", match=match)
         feed.events(0.5, team="B", match=match)
-        for query in pipeline.start_pipeline(
+        for query in jobs.start_all(
             messages.file_stream(spark, str(feed.folder)), root, version="v1"
         ):
             query.awaitTermination()
-        pipeline.start_refresh(
+        jobs.start_refresh(
             messages.valid_events(decoded(spark, feed)),
             load_inputs,
             serving,
             f"{tmp_path}/cp",
-            pipeline.Trigger(),
+            jobs.Trigger(),
         ).awaitTermination()
         card = serving.read(spark, "possession").first()
         assert card.match_id == match
@@ -300,12 +300,12 @@ def test_match_ids_stay_text_and_prune_folders(spark, feed, tmp_path):
     feed.push('{"match_id":"","timestamp":1.0}')
     for buckets in (None, 3):
         root = f"{tmp_path}/raw{buckets}"
-        pipeline.append_events(
+        jobs.append_events(
             decoded(spark, feed), root, f"{root}-cp", buckets=buckets
         ).awaitTermination()
-        live = pipeline.read_live_events(spark, root, buckets=buckets)
+        live = jobs.read_live_events(spark, root, buckets=buckets)
         assert sorted(r.match_id for r in live.collect()) == ["007", "2024-01-02", "7"]
-        one = pipeline.read_live_events(spark, root, "007", buckets)
+        one = jobs.read_live_events(spark, root, "007", buckets)
         assert one.count() == 1
         plan = one._jdf.queryExecution().executedPlan().toString()
         assert f"PartitionFilters: [isnotnull({'match_id' if not buckets else 'match_bucket'}" in plan
@@ -315,11 +315,11 @@ def test_shown_sessions_prune_folders(spark, feed, tmp_path):
     for match in "abc":
         feed.events(1, 2, match=match)
     root = f"{tmp_path}/raw"
-    pipeline.append_events(decoded(spark, feed), root, f"{root}-cp").awaitTermination()
+    jobs.append_events(decoded(spark, feed), root, f"{root}-cp").awaitTermination()
     columns = "match_id string, team_a_id string"
     spark.createDataFrame([("a", "1"), ("b", "2")], columns).write.json(f"{tmp_path}/s")
     shown = spark.read.schema(columns).json(f"{tmp_path}/s").filter("team_a_id = '1'")
-    live = pipeline.read_live_events(spark, root, sessions=shown)
+    live = jobs.read_live_events(spark, root, sessions=shown)
     assert {r.match_id for r in live.collect()} == {"a"}
     assert "dynamicpruning" in live._jdf.queryExecution().executedPlan().toString()
 
@@ -331,12 +331,12 @@ def test_unknown_sink(spark):
 
 def test_interval_trigger(spark, feed, tmp_path):
     feed.events(1)
-    query = pipeline.append_quarantine(
-        decoded(spark, feed), f"{tmp_path}/q", f"{tmp_path}/cp", pipeline.Trigger("1 second")
+    query = jobs.append_quarantine(
+        decoded(spark, feed), f"{tmp_path}/q", f"{tmp_path}/cp", jobs.Trigger("1 second")
     )
     try:
         assert query.isActive
-        pipeline.await_any(spark, timeout=1)
+        jobs.await_any(spark, timeout=1)
     finally:
         query.stop()
 

@@ -43,6 +43,27 @@ def test_panes_equal_direct_count(events, rows, width, slide):
         assert sum(n for *_, n in expected) == len(data) * width // slide
 
 
+@pytest.mark.parametrize("width, slide, span", [(60, 10, 9000), (60, 60, 9000), (4, 2, 400)])
+def test_windows_over_the_ends_of_stretches(events, rows, monkeypatch, width, slide, span):
+    """Panes near the end of a stretch count in both, and no window is lost or doubled."""
+    monkeypatch.setattr(windows, "PANES_PER_STRETCH", 3)
+    data = random_events(1, n=900, span=span)
+    found = windows.sliding_window_counts(events(data), f"{width} seconds", f"{slide} seconds")
+    key = ["match_id", "team", F.col("window_start").cast("long"), "total_events"]
+    assert rows(found, *key) == sorted(
+        (*k, n) for k, n in brute_windows(data, width, slide).items()
+    )
+
+
+def test_many_panes_per_window_are_grouped(events, rows):
+    data = random_events(2, n=200, span=300)
+    found = windows.sliding_window_counts(events(data), "60 seconds", "2 seconds")
+    key = ["match_id", "team", F.col("window_start").cast("long"), "total_events"]
+    assert rows(found, *key) == sorted((*k, n) for k, n in brute_windows(data, 60, 2).items())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" in plan and 60 // 2 > windows.MAX_FRAMES
+
+
 @pytest.mark.parametrize("width, slide", [(60, 10), (45, 30)])
 def test_policies(events, rows, width, slide):
     data = random_events(5)

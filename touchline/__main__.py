@@ -10,7 +10,7 @@ from touchline import schemas
 from touchline.operators.sessions import team_options
 from touchline.session import build_session
 from touchline.sources import control, csvfiles, messages, tables
-from touchline.streaming import pipeline
+from touchline.streaming import jobs
 
 DIMENSION_FILES = {
     "players": "players.csv",
@@ -37,7 +37,7 @@ def load(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def deploy(spark: SparkSession, options: argparse.Namespace) -> None:
     teams = spark.read.schema(schemas.TEAMS.schema).parquet(f"{options.warehouse}/teams")
-    stats = pipeline.team_stats_log(f"{options.root}/live_team_stats")
+    stats = jobs.team_stats_log(f"{options.root}/live_team_stats")
     live_tables = (stats,) if options.truncate else ()
     session = control.deploy_match(
         spark,
@@ -52,12 +52,12 @@ def deploy(spark: SparkSession, options: argparse.Namespace) -> None:
 
 def stream(spark: SparkSession, options: argparse.Namespace) -> None:
     source = messages.message_stream(spark, options.source, options.messages)
-    trigger = pipeline.Trigger(options.every)
-    queries = pipeline.start_pipeline(
+    trigger = jobs.Trigger(options.every)
+    queries = jobs.start_all(
         source, options.root, trigger, options.version, options.buckets
     )
     if options.every:
-        pipeline.await_any(spark)
+        jobs.await_any(spark)
     else:
         for query in queries:
             query.awaitTermination()

@@ -27,7 +27,7 @@ from touchline.plans import dashboard, standins
 from touchline.session import scratch_path
 from touchline.sources import control, csvfiles, messages, tables
 from touchline.sources.keyed_log import KeyedLog
-from touchline.streaming import pipeline, replay
+from touchline.streaming import jobs, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -518,13 +518,13 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
 def team_stats_upsert_stream(spark, sf_dir):
     """All events replayed as JSON in two steps into the keyed team counts."""
     root = scratch_path(spark, "team-stats")
-    log = pipeline.team_stats_log(f"{root}/stats")
+    log = jobs.team_stats_log(f"{root}/stats")
     events = _wire_events(spark, sf_dir)
     replay.replay(
         events,
         replay.time_slices(events, 2),
         f"{root}/messages",
-        lambda: pipeline.start_team_stats(
+        lambda: jobs.start_team_stats(
             _stream(spark, f"{root}/messages"), log, f"{root}/checkpoint", **WIDE
         ),
     )
@@ -539,13 +539,13 @@ LATE_DELAY = "10 days"
 def late_event_policy(spark, sf_dir):
     """All fouls arrive after everything else; expired windows no longer take them."""
     root = scratch_path(spark, "late")
-    log = pipeline.window_log(f"{root}/windows")
+    log = jobs.window_log(f"{root}/windows")
     late = F.col("event_type") == "foul"
     replay.replay(
         _wire_events(spark, sf_dir),
         iter([~late, late]),
         f"{root}/messages",
-        lambda: pipeline.start_window_log(
+        lambda: jobs.start_window_log(
             _stream(spark, f"{root}/messages"),
             log,
             f"{root}/checkpoint",
@@ -563,11 +563,11 @@ def raw_append_stream(spark, sf_dir):
     damaged_messages(spark, sf_dir).select("value").write.text(f"{root}/messages")
     decoded = messages.decode(messages.file_stream(spark, f"{root}/messages"))
     for started in (
-        pipeline.append_events(decoded, f"{root}/events", f"{root}/checkpoint-raw"),
-        pipeline.append_quarantine(decoded, f"{root}/quarantine", f"{root}/checkpoint-bad"),
+        jobs.append_events(decoded, f"{root}/events", f"{root}/checkpoint-raw"),
+        jobs.append_quarantine(decoded, f"{root}/quarantine", f"{root}/checkpoint-bad"),
     ):
         started.awaitTermination()
-    kept = pipeline.read_live_events(spark, f"{root}/events").groupBy("match_id").count()
+    kept = jobs.read_live_events(spark, f"{root}/events").groupBy("match_id").count()
     refused = spark.read.parquet(f"{root}/quarantine").groupBy("reason").count()
     return kept.select(F.col("match_id").alias("target"), F.col("count").alias("n")).unionByName(
         refused.select(F.col("reason").alias("target"), F.col("count").alias("n"))
@@ -579,8 +579,8 @@ def enriched_stream(spark, sf_dir):
     """Live events joined with the dimensions inside the stream."""
     root = scratch_path(spark, "enriched")
     messages.encode(_wire_events(spark, sf_dir)).write.text(f"{root}/messages")
-    log = pipeline.enriched_log(f"{root}/events")
-    pipeline.start_enriched(
+    log = jobs.enriched_log(f"{root}/events")
+    jobs.start_enriched(
         _stream(spark, f"{root}/messages"),
         lambda: _dimensions(spark, sf_dir),
         log,
@@ -589,12 +589,12 @@ def enriched_stream(spark, sf_dir):
     return log.read(spark)
 
 
-def _dashboard(spark: SparkSession, sf_dir: str) -> pipeline.ServingFrames:
+def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
     """Messages through the raw log and the team counts into the dashboard views."""
     root = scratch_path(spark, "dashboard")
     messages.produce(messages.encode(_wire_events(spark, sf_dir)), "files", f"{root}/messages")
     source = messages.file_stream(spark, f"{root}/messages")
-    for started in pipeline.start_pipeline(source, root):
+    for started in jobs.start_all(source, root):
         started.awaitTermination()
     teams, players = _dimensions(spark, sf_dir)
 
@@ -602,21 +602,21 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> pipeline.ServingFrames:
 
     def load_inputs() -> dashboard.Inputs:
         return dashboard.Inputs(
-            live=pipeline.read_live_events(spark, f"{root}/live_events", sessions=sessions),
-            stats=pipeline.team_stats_log(f"{root}/live_team_stats").read(spark),
+            live=jobs.read_live_events(spark, f"{root}/live_events", sessions=sessions),
+            stats=jobs.team_stats_log(f"{root}/live_team_stats").read(spark),
             sessions=sessions,
             teams=teams,
             players=players,
             facts=standins.facts(spark, sf_dir),
         )
 
-    serving = pipeline.ServingFrames(f"{root}/views")
-    pipeline.start_refresh(
+    serving = jobs.ServingFrames(f"{root}/views")
+    jobs.start_refresh(
         _stream(spark, f"{root}/messages"),
         load_inputs,
         serving,
         f"{root}/checkpoints/v1/views",
-        pipeline.Trigger(),
+        jobs.Trigger(),
     ).awaitTermination()
     return serving
 

@@ -312,7 +312,7 @@ def start_refresh(
     )
 
 
-def start_pipeline(
+def start_all(
     source: DataFrame,
     root: str,
     trigger: Trigger = Trigger(),

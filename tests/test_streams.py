@@ -201,6 +201,18 @@ def window_batch(row):
     return row.select(window.alias("window"), "match_id", "team", "total_events")
 
 
+def test_state_partitions_are_set_for_the_query_only(spark, feed, tmp_path):
+    feed.events(1, 2)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    log = jobs.window_log(f"{tmp_path}/windows")
+    events = messages.valid_events(decoded(spark, feed))
+    query = jobs.start_window_log(events, log, f"{tmp_path}/cp", state_partitions=3)
+    query.awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert len(list((tmp_path / "cp/state/0").glob("[0-9]*"))) == 3
+    assert log.read(spark).count() == 6
+
+
 def test_log_compacts_itself(spark, tmp_path):
     log = jobs.team_stats_log(f"{tmp_path}/stats")
     upsert = jobs.upsert_into(log, compact_every=2)

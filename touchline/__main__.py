@@ -54,7 +54,12 @@ def stream(spark: SparkSession, options: argparse.Namespace) -> None:
     source = messages.message_stream(spark, options.source, options.messages)
     trigger = jobs.Trigger(options.every)
     queries = jobs.start_all(
-        source, options.root, trigger, options.version, options.buckets
+        source,
+        options.root,
+        trigger,
+        options.version,
+        options.buckets,
+        options.state_partitions,
     )
     if options.every:
         jobs.await_any(spark)
@@ -92,6 +97,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--every", help="trigger interval; without it, take what is there")
     command.add_argument("--version", default="v1", help="checkpoint version")
     command.add_argument("--buckets", type=int, help="split the raw log by match bucket")
+    command.add_argument("--state-partitions", type=int, help="fixed by the first run")
     command.set_defaults(run=stream)
     return top
 

@@ -510,6 +510,11 @@ def _wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return standins.live_events(spark, sf_dir).select(*schemas.EVENT_SCHEMA.fieldNames())
 
 
+def _cores(spark: SparkSession) -> int:
+    """Cores of the cluster: one state partition each."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _stream(spark: SparkSession, folder: str) -> DataFrame:
     return messages.valid_events(messages.decode(messages.file_stream(spark, folder)))
 
@@ -525,7 +530,11 @@ def team_stats_upsert_stream(spark, sf_dir):
         replay.time_slices(events, 2),
         f"{root}/messages",
         lambda: jobs.start_team_stats(
-            _stream(spark, f"{root}/messages"), log, f"{root}/checkpoint", **WIDE
+            _stream(spark, f"{root}/messages"),
+            log,
+            f"{root}/checkpoint",
+            **WIDE,
+            state_partitions=_cores(spark),
         ),
     )
     return _windows(log.read(spark))
@@ -551,6 +560,7 @@ def late_event_policy(spark, sf_dir):
             f"{root}/checkpoint",
             **WIDE,
             delay=LATE_DELAY,
+            state_partitions=_cores(spark),
         ),
     )
     return _windows(log.read(spark))
@@ -594,7 +604,7 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
     root = scratch_path(spark, "dashboard")
     messages.produce(messages.encode(_wire_events(spark, sf_dir)), "files", f"{root}/messages")
     source = messages.file_stream(spark, f"{root}/messages")
-    for started in jobs.start_all(source, root):
+    for started in jobs.start_all(source, root, state_partitions=_cores(spark)):
         started.awaitTermination()
     teams, players = _dimensions(spark, sf_dir)
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -154,6 +155,24 @@ def windowed_counts(
     return window_counts(events.withWatermark("event_time", delay), width, slide)
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Shuffle partitions a query started inside gets; None keeps the session's.
+
+    A query takes over the setting when it starts, and its checkpoint then fixes
+    it. Adaptive execution does not merge small partitions of a stateful query,
+    so each one costs a task per micro-batch.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if count is not None:
+        spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _write_once(log: KeyedLog, rows: DataFrame, batch_id: int) -> None:
     """Write a batch; on replay of a committed one just run it, for its state."""
     if not log.write_batch(rows, batch_id):
@@ -194,20 +213,22 @@ def start_team_stats(
     delay: str = schemas.WATERMARK_DELAY,
     trigger: Trigger = Trigger(),
     compact_every: int = 100,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Update-mode query that keeps the team counts current.
 
     The checkpoint fixes the number of state partitions; take a new one when
     the window or that number changes.
     """
-    return (
+    writer = (
         windowed_counts(events, width, slide, delay)
         .writeStream.outputMode("update")
         .foreachBatch(upsert_into(log, compact_every))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
-        .start()
     )
+    with _state_partitions(events.sparkSession, state_partitions):
+        return writer.start()
 
 
 def start_window_log(
@@ -218,20 +239,22 @@ def start_window_log(
     slide: str = schemas.WINDOW_SLIDE,
     delay: str = schemas.WATERMARK_DELAY,
     trigger: Trigger = Trigger(),
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Update-mode query that logs every changed window, keyed by window."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _write_once(log, flatten_window(batch), batch_id)
 
-    return (
+    writer = (
         windowed_counts(events, width, slide, delay)
         .writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
-        .start()
     )
+    with _state_partitions(events.sparkSession, state_partitions):
+        return writer.start()
 
 
 def window_log(path: str) -> KeyedLog:
@@ -318,6 +341,7 @@ def start_all(
     trigger: Trigger = Trigger(),
     version: str = "v1",
     buckets: int | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Raw log, quarantine and team counts as concurrent queries on one source.
 
@@ -335,6 +359,7 @@ def start_all(
             team_stats_log(f"{root}/live_team_stats"),
             f"{checkpoint}/stats",
             trigger=trigger,
+            state_partitions=state_partitions,
         ),
     ]
 

@@ -6,14 +6,19 @@ import pytest
 from compare import difference
 
 import __spark_entry__ as contract
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from touchline.plans.catalog import QUERIES
+from touchline.plans.oracle import ORACLE
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(name, spark, sf_dir, duck):
     assert difference(QUERIES[name](spark, sf_dir), duck, ORACLE[name]) == ""

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterable
+from pathlib import Path
 
+import touchline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +19,37 @@ BLANKS = " \t\n\x0b\f\r"
 SALTS = 128
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors import this package, from a zip file in the shared folder."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    data = io.BytesIO()
+    root = Path(touchline.__file__).parent
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    path = scratch_path(spark, "package") + ".zip"
+    write_bytes(spark, path, data.getvalue())
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -70,8 +104,10 @@ def part_starts(df: DataFrame, size: Column) -> DataFrame:
     return totals.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
 
 
-def with_group_min(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
-    """Add the smallest ``value`` of the rows with the same ``keys``.
+def with_group_min(
+    df: DataFrame, keys: list[str], value: str, out: str, count: str | None = None
+) -> DataFrame:
+    """Add the smallest ``value`` of the rows with the same ``keys``, and their ``count``.
 
     The minimum is taken in tasks first; it comes back by (keys, salt), so that a key
     with a third of all rows is dealt out to many tasks.
@@ -79,10 +115,14 @@ def with_group_min(df: DataFrame, keys: list[str], value: str, out: str) -> Data
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)))
     least = (
         salted.groupBy(*keys, "_salt")
-        .agg(F.min(value).alias("_least"))
+        .agg(F.min(value).alias("_least"), F.count(F.lit(1)).alias("_n"))
         .groupBy(*keys)
-        .agg(F.min("_least").alias(out), F.collect_set("_salt").alias("_salts"))
-        .select(*keys, out, F.explode("_salts").alias("_salt"))
+        .agg(
+            F.min("_least").alias(out),
+            F.sum("_n").alias(count or "_n"),
+            F.collect_set("_salt").alias("_salts"),
+        )
+        .select(*keys, out, *([count] if count else []), F.explode("_salts").alias("_salt"))
     )
     return salted.join(least, [*keys, "_salt"]).drop("_salt")
 

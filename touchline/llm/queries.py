@@ -6,10 +6,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bytebpe, chat, linededup, packing, quality, sharding, tokencount
+from touchline.llm import (
+    bytebpe,
+    chat,
+    linededup,
+    minhash,
+    packing,
+    quality,
+    sharding,
+    tokencount,
+    toxicity,
+    vectors,
+)
 from touchline.llm.common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path)
@@ -49,6 +73,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_toxicity,
+        op2_minhash,
+        op3_embeddings,
         op4_packing,
         op5_sharding,
         op6_chat,
@@ -64,7 +91,46 @@ _BODY = "length(replace(replace(replace(coalesce(text, ''), '\\', '\\b'), '#', '
 _HEAD = """length(replace(replace(replace(replace(coalesce(role, ''),
     '\\', '\\b'), '#', '\\h'), '<', '\\l'), ':', '\\c'))"""
 
+#: Smallest node that undirected links (a, b) lead to, for ids in ``nodes``.
+_REACH = """reach(id, other) AS (
+            SELECT id, id FROM nodes
+            UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON r.other = l.a)"""
+
 ORACLE = {
+    "op2_minhash": f"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                    lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+        shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b
+            ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+            HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        nodes AS (SELECT doc_id AS id FROM documents),
+        {_REACH}
+        SELECT s.doc_id, len(s.s) AS n_shingles, min(r.other) AS component_id,
+               min(r.other) = s.doc_id AS kept
+        FROM sets s JOIN reach r ON s.doc_id = r.id GROUP BY s.doc_id, s.s""",
+    "op3_embeddings": f"""
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+        links AS (
+            SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id < q.vec_id
+            WHERE list_cosine_similarity(p.x, q.x) >= 0.95),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        nodes AS (SELECT vec_id AS id FROM v),
+        {_REACH},
+        n AS (SELECT a, count(*) AS n FROM both_ways GROUP BY a)
+        SELECT r.id AS vec_id, coalesce(any_value(n.n), 0) AS n_links,
+               min(r.other) AS component_id, min(r.other) = r.id AS kept
+        FROM reach r LEFT JOIN n ON r.id = n.a GROUP BY r.id""",
     "op6_chat": f"""
         WITH rows AS (
             SELECT conv_id, turn, role, text FROM conversations

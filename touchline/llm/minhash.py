@@ -10,12 +10,13 @@ shingle hashes, in integers: 100 * intersection >= 75 * union.
 
 A pair at similarity 0.75 shares a band with probability 1 - (1 - 0.75^4)^40 > 1 - 3e-7.
 
-No group is expanded into pairs. Documents with the same set stand as one. Of the documents
-in a band, pivots are compared with those that aren't yet in the same component; then the
-pivots leave the band. One round has one pivot for each band, and each round four times as
-many as the one before, until every band is one component. So a group of copies needs one
-comparison for each member, and documents that share bands without being similar are still
-all compared.
+No group is expanded into pairs. Documents with the same set stand as one. First, the
+documents of a band are compared with the smallest of them, which joins a group of copies by
+one comparison for each member. Bands that are one component then are done. In the others,
+documents of different components are compared in tiles: blocks of the band meet in tasks,
+registers first and sets where the estimate asks for it, each pair in the first band that it
+shares. A tile returns only links. Blocks of one component are never compared with each
+other, so a large group and a few others in its band cost one pass over the group.
 
 Edge cases: texts without words, null ones too, have an empty set and link with nothing.
 Rows with the same id are one document and get the same component; if their texts differ,
@@ -28,6 +29,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +43,8 @@ PERCENT = 75
 ROWS, BANDS = 4, 40
 BUCKETS = ROWS * BANDS
 MANTISSA = 10
-GROWTH = 4
+#: A block of a tile holds about so many documents, and so many shingles, at most.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 SET_KEY = ["n_shingles", "set_a", "set_b"]
 
 
@@ -192,67 +195,138 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _in_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(bucket, doc, component) of (bucket, doc)."""
-    if labels is None:
-        return members.withColumn("component", F.col("doc"))
-    known = labels.select(F.col("node").alias("doc"), "component")
-    return members.join(known, "doc", "left").select(
-        "bucket", "doc", F.coalesce("component", "doc").alias("component")
+def _candidates(a: pd.DataFrame, b: pd.DataFrame, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of pairs of two blocks that are to be verified: of different
+    components, sharing no earlier band, and similar by size and by estimate."""
+    mine, theirs = (np.stack(x["bands"].to_numpy()).view(np.int64) for x in (a, b))
+    sizes = [x["size"].to_numpy() for x in (a, b)]
+    labels = [x["component"].to_numpy() for x in (a, b)]
+    rows, columns = [], []
+    for i in range(len(a)):
+        small, large = np.minimum(sizes[0][i], sizes[1]), np.maximum(sizes[0][i], sizes[1])
+        ok = (labels[0][i] != labels[1]) & (100 * small >= PERCENT * large)
+        at = np.flatnonzero(ok)
+        if not len(at):
+            continue
+        shared = mine[i] == theirs[at]
+        at = at[~shared[:, :band].any(axis=1)]
+        if not len(at):
+            continue
+        one = np.broadcast_to(mine[i].view(np.uint16), (len(at), BUCKETS))
+        size = np.full(len(at), sizes[0][i])
+        close = estimate(one, theirs[at].view(np.uint16), size, sizes[1][at]) >= LEAST_ESTIMATE
+        columns.append(at[close])
+        rows.append(np.full(int(close.sum()), i))
+    none = np.empty(0, int)
+    return np.concatenate([none, *rows]), np.concatenate([none, *columns])
+
+
+def tile(frame: pd.DataFrame) -> pd.DataFrame:
+    """The links (a, b) that join components in one tile."""
+    first = frame.iloc[0]
+    one, two, band = int(first["one"]), int(first["two"]), int(first["band"])
+    frame = frame.assign(size=frame["shingles"].map(len) // 8).sort_values("doc")
+    left = frame[frame["block"] == one]
+    right = left if one == two else frame[frame["block"] == two]
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+    rows, columns = _candidates(left, right, band)
+    if one == two:
+        upper = rows < columns
+        rows, columns = rows[upper], columns[upper]
+    sets: dict[tuple[int, int], set] = {}
+    label: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while label.get(c, c) != c:
+            label[c] = label.get(label[c], label[c])
+            c = label[c]
+        return c
+
+    def held(side: int, block: pd.DataFrame, i: int) -> set:
+        key = (0 if one == two else side, i)
+        if key not in sets:
+            sets[key] = set(np.frombuffer(block["shingles"].iat[i], np.int64).tolist())
+        return sets[key]
+
+    links = []
+    for i, j in zip(rows.tolist(), columns.tolist()):
+        c, d = root(left["component"].iat[i]), root(right["component"].iat[j])
+        if c == d:
+            continue
+        x, y = held(0, left, i), held(1, right, j)
+        both = len(x & y)
+        if 100 * both >= PERCENT * (len(x) + len(y) - both):
+            label[max(c, d)] = min(c, d)
+            links.append((left["doc"].iat[i], right["doc"].iat[j]))
+    return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+
+def _tiled(members: DataFrame, labels: DataFrame | None, sets: DataFrame) -> DataFrame:
+    """The links in bands that hold several components."""
+    placed = members.withColumn("component", F.col("doc"))
+    if labels is not None:
+        known = labels.select(F.col("node").alias("doc"), F.col("component").alias("_label"))
+        placed = members.join(known, "doc", "left").withColumn("component", F.coalesce("_label", "doc"))
+    placed = stored(placed.select("bucket", "band", "doc", "size", "component"), "placed")
+    # A band of two was compared in full.
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("_main"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_n")
     )
+    mixed = stored(mixed.where("_main <> _high AND _n > 2").select("bucket", "_main"), "mixed")
+    placed = placed.join(mixed, "bucket").withColumn("_other", F.col("component") != F.col("_main"))
+    placed = stored(placed.drop("_main"), "others")
+
+    def blocks(of):
+        count = F.sum(of.cast("long")) / BLOCK
+        return F.ceil(F.greatest(count, F.sum(F.when(of, F.col("size"))) / BLOCK_SHINGLES))
+
+    sizes = placed.groupBy("bucket").agg(
+        blocks(~F.col("_other")).alias("_first"), blocks(F.col("_other")).alias("_second"),
+        blocks(F.lit(True)).alias("_all"),
+    )
+    large = stored(sizes.where("_all > 1").drop("_all"), "large")
+    placed = placed.join(large, "bucket", "left")
+    split, other = F.col("_first").isNotNull(), F.col("_other")
+    all_blocks = F.col("_first") + F.col("_second")
+    place = F.pmod(F.xxhash64("doc"), F.when(other, F.col("_second")).otherwise(F.col("_first")))
+    block = F.when(split, place + F.when(other, F.col("_first")).otherwise(0)).otherwise(0)
+    meets = F.when(
+        split, F.sequence(F.when(other, F.lit(0)).otherwise(F.col("_first")).cast("long"), all_blocks - 1)
+    ).otherwise(F.array(F.lit(0).cast("long")))
+    dealt = placed.withColumn("block", block.cast("long")).withColumn("_with", F.explode(meets))
+    dealt = dealt.select(
+        "bucket", "band", "doc", "component", "block",
+        F.least("block", "_with").alias("one"), F.greatest("block", "_with").alias("two"),
+    )
+    full = dealt.join(sets.withColumnRenamed("doc_id", "doc"), "doc")
+    return full.groupBy("bucket", "one", "two").applyInPandas(tile, "a long, b long")
 
 
 def links(docs: DataFrame, unique: DataFrame) -> DataFrame | None:
     """(node, component) of the documents of ``unique`` that link with another."""
-    banded = unique.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("_band", "_key"))
-    banded = banded.select(F.xxhash64("_band", "_key").alias("bucket"), "doc")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    banded = unique.select(
+        F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "_key")
+    )
+    banded = banded.select(F.xxhash64("band", "_key").alias("bucket"), "band", "doc", "size")
+    shared = banded.groupBy("bucket").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("_n"))
     # Stored, so that this and the later joins are between plain frames: Spark can split
     # the rows of a bucket that holds a large group.
-    shared = stored(shared.select("bucket"), "shared")
-    members = stored(banded.join(shared, "bucket").select("bucket", "doc"), "buckets")
+    shared = stored(shared.where("_n > 1").select("bucket", "pivot"), "shared")
+    members = stored(banded.join(shared, "bucket"), "buckets")
     if empty(members):
         return None
     wanted = stored(members.select(F.col("doc").alias("doc_id")).distinct(), "members")
     chosen = docs.join(wanted, docs["doc_id"].cast("long") == wanted["doc_id"], "left_semi")
     sets = shingle_sets(chosen).join(unique, ["doc_id", *SET_KEY])
     sets = stored(sets.select("doc_id", "bands", "shingles").dropDuplicates(["doc_id"]), "sets")
-    edges = labels = None
-    pivots = 1
-    while True:
-        placed = stored(_in_components(members, labels), "placed")
-        slot = F.pmod(F.xxhash64("doc", F.lit(pivots)), F.lit(pivots))
-        chosen = placed.groupBy("bucket", slot.alias("_slot")).agg(
-            F.min(F.struct("doc", "component")).alias("_p"),
-            F.min("component").alias("_low"),
-            F.max("component").alias("_high"),
-        )
-        mixed = chosen.groupBy("bucket").agg(
-            F.collect_list("_p").alias("_p"), F.min("_low").alias("_low"), F.max("_high").alias("_high")
-        )
-        mixed = mixed.where("_low <> _high").select("bucket", F.explode("_p").alias("_p"))
-        leading = stored(
-            mixed.select("bucket", F.col("_p.doc").alias("pivot"), F.col("_p.component").alias("_of")),
-            "pivots",
-        )
-        pairs = stored(
-            placed.join(leading, "bucket")
-            .where("component <> _of")
-            .select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
-            .distinct(),
-            "pairs",
-        )
-        if empty(pairs):
-            return labels
-        new = stored(confirmed(pairs, sets), "links")
-        if not empty(new):
-            edges = new if edges is None else stored(edges.unionByName(new), "edges")
-            labels = components(edges)
-        # Only buckets that were mixed stay, without the pivots that were compared.
-        left = placed.join(leading.select("bucket"), "bucket", "left_semi")
-        used = leading.select("bucket", F.col("pivot").alias("doc"))
-        members = stored(left.select("bucket", "doc").join(used, ["bucket", "doc"], "left_anti"), "buckets")
-        pivots *= GROWTH
+    pairs = members.where("doc <> pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b"))
+    edges = stored(confirmed(stored(pairs.distinct(), "pairs"), sets), "links")
+    labels = None if empty(edges) else components(edges)
+    more = stored(_tiled(members.drop("pivot"), labels, sets), "links")
+    if not empty(more):
+        labels = components(edges.unionByName(more))
+    return labels
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

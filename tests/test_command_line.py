@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+
 from touchline.__main__ import main
 from touchline.sources import control
 from touchline.streaming import jobs
@@ -18,8 +20,9 @@ def test_from_csv_to_live_tables(spark, tmp_path, capsys):
     for rows in (2, 4):
         main(["load", "--csv", str(csv), "--warehouse", warehouse], spark)
         assert spark.read.parquet(f"{warehouse}/wyscout_events").count() == rows
-    assert spark.read.parquet(f"{warehouse}/teams").count() == 2
-    assert spark.read.parquet(f"{warehouse}/players").count() == 0
+    stored = jobs.ServingFrames(warehouse)
+    assert stored.read(spark, "teams").count() == 2
+    assert stored.read(spark, "players").count() == 0
     assert "appended 2 events" in capsys.readouterr().out
 
     deploy = ["deploy", "Alpha", "Beta", "--warehouse", warehouse, "--root", root]
@@ -34,5 +37,57 @@ def test_from_csv_to_live_tables(spark, tmp_path, capsys):
     )
     main(["stream", "--source", "files", "--messages", str(source), "--root", root], spark)
     assert jobs.read_live_events(spark, f"{root}/live_events").count() == 1
+    main(["reset", session.match_id, "--root", root], spark)
+    resets = control.read_resets(spark, f"{root}/resets")
+    assert jobs.read_live_events(spark, f"{root}/live_events", resets=resets).count() == 0
     stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
     assert [(r.team, r.total_events) for r in stats.collect()] == [("1", 1)]
+
+
+def test_a_load_without_a_dimension_leaves_it(spark, tmp_path):
+    first, second, warehouse = tmp_path / "first", tmp_path / "second", f"{tmp_path}/wh"
+    for folder in (first, second):
+        folder.mkdir()
+        (folder / "events_x.csv").write_text("matchId,playerId\n5,8\n")
+    (first / "teams.csv").write_text("wyId,officialName\n1,Alpha\n2,Beta\n")
+    (first / "players.csv").write_text("wyId,shortName\n7,P\n8,Q\n")
+    (second / "teams.csv").write_text("wyId,officialName\n2,Better\n3,Gamma\n")
+    for folder in (first, second):
+        main(["load", "--csv", str(folder), "--warehouse", warehouse], spark)
+    stored = jobs.ServingFrames(warehouse)
+    assert stored.read(spark, "players").count() == 2
+    teams = {r.team_id: r.official_name for r in stored.read(spark, "teams").collect()}
+    assert teams == {"1": "Alpha", "2": "Better", "3": "Gamma"}
+
+
+def test_unknown_teams_are_refused(spark, tmp_path):
+    options = spark.createDataFrame([("1", "Alpha")], "team_id string, official_name string")
+    with pytest.raises(ValueError, match="Omega"):
+        control.deploy_match(spark, options, "Alpha", "Omega", f"{tmp_path}/control")
+
+
+def test_a_new_checkpoint_version_keeps_all_events(spark, tmp_path):
+    root, source = f"{tmp_path}/live", tmp_path / "messages"
+    source.mkdir()
+
+    def send(name, *teams):
+        lines = [json.dumps({"match_id": "m", "timestamp": t, "team": team}) for t, team in teams]
+        (source / name).write_text("\n".join(lines))
+
+    command = ["stream", "--source", "files", "--messages", str(source), "--root", root]
+    send("1.json", (1.0, "A"), (2.0, "B"))
+    main([*command, "--version", "v1"], spark)
+    send("2.json", (3.0, "C"), (4.0, "A"))
+    main([*command, "--version", "v2"], spark)
+    assert jobs.read_live_events(spark, f"{root}/live_events").count() == 4
+    stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
+    assert {r.team for r in stats.collect()} == {"A", "B", "C"}
+    # Starting a known version again changes nothing.
+    main([*command, "--version", "v1"], spark)
+    assert jobs.read_live_events(spark, f"{root}/live_events").count() == 4
+    assert jobs.run_number(spark, root, "v2") == 1
+
+
+def test_nothing_stored_reads_as_no_rows(spark, tmp_path):
+    assert jobs.read_live_events(spark, f"{tmp_path}/none").count() == 0
+    assert jobs.ServingFrames(f"{tmp_path}/none").read(spark, "feed").count() == 0

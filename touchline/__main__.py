@@ -5,13 +5,16 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.operators import normalise
 from touchline.operators.sessions import team_options
 from touchline.session import build_session
-from touchline.sources import control, csvfiles, messages, tables
+from touchline.sources import control, csvfiles, files, messages, tables
 from touchline.streaming import jobs
 
+LOAD = "_load"
 DIMENSION_FILES = {
     "players": "players.csv",
     "teams": "teams.csv",
@@ -25,18 +28,27 @@ def set_up(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def load(spark: SparkSession, options: argparse.Namespace) -> None:
-    """Facts are appended; dimensions replace what was there, one row per key."""
+    """Facts are appended. Dimensions are merged by key with what was loaded before, the
+    newest row of a key winning, and published as a new version; one without CSV files
+    stays as it is."""
+    published = jobs.ServingFrames(options.warehouse)
     for name, pattern in DIMENSION_FILES.items():
         table = schemas.WAREHOUSE[name]
+        if not files.glob(spark, f"{options.csv}/{pattern}"):
+            print(f"no {pattern}: {name} left as they are")
+            continue
         rows = csvfiles.load_dimension(spark, f"{options.csv}/{pattern}", table)
-        tables.laid_out(rows, table).write.mode("overwrite").parquet(f"{options.warehouse}/{name}")
+        before = published.read(spark, name, table.schema).withColumn(LOAD, F.lit(0))
+        both = before.unionByName(rows.withColumn(LOAD, F.lit(1)))
+        merged = normalise.dedupe(both, table.key, LOAD).select(*table.columns)
+        published.publish(name, tables.laid_out(merged, table))
     facts = csvfiles.load_facts(spark, f"{options.csv}/events_*.csv")
     report = tables.append(facts, f"{options.warehouse}/{schemas.FACTS.name}", schemas.FACTS)
     print(f"appended {report.rows} events to {report.target}")
 
 
 def deploy(spark: SparkSession, options: argparse.Namespace) -> None:
-    teams = spark.read.schema(schemas.TEAMS.schema).parquet(f"{options.warehouse}/teams")
+    teams = jobs.ServingFrames(options.warehouse).read(spark, "teams", schemas.TEAMS.schema)
     stats = jobs.team_stats_log(f"{options.root}/live_team_stats")
     live_tables = (stats,) if options.truncate else ()
     session = control.deploy_match(
@@ -50,6 +62,10 @@ def deploy(spark: SparkSession, options: argparse.Namespace) -> None:
     print(f"deployed session {session}")
 
 
+def reset(spark: SparkSession, options: argparse.Namespace) -> None:
+    control.reset_session(spark, f"{options.root}/resets", options.session)
+
+
 def stream(spark: SparkSession, options: argparse.Namespace) -> None:
     source = messages.message_stream(spark, options.source, options.messages)
     trigger = jobs.Trigger(options.every)
@@ -90,6 +106,11 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--truncate", action="store_true", help="empty the team counts")
     command.set_defaults(run=deploy)
 
+    command = commands.add_parser("reset", help="hide the live events of a session so far")
+    command.add_argument("session")
+    command.add_argument("--root", required=True)
+    command.set_defaults(run=reset)
+
     command = commands.add_parser("stream", help="run the live streams")
     command.add_argument("--source", choices=("kafka", "files"), default="kafka")
     command.add_argument("--messages", required=True, help="servers, or a folder")

@@ -14,20 +14,21 @@ PLAYER_ORDER = "player_id"
 def current_members(players: DataFrame) -> DataFrame:
     """Tier 1: distinct players by their current team."""
     return (
-        players.filter(F.col("currentTeamId") != "")
+        players.filter((F.col("currentTeamId") != "") & (F.col("player_id") != ""))
         .groupBy(F.col("currentTeamId").alias("team_id"), "player_id")
         .agg(F.min("short_name").alias("short_name"))
     )
 
 
 def seen_in_facts(facts: DataFrame) -> DataFrame:
-    """Tier 2: distinct (team, player) pairs of the historical events."""
-    return facts.select("team_id", "player_id").distinct()
+    """Tier 2: distinct (team, player) pairs of the historical events that name both."""
+    named = (F.col("team_id") != "") & (F.col("player_id") != "")
+    return facts.filter(named).select("team_id", "player_id").distinct()
 
 
 def first_players(players: DataFrame, n: int) -> DataFrame:
     """Tier 3: the first ``n`` players of all, numbered from 1."""
-    pool = players.groupBy("player_id").agg(F.min("short_name").alias("short_name"))
+    pool = players.filter(F.col("player_id") != "").groupBy("player_id").agg(F.min("short_name").alias("short_name"))
     first = pool.orderBy(PLAYER_ORDER).limit(n)
     # n rows at most: numbering them needs one array, not a global window
     rows = first.agg(F.sort_array(F.collect_list(F.struct("player_id", "short_name"))).alias("p"))

@@ -21,7 +21,8 @@ def _runs_in_slices(events: DataFrame, slice_seconds: int, tiebreak: str) -> Dat
     whole = Window.partitionBy("match_id", "slice")
     order = whole.orderBy("timestamp", tiebreak)
     first_events = (
-        events.select("match_id", "timestamp", tiebreak, "team", "event_type")
+        events.filter(F.col("timestamp").isNotNull())
+        .select("match_id", "timestamp", tiebreak, "team", "event_type")
         .withColumn("slice", F.floor(F.col("timestamp") / slice_seconds))
         .withColumns(
             {

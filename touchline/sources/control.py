@@ -38,6 +38,9 @@ def deploy_match(
     The document is one row, so it may pass through the driver.
     """
     document = new_session(options, name_a, name_b).first()
+    for side, name in (("a", name_a), ("b", name_b)):
+        if document[f"team_{side}_id"] is None:
+            raise ValueError(f"unknown team: {name}")
     row = spark.createDataFrame([document], schemas.MATCH_CONFIG_SCHEMA)
     _append_row(spark, row.withColumn(DEPLOYED, F.current_timestamp()), control_path)
     for table in live_tables:

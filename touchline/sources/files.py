@@ -26,6 +26,12 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file, with its folders; an error if it is there."""
+    fs, hadoop_path = _path(spark, path)
+    fs.create(hadoop_path, False).close()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, hadoop_path = _path(spark, path)
     return fs.delete(hadoop_path, True)

@@ -101,18 +101,19 @@ class KeyedLog:
         folded.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
         return upto
 
-    def vacuum(self, spark: SparkSession) -> None:
-        """Remove data older than the newest snapshot; run without readers.
+    def vacuum(self, spark: SparkSession, keep: int = 1) -> None:
+        """Remove what the newest ``keep`` snapshots don't need.
 
-        The newest batch folder stays: its marker makes a replay a no-op.
+        With one, run it without readers; with two, readers that listed the folders
+        before the newest snapshot was there can go on. The newest batch folder stays
+        in any case: its marker makes a replay a no-op.
         """
         snapshots, batches = self.snapshots(spark), self.batches(spark)
-        upto = max(snapshots, default=-1)
-        for n, folder in snapshots.items():
-            if n < upto:
-                files.delete(spark, folder)
-        for n, folder in batches.items():
-            if n < upto:
+        needed = sorted(snapshots)[-keep:]
+        if len(needed) < keep:
+            return
+        for n, folder in [*snapshots.items(), *batches.items()]:
+            if n < needed[0]:
                 files.delete(spark, folder)
 
     def truncate(self, spark: SparkSession) -> None:

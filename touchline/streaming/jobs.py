@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from touchline.operators.enrich import of_sessions, with_names
 from touchline.operators.recent import latest_per_key
 from touchline.operators.windows import KEYS, flatten_window, window_counts
 from touchline.plans import dashboard
-from touchline.sources import files, messages
+from touchline.sources import control, files, messages
 from touchline.sources.keyed_log import KeyedLog
 
 #: Columns that order the writes of one (match, team) key, by window policy.
@@ -89,6 +90,28 @@ def append_rows(
 
 
 BUCKET = "match_bucket"
+RUN = "run"
+#: Batch ids of a run start at its number times this, so those of runs never meet.
+RUN_BATCHES = 1 << 40
+
+
+def run_number(spark: SparkSession, root: str, version: str) -> int:
+    """The number of a checkpoint version, from 0 in the order of their first starts.
+
+    A new checkpoint counts its batches from 0 again. Outputs keep the runs apart by this
+    number, so that the batches of a new version aren't taken for replays.
+    """
+    own = files.glob(spark, f"{root}/checkpoints/{version}/{RUN}=*")
+    if own:
+        return int(own[0].rsplit("=", 1)[1])
+    taken = files.glob(spark, f"{root}/checkpoints/*/{RUN}=*")
+    number = 1 + max((int(mark.rsplit("=", 1)[1]) for mark in taken), default=-1)
+    files.touch(spark, f"{root}/checkpoints/{version}/{RUN}={number}")
+    return number
+
+
+def _batch(run: int, batch_id: int) -> int:
+    return run * RUN_BATCHES + batch_id
 
 
 def match_bucket(match_id: Column, buckets: int) -> Column:
@@ -117,22 +140,30 @@ def read_live_events(
     match_id: str | None = None,
     buckets: int | None = None,
     sessions: DataFrame | None = None,
+    resets: DataFrame | None = None,
 ) -> DataFrame:
     """Keyed view of the raw log: one row per (match, timestamp), the last write.
 
-    A match id prunes the scan to its folder; ``sessions`` keeps only their
-    matches, before any row is shuffled.
+    The log of every run under ``path`` counts; none gives no rows. A match id prunes the
+    scan to its folder; ``sessions`` keeps only their matches, before any row is shuffled;
+    ``resets`` hide what came in before them.
     """
     schema = RAW_SCHEMA
     if buckets is not None:
         schema = StructType([*RAW_SCHEMA.fields, StructField(BUCKET, IntegerType())])
-    raw = spark.read.schema(schema).parquet(path)
+    runs = files.glob(spark, f"{path}/{RUN}=*")
+    if not runs and not files.exists(spark, path):
+        return spark.createDataFrame([], RAW_SCHEMA)
+    logs = [spark.read.schema(schema).parquet(log) for log in runs or [path]]
+    raw = reduce(DataFrame.unionByName, logs)
     if match_id is not None:
         raw = raw.filter(F.col("match_id") == match_id)
         if buckets is not None:
             raw = raw.filter(F.col(BUCKET) == match_bucket(F.lit(match_id), buckets))
     if sessions is not None:
         raw = of_sessions(raw, sessions)
+    if resets is not None:
+        raw = control.after_resets(raw, resets)
     columns = RAW_SCHEMA.fieldNames()
     key, order = schemas.SERVING_KEYS["live_events"], messages.INGEST_COLUMNS
     return latest_per_key(raw.select(*columns), key, order, keep_order=True).select(*columns)
@@ -179,7 +210,7 @@ def _write_once(log: KeyedLog, rows: DataFrame, batch_id: int) -> None:
         rows.write.format("noop").mode("overwrite").save()
 
 
-def upsert_into(log: KeyedLog, compact_every: int = 0) -> Callable[[DataFrame, int], None]:
+def upsert_into(log: KeyedLog, compact_every: int = 0, run: int = 0) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: write the batch's newest row per key.
 
     The batch is persisted because it is used twice, for the emptiness test and
@@ -195,9 +226,10 @@ def upsert_into(log: KeyedLog, compact_every: int = 0) -> Callable[[DataFrame, i
                 rows = latest_per_key(
                     flatten_window(batch), log.key, [*log.order], keep_order=True
                 )
-                _write_once(log, rows, batch_id)
+                _write_once(log, rows, _batch(run, batch_id))
                 if compact_every and log.uncompacted(rows.sparkSession) >= compact_every:
                     log.compact(rows.sparkSession)
+                    log.vacuum(rows.sparkSession, keep=2)
         finally:
             batch.unpersist()
 
@@ -214,16 +246,17 @@ def start_team_stats(
     trigger: Trigger = Trigger(),
     compact_every: int = 100,
     state_partitions: int | None = None,
+    run: int = 0,
 ) -> StreamingQuery:
     """Update-mode query that keeps the team counts current.
 
-    The checkpoint fixes the number of state partitions; take a new one when
-    the window or that number changes.
+    The checkpoint fixes the number of state partitions; take a new one, and a new
+    ``run``, when the window or that number changes.
     """
     writer = (
         windowed_counts(events, width, slide, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(upsert_into(log, compact_every))
+        .foreachBatch(upsert_into(log, compact_every, run))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
     )
@@ -240,11 +273,12 @@ def start_window_log(
     delay: str = schemas.WATERMARK_DELAY,
     trigger: Trigger = Trigger(),
     state_partitions: int | None = None,
+    run: int = 0,
 ) -> StreamingQuery:
     """Update-mode query that logs every changed window, keyed by window."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_once(log, flatten_window(batch), batch_id)
+        _write_once(log, flatten_window(batch), _batch(run, batch_id))
 
     writer = (
         windowed_counts(events, width, slide, delay)
@@ -272,12 +306,13 @@ def start_enriched(
     log: KeyedLog,
     checkpoint: str,
     trigger: Trigger = Trigger(),
+    run: int = 0,
 ) -> StreamingQuery:
     """Live events with names; the dimensions are read anew for every batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         teams, players = load_dimensions()
-        log.write_batch(with_names(batch, teams, players), batch_id)
+        log.write_batch(with_names(batch, teams, players), _batch(run, batch_id))
 
     return (
         events.writeStream.outputMode("append")
@@ -290,18 +325,36 @@ def start_enriched(
 
 @dataclass(frozen=True)
 class ServingFrames:
-    """Materialised views, one folder per version; readers take the newest whole one."""
+    """Materialised views, one folder per version; readers take the newest whole one.
+
+    The version before it stays for readers that have begun with it; older ones go.
+    """
 
     path: str
 
+    def _versions(self, spark: SparkSession, name: str) -> dict[int, str]:
+        markers = files.glob(spark, f"{self.path}/{name}/version=*/_SUCCESS")
+        folders = [marker.rsplit("/", 1)[0] for marker in markers]
+        return {int(folder.rsplit("=", 1)[1]): folder for folder in folders}
+
     def write(self, name: str, frame: DataFrame, version: int) -> None:
         frame.write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
+        stored = self._versions(frame.sparkSession, name)
+        for old in sorted(stored)[:-2]:
+            files.delete(frame.sparkSession, stored[old])
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
-        markers = files.glob(spark, f"{self.path}/{name}/version=*/_SUCCESS")
-        folders = [marker.rsplit("/", 1)[0] for marker in markers]
-        newest = max(folders, key=lambda folder: int(folder.rsplit("=", 1)[1]))
-        return spark.read.parquet(newest)
+    def publish(self, name: str, frame: DataFrame) -> None:
+        """Write the next version; ``frame`` may come from the one before."""
+        stored = self._versions(frame.sparkSession, name)
+        self.write(name, frame, 1 + max(stored, default=-1))
+
+    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
+        """The newest version; no rows when nothing was written yet."""
+        stored = self._versions(spark, name)
+        if not stored:
+            return spark.createDataFrame([], schema or StructType([]))
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(stored[max(stored)])
 
 
 def start_refresh(
@@ -310,6 +363,7 @@ def start_refresh(
     serving: ServingFrames,
     checkpoint: str,
     trigger: Trigger = Trigger("1.5 seconds"),
+    run: int = 0,
 ) -> StreamingQuery:
     """Rebuild the dashboard views whenever new events came in.
 
@@ -323,7 +377,7 @@ def start_refresh(
         frame = dashboard.live_frame(inputs).persist()
         try:
             for name, view in dashboard.views(inputs, frame).items():
-                serving.write(name, view, batch_id)
+                serving.write(name, view, _batch(run, batch_id))
         finally:
             frame.unpersist()
 
@@ -346,20 +400,24 @@ def start_all(
     """Raw log, quarantine and team counts as concurrent queries on one source.
 
     Each query reads the source for itself and has its own checkpoint; a new
-    ``version`` starts afresh. Wait with :func:`await_any`.
+    ``version`` starts afresh, beside the outputs of the earlier ones. Wait with
+    :func:`await_any`.
     """
     decoded = messages.decode(source)
     events = messages.valid_events(decoded)
     checkpoint = f"{root}/checkpoints/{version}"
+    run = run_number(source.sparkSession, root, version)
+    raw, bad = f"{root}/live_events/{RUN}={run}", f"{root}/quarantine/{RUN}={run}"
     return [
-        append_events(decoded, f"{root}/live_events", f"{checkpoint}/raw", trigger, buckets),
-        append_quarantine(decoded, f"{root}/quarantine", f"{checkpoint}/quarantine", trigger),
+        append_events(decoded, raw, f"{checkpoint}/raw", trigger, buckets),
+        append_quarantine(decoded, bad, f"{checkpoint}/quarantine", trigger),
         start_team_stats(
             events,
             team_stats_log(f"{root}/live_team_stats"),
             f"{checkpoint}/stats",
             trigger=trigger,
             state_partitions=state_partitions,
+            run=run,
         ),
     ]
 

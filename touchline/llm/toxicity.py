@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.common import stored
+from touchline.llm.minhash import shingles
 from touchline.llm.pretokens import BREAK, PieceTable
-from touchline.llm.textscan import code_points, parts, span_hashes
+from touchline.llm.textscan import code_points, parts, text_words
 
 #: Labelled rows that are learned from, at most.
 TOXIC, CLEAN = 10_000, 20_000
@@ -255,14 +256,6 @@ def _distinct_words(text: str) -> set[str]:
     return {w for w in _WORD.findall(text.lower()) if 3 <= len(w) <= LONGEST}
 
 
-def _origin(words: set[str]) -> int:
-    """The least hash of the words; near copies mostly share it."""
-    joined = sorted(words)
-    points = code_points("".join(joined))
-    lengths = np.array([len(w) for w in joined], np.int64)
-    return int(span_hashes(points, np.cumsum(lengths) - lengths, lengths).min().view(np.int64))
-
-
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, toxic) to learn from: a bounded sample, one of each group of copies."""
     usable = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -277,8 +270,10 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            words = [_distinct_words(t or "") for t in batch.column("text").to_pylist()]
-            origins = pa.array([_origin(w) if w else None for w in words], pa.int64())
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            # The least shingle of a text: near copies mostly share it.
+            least = [shingles(h)[:1].view(np.int64) for _, h, _ in text_words(texts, lower=True)]
+            origins = pa.array([int(x[0]) if len(x) else None for x in least], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("toxic"), origins], ["doc_id", "toxic", "origin"]
             )
@@ -461,8 +456,9 @@ def fit(features: np.ndarray, toxic: np.ndarray, ridge: float = 0.01) -> tuple[f
         w -= step
         if np.abs(step).max() < 1e-8:
             break
-    # A hit never speaks against toxicity, nor does its misspelling or quotation.
-    return float(w[0]), *(float(max(v, 0.0)) for v in w[1:])
+    # A hit never speaks against toxicity, nor does its misspelling or quotation; and a text
+    # without any stays below 0.5, however many of the labels are toxic.
+    return min(float(w[0]), -0.5), *(float(max(v, 0.0)) for v in w[1:])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:

@@ -19,11 +19,20 @@ BLANKS = " \t\n\x0b\f\r"
 SALTS = 128
 
 
+#: Bytes of an Arrow batch: a Python worker's memory follows them, not the length of texts.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let the executors import this package, from a zip file in the shared folder."""
+    """Let the executors import this package, from a zip file in the shared folder.
+
+    Where the session doesn't say how many bytes an Arrow batch holds, it is ``BATCH_BYTES``.
+    """
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -13,7 +13,7 @@ from functools import cache
 
 import numpy as np
 
-LIMIT = 1 << 20
+LIMIT = 1 << 19
 #: No token or word holds a character and white space after it, so texts can be cut here.
 _CUT = re.compile(r"(?<=\S)[\x20\x09-\x0D]")
 _SEED = 0x5EED

@@ -171,3 +171,17 @@ def test_labels(spark):
     assert sorted((r.event_text, r.subevent_text) for r in found.collect()) == [
         ("1/99", "1/99"), ("8", "8"), ("Duel", "Air duel")
     ]
+
+
+def test_names_keep_their_line_breaks(spark, tmp_path):
+    (tmp_path / "players.csv").write_text('wyId,shortName\n1,"A\nB"\n2,C\n')
+    players = csvfiles.load_dimension(spark, f"{tmp_path}/players.csv", schemas.PLAYERS)
+    found = {r.player_id: r.short_name for r in players.collect()}
+    assert found == {"1": "A\nB", "2": "C"}
+
+
+def test_many_headers(spark, tmp_path):
+    for n in range(70):
+        (tmp_path / f"events_{n}.csv").write_text(f"matchId,playerId{',x_start' * (n % 2)}\n{n},1\n")
+    facts = csvfiles.load_facts(spark, f"{tmp_path}/events_*.csv")
+    assert facts.count() == 70

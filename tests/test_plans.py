@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as contract
+from touchline.plans.catalog import QUERIES
 
 #: These read what a stream or a file load wrote; the work is not in their plan.
 WRITTEN = {
@@ -49,7 +50,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITTEN))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITTEN))
 def test_no_pairwise_join_and_no_single_task(name, spark, sf_dir, no_broadcast):
     plan = plan_of(contract.queries()[name](spark, sf_dir))
     assert "CartesianProduct" not in plan

@@ -21,7 +21,7 @@ def crowded(events):
     return data, events(data).drop("event_time").repartition(16)
 
 
-@pytest.mark.parametrize("fan_in", [1, 3, 1024, 0, None])
+@pytest.mark.parametrize("fan_in", [1, 3, 1024, 0])
 @pytest.mark.parametrize("k", [1, 100, 1000])
 def test_top_k_is_exact_for_any_grouping(crowded, rows, fan_in, k):
     data, frame = crowded
@@ -35,18 +35,26 @@ def test_top_k_is_exact_for_any_grouping(crowded, rows, fan_in, k):
 
 def test_top_k_cuts_before_each_shuffle(crowded):
     _, frame = crowded
-    for fan_in, steps in ((None, 2), (0, 1), (8, 2)):
+    for fan_in, steps in ((recent.MERGE_FAN_IN, 2), (0, 1), (8, 2)):
         found = recent.recent_events(frame, 100, fan_in)
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert plan.count("WindowGroupLimit") == 2 * steps
         assert plan.count("Exchange hashpartitioning") == steps
 
 
-def test_small_files_merge_in_one_step(spark, crowded, tmp_path):
+def test_small_files_have_the_plan_of_large_ones(spark, crowded, tmp_path):
     crowded[1].write.parquet(f"{tmp_path}/events")
     found = recent.recent_events(spark.read.parquet(f"{tmp_path}/events"), 100)
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_ties_of_top_k_do_not_depend_on_the_grouping(spark, rows):
+    data = [("m", 1, f"{n:02}") for n in range(40)]
+    frame = spark.createDataFrame(data, "k string, t int, v string").repartition(9)
+    for fan_in in (0, 1, 2, recent.MERGE_FAN_IN):
+        found = recent.top_k(frame, ["k"], [F.col("t")], 3, fan_in=fan_in)
+        assert rows(found, "v") == [("00",), ("01",), ("02",)]
 
 
 def test_k_above_the_group_limit_threshold(spark, crowded, rows):

@@ -70,6 +70,9 @@ def test_messages_are_routed_by_their_key(spark, rows):
     ]
     assert "player_name" not in kept[0].asDict()
     refused = Counter(r.reason for r in messages.quarantined(parsed).collect())
+    late = spark.createDataFrame([('{"match_id":"m","timestamp":1.7e12}',)], "value string")
+    reasons = messages.quarantined(messages.decode(late)).collect()
+    assert [r.reason for r in reasons] == ["timestamp out of range"]
     assert refused == {"unreadable": 1, "empty": 2, "no timestamp": 2, "no match_id": 1}
 
 
@@ -255,6 +258,71 @@ def test_enrichment_sees_reloaded_dimensions(spark, feed, tmp_path):
     assert [(r.team_name, r.player_name) for r in found] == [("Old", "One"), ("New", "One")]
 
 
+def test_the_last_line_of_a_key_wins_everywhere(spark, feed, tmp_path):
+    for team in "ZA":
+        feed.push(*[
+            json.dumps({"match_id": "m", "timestamp": 1.0, "team": t, "player_id": "1"})
+            for t in ("M", team, "B" if team == "A" else "C")
+        ])
+
+    def source():
+        return messages.decode(messages.file_stream(spark, str(feed.folder), ordered=True))
+
+    teams = spark.createDataFrame([], "team_id string, official_name string")
+    players = spark.createDataFrame([], "player_id string, short_name string")
+    log = jobs.enriched_log(f"{tmp_path}/enriched")
+    jobs.start_enriched(
+        messages.valid_events(source()), lambda: (teams, players), log, f"{tmp_path}/cp"
+    ).awaitTermination()
+    jobs.append_events(source(), f"{tmp_path}/raw", f"{tmp_path}/cp-raw").awaitTermination()
+    assert [r.team for r in log.read(spark).collect()] == ["B"]
+    assert [r.team for r in jobs.read_live_events(spark, f"{tmp_path}/raw").collect()] == ["B"]
+
+
+def test_enriched_log_stays_short(spark, feed, tmp_path):
+    for second in range(12):
+        feed.events(second)
+    source = messages.valid_events(decoded(spark, feed, files_per_batch=1))
+    teams = spark.createDataFrame([], "team_id string, official_name string")
+    players = spark.createDataFrame([], "player_id string, short_name string")
+    log = jobs.enriched_log(f"{tmp_path}/enriched")
+    jobs.start_enriched(
+        source, lambda: (teams, players), log, f"{tmp_path}/cp", compact_every=2
+    ).awaitTermination()
+    assert log.read(spark).count() == 12
+    assert len(log.batches(spark)) <= 4 and len(log.snapshots(spark)) <= 2
+
+
+def test_a_bucket_writes_few_files(spark, feed, tmp_path):
+    for match in "abcdef":
+        feed.events(*range(20), match=match)
+    jobs.append_events(
+        decoded(spark, feed), f"{tmp_path}/raw", f"{tmp_path}/cp", buckets=2
+    ).awaitTermination()
+    assert len(list((tmp_path / "raw").glob("*/*.parquet"))) <= 2 * jobs.BUCKET_SPREAD
+    assert jobs.read_live_events(spark, f"{tmp_path}/raw").count() == 120
+    shown = spark.createDataFrame([("a",), ("e",)], "match_id string")
+    live = jobs.read_live_events(spark, f"{tmp_path}/raw", buckets=2, sessions=shown)
+    assert {(r.match_id, r["count"]) for r in live.groupBy("match_id").count().collect()} == {
+        ("a", 20), ("e", 20)
+    }
+
+
+def test_a_refresh_with_a_stored_average_reads_no_facts(spark, events, tmp_path):
+    from touchline.plans import dashboard
+
+    live = events([("m", 1, "1"), ("m", 2, "2")])
+    columns = "match_id string, team_a_id string, team_a_name string, team_b_id string, team_b_name string"
+    sessions = spark.createDataFrame([("m", "1", "A", "2", "B")], columns)
+    teams = spark.createDataFrame([("1", "A")], "team_id string, official_name string")
+    players = spark.createDataFrame([("p", "P")], "player_id string, short_name string")
+    stats = spark.createDataFrame([("m", "1", 1)], "match_id string, team string, total_events long")
+    average = spark.createDataFrame([(7.5, 7)], "average_exact double, historical_avg int")
+    inputs = dashboard.Inputs(live, stats, sessions, teams, players, None, average)
+    card = dashboard.views(inputs, dashboard.live_frame(inputs))["baseline"].first()
+    assert (card.historical_avg, card.live_events, card.delta) == (7, 2, 5)
+
+
 def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
     """Deploying another match switches the views at the next batch."""
     from touchline.operators.sessions import team_options

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.operators import normalise
+from touchline.operators import baseline, normalise
 from touchline.operators.sessions import team_options
 from touchline.session import build_session
 from touchline.sources import control, csvfiles, files, messages, tables
@@ -30,7 +30,7 @@ def set_up(spark: SparkSession, options: argparse.Namespace) -> None:
 def load(spark: SparkSession, options: argparse.Namespace) -> None:
     """Facts are appended. Dimensions are merged by key with what was loaded before, the
     newest row of a key winning, and published as a new version; one without CSV files
-    stays as it is."""
+    stays as it is. The historical mean is stored, so that live views needn't read facts."""
     published = jobs.ServingFrames(options.warehouse)
     for name, pattern in DIMENSION_FILES.items():
         table = schemas.WAREHOUSE[name]
@@ -43,7 +43,10 @@ def load(spark: SparkSession, options: argparse.Namespace) -> None:
         merged = normalise.dedupe(both, table.key, LOAD).select(*table.columns)
         published.publish(name, tables.laid_out(merged, table))
     facts = csvfiles.load_facts(spark, f"{options.csv}/events_*.csv")
-    report = tables.append(facts, f"{options.warehouse}/{schemas.FACTS.name}", schemas.FACTS)
+    target = f"{options.warehouse}/{schemas.FACTS.name}"
+    report = tables.append(facts, target, schemas.FACTS, layout="ranged")
+    stored = spark.read.schema(schemas.FACTS.schema).parquet(target)
+    published.publish("average", baseline.historical_average(stored))
     print(f"appended {report.rows} events to {report.target}")
 
 
@@ -117,7 +120,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--root", required=True)
     command.add_argument("--every", help="trigger interval; without it, take what is there")
     command.add_argument("--version", default="v1", help="checkpoint version")
-    command.add_argument("--buckets", type=int, help="split the raw log by match bucket")
+    command.add_argument("--buckets", type=int, default=jobs.RAW_BUCKETS, help="match buckets of the raw log")
     command.add_argument("--state-partitions", type=int, help="fixed by the first run")
     command.set_defaults(run=stream)
     return top

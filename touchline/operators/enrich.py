@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline import schemas
-from touchline.operators.recent import recent_events
+from touchline.operators.recent import MERGE_FAN_IN, recent_events
 
 
 def with_team_name(events: DataFrame, teams: DataFrame) -> DataFrame:
@@ -60,7 +60,7 @@ def live_frame(
     events: DataFrame,
     sessions: DataFrame,
     limit: int = schemas.RECENT_LIMIT,
-    fan_in: int | None = None,
+    fan_in: int = MERGE_FAN_IN,
 ) -> DataFrame:
     """The newest events of every session that belong to its two teams.
 

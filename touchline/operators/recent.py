@@ -12,9 +12,6 @@ from touchline import schemas
 #: Input partitions whose survivors one task merges in the first step of top-k.
 MERGE_FAN_IN = 1024
 
-#: Inputs up to this size have few partitions: top-k merges them in one step.
-ONE_STEP_BYTES = 8 << 30
-
 
 def top_k(
     df: DataFrame,
@@ -22,23 +19,23 @@ def top_k(
     order: Sequence[Column],
     k: int,
     rank: str = "rank",
-    fan_in: int | None = None,
+    fan_in: int = MERGE_FAN_IN,
 ) -> DataFrame:
     """The first ``k`` rows of every key by ``order``, numbered in ``rank``.
 
     Each input partition first cuts its rows to ``k`` per key (Spark's window
-    group limit), and the survivors meet in one task per key. A large input has
-    many partitions, and a key found in all of them would still overload that
-    task. So there the survivors merge in two steps: first within groups of
-    ``fan_in`` neighbouring input partitions, each at most ``k * fan_in`` rows,
-    then the ``k`` of every group. The result does not depend on the grouping.
-
-    By default the input's estimated size decides; ``fan_in=0`` forces one step.
-    Spark plans no group limit for a ``k`` above its threshold; then every group
-    is one input partition.
+    group limit). A large input has many partitions, and a key found in all of
+    them would still overload one task. So the survivors merge in two steps, at
+    every size: first within groups of ``fan_in`` neighbouring input partitions,
+    each at most ``k * fan_in`` rows, then the ``k`` of every group. Rows equal in
+    ``order`` compare by their other columns, so the result does not depend on the
+    grouping.
+
+    ``fan_in=0`` leaves out the first step, for inputs with few partitions. Spark
+    plans no group limit for a ``k`` above its threshold; then every group is one
+    input partition.
     """
-    if fan_in is None:
-        fan_in = 0 if _estimated_bytes(df) <= ONE_STEP_BYTES else MERGE_FAN_IN
+    order = [*order, *[F.col(c) for c in df.columns if c not in keys]]
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if k > threshold:
         fan_in = min(fan_in, 1)
@@ -56,11 +53,6 @@ def top_k(
     return ranked.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= k)
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size of the input: file sizes, or huge when unknown."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], keep_order: bool = False
 ) -> DataFrame:
@@ -79,7 +71,7 @@ def latest_per_key(
 def recent_events(
     events: DataFrame,
     k: int = schemas.RECENT_LIMIT,
-    fan_in: int | None = None,
+    fan_in: int = MERGE_FAN_IN,
 ) -> DataFrame:
     """The ``k`` newest events of every match; ``recency`` 1 is the newest."""
     order = [F.col("timestamp").desc(), F.col("player_id"), F.col("event_type")]

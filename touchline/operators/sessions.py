@@ -11,9 +11,11 @@ from touchline import schemas
 def team_options(teams: DataFrame, load_order: str | None = None) -> DataFrame:
     """Selectable names with their team id, by name in code-point order.
 
-    Of teams sharing a name the one loaded last is kept.
+    Of teams sharing a name the one loaded last is kept; without a load order, the one
+    with the greatest id, digits by their value.
     """
-    order = F.col(load_order) if load_order else F.col("team_id")
+    by_id = F.struct(F.length("team_id"), "team_id")
+    order = F.col(load_order) if load_order else by_id
     return (
         teams.groupBy("official_name")
         .agg(F.max_by("team_id", order).alias("team_id"))

@@ -425,11 +425,11 @@ def csv_match_load(spark, sf_dir):
 
 @query
 def csv_player_load(spark, sf_dir):
-    """Players loaded from two files with the same ids; the later file wins."""
+    """Players loaded from two files with the same ids and line breaks; the later wins."""
     root = scratch_path(spark, "player-csv")
     rows = standins.player_csv(spark, sf_dir)
     _write_csv(rows, f"{root}/1-old")
-    _write_csv(rows.withColumn("foot", F.lit("left, or right")), f"{root}/2-new")
+    _write_csv(rows.withColumn("foot", F.lit("left,\nor right")), f"{root}/2-new")
     return csvfiles.load_dimension(spark, f"{root}/*/*.csv", schemas.PLAYERS)
 
 
@@ -596,7 +596,7 @@ def enriched_stream(spark, sf_dir):
         log,
         f"{root}/checkpoint",
     ).awaitTermination()
-    return log.read(spark)
+    return log.read(spark).drop(*messages.INGEST_COLUMNS)
 
 
 def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
@@ -609,15 +609,21 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
     teams, players = _dimensions(spark, sf_dir)
 
     sessions = standins.sessions(spark, sf_dir)
+    history = jobs.ServingFrames(f"{root}/history")
+    history.publish("average", baseline.historical_average(standins.facts(spark, sf_dir)))
+    average = history.read(spark, "average")
 
     def load_inputs() -> dashboard.Inputs:
         return dashboard.Inputs(
-            live=jobs.read_live_events(spark, f"{root}/live_events", sessions=sessions),
+            live=jobs.read_live_events(
+                spark, f"{root}/live_events", buckets=jobs.RAW_BUCKETS, sessions=sessions
+            ),
             stats=jobs.team_stats_log(f"{root}/live_team_stats").read(spark),
             sessions=sessions,
             teams=teams,
             players=players,
             facts=standins.facts(spark, sf_dir),
+            average=average,
         )
 
     serving = jobs.ServingFrames(f"{root}/views")

@@ -11,7 +11,11 @@ from touchline.operators import baseline, enrich, pitch, possession
 
 @dataclass(frozen=True)
 class Inputs:
-    """Tables the dashboard reads; ``live`` may be cut to the sessions on show."""
+    """Tables the dashboard reads; ``live`` may be cut to the sessions on show.
+
+    ``average`` is the stored row of ``baseline.historical_average``; without it every
+    refresh scans the facts.
+    """
 
     live: DataFrame
     stats: DataFrame
@@ -19,6 +23,7 @@ class Inputs:
     teams: DataFrame
     players: DataFrame
     facts: DataFrame
+    average: DataFrame | None = None
 
 
 def live_frame(inputs: Inputs) -> DataFrame:
@@ -42,5 +47,5 @@ def views(inputs: Inputs, frame: DataFrame) -> dict[str, DataFrame]:
         "actions": actions,
         "action_matrix": pitch.action_matrix(actions),
         "feed": pitch.feed(frame, inputs.teams, inputs.players),
-        "baseline": baseline.live_vs_baseline(inputs.facts, live),
+        "baseline": baseline.live_vs_baseline(inputs.facts, live, average=inputs.average),
     }

@@ -380,7 +380,7 @@ ORACLE: dict[str, str] = {
                 (SELECT count(*) FROM fa) AS appended
          FROM fa GROUP BY 1, 2""",
     "normalize_players": _PLAYERS.format(foot="''"),
-    "csv_player_load": _PLAYERS.format(foot="'left, or right'"),
+    "csv_player_load": _PLAYERS.format(foot="'left,' || chr(10) || 'or right'"),
     "normalize_teams": """
          SELECT CAST(n_nationkey AS VARCHAR) AS team_id, n_name AS name,
                 n_name || ' FC' AS official_name, 'a city, quoted' AS city, 'club' AS type

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from touchline.sources import files
 
 SOURCE_FILE = "source_file"
 
+#: Headers read at the same time; on an object store each one is a round trip.
+HEADER_THREADS = 32
+
 
 def empty_table(spark: SparkSession, table: WarehouseTable) -> DataFrame:
     return spark.createDataFrame([], table.schema)
@@ -53,8 +57,11 @@ def load_csv(
     or their order; each group is one scan.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path in files.glob(spark, pattern):
-        groups.setdefault(tuple(files.csv_header(spark, path)), []).append(path)
+    paths = files.glob(spark, pattern)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = pool.map(lambda path: files.csv_header(spark, path), paths)
+    for path, header in zip(paths, headers):
+        groups.setdefault(tuple(header), []).append(path)
     groups.pop((), None)
     parts = []
     for header, paths in groups.items():
@@ -69,7 +76,10 @@ def load_csv(
 
 
 def load_facts(spark: SparkSession, pattern: str, multi_line: bool = False) -> DataFrame:
-    """Historical events of all fact files."""
+    """Historical events of all fact files.
+
+    They hold ids, numbers and event names, so by default a file is split over tasks.
+    """
     return load_csv(spark, pattern, FACTS, multi_line)
 
 
@@ -77,12 +87,13 @@ def load_dimension(
     spark: SparkSession,
     pattern: str,
     table: WarehouseTable,
-    multi_line: bool = False,
+    multi_line: bool = True,
     unique: bool = True,
 ) -> DataFrame:
     """A dimension with one row per key, the one of the last file by path.
 
-    ``unique=False`` keeps every row, as appending loads would.
+    Names are free text, so quoted line breaks are read as such; a file is then one
+    task's work. ``unique=False`` keeps every row, as appending loads would.
     """
     if not unique:
         return load_csv(spark, pattern, table, multi_line)

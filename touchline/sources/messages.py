@@ -40,18 +40,30 @@ def kafka_stream(
 
 
 def file_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Messages from text files in a folder, one JSON document per line."""
-    reader = spark.readStream.format("text")
+    """Messages from text files in a folder, one JSON document per line.
+
+    The offset is the start of a line's block, so lines of one block tie; which of them
+    wins a key is then decided by their content. ``ordered=True`` makes the line number
+    the offset: the last line wins. Each file is then read as one value, so it suits
+    small files, as message files are.
+    """
+    reader = spark.readStream.format("text").option("wholetext", ordered)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).select(
-        "value",
-        F.col("_metadata.file_modification_time").alias("ingest_time"),
-        F.lit(0).cast("long").alias("ingest_partition"),
-        F.col("_metadata.file_block_start").cast("long").alias("ingest_offset"),
-    )
+    time = F.col("_metadata.file_modification_time").alias("ingest_time")
+    partition = F.lit(0).cast("long").alias("ingest_partition")
+    if ordered:
+        lines = F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")
+        numbered = reader.load(path).select(F.posexplode(lines).alias("line", "value"), time)
+        offset = F.col("line").cast("long").alias("ingest_offset")
+        return numbered.select("value", "ingest_time", partition, offset)
+    offset = F.col("_metadata.file_block_start").cast("long").alias("ingest_offset")
+    return reader.load(path).select("value", time, partition, offset)
 
 
 def message_stream(spark: SparkSession, kind: str, location: str, **options) -> DataFrame:
@@ -102,6 +114,7 @@ def quarantined(decoded: DataFrame) -> DataFrame:
         F.when(F.col("value").isNull() | (F.trim("value") == ""), "empty")
         .when(F.col("match_id").isNull() & F.col("timestamp").isNull(), "unreadable")
         .when(F.col("match_id").isNull() | (F.col("match_id") == ""), "no match_id")
+        .when(F.col("timestamp").isNotNull() & ~F.isnan("timestamp"), "timestamp out of range")
         .otherwise("no timestamp")
     )
     return (

@@ -33,25 +33,25 @@ POLICY_ORDER = {
     "max": ("total_events", "window_end"),
 }
 
+#: Types of ``messages.INGEST_COLUMNS``.
+INGEST_FIELDS = (
+    StructField("ingest_time", TimestampType()),
+    StructField("ingest_partition", LongType()),
+    StructField("ingest_offset", LongType()),
+)
+
 ENRICHED_SCHEMA = StructType(
     [
         *schemas.EVENT_SCHEMA.fields,
         StructField("team_name", StringType()),
         StructField("player_name", StringType()),
+        *INGEST_FIELDS,
     ]
 )
 
-
 #: Raw event log: the event and where its message came from. Declared, because a
 #: match id read from a folder name would otherwise turn into a number or a date.
-RAW_SCHEMA = StructType(
-    [
-        *schemas.EVENT_SCHEMA.fields,
-        StructField("ingest_time", TimestampType()),
-        StructField("ingest_partition", LongType()),
-        StructField("ingest_offset", LongType()),
-    ]
-)
+RAW_SCHEMA = StructType([*schemas.EVENT_SCHEMA.fields, *INGEST_FIELDS])
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,10 @@ def append_rows(
 
 
 BUCKET = "match_bucket"
+#: Match buckets of the raw log of :func:`start_all`.
+RAW_BUCKETS = 64
+#: Tasks, and so files, a bucket is spread over in a micro-batch; one match may fill it.
+BUCKET_SPREAD = 4
 RUN = "run"
 #: Batch ids of a run start at its number times this, so those of runs never meet.
 RUN_BATCHES = 1 << 40
@@ -126,12 +130,18 @@ def append_events(
     trigger: Trigger = Trigger(),
     buckets: int | None = None,
 ) -> StreamingQuery:
-    """Raw event log, split by match or, given ``buckets``, by match bucket."""
+    """Raw event log, split by match or, given ``buckets``, by match bucket.
+
+    With buckets a micro-batch writes ``BUCKET_SPREAD`` files a bucket at most, however
+    many matches and tasks it has.
+    """
     events = messages.valid_events(decoded).drop("event_time")
     if buckets is None:
         return append_rows(events, path, checkpoint, trigger, ("match_id",))
     bucketed = events.withColumn(BUCKET, match_bucket(F.col("match_id"), buckets))
-    return append_rows(bucketed, path, checkpoint, trigger, (BUCKET,))
+    share = F.pmod(F.xxhash64("timestamp", "player_id"), F.lit(BUCKET_SPREAD))
+    gathered = bucketed.repartition(BUCKET, share)
+    return append_rows(gathered, path, checkpoint, trigger, (BUCKET,))
 
 
 def read_live_events(
@@ -145,8 +155,8 @@ def read_live_events(
     """Keyed view of the raw log: one row per (match, timestamp), the last write.
 
     The log of every run under ``path`` counts; none gives no rows. A match id prunes the
-    scan to its folder; ``sessions`` keeps only their matches, before any row is shuffled;
-    ``resets`` hide what came in before them.
+    scan to its folder; ``sessions`` keeps only their matches, before any row is shuffled,
+    and with ``buckets`` as written scans only their buckets; ``resets`` hide what came in before them.
     """
     schema = RAW_SCHEMA
     if buckets is not None:
@@ -160,7 +170,10 @@ def read_live_events(
         raw = raw.filter(F.col("match_id") == match_id)
         if buckets is not None:
             raw = raw.filter(F.col(BUCKET) == match_bucket(F.lit(match_id), buckets))
-    if sessions is not None:
+    if sessions is not None and buckets is not None:
+        shown = sessions.select("match_id", match_bucket(F.col("match_id"), buckets).alias(BUCKET))
+        raw = raw.join(shown, ["match_id", BUCKET], "left_semi")
+    elif sessions is not None:
         raw = of_sessions(raw, sessions)
     if resets is not None:
         raw = control.after_resets(raw, resets)
@@ -210,6 +223,13 @@ def _write_once(log: KeyedLog, rows: DataFrame, batch_id: int) -> None:
         rows.write.format("noop").mode("overwrite").save()
 
 
+def _fold(log: KeyedLog, spark: SparkSession, every: int) -> None:
+    """Fold the log after ``every`` batches (0: never), so that its folders stay few."""
+    if every and log.uncompacted(spark) >= every:
+        log.compact(spark)
+        log.vacuum(spark, keep=2)
+
+
 def upsert_into(log: KeyedLog, compact_every: int = 0, run: int = 0) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: write the batch's newest row per key.
 
@@ -227,9 +247,7 @@ def upsert_into(log: KeyedLog, compact_every: int = 0, run: int = 0) -> Callable
                     flatten_window(batch), log.key, [*log.order], keep_order=True
                 )
                 _write_once(log, rows, _batch(run, batch_id))
-                if compact_every and log.uncompacted(rows.sparkSession) >= compact_every:
-                    log.compact(rows.sparkSession)
-                    log.vacuum(rows.sparkSession, keep=2)
+                _fold(log, rows.sparkSession, compact_every)
         finally:
             batch.unpersist()
 
@@ -274,11 +292,13 @@ def start_window_log(
     trigger: Trigger = Trigger(),
     state_partitions: int | None = None,
     run: int = 0,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Update-mode query that logs every changed window, keyed by window."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         _write_once(log, flatten_window(batch), _batch(run, batch_id))
+        _fold(log, batch.sparkSession, compact_every)
 
     writer = (
         windowed_counts(events, width, slide, delay)
@@ -297,7 +317,9 @@ def window_log(path: str) -> KeyedLog:
 
 
 def enriched_log(path: str) -> KeyedLog:
-    return KeyedLog(path, ENRICHED_SCHEMA, schemas.SERVING_KEYS["live_events"])
+    """Named events by (match, timestamp); the last message wins, as in the raw log."""
+    key, order = schemas.SERVING_KEYS["live_events"], messages.INGEST_COLUMNS
+    return KeyedLog(path, ENRICHED_SCHEMA, key, order)
 
 
 def start_enriched(
@@ -307,12 +329,14 @@ def start_enriched(
     checkpoint: str,
     trigger: Trigger = Trigger(),
     run: int = 0,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Live events with names; the dimensions are read anew for every batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         teams, players = load_dimensions()
         log.write_batch(with_names(batch, teams, players), _batch(run, batch_id))
+        _fold(log, batch.sparkSession, compact_every)
 
     return (
         events.writeStream.outputMode("append")
@@ -394,14 +418,14 @@ def start_all(
     root: str,
     trigger: Trigger = Trigger(),
     version: str = "v1",
-    buckets: int | None = None,
+    buckets: int | None = RAW_BUCKETS,
     state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """Raw log, quarantine and team counts as concurrent queries on one source.
 
     Each query reads the source for itself and has its own checkpoint; a new
     ``version`` starts afresh, beside the outputs of the earlier ones. Wait with
-    :func:`await_any`.
+    :func:`await_any`. ``buckets=None`` splits the raw log by match.
     """
     decoded = messages.decode(source)
     events = messages.valid_events(decoded)

@@ -495,3 +495,11 @@ def test_levels_are_compacted_and_know_what_is_new(docs):
     assert index.unseen(lines).count() == 0
     other = docs.select("doc_id", F.lit("a line that no other document has").alias("text"))
     assert index.unseen(linededup.document_lines(other, 1)).count() == docs.count()
+
+
+def test_packing_widens_narrow_ids(spark):
+    ids = np.array([0, 1, 2, 255, 256, 49151, 65535])
+    for width in (2, 4):
+        frame = spark.createDataFrame([(bytearray(ids.astype(f"<u{width}").tobytes()),)], "ids binary")
+        found = frame.select(packing.as_32_bits(F.col("ids"), width)).first()[0]
+        assert bytes(found) == ids.astype("<u4").tobytes()

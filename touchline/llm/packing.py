@@ -21,12 +21,12 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.common import part_starts, stored
-from touchline.llm.wordbpe import word_bpe
+from touchline.llm.wordbpe import id_bytes, word_bpe
 
 SEQUENCE = 4096
 #: Tokens of a window: 64 sequences.
@@ -35,7 +35,11 @@ END = 2
 
 
 def tokenized(docs: DataFrame, path: str, end: int = END) -> DataFrame:
-    """doc_id, source, the number of tokens, and the ids as little-endian 32-bit numbers."""
+    """doc_id, source, the number of tokens, and the ids as little-endian numbers.
+
+    They take ``id_bytes`` each, 2 for a vocabulary below 65,536: they are stored and shuffled.
+    """
+    width = id_bytes(path, end)
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
@@ -54,7 +58,7 @@ def tokenized(docs: DataFrame, path: str, end: int = END) -> DataFrame:
                     batch.column("doc_id"),
                     batch.column("source"),
                     pa.array(map(len, ids), pa.int64()),
-                    pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
+                    pa.array([x.astype(f"<u{width}").tobytes() for x in ids], pa.binary()),
                 ],
                 ["doc_id", "source", "tokens", "ids"],
             )
@@ -63,6 +67,13 @@ def tokenized(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     return docs.select(*wanted).mapInArrow(run, schema)
 
 
+def as_32_bits(ids: Column, width: int) -> Column:
+    """Little-endian ids of ``width`` bytes as ids of four."""
+    if width == 4:
+        return ids
+    return F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))
+
+
 def running_starts(df: DataFrame, order: list, name: str) -> DataFrame:
     """Add ``start``: the tokens of all rows before, in ``order``.
 
@@ -128,6 +139,7 @@ def pack(
     """The pieces of all documents: where each stands in its document and its sequence."""
     tokens = tokenized(docs, path).withColumn("row", F.monotonically_increasing_id())
     tokens = stored(tokens, "tokens")
+    width = id_bytes(path, END)
     lengths = tokens.select("row", "source", "doc_id", "tokens")
     dealt = windows(lengths, window, targets)
     placed = running_starts(dealt, ["window", "source", "doc_id", "row"], "placed")
@@ -138,12 +150,12 @@ def pack(
     def piece(k):
         low = F.greatest(begin, k * length)
         size = F.least(end, (k + 1) * length) - low
-        at = (low - begin).cast("int") * 4 + 1
-        ids = F.substring(F.col("ids"), at, (size * 4).cast("int"))
+        at = (low - begin).cast("int") * width + 1
+        ids = F.substring(F.col("ids"), at, (size * width).cast("int"))
         return F.struct(
             (low - begin).alias("start"),
             size.alias("length"),
-            F.crc32(ids).alias("ids_crc32"),
+            F.crc32(as_32_bits(ids, width)).alias("ids_crc32"),
             k.alias("sequence_id"),
             (low - k * length).alias("offset"),
         )

@@ -128,6 +128,14 @@ class WordBpe:
             begin = stop
 
 
+def id_bytes(path: str, end: int = 0) -> int:
+    """Bytes that hold any id of a file, or ``end``: 2 or 4."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    added = (t["id"] for t in spec["added_tokens"])
+    return 2 if max(end, *spec["model"]["vocab"].values(), *added) < 1 << 16 else 4
+
+
 @cache
 def word_bpe(path: str) -> WordBpe:
     return WordBpe(path)

@@ -226,6 +226,53 @@ def test_log_compacts_itself(spark, tmp_path):
     assert sorted(log.snapshots(spark)) == [1, 3]
 
 
+@pytest.mark.parametrize("every", [0, 1, 2])
+def test_an_older_run_goes_on_beside_a_folded_newer_one(spark, tmp_path, every):
+    log = jobs.team_stats_log(f"{tmp_path}/stats")
+    older, newer = jobs.upsert_into(log, every, run=0), jobs.upsert_into(log, every, run=1)
+    older(window_batch(stats_row(spark, "A", 60, 1)), 0)
+    for batch_id in range(4):
+        newer(window_batch(stats_row(spark, "B", 60 + 10 * batch_id, batch_id)), batch_id)
+    for batch_id, team in enumerate("CDEF", 1):
+        older(window_batch(stats_row(spark, team, 60, 7)), batch_id)
+        older(window_batch(stats_row(spark, team, 60, 99)), batch_id)
+    newer(window_batch(stats_row(spark, "B", 100, 9)), 4)
+    found = {r.team: r.total_events for r in log.read(spark).collect()}
+    assert found == {"A": 1, "B": 9, "C": 7, "D": 7, "E": 7, "F": 7}
+    assert not every or log.uncompacted(spark, 0) < every
+
+
+def test_the_counts_of_a_version_that_goes_on_are_the_later_ones(spark, feed, tmp_path):
+    root = f"{tmp_path}/live"
+    log = jobs.team_stats_log(f"{root}/live_team_stats")
+
+    def counts(version):
+        *earlier, run = jobs.start_numbers(spark, root, version)
+        jobs.start_team_stats(
+            messages.valid_events(decoded(spark, feed)), log, f"{root}/checkpoints/{version}/stats",
+            compact_every=1, run=run, earlier=tuple(earlier),
+        ).awaitTermination()
+        return {r.team: r.total_events for r in log.read(spark).collect()}
+
+    feed.events(1, 2)
+    assert counts("v1") == counts("v2") == {"A": 2}
+    feed.events(3, 4)
+    feed.events(5, team="B")
+    assert counts("v1") == {"A": 4, "B": 1}
+    assert jobs.start_numbers(spark, root, "v1") == (0, 2)
+    feed.events(6)
+    assert counts("v2") == {"A": 5, "B": 1}
+    assert jobs.start_numbers(spark, root, "v2") == (1, 3) and jobs.run_number(spark, root, "v2") == 1
+
+
+def test_a_replay_under_a_further_number_changes_nothing(spark, tmp_path):
+    log = jobs.team_stats_log(f"{tmp_path}/stats")
+    jobs.upsert_into(log, 1, run=0)(window_batch(stats_row(spark, "A", 60, 1)), 5)
+    jobs.upsert_into(log, 1, run=1)(window_batch(stats_row(spark, "A", 60, 3)), 5)
+    jobs.upsert_into(log, 1, run=2, earlier=(0,))(window_batch(stats_row(spark, "A", 60, 1)), 5)
+    assert log.read(spark).first().total_events == 3 and len(log.batches(spark)) == 2
+
+
 def test_callback_runs_twice_without_change(spark, tmp_path):
     log = jobs.team_stats_log(f"{tmp_path}/stats")
     batch = window_batch(

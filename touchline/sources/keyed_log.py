@@ -3,7 +3,11 @@
 Layout under the table path::
 
     log/batch_id=N/        rows written by micro-batch N, with _SUCCESS
-    snapshot/upto=N/       one row per key over all batches up to N, with _SUCCESS
+    snapshot/upto=N/       one row per key over the batches of a run up to N, with _SUCCESS
+
+A batch id holds the number of its run and, from 0 in each run, that of the batch. Runs are
+folded apart: a snapshot stands for batches of its own run only, so runs may write in any
+order, or at once.
 
 Nothing is changed in place. A batch or snapshot counts once its ``_SUCCESS``
 marker is there, which Spark writes last. Replaying a committed batch is a no-op,
@@ -24,6 +28,17 @@ from touchline.operators.recent import latest_per_key
 from touchline.sources import files
 
 BATCH = "batch_id"
+#: Batch ids of a run start at its number times this, so those of runs never meet.
+RUN_BATCHES = 1 << 40
+
+
+def run_of(batch_id: int) -> int:
+    return batch_id // RUN_BATCHES
+
+
+def _newest(snapshots: dict[int, str]) -> dict[int, int]:
+    """The last batch that the snapshots of each run stand for."""
+    return {run_of(n): n for n in sorted(snapshots)}
 
 
 @dataclass(frozen=True)
@@ -53,24 +68,30 @@ class KeyedLog:
     def snapshots(self, spark: SparkSession) -> dict[int, str]:
         return self._committed(spark, "snapshot", "upto")
 
-    def uncompacted(self, spark: SparkSession) -> int:
-        """Committed batches that no snapshot covers yet."""
-        upto = max(self.snapshots(spark), default=-1)
-        return sum(n > upto for n in self.batches(spark))
+    def uncompacted(self, spark: SparkSession, run: int | None = None) -> int:
+        """Committed batches, of one run or of all, that no snapshot covers yet."""
+        upto = _newest(self.snapshots(spark))
+        batches = [n for n in self.batches(spark) if run in (None, run_of(n))]
+        return sum(n > upto.get(run_of(n), -1) for n in batches)
+
+    def write_batch(self, rows: DataFrame, batch_id: int, earlier: tuple[int, ...] = ()) -> bool:
+        """Write one micro-batch; False when it was committed before.
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> bool:
-        """Write one micro-batch; False when it was committed before."""
-        target = f"{self.path}/log/{BATCH}={batch_id}"
-        if files.exists(rows.sparkSession, f"{target}/_SUCCESS"):
+        ``earlier`` are ids that the same batch may have been committed under instead.
+        """
+        target = f"{self.path}/log/{BATCH}="
+        if any(files.exists(rows.sparkSession, f"{target}{n}/_SUCCESS") for n in (batch_id, *earlier)):
             return False
-        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(target)
+        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{target}{batch_id}")
         return True
 
-    def writes(self, spark: SparkSession) -> DataFrame:
-        """Every row still needed, with its batch: snapshot and later batches."""
-        snapshots = self.snapshots(spark)
-        upto = max(snapshots, default=-1)
-        parts = [folder for n, folder in sorted(self.batches(spark).items()) if n > upto]
+    def writes(self, spark: SparkSession, run: int | None = None) -> DataFrame:
+        """Every row still needed, of one run or of all, with its batch: the newest snapshot
+        of each run and its later batches."""
+        snapshots = {n: s for n, s in self.snapshots(spark).items() if run in (None, run_of(n))}
+        upto = _newest(snapshots)
+        batches = [(n, b) for n, b in sorted(self.batches(spark).items()) if run in (None, run_of(n))]
+        parts = [folder for n, folder in batches if n > upto.get(run_of(n), -1)]
         rows = spark.createDataFrame([], self._stored)
         if parts:
             rows = (
@@ -80,7 +101,7 @@ class KeyedLog:
                 .select(*self._stored.fieldNames())
             )
         if snapshots:
-            base = spark.read.schema(self._stored).parquet(snapshots[upto])
+            base = spark.read.schema(self._stored).parquet(*[snapshots[n] for n in upto.values()])
             rows = base if not parts else base.unionByName(rows)
         return rows
 
@@ -91,30 +112,32 @@ class KeyedLog:
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.key, [*self.order, BATCH], keep_order=True)
 
-    def compact(self, spark: SparkSession) -> int | None:
-        """Fold all committed batches into a new snapshot; returns its batch."""
-        batches = self.batches(spark)
-        upto = max(batches, default=-1)
-        if upto < 0 or upto in self.snapshots(spark):
-            return None
-        folded = self._latest(self.writes(spark)).select(*self._stored.fieldNames())
-        folded.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
-        return upto
+    def compact(self, spark: SparkSession, run: int | None = None) -> int | None:
+        """Fold the committed batches of a run, or of each, into a new snapshot of it;
+        returns the last batch folded."""
+        last = {run_of(n): n for n in sorted(self.batches(spark)) if run in (None, run_of(n))}
+        done = self.snapshots(spark)
+        todo = {r: n for r, n in last.items() if n not in done}
+        for r, upto in todo.items():
+            folded = self._latest(self.writes(spark, r)).select(*self._stored.fieldNames())
+            folded.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
+        return max(todo.values(), default=None)
 
-    def vacuum(self, spark: SparkSession, keep: int = 1) -> None:
-        """Remove what the newest ``keep`` snapshots don't need.
+    def vacuum(self, spark: SparkSession, keep: int = 1, run: int | None = None) -> None:
+        """Remove what the newest ``keep`` snapshots of a run, or of each, don't need.
 
         With one, run it without readers; with two, readers that listed the folders
-        before the newest snapshot was there can go on. The newest batch folder stays
-        in any case: its marker makes a replay a no-op.
+        before the newest snapshot was there can go on. The newest batch folder of a run
+        stays in any case: its marker makes a replay a no-op.
         """
         snapshots, batches = self.snapshots(spark), self.batches(spark)
-        needed = sorted(snapshots)[-keep:]
-        if len(needed) < keep:
-            return
-        for n, folder in [*snapshots.items(), *batches.items()]:
-            if n < needed[0]:
-                files.delete(spark, folder)
+        for r in {run_of(n) for n in snapshots if run in (None, run_of(n))}:
+            needed = sorted(n for n in snapshots if run_of(n) == r)[-keep:]
+            if len(needed) < keep:
+                continue
+            for n, folder in [*snapshots.items(), *batches.items()]:
+                if run_of(n) == r and n < needed[0]:
+                    files.delete(spark, folder)
 
     def truncate(self, spark: SparkSession) -> None:
         """Remove every row of the table."""

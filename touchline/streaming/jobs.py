@@ -25,7 +25,7 @@ from touchline.operators.recent import latest_per_key
 from touchline.operators.windows import KEYS, flatten_window, window_counts
 from touchline.plans import dashboard
 from touchline.sources import control, files, messages
-from touchline.sources.keyed_log import KeyedLog
+from touchline.sources.keyed_log import RUN_BATCHES, KeyedLog
 
 #: Columns that order the writes of one (match, team) key, by window policy.
 POLICY_ORDER = {
@@ -95,8 +95,18 @@ RAW_BUCKETS = 64
 #: Tasks, and so files, a bucket is spread over in a micro-batch; one match may fill it.
 BUCKET_SPREAD = 4
 RUN = "run"
-#: Batch ids of a run start at its number times this, so those of runs never meet.
-RUN_BATCHES = 1 << 40
+#: Marks the numbers that a version gets when it is started again after another one.
+AGAIN = "again"
+
+
+def _marked(spark: SparkSession, root: str, version: str, mark: str) -> list[int]:
+    marks = files.glob(spark, f"{root}/checkpoints/{version}/{mark}=*")
+    return sorted(int(path.rsplit("=", 1)[1]) for path in marks)
+
+
+def _next_number(spark: SparkSession, root: str) -> int:
+    taken = [*_marked(spark, root, "*", RUN), *_marked(spark, root, "*", AGAIN)]
+    return 1 + max(taken, default=-1)
 
 
 def run_number(spark: SparkSession, root: str, version: str) -> int:
@@ -105,15 +115,29 @@ def run_number(spark: SparkSession, root: str, version: str) -> int:
     A new checkpoint counts its batches from 0 again. Outputs keep the runs apart by this
     number, so that the batches of a new version aren't taken for replays.
     """
-    own = files.glob(spark, f"{root}/checkpoints/{version}/{RUN}=*")
+    own = _marked(spark, root, version, RUN)
     if own:
-        return int(own[0].rsplit("=", 1)[1])
-    taken = files.glob(spark, f"{root}/checkpoints/*/{RUN}=*")
-    number = 1 + max((int(mark.rsplit("=", 1)[1]) for mark in taken), default=-1)
+        return own[0]
+    number = _next_number(spark, root)
     files.touch(spark, f"{root}/checkpoints/{version}/{RUN}={number}")
     return number
 
 
+def start_numbers(spark: SparkSession, root: str, version: str) -> tuple[int, ...]:
+    """The numbers of a checkpoint version that is being started, its run number first.
+
+    The last one orders what is written from now on. A version that goes on after another one
+    was started takes a new number for it: its later counts replace those of the other.
+    """
+    first = run_number(spark, root, version)
+    own = (first, *_marked(spark, root, version, AGAIN))
+    number = _next_number(spark, root)
+    if own[-1] == number - 1:
+        return own
+    files.touch(spark, f"{root}/checkpoints/{version}/{AGAIN}={number}")
+    return *own, number
+
+
 def _batch(run: int, batch_id: int) -> int:
     return run * RUN_BATCHES + batch_id
 
@@ -217,26 +241,31 @@ def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _write_once(log: KeyedLog, rows: DataFrame, batch_id: int) -> None:
+def _write_once(
+    log: KeyedLog, rows: DataFrame, batch_id: int, run: int, earlier: tuple[int, ...]
+) -> None:
     """Write a batch; on replay of a committed one just run it, for its state."""
-    if not log.write_batch(rows, batch_id):
+    before = tuple(_batch(r, batch_id) for r in earlier)
+    if not log.write_batch(rows, _batch(run, batch_id), before):
         rows.write.format("noop").mode("overwrite").save()
 
 
-def _fold(log: KeyedLog, spark: SparkSession, every: int) -> None:
-    """Fold the log after ``every`` batches (0: never), so that its folders stay few."""
-    if every and log.uncompacted(spark) >= every:
-        log.compact(spark)
-        log.vacuum(spark, keep=2)
+def _fold(log: KeyedLog, spark: SparkSession, every: int, run: int) -> None:
+    """Fold the log after ``every`` batches of a run (0: never), so that its folders stay few."""
+    if every and log.uncompacted(spark, run) >= every:
+        log.compact(spark, run)
+        log.vacuum(spark, keep=2, run=run)
 
 
-def upsert_into(log: KeyedLog, compact_every: int = 0, run: int = 0) -> Callable[[DataFrame, int], None]:
+def upsert_into(
+    log: KeyedLog, compact_every: int = 0, run: int = 0, earlier: tuple[int, ...] = ()
+) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` callback: write the batch's newest row per key.
 
     The batch is persisted because it is used twice, for the emptiness test and
     the write; otherwise the stateful plan would run and count dropped rows twice.
     After ``compact_every`` batches the log is folded, so that readers never meet
-    a long list of small batches.
+    a long list of small batches. ``earlier`` are numbers that the run had before.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
@@ -246,8 +275,8 @@ def upsert_into(log: KeyedLog, compact_every: int = 0, run: int = 0) -> Callable
                 rows = latest_per_key(
                     flatten_window(batch), log.key, [*log.order], keep_order=True
                 )
-                _write_once(log, rows, _batch(run, batch_id))
-                _fold(log, rows.sparkSession, compact_every)
+                _write_once(log, rows, batch_id, run, earlier)
+                _fold(log, rows.sparkSession, compact_every, run)
         finally:
             batch.unpersist()
 
@@ -265,16 +294,19 @@ def start_team_stats(
     compact_every: int = 100,
     state_partitions: int | None = None,
     run: int = 0,
+    earlier: tuple[int, ...] = (),
 ) -> StreamingQuery:
     """Update-mode query that keeps the team counts current.
 
     The checkpoint fixes the number of state partitions; take a new one, and a new
-    ``run``, when the window or that number changes.
+    ``run``, when the window or that number changes. A checkpoint that goes on after
+    another one takes a new ``run`` as well, and gives those it had as ``earlier``:
+    see :func:`start_numbers`.
     """
     writer = (
         windowed_counts(events, width, slide, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(upsert_into(log, compact_every, run))
+        .foreachBatch(upsert_into(log, compact_every, run, earlier))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
     )
@@ -293,12 +325,13 @@ def start_window_log(
     state_partitions: int | None = None,
     run: int = 0,
     compact_every: int = 100,
+    earlier: tuple[int, ...] = (),
 ) -> StreamingQuery:
     """Update-mode query that logs every changed window, keyed by window."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_once(log, flatten_window(batch), _batch(run, batch_id))
-        _fold(log, batch.sparkSession, compact_every)
+        _write_once(log, flatten_window(batch), batch_id, run, earlier)
+        _fold(log, batch.sparkSession, compact_every, run)
 
     writer = (
         windowed_counts(events, width, slide, delay)
@@ -330,13 +363,15 @@ def start_enriched(
     trigger: Trigger = Trigger(),
     run: int = 0,
     compact_every: int = 100,
+    earlier: tuple[int, ...] = (),
 ) -> StreamingQuery:
     """Live events with names; the dimensions are read anew for every batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         teams, players = load_dimensions()
-        log.write_batch(with_names(batch, teams, players), _batch(run, batch_id))
-        _fold(log, batch.sparkSession, compact_every)
+        before = tuple(_batch(r, batch_id) for r in earlier)
+        log.write_batch(with_names(batch, teams, players), _batch(run, batch_id), before)
+        _fold(log, batch.sparkSession, compact_every, run)
 
     return (
         events.writeStream.outputMode("append")
@@ -430,8 +465,9 @@ def start_all(
     decoded = messages.decode(source)
     events = messages.valid_events(decoded)
     checkpoint = f"{root}/checkpoints/{version}"
-    run = run_number(source.sparkSession, root, version)
-    raw, bad = f"{root}/live_events/{RUN}={run}", f"{root}/quarantine/{RUN}={run}"
+    first, *later = start_numbers(source.sparkSession, root, version)
+    raw, bad = f"{root}/live_events/{RUN}={first}", f"{root}/quarantine/{RUN}={first}"
+    *earlier, run = first, *later
     return [
         append_events(decoded, raw, f"{checkpoint}/raw", trigger, buckets),
         append_quarantine(decoded, bad, f"{checkpoint}/quarantine", trigger),
@@ -442,6 +478,7 @@ def start_all(
             trigger=trigger,
             state_partitions=state_partitions,
             run=run,
+            earlier=tuple(earlier),
         ),
     ]
 

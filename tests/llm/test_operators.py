@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import corpus_pipeline
 import duckdb
 import numpy as np
 import public_tokenizers
@@ -411,6 +412,48 @@ def test_repetition_equals_brute_force(docs):
     assert quality.repetition(docs.limit(0)).count() == 0
 
 
+def brute_verdict(text):
+    """Line share, gram shares, base_failed and kept by the rules' own words."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+
+    def inside(n):
+        grams = [tuple(words[k : k + n]) for k in range(len(words) - n + 1)]
+        often = Counter(grams)
+        return {k + j for k, g in enumerate(grams) if often[g] > 1 for j in range(n)}
+
+    lines, chars = (text or "").split("\n"), sum(map(len, words))
+    again = sum(len(x) for k, x in enumerate(lines) if x in lines[:k] and x.strip(" \t\n\x0b\f\r"))
+    total = sum(map(len, lines))
+    line_share = again / total if total else 0.0
+    shares = [sum(len(words[k]) for k in inside(n)) / chars if chars else 0.0 for n in (5, 10)]
+    failed = len(words) < 20 or 100 * len(inside(8)) > 30 * len(words)
+    kept = not failed and line_share <= 0.3 and shares[0] <= 0.4 and shares[1] <= 0.3
+    return line_share, shares, failed, kept
+
+
+def repetitive(seed):
+    """A text that repeats short or long phrases of long words, or lines, to some degree."""
+    r = random.Random(seed)
+    size, times, most, join = r.choice([(4, 4, 25, " "), (6, 3, 25, " "), (11, 2, 40, " "), (3, 6, 7, "\n")])
+    phrase = " ".join(r.choice("abc") * r.randint(1, 14) + str(k) for k in range(size))
+    fill = [" ".join(f"u{r.random()}"[2 : r.randint(7, 13)] for _ in range(r.randint(2, most))) for _ in range(times)]
+    return join.join(x for other in fill for x in (phrase, other))
+
+
+def test_coverage_and_the_verdict_equal_brute_force(spark, docs):
+    texts = {i: repetitive(i) for i in range(400)} | {1000 + k: t for k, (_, t) in enumerate(TEXTS)}
+    told = {i: brute_verdict(t) for i, t in texts.items()}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = quality.repetition(frame).collect()
+    assert {r.doc_id: (r.dup_line_share, r.dup_gram_shares, r.base_failed, r.kept) for r in found} == told
+    # Every limit decides alone about some text.
+    passed = [v for v in told.values() if not v[2]]
+    alone = Counter((v[0] > 0.3, v[1][0] > 0.4, v[1][1] > 0.3) for v in passed)
+    assert all(alone[c] for c in [(True, False, False), (False, True, False), (False, False, True), (False, False, False)]), alone
+    kept = {r.doc_id for r in quality.keep_good(frame).collect()}
+    assert kept == {i for i, v in told.items() if v[3]}
+
+
 # --- 8 and 10: tokens -------------------------------------------------------------
 
 ODD = ["", " ", "it's we'll they'rexx 'sab ''s 's's 'l 'r", "a  b\n\nc \n d\t\te", "<|endoftext|>x<|endoftext|>",
@@ -503,3 +546,46 @@ def test_packing_widens_narrow_ids(spark):
         frame = spark.createDataFrame([(bytearray(ids.astype(f"<u{width}").tobytes()),)], "ids binary")
         found = frame.select(packing.as_32_bits(F.col("ids"), width)).first()[0]
         assert bytes(found) == ids.astype("<u4").tobytes()
+
+
+# --- the pipeline -----------------------------------------------------------------
+
+
+def test_the_pipeline_equals_a_plain_one(spark, docs, tmp_path):
+    labelled, labels = toxic_corpus(spark)
+    texts = {r.doc_id: r.text for r in labelled.collect() if r.doc_id is not None}
+    texts = {i: f"{t}\n{LINE}" if t and i % 7 == 1 else t for i, t in texts.items()}
+    texts |= {2000 + i: texts[i].rsplit(" ", 1)[0] + " other" for i in range(1, 80, 6) if i % 4}
+    texts |= {3000 + i: repetitive(i) for i in range(60)}
+    rows = [(i, t, "ab"[i % 2], len(t or "")) for i, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+
+    sizes = [len(texts)]
+    left = {i: t or "" for i, t in texts.items() if brute_verdict(t)[3]}
+    sizes.append(len(left))
+    left = {i: t for i, t in left.items() if not {"grobian", "halunke", "schuft"} & set(t.split())}
+    sizes.append(len(left))
+    holders = defaultdict(set)
+    for i, t in left.items():
+        for line in t.split("\n"):
+            if len(line.strip()) >= 20:
+                holders[line.strip().lower()].add(i)
+
+    def stays(line, i):
+        held = holders[line.strip().lower()]
+        return len(held) < 3 or max(held) == i
+
+    left = {i: "\n".join(x for x in t.split("\n") if stays(x, i)) for i, t in left.items()}
+    assert sum(LINE in t for t in left.values()) == 1
+    sets = {i: shingle_set(t) for i, t in left.items()}
+    component = classes(sorted(sets), lambda a, b: similar(sets[a], sets[b]))
+    left = {i: t for i, t in left.items() if component[i] == i}
+    sizes.append(len(left))
+    assert all(a > b for a, b in zip(sizes, sizes[1:])), sizes
+
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path(WORD))
+    expected = {i: [[*library.encode(t, add_special_tokens=False).ids, 2]] for i, t in left.items()}
+    pieces = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == set(left)
+    check_packing(pieces, docs, expected, packing.SEQUENCE)

@@ -540,6 +540,21 @@ def test_levels_are_compacted_and_know_what_is_new(docs):
     assert index.unseen(linededup.document_lines(other, 1)).count() == docs.count()
 
 
+def test_a_batch_adds_only_its_new_keys_to_the_runs(spark, docs):
+    index = linededup.LineIndex(fan=3)
+
+    def lines(*pairs):
+        texts = [(i, f"a line with the number {n} in it") for i, n in pairs]
+        return linededup.document_lines(spark.createDataFrame(texts, "doc_id long, text string"), 1)
+
+    for batch in ([(1, 0), (2, 0), (2, 1)], [(3, 0), (3, 2), (4, 2)], [(5, 0), (5, 2), (6, 1), (6, 3)], [(7, 1)]):
+        index.add(lines(*batch))
+    rows = [tuple(r) for run in index.runs() for r in run.select(*linededup.KEY).collect()]
+    assert len(rows) == len(set(rows)) == 4
+    assert [sum(r.documents for r in u.collect()) for u in index.updates] == [1, 3, 1]
+    assert sorted(r.keeper for r in index.common().collect()) == [5, 5, 7]
+
+
 def test_packing_widens_narrow_ids(spark):
     ids = np.array([0, 1, 2, 255, 256, 49151, 65535])
     for width in (2, 4):

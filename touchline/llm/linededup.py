@@ -1,11 +1,13 @@
 """Operator 9: line de-duplication by levelled sorted runs of line keys.
 
 A run holds one row for each line key: how many documents hold it and the largest of their
-ids. Runs are sorted by key. Every batch of documents makes a run of level 0; when a level
-has ``FAN`` runs, they are merged into one run of the next, so a key is rewritten once for
-each level and a batch meets few runs. When all batches are in, the lines of each document
-are merge-joined with the runs: a line is dropped if its key is known to be common and to
-have a later keeper, and the others are what the anti-join leaves.
+ids. Runs are sorted by key. Every batch of documents is anti-joined with the runs there are:
+its new keys make a run of level 0, so that a key is in one run only. Its known keys, which a
+semi-join finds, go to the updates: counts and keepers that are added to those of the runs at
+the end. When a level has ``FAN`` runs, they are merged into one run of the next, so a key is
+rewritten once for each level and a batch meets few runs. When all batches are in, the lines
+of each document are joined with the common keys: a line is dropped if its key has a later
+keeper, and the others stay.
 
 A key is the line without white space at its ends and with A-Z in lower case, as two 64-bit
 hashes and its length. Batches are dealt by the hash of the document's id, so that a
@@ -90,17 +92,26 @@ def merge_runs(runs: list[DataFrame]) -> DataFrame:
 
 
 class LineIndex:
-    """Levels of sorted runs. A level that has ``fan`` runs is compacted into the next."""
+    """Levels of sorted runs, no key in two of them, and the updates of their keys.
+
+    A level that has ``fan`` runs is compacted into the next.
+    """
 
     def __init__(self, fan: int = FAN):
         self.fan = fan
         self.levels: list[list[DataFrame]] = [[]]
+        self.updates: list[DataFrame] = []
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def add(self, lines: DataFrame) -> None:
-        self.levels[0].append(stored(make_run(lines), "run"))
+        run = make_run(lines)
+        if self.runs():
+            batch = stored(run, "batch")
+            self.updates.append(stored(self.seen(batch).sortWithinPartitions(*KEY), "updates"))
+            run = self.unseen(batch).sortWithinPartitions(*KEY)
+        self.levels[0].append(stored(run, "run"))
         for n, level in enumerate(self.levels):
             if len(level) < self.fan:
                 return
@@ -116,9 +127,14 @@ class LineIndex:
             lines = lines.join(run.select(*KEY), KEY, "left_anti")
         return lines
 
+    def seen(self, lines: DataFrame) -> DataFrame:
+        """The other lines: a semi-join with the runs."""
+        keys = reduce(DataFrame.unionByName, [run.select(*KEY) for run in self.runs()])
+        return lines.join(keys, KEY, "left_semi")
+
     def common(self, documents: int = DOCUMENTS) -> DataFrame:
         """Keys of at least so many documents, with their keepers."""
-        runs = self.runs()
+        runs = [*self.runs(), *self.updates]
         whole = merge_runs(runs) if len(runs) > 1 else runs[0]
         return whole.where(F.col("documents") >= documents).select(*KEY, "keeper")
 

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, and SQL for those it can express."""
+"""The registered queries of the operators, and SQL for those it can express."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from touchline.llm import (
     bytebpe,
     chat,
     linededup,
+    merkle,
     minhash,
     packing,
     quality,
@@ -70,6 +71,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.build(merkle.documents(docs, merkle.every_third())).verify()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -83,6 +89,7 @@ QUERIES = {
         op8_byte_bpe,
         op9_lines,
         op10_token_counts,
+        op12_merkle,
     )
 }
 
@@ -96,6 +103,20 @@ _REACH = """reach(id, other) AS (
             SELECT id, id FROM nodes
             UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON r.other = l.a)"""
 
+
+def _field(column: str) -> str:
+    """A leaf's input: the byte count and the value, or a mark for null."""
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({text})) || ':' || {text}, '-')"
+
+
+_FIELDS = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_BYTES = "[ascii(x) for x in string_split(CAST(doc_id AS VARCHAR), '')]"
+#: CRC-32 of the decimal id, bit by bit.
+_CRC = f"""xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}), lambda c, b:
+    list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
 ORACLE = {
     "op2_minhash": f"""
         WITH RECURSIVE words AS (
@@ -163,4 +184,74 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), ''))
                AS kept_sha256
         FROM kept GROUP BY doc_id""",
+    "op12_merkle": f"""
+        WITH RECURSIVE fields AS (
+            SELECT row_number() OVER () AS id, doc_id, lang,
+                {_FIELDS} AS head, text,
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+                {_CRC} % 3 = 0 AS tampered
+            FROM documents),
+        leaves AS (
+            SELECT id, doc_id, lang, sha256(head || {_field('text')}) AS leaf,
+                CASE WHEN tampered THEN sha256(head || {_field('low')}) END AS changed
+            FROM fields),
+        placed AS (
+            SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place,
+                count(*) OVER (PARTITION BY lang) AS n
+            FROM leaves),
+        nodes AS (
+            SELECT tree, 0 AS level, place, n, leaf AS h FROM placed
+            UNION ALL
+            SELECT tree, any_value(level) + 1, place // 8, (any_value(n) + 7) // 8,
+                sha256(string_agg(h, '' ORDER BY place))
+            FROM nodes WHERE n > 1 GROUP BY tree, place // 8),
+        tops AS (
+            SELECT 0 AS level, tree - 1 AS place, count(*) OVER () AS n, h FROM nodes WHERE n = 1
+            UNION ALL
+            SELECT any_value(level) + 1, place // 8, (any_value(n) + 7) // 8,
+                sha256(string_agg(h, '' ORDER BY place))
+            FROM tops WHERE n > 1 GROUP BY place // 8),
+        marked AS (
+            SELECT tree, level, place, n, h FROM nodes WHERE n > 1
+            UNION ALL SELECT 0, level, place, n, h FROM tops WHERE n > 1),
+        heights AS (SELECT tree, max(level) AS top FROM nodes GROUP BY tree),
+        steps AS (
+            SELECT p.id, m.level AS step, m.place < p.place // pow(8, m.level)::BIGINT AS before,
+                m.place, m.h
+            FROM placed p JOIN marked m ON m.tree = p.tree
+                AND m.place // 8 = p.place // pow(8, m.level + 1)::BIGINT
+                AND m.place <> p.place // pow(8, m.level)::BIGINT
+            UNION ALL
+            SELECT p.id, t.top + m.level, m.place < (p.tree - 1) // pow(8, m.level)::BIGINT,
+                m.place, m.h
+            FROM placed p JOIN heights t ON t.tree = p.tree JOIN marked m ON m.tree = 0
+                AND m.place // 8 = (p.tree - 1) // pow(8, m.level + 1)::BIGINT
+                AND m.place <> (p.tree - 1) // pow(8, m.level)::BIGINT),
+        proofs AS (
+            SELECT id, sha256(string_agg(h, '' ORDER BY step, place)) AS proof
+            FROM steps GROUP BY id),
+        sides AS (
+            SELECT id, step,
+                coalesce(string_agg(h, '' ORDER BY place) FILTER (before), '') AS l,
+                coalesce(string_agg(h, '' ORDER BY place) FILTER (NOT before), '') AS r
+            FROM steps GROUP BY id, step),
+        whole AS (SELECT h AS root FROM tops WHERE n = 1),
+        heads AS (SELECT tree, h AS subroot FROM nodes WHERE n = 1),
+        lengths AS (
+            SELECT p.id, t.top + (SELECT max(level) FROM tops) AS steps
+            FROM placed p JOIN heights t ON t.tree = p.tree),
+        folded AS (
+            SELECT id, 0 AS step, coalesce(changed, leaf) AS h FROM placed
+            UNION ALL
+            SELECT f.id, f.step + 1,
+                sha256(coalesce(s.l, '') || f.h || coalesce(s.r, ''))
+            FROM folded f JOIN lengths n ON n.id = f.id AND f.step < n.steps
+                LEFT JOIN sides s ON s.id = f.id AND s.step = f.step)
+        SELECT p.doc_id, p.leaf, h.subroot, w.root,
+            coalesce(o.proof, sha256('')) AS proof_sha256, f.h AS folded_root,
+            f.h = w.root AS verified
+        FROM placed p JOIN heads h ON h.tree = p.tree CROSS JOIN whole w
+            JOIN lengths n ON n.id = p.id JOIN folded f ON f.id = p.id AND f.step = n.steps
+            LEFT JOIN proofs o ON o.id = p.id""",
 }

@@ -14,6 +14,7 @@ from touchline.llm import (
     minhash,
     packing,
     quality,
+    secrets,
     sharding,
     tokencount,
     toxicity,
@@ -76,6 +77,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.build(merkle.documents(docs, merkle.every_third())).verify()
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,6 +95,7 @@ QUERIES = {
         op9_lines,
         op10_token_counts,
         op12_merkle,
+        op13_secrets,
     )
 }
 
@@ -117,6 +123,34 @@ _CRC = f"""xor(4294967295, list_reduce(list_prepend(4294967295, {_BYTES}), lambd
     list_reduce(list_prepend(xor(c, b), range(8)),
         lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"""
 
+
+def _in_either_case(pattern: str) -> str:
+    """Letters of the leading names as classes: SQL would fold other alphabets as well."""
+    names, rest = pattern.split(")", 1)
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in names) + ")" + rest
+
+
+def _parts(place: int, kind: secrets.Kind) -> str:
+    """(id, k, role, s, e): the matches of a kind, placed by what stands before each."""
+    pattern = _in_either_case(kind.pattern) if kind.either_case else kind.pattern
+    each = "(?s)(.*?)(" + pattern.replace("'", "''") + ")"
+    group = kind.group + 2
+    rules = [f"length(v) >= {kind.least}", *(f"regexp_matches(v, '{c}')" for c in kind.holds)]
+    return f"""
+        SELECT id, {place} AS k, '{kind.role}' AS role, e - length(hit) AS s, e FROM (
+            SELECT *, sum(length(gap) + length(hit)) OVER (PARTITION BY id ORDER BY i)::BIGINT AS e
+            FROM (SELECT id, unnest(regexp_extract_all(t, '{each}', 1)) AS gap,
+                unnest(regexp_extract_all(t, '{each}', 2)) AS hit,
+                unnest(regexp_extract_all(t, '{each}', {group})) AS v,
+                unnest(range(len(regexp_extract_all(t, '{each}', 0)))) AS i FROM texts))
+        WHERE {" AND ".join(rules)}"""
+
+
+_ALL_PARTS = " UNION ALL ".join(_parts(i, kind) for i, kind in enumerate(secrets.KINDS))
+_GAPS = _parts(0, secrets.Kind("gap", "gap", secrets.GAP))
+_NAMES = "[" + ", ".join(f"'{kind.name}'" for kind in secrets.KINDS) + "]"
+_N_BASE = len(secrets.BASE)
+
 ORACLE = {
     "op2_minhash": f"""
         WITH RECURSIVE words AS (
@@ -254,4 +288,37 @@ ORACLE = {
         FROM placed p JOIN heads h ON h.tree = p.tree CROSS JOIN whole w
             JOIN lengths n ON n.id = p.id JOIN folded f ON f.id = p.id AND f.step = n.steps
             LEFT JOIN proofs o ON o.id = p.id""",
+    "op13_secrets": f"""
+        WITH texts AS MATERIALIZED (
+            SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents),
+        parts AS MATERIALIZED ({_ALL_PARTS}),
+        gaps AS MATERIALIZED ({_GAPS}),
+        standing AS MATERIALIZED (
+            SELECT * FROM parts p WHERE k < {_N_BASE} OR NOT EXISTS (
+                SELECT 1 FROM parts q
+                WHERE q.id = p.id AND q.k < p.k AND q.s < p.e AND q.e > p.s)),
+        scopes AS (
+            SELECT p.*,
+                greatest(s - {secrets.REACH}, (SELECT coalesce(max(g.e), 0) FROM gaps g
+                    WHERE g.id = p.id AND g.e <= p.s)) AS low,
+                least(e + {secrets.REACH}, (SELECT coalesce(min(g.s), 1000000000) FROM gaps g
+                    WHERE g.id = p.id AND g.s >= p.e)) AS high
+            FROM standing p),
+        met AS (
+            SELECT c.id, c.k, c.s, c.e, c.role, list_distinct(list(o.role)) AS roles
+            FROM scopes c LEFT JOIN standing o
+                ON o.id = c.id AND o.role <> c.role AND o.s < c.high AND o.e > c.low
+            GROUP BY ALL),
+        told AS (
+            SELECT id, k, s, {_NAMES}[k + 1] || ':' || s || ':' || e AS span FROM met
+            WHERE k < {_N_BASE} OR CASE role
+                WHEN 'secret' THEN list_contains(roles, 'identifier')
+                WHEN 'identifier' THEN list_contains(roles, 'secret')
+                ELSE list_contains(roles, 'identifier') AND list_contains(roles, 'secret') END)
+        SELECT any_value(x.doc_id) AS doc_id, count(*) FILTER (k = 0) AS n_assign,
+            count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+            sha256(coalesce(string_agg(span, ',' ORDER BY s, k) FILTER (k < {_N_BASE}), ''))
+                AS base_sha256,
+            coalesce(string_agg(span, ',' ORDER BY s, k), '') AS spans
+        FROM texts x LEFT JOIN told y ON x.id = y.id GROUP BY x.id""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from touchline.llm import (
     bytebpe,
     chat,
+    dualtree,
     linededup,
     merkle,
     minhash,
@@ -72,6 +73,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(table(spark, sf_dir, "documents"), path)
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dualtree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle.build(merkle.documents(docs, merkle.every_third())).verify()
@@ -94,6 +99,7 @@ QUERIES = {
         op8_byte_bpe,
         op9_lines,
         op10_token_counts,
+        op11_search,
         op12_merkle,
         op13_secrets,
     )
@@ -110,6 +116,13 @@ _REACH = """reach(id, other) AS (
             UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON r.other = l.a)"""
 
 
+def _term_list(column: str) -> str:
+    lowered = (
+        f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    )
+    return f"regexp_extract_all({lowered}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
 def _field(column: str) -> str:
     """A leaf's input: the byte count and the value, or a mark for null."""
     text = f"CAST({column} AS VARCHAR)"
@@ -218,6 +231,30 @@ ORACLE = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (stays), ''))
                AS kept_sha256
         FROM kept GROUP BY doc_id""",
+    "op11_search": f"""
+        WITH held AS (
+            SELECT doc_id, row_number() OVER () AS id, {_term_list('text')} AS w FROM documents),
+        docs AS (SELECT * FROM held WHERE len(w) > 0),
+        total AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM docs),
+        lengths AS (
+            SELECT id, doc_id, 100 - 90 + (90 * len(w) * t.docs) // t.terms AS m
+            FROM docs, total t),
+        tf AS (SELECT id, w, count(*) AS tf FROM (SELECT id, unnest(w) AS w FROM docs) GROUP BY ALL),
+        items AS (SELECT item_id, row_number() OVER () AS item, {_term_list('text')} AS w FROM benchmark),
+        wanted AS (SELECT DISTINCT item, unnest(w) AS w FROM items),
+        weights AS (
+            SELECT w, floor(1000 * ln((2 * t.docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight
+            FROM tf, total t GROUP BY w, t.docs),
+        scores AS (
+            SELECT q.item, l.id, l.doc_id,
+                sum(g.weight * ((1000000000 * f.tf) // (1000 * f.tf + 8 * l.m)))::BIGINT AS score
+            FROM wanted q JOIN tf f ON q.w = f.w JOIN weights g ON g.w = f.w
+            JOIN lengths l ON l.id = f.id GROUP BY ALL),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item
+                ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM scores WHERE score > 0)
+        SELECT i.item_id, rank::INTEGER AS rank, doc_id, score
+        FROM ranked r JOIN items i ON i.item = r.item WHERE rank <= 10""",
     "op12_merkle": f"""
         WITH RECURSIVE fields AS (
             SELECT row_number() OVER () AS id, doc_id, lang,

@@ -37,11 +37,30 @@ def test_from_csv_to_live_tables(spark, tmp_path, capsys):
     )
     main(["stream", "--source", "files", "--messages", str(source), "--root", root], spark)
     assert jobs.read_live_events(spark, f"{root}/live_events").count() == 1
+    stats = jobs.team_stats(root)
+    assert [(r.team, r.total_events) for r in stats.read(spark).collect()] == [("1", 1)]
     main(["reset", session.match_id, "--root", root], spark)
     resets = control.read_resets(spark, f"{root}/resets")
     assert jobs.read_live_events(spark, f"{root}/live_events", resets=resets).count() == 0
-    stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
-    assert [(r.team, r.total_events) for r in stats.collect()] == [("1", 1)]
+    assert stats.read(spark).count() == 0
+    # Views and names through the command line, after the reset.
+    (source / "2.json").write_text(
+        "\n".join(
+            json.dumps({"match_id": session.match_id, "timestamp": t, "team": team})
+            for t, team in ((6.0, "1"), (7.0, "1"), (8.0, "2"))
+        )
+    )
+    stream = ["stream", "--source", "files", "--messages", str(source), "--root", root]
+    main([*stream, "--views", "--names", "--warehouse", warehouse], spark)
+    assert {r.team: r.total_events for r in stats.read(spark).collect()} == {"1": 2, "2": 1}
+    views = jobs.ServingViews(f"{root}/views")
+    card = views.read(spark, "baseline").first()
+    assert (card.live_events, card.historical_avg) == (3, 4)
+    assert [r.Team for r in views.read(spark, "feed").orderBy("position").collect()] == ["Beta", "Alpha", "Alpha"]
+    named = jobs.enriched_log(f"{root}/named_events").read(spark)
+    assert {r.team_name for r in named.collect()} == {"Alpha", "Beta"}
+    with pytest.raises(SystemExit):
+        main([*stream, "--views"], spark)
 
 
 def test_a_load_without_a_dimension_leaves_it(spark, tmp_path):
@@ -56,6 +75,9 @@ def test_a_load_without_a_dimension_leaves_it(spark, tmp_path):
         main(["load", "--csv", str(folder), "--warehouse", warehouse], spark)
     stored = jobs.ServingFrames(warehouse)
     assert stored.read(spark, "players").count() == 2
+    counts = spark.read.parquet(f"{warehouse}/events_per_match").collect()
+    assert [(r.match_id, r.n) for r in counts] == [("5", 1), ("5", 1)]
+    assert stored.read(spark, "average").first().average_exact == 2.0
     teams = {r.team_id: r.official_name for r in stored.read(spark, "teams").collect()}
     assert teams == {"1": "Alpha", "2": "Better", "3": "Gamma"}
 
@@ -80,12 +102,12 @@ def test_a_new_checkpoint_version_keeps_all_events(spark, tmp_path):
     send("2.json", (3.0, "C"), (4.0, "A"))
     main([*command, "--version", "v2"], spark)
     assert jobs.read_live_events(spark, f"{root}/live_events").count() == 4
-    stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
-    assert {r.team for r in stats.collect()} == {"A", "B", "C"}
+    counts = {"A": 2, "B": 1, "C": 1}
+    assert {r.team: r.total_events for r in jobs.team_stats(root).read(spark).collect()} == counts
     # Starting a known version again changes nothing.
     main([*command, "--version", "v1"], spark)
     assert jobs.read_live_events(spark, f"{root}/live_events").count() == 4
-    assert jobs.run_number(spark, root, "v2") == 1
+    assert {r.team: r.total_events for r in jobs.team_stats(root).read(spark).collect()} == counts
 
 
 def test_nothing_stored_reads_as_no_rows(spark, tmp_path):

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 
 from touchline import schemas
 from touchline.operators import baseline, roster, sessions
 from touchline.sources import control
-from touchline.streaming.jobs import team_stats_log
+from touchline.streaming.counts import PIECE_SCHEMA
+from touchline.streaming.jobs import team_stats
 
 
 @pytest.fixture
@@ -25,8 +28,10 @@ def test_options_are_sorted_and_keep_the_last(teams):
 def test_deploying_a_match(spark, teams, tmp_path):
     path = f"{tmp_path}/control"
     assert control.read_sessions(spark, path).isEmpty()
-    stats = team_stats_log(f"{tmp_path}/stats")
-    stats.write_batch(spark.createDataFrame([("m", "A", None, None, 1)], stats.schema), 0)
+    stats = team_stats(str(tmp_path))
+    start, end = datetime(2024, 1, 1, 12), datetime(2024, 1, 1, 13)
+    row = ("m", "A", start, end, 1, 0, 0, 0, 0, "v1")
+    stats.write_batch(spark.createDataFrame([row], PIECE_SCHEMA), 0)
     assert stats.read(spark).count() == 1
     options = sessions.team_options(teams, "seq")
     first = control.deploy_match(spark, options, "Beta", "Zeta", path, (stats,))

@@ -3,14 +3,19 @@ from __future__ import annotations
 import json
 import time
 from collections import Counter
+from functools import reduce
+from pathlib import Path
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.operators.normalise import normalise
 from touchline.sources import messages
 from touchline.sources.keyed_log import KeyedLog
 from touchline.streaming import jobs, replay
+from touchline.streaming.counts import WindowCounts
 
 
 class Feed:
@@ -101,7 +106,7 @@ def test_pipeline_end_to_end(spark, feed, tmp_path):
     assert live.count() == 6
     assert jobs.read_live_events(spark, f"{root}/live_events", "m", buckets=4).count() == 6
     assert spark.read.parquet(f"{root}/quarantine").count() == 5
-    stats = jobs.team_stats_log(f"{root}/live_team_stats").read(spark)
+    stats = jobs.team_stats(root).read(spark)
     found = {r.team: (r.window_start.timestamp(), r.total_events) for r in stats.collect()}
     assert found == {"A": (60.0, 1), "B": (60.0, 1), "7": (0.0, 1)}
 
@@ -115,11 +120,11 @@ def test_last_write_wins_in_the_raw_log(spark, feed, tmp_path):
 
 
 def windows_after(spark, feed, tmp_path, pushes):
-    log = jobs.window_log(f"{tmp_path}/windows")
+    log = WindowCounts(f"{tmp_path}/windows", "all")
     for seconds in pushes:
         feed.events(*seconds)
     events = messages.valid_events(decoded(spark, feed, 1))
-    query = jobs.start_window_log(events, log, f"{tmp_path}/cp")
+    query = jobs.start_counts(events, log, f"{tmp_path}/cp")
     query.awaitTermination()
     counts = {
         int(r.window_end.timestamp()): r.total_events for r in log.read(spark).collect()
@@ -146,8 +151,8 @@ def test_stream_folds_to_the_batch_result(spark, feed, tmp_path, events, rows):
     for i in range(0, 300, 100):
         for team in "AB":
             feed.events(*[t for _, t, x in by_time[i : i + 100] if x == team], team=team)
-    stats = jobs.team_stats_log(f"{tmp_path}/stats")
-    query = jobs.start_team_stats(
+    stats = WindowCounts(f"{tmp_path}/stats")
+    query = jobs.start_counts(
         messages.valid_events(decoded(spark, feed, 2)), stats, f"{tmp_path}/cp"
     )
     query.awaitTermination()
@@ -155,154 +160,224 @@ def test_stream_folds_to_the_batch_result(spark, feed, tmp_path, events, rows):
 
     columns = ["match_id", "team", "window_start", "window_end", "total_events"]
     assert rows(stats.read(spark), *columns) == rows(latest_window(events(data)), *columns)
-    assert len(stats.batches(spark)) >= 3
+    assert len(batches(stats)) >= 3
     before = rows(stats.read(spark))
-    stats.compact(spark)
-    assert rows(stats.read(spark)) == before
-    stats.vacuum(spark)
-    assert rows(stats.read(spark)) == before and len(stats.batches(spark)) == 1
+    for _ in range(2):
+        stats.compact(spark, "v1")
+        assert rows(stats.read(spark)) == before
+    assert len(folds(stats)) == 1
 
 
-def stats_row(spark, team, end, count):
+def folders(counts, kind):
+    path = Path(counts.path, "counts") if isinstance(counts, WindowCounts) else Path(counts.path)
+    return sorted(int(p.name.split("=")[1]) for p in path.glob(f"run=*/{kind}=*"))
+
+
+def batches(counts):
+    return folders(counts, "batch")
+
+
+def folds(counts):
+    return folders(counts, "fold")
+
+
+def piece(spark, team, end, count, offsets=(0, 0), partition=0, number=0):
+    """Counts of one window of match m, from one piece of the source."""
+    first, last = offsets
     return spark.sql(
         f"SELECT 'm' AS match_id, '{team}' AS team, timestamp_seconds({end - 60}) AS window_start, "
-        f"timestamp_seconds({end}) AS window_end, CAST({count} AS BIGINT) AS total_events"
+        f"timestamp_seconds({end}) AS window_end, CAST({count} AS BIGINT) AS total_events, "
+        f"CAST({partition} AS BIGINT) AS ingest_partition, CAST({number} AS BIGINT) AS piece, "
+        f"CAST({first} AS BIGINT) AS first_offset, CAST({last} AS BIGINT) AS last_offset"
     )
 
 
+def served(spark, counts):
+    return {r.team: r.total_events for r in counts.read(spark).collect()}
+
+
 def test_older_window_arriving_later_does_not_win(spark, tmp_path):
-    log = jobs.team_stats_log(f"{tmp_path}/stats")
-    log.write_batch(stats_row(spark, "A", 160, 5), 1)
-    log.write_batch(stats_row(spark, "A", 140, 9), 2)
-    assert log.read(spark).first().total_events == 5
-    log.write_batch(stats_row(spark, "A", 160, 6), 3)
-    assert log.read(spark).first().total_events == 6
-    fullest = KeyedLog(log.path, log.schema, log.key, jobs.POLICY_ORDER["max"])
-    assert fullest.read(spark).first().total_events == 9
+    counts = WindowCounts(f"{tmp_path}/stats")
+    counts.write_batch(piece(spark, "A", 160, 5), 1)
+    counts.write_batch(piece(spark, "A", 140, 9), 2)
+    assert served(spark, counts) == {"A": 5}
+    counts.write_batch(piece(spark, "A", 160, 6), 3)
+    assert served(spark, counts) == {"A": 6}
+    assert served(spark, WindowCounts(counts.path, "max")) == {"A": 9}
+    assert WindowCounts(counts.path, "all").read(spark).count() == 2
+    with pytest.raises(ValueError):
+        WindowCounts(counts.path, "first")
 
 
 def test_replayed_and_half_written_batches(spark, tmp_path):
-    log = jobs.team_stats_log(f"{tmp_path}/stats")
-    assert log.read(spark).isEmpty() and log.compact(spark) is None
-    assert log.write_batch(stats_row(spark, "A", 60, 1), 0)
-    assert not log.write_batch(stats_row(spark, "A", 60, 99), 0)
-    assert log.read(spark).first().total_events == 1
-    half = f"{log.path}/log/batch_id=1"
-    stats_row(spark, "A", 70, 50).write.parquet(half)
-    (tmp_path / "stats/log/batch_id=1/_SUCCESS").unlink()
-    assert log.read(spark).first().total_events == 1
-    assert log.write_batch(stats_row(spark, "A", 70, 2), 1)
-    assert log.read(spark).first().total_events == 2
-    assert log.compact(spark) == 1 and log.compact(spark) is None
-    assert not log.write_batch(stats_row(spark, "A", 90, 7), 1)
+    log = KeyedLog(f"{tmp_path}/log", piece(spark, "A", 60, 1).schema, ("match_id", "team"))
+    assert log.read(spark).isEmpty() and log.compact(spark, "v1") is None
+    assert log.write_batch(piece(spark, "A", 60, 1), 0)
+    assert not log.write_batch(piece(spark, "A", 60, 99), 0)
+    assert served(spark, log) == {"A": 1}
+    half = tmp_path / "log/run=v1/batch=1"
+    piece(spark, "A", 70, 50).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert served(spark, log) == {"A": 1}
+    assert log.write_batch(piece(spark, "A", 70, 2), 1)
+    assert served(spark, log) == {"A": 2}
+    for _ in range(2):
+        log.compact(spark, "v1")
+        assert folds(log) == [1] and served(spark, log) == {"A": 2}
+    assert not log.write_batch(piece(spark, "A", 90, 7), 1)
     log.truncate(spark)
     assert log.read(spark).isEmpty()
 
 
-def window_batch(row):
-    window = F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end"))
-    return row.select(window.alias("window"), "match_id", "team", "total_events")
-
-
 def test_state_partitions_are_set_for_the_query_only(spark, feed, tmp_path):
     feed.events(1, 2)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    log = jobs.window_log(f"{tmp_path}/windows")
+    log = WindowCounts(f"{tmp_path}/windows", "all")
     events = messages.valid_events(decoded(spark, feed))
-    query = jobs.start_window_log(events, log, f"{tmp_path}/cp", state_partitions=3)
+    query = jobs.start_counts(events, log, f"{tmp_path}/cp", state_partitions=3)
     query.awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert len(list((tmp_path / "cp/state/0").glob("[0-9]*"))) == 3
     assert log.read(spark).count() == 6
 
 
-def test_log_compacts_itself(spark, tmp_path):
-    log = jobs.team_stats_log(f"{tmp_path}/stats")
-    upsert = jobs.upsert_into(log, compact_every=2)
-    for batch_id in range(5):
-        upsert(window_batch(stats_row(spark, "A", 60 + 10 * batch_id, batch_id)), batch_id)
-        assert log.uncompacted(spark) < 2
-        assert log.read(spark).first().total_events == batch_id
-    assert sorted(log.snapshots(spark)) == [1, 3]
+def test_counts_fold_themselves(spark, tmp_path):
+    counts = WindowCounts(f"{tmp_path}/stats")
+    write = jobs.write_counts(counts, "v1", compact_every=2)
+    for batch_id in range(7):
+        write(piece(spark, "A", 60 + 10 * batch_id, 1 + batch_id), batch_id)
+        assert served(spark, counts) == {"A": 1 + batch_id}
+        assert len(batches(counts)) <= 4
+    # The batches of the newest fold stay for readers that have listed them.
+    assert folds(counts) == [3, 5] and batches(counts) == [4, 5, 6]
+    assert counts.log._rows(spark).where("batch <= 3").count() == 1
 
 
 @pytest.mark.parametrize("every", [0, 1, 2])
 def test_an_older_run_goes_on_beside_a_folded_newer_one(spark, tmp_path, every):
-    log = jobs.team_stats_log(f"{tmp_path}/stats")
-    older, newer = jobs.upsert_into(log, every, run=0), jobs.upsert_into(log, every, run=1)
-    older(window_batch(stats_row(spark, "A", 60, 1)), 0)
+    counts = WindowCounts(f"{tmp_path}/stats")
+    older, newer = (jobs.write_counts(counts, run, every) for run in ("v1", "v2"))
+    older(piece(spark, "A", 60, 1), 0)
     for batch_id in range(4):
-        newer(window_batch(stats_row(spark, "B", 60 + 10 * batch_id, batch_id)), batch_id)
+        newer(piece(spark, "B", 60 + 10 * batch_id, 1 + batch_id, (0, batch_id)), batch_id)
     for batch_id, team in enumerate("CDEF", 1):
-        older(window_batch(stats_row(spark, team, 60, 7)), batch_id)
-        older(window_batch(stats_row(spark, team, 60, 99)), batch_id)
-    newer(window_batch(stats_row(spark, "B", 100, 9)), 4)
-    found = {r.team: r.total_events for r in log.read(spark).collect()}
-    assert found == {"A": 1, "B": 9, "C": 7, "D": 7, "E": 7, "F": 7}
-    assert not every or log.uncompacted(spark, 0) < every
-
-
-def test_the_counts_of_a_version_that_goes_on_are_the_later_ones(spark, feed, tmp_path):
-    root = f"{tmp_path}/live"
-    log = jobs.team_stats_log(f"{root}/live_team_stats")
-
-    def counts(version):
-        *earlier, run = jobs.start_numbers(spark, root, version)
-        jobs.start_team_stats(
-            messages.valid_events(decoded(spark, feed)), log, f"{root}/checkpoints/{version}/stats",
-            compact_every=1, run=run, earlier=tuple(earlier),
-        ).awaitTermination()
-        return {r.team: r.total_events for r in log.read(spark).collect()}
+        older(piece(spark, team, 60, 7, (0, 6), batch_id), batch_id)
+        older(piece(spark, team, 60, 99, (0, 6), batch_id), batch_id)
+    newer(piece(spark, "B", 100, 9, (0, 8)), 4)
+    assert served(spark, counts) == {"A": 1, "B": 9, "C": 7, "D": 7, "E": 7, "F": 7}
+
+
+def test_runs_add_up_by_offsets(spark, tmp_path):
+    counts = WindowCounts(f"{tmp_path}/stats")
+
+    def write(run, batch_id, *pieces):
+        parts = [piece(spark, "A", 60, n, offsets, *place) for n, offsets, *place in pieces]
+        counts.write_batch(reduce(DataFrame.unionByName, parts), batch_id, run)
+        return served(spark, counts)["A"]
+
+    assert write("v1", 0, (5, (0, 9))) == 5
+    # The second run has started at the newest message, in mid-window and in mid-piece.
+    assert write("v2", 0, (2, (10, 13))) == 7
+    assert write("v2", 1, (3, (10, 15)), (4, (200, 220), 0, 1)) == 12
+    # The first one goes on: it counts what the second one has counted as well.
+    assert write("v1", 1, (8, (0, 15)), (1, (200, 202), 0, 1)) == 12
+    assert write("v1", 2, (9, (0, 30)), (4, (200, 220), 0, 1), (1, (0, 0), 1)) == 14
+    # A third one reads everything again.
+    assert write("v3", 0, (9, (0, 30)), (1, (0, 0), 1)) == 14
+    for run in ("v1", "v2", "v3"):
+        counts.compact(spark, run)
+        assert served(spark, counts) == {"A": 14}
+
+
+def test_a_version_that_starts_in_mid_window_adds_to_the_one_before(spark, feed, tmp_path):
+    counts = WindowCounts(f"{tmp_path}/stats")
+
+    def run(version, pattern):
+        source = messages.file_stream(spark, f"{feed.folder}/{pattern}")
+        events = messages.valid_events(messages.decode(source))
+        jobs.start_counts(events, counts, f"{tmp_path}/cp-{version}", run=version).awaitTermination()
+        return served(spark, counts)
+
+    feed.events(1, 2, 3, 4, 5)
+    assert run("v1", "*") == {"A": 5}
+    feed.events(6, 7)
+    assert run("v2", "00[2-9].json") == {"A": 7}
+    feed.events(8)
+    assert run("v1", "*") == {"A": 8}
+    feed.events(9, 9.5)
+    feed.events(9, team="B")
+    assert run("v2", "00[2-9].json") == {"A": 10, "B": 1}
+    assert run("v1", "*") == run("v3", "*") == {"A": 10, "B": 1}
+
+
+def test_a_reset_lets_counts_start_again(spark, feed, tmp_path):
+    from touchline.sources import control
 
-    feed.events(1, 2)
-    assert counts("v1") == counts("v2") == {"A": 2}
-    feed.events(3, 4)
-    feed.events(5, team="B")
-    assert counts("v1") == {"A": 4, "B": 1}
-    assert jobs.start_numbers(spark, root, "v1") == (0, 2)
-    feed.events(6)
-    assert counts("v2") == {"A": 5, "B": 1}
-    assert jobs.start_numbers(spark, root, "v2") == (1, 3) and jobs.run_number(spark, root, "v2") == 1
+    counts = jobs.team_stats(str(tmp_path))
 
+    def now():
+        events = messages.valid_events(decoded(spark, feed))
+        jobs.start_counts(events, counts, f"{tmp_path}/cp").awaitTermination()
+        return sorted((r.match_id, r.team, r.total_events) for r in counts.read(spark).collect())
 
-def test_a_replay_under_a_further_number_changes_nothing(spark, tmp_path):
-    log = jobs.team_stats_log(f"{tmp_path}/stats")
-    jobs.upsert_into(log, 1, run=0)(window_batch(stats_row(spark, "A", 60, 1)), 5)
-    jobs.upsert_into(log, 1, run=1)(window_batch(stats_row(spark, "A", 60, 3)), 5)
-    jobs.upsert_into(log, 1, run=2, earlier=(0,))(window_batch(stats_row(spark, "A", 60, 1)), 5)
-    assert log.read(spark).first().total_events == 3 and len(log.batches(spark)) == 2
+    feed.events(1, 2, 3)
+    feed.events(1, match="n")
+    assert now() == [("m", "A", 3), ("n", "A", 1)]
+    control.reset_session(spark, f"{tmp_path}/resets", "m", counts)
+    assert now() == [("n", "A", 1)]
+    feed.events(4)
+    feed.events(4, team="B")
+    assert now() == [("m", "A", 1), ("m", "B", 1), ("n", "A", 1)]
+    control.reset_session(spark, f"{tmp_path}/resets", "m", counts)
+    feed.events(5, 70)
+    assert now() == [("m", "A", 1), ("n", "A", 1)]
+    counts.compact(spark, "v1")
+    assert now() == [("m", "A", 1), ("n", "A", 1)]
 
 
 def test_callback_runs_twice_without_change(spark, tmp_path):
-    log = jobs.team_stats_log(f"{tmp_path}/stats")
-    batch = window_batch(
-        stats_row(spark, "A", 60, 1).unionByName(stats_row(spark, "A", 70, 3))
-    )
-    upsert = jobs.upsert_into(log)
-    upsert(batch, 4)
-    upsert(batch, 4)
-    upsert(batch.filter("false"), 5)
-    assert list(log.batches(spark)) == [4]
-    assert log.read(spark).first().total_events == 3
-
-
-def test_enrichment_sees_reloaded_dimensions(spark, feed, tmp_path):
-    teams = {"A": "Old"}
-
-    def dimensions():
-        return (
-            spark.createDataFrame(list(teams.items()), "team_id string, official_name string"),
-            spark.createDataFrame([("1", "One")], "player_id string, short_name string"),
-        )
+    counts = WindowCounts(f"{tmp_path}/stats")
+    batch = piece(spark, "A", 60, 1).unionByName(piece(spark, "A", 70, 3))
+    write = jobs.write_counts(counts, "v1")
+    write(batch, 4)
+    write(batch, 4)
+    write(batch.filter("false"), 5)
+    assert batches(counts) == [4]
+    assert served(spark, counts) == {"A": 3}
+
+
+def test_names_are_those_of_the_time_an_event_came_in(spark, feed, tmp_path):
+    warehouse = f"{tmp_path}/warehouse"
+    published = jobs.ServingFrames(warehouse)
+
+    def publish(team, player):
+        for table, row in ((schemas.TEAMS, ("A", team)), (schemas.PLAYERS, ("1", player))):
+            key, name = table.key[0], "official_name" if table is schemas.TEAMS else "short_name"
+            frame = spark.createDataFrame([row], f"{key} string, {name} string")
+            published.publish(table.name, normalise(frame, table))
+
+    def names(folder):
+        log = jobs.enriched_log(f"{tmp_path}/{folder}")
+        jobs.start_enriched(
+            messages.valid_events(decoded(spark, feed)),
+            jobs.published_dimensions(spark, warehouse),
+            log,
+            f"{tmp_path}/{folder}-cp",
+        ).awaitTermination()
+        found = log.read(spark).orderBy("timestamp").collect()
+        return [(r.team_name, r.player_name) for r in found]
 
-    log = jobs.enriched_log(f"{tmp_path}/enriched")
-    for second in (1, 2):
-        feed.events(second)
-        source = messages.valid_events(decoded(spark, feed))
-        jobs.start_enriched(source, dimensions, log, f"{tmp_path}/cp").awaitTermination()
-        teams["A"] = "New"
-    found = log.read(spark).orderBy("timestamp").collect()
-    assert [(r.team_name, r.player_name) for r in found] == [("Old", "One"), ("New", "One")]
+    feed.events(1)
+    assert names("early") == [("A", "1")]
+    publish("Old", "One")
+    feed.events(2)
+    assert names("later") == [("Old", "One"), ("Old", "One")]
+    publish("New", "Uno")
+    feed.events(3)
+    expected = [("Old", "One"), ("Old", "One"), ("New", "Uno")]
+    assert names("later") == expected
+    # A run after the fact gives every event the same names.
+    assert names("again") == expected
 
 
 def test_the_last_line_of_a_key_wins_everywhere(spark, feed, tmp_path):
@@ -319,7 +394,7 @@ def test_the_last_line_of_a_key_wins_everywhere(spark, feed, tmp_path):
     players = spark.createDataFrame([], "player_id string, short_name string")
     log = jobs.enriched_log(f"{tmp_path}/enriched")
     jobs.start_enriched(
-        messages.valid_events(source()), lambda: (teams, players), log, f"{tmp_path}/cp"
+        messages.valid_events(source()), lambda low, high: (teams, players), log, f"{tmp_path}/cp"
     ).awaitTermination()
     jobs.append_events(source(), f"{tmp_path}/raw", f"{tmp_path}/cp-raw").awaitTermination()
     assert [r.team for r in log.read(spark).collect()] == ["B"]
@@ -334,10 +409,10 @@ def test_enriched_log_stays_short(spark, feed, tmp_path):
     players = spark.createDataFrame([], "player_id string, short_name string")
     log = jobs.enriched_log(f"{tmp_path}/enriched")
     jobs.start_enriched(
-        source, lambda: (teams, players), log, f"{tmp_path}/cp", compact_every=2
+        source, lambda low, high: (teams, players), log, f"{tmp_path}/cp", compact_every=2
     ).awaitTermination()
     assert log.read(spark).count() == 12
-    assert len(log.batches(spark)) <= 4 and len(log.snapshots(spark)) <= 2
+    assert len(batches(log)) <= 4 and len(folds(log)) <= 2
 
 
 def test_a_bucket_writes_few_files(spark, feed, tmp_path):
@@ -382,14 +457,13 @@ def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
     )
     players = spark.createDataFrame([("1", "P. One")], "player_id string, short_name string")
     facts = spark.createDataFrame([("x",)] * 10, "match_id string")
-    serving = jobs.ServingFrames(f"{root}/views")
+    serving = jobs.ServingViews(f"{root}/views")
 
-    def load_inputs():
-        current = control.current_session(spark, control_path)
+    def load_inputs(sessions, touched):
         return Inputs(
-            live=jobs.read_live_events(spark, f"{root}/live_events", sessions=current),
-            stats=jobs.team_stats_log(f"{root}/live_team_stats").read(spark),
-            sessions=current,
+            live=jobs.read_live_events(spark, f"{root}/live_events", sessions=sessions),
+            stats=jobs.team_stats(root).read(spark),
+            sessions=sessions,
             teams=teams,
             players=players,
             facts=facts,
@@ -404,7 +478,8 @@ def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
         ):
             query.awaitTermination()
         jobs.start_refresh(
-            messages.valid_events(decoded(spark, feed)),
+            jobs.changes(spark, root),
+            lambda: control.current_session(spark, control_path),
             load_inputs,
             serving,
             f"{tmp_path}/cp",
@@ -421,6 +496,90 @@ def test_dashboard_follows_the_control_document(spark, feed, tmp_path):
         assert serving.read(spark, "actions").first().marker == "o"
 
 
+def test_a_refresh_rewrites_the_buckets_of_changed_matches(spark, feed, tmp_path, rows):
+    from touchline.sources import control
+
+    root, warehouse = f"{tmp_path}/live", f"{tmp_path}/warehouse"
+    published = jobs.ServingFrames(warehouse)
+    teams = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "team_id string, official_name string")
+    published.publish("teams", normalise(teams, schemas.TEAMS))
+    options = teams.select("official_name", "team_id")
+    matches = [control.deploy_match(spark, options, "Alpha", "Beta", f"{root}/control") for _ in range(5)]
+
+    def run(version="v1"):
+        source = messages.file_stream(spark, str(feed.folder))
+        for query in jobs.start_all(source, root, version=version):
+            query.awaitTermination()
+        jobs.start_views(spark, root, warehouse, jobs.Trigger(), version).awaitTermination()
+
+    def written():
+        return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in Path(root, "views").rglob("*.parquet")}
+
+    def bucket(match):
+        column = jobs.match_bucket(F.lit(match), jobs.RAW_BUCKETS)
+        return f"{jobs.BUCKET}={spark.range(1).select(column).first()[0]}/"
+
+    def changed(before):
+        now = written()
+        return {p.split("/")[2] + "/" for p in before.keys() ^ now.keys()}
+
+    serving = jobs.ServingViews(f"{root}/views")
+    for match in matches:
+        feed.events(1, 2, match=match)
+        feed.events(3, team="B", match=match)
+    run()
+    assert serving.read(spark, "feed").count() == 15
+    assert serving.read(spark, "possession").count() == 5
+
+    before = written()
+    feed.events(5, match=matches[0])
+    run()
+    assert changed(before) == {bucket(matches[0])}
+    assert serving.read(spark, "feed").count() == 16
+
+    before = written()
+    feed.events(6, match="another")
+    run()
+    assert changed(before) == set()
+
+    # A reset empties the views of its match; a reset alone waits for the next message.
+    control.reset_session(spark, f"{root}/resets", matches[1], jobs.team_stats(root))
+    before = written()
+    feed.events(7, match="another")
+    run()
+    assert changed(before) == {bucket(matches[1])}
+    assert {r.match_id for r in serving.read(spark, "feed").collect()} == set(matches) - {matches[1]}
+    assert serving.read(spark, "possession").count() == 4
+
+    # A new load of names reaches all views.
+    published.publish("teams", normalise(teams.replace("Alpha", "Omega"), schemas.TEAMS))
+    feed.events(8, match="another")
+    run()
+    assert {r.Team for r in serving.read(spark, "feed").collect()} == {"Omega", "Beta"}
+
+    names = ("possession", "feed", "actions", "radar", "radar_counts", "baseline")
+    views = {name: serving.read(spark, name) for name in names}
+    rebuilt = jobs.ServingViews(f"{tmp_path}/again/views")
+    shown = control.read_sessions(spark, f"{root}/control")
+    from touchline.plans.dashboard import Inputs, live_frame
+    from touchline.plans.dashboard import views as all_views
+
+    inputs = Inputs(
+        jobs.read_live_events(
+            spark, f"{root}/live_events", buckets=jobs.RAW_BUCKETS,
+            resets=control.read_resets(spark, f"{root}/resets"),
+        ),
+        jobs.team_stats(root).read(spark), shown, published.read(spark, "teams"),
+        spark.createDataFrame([], "player_id string, short_name string"),
+        spark.createDataFrame([], schemas.FACTS.schema),
+    )
+    for name, view in all_views(inputs, live_frame(inputs)).items():
+        if name in views:
+            columns = view.columns
+            assert rows(views[name], *columns) == rows(view, *columns), name
+    assert rebuilt.read(spark, "feed").count() == 0
+
+
 def test_match_ids_stay_text_and_prune_folders(spark, feed, tmp_path):
     for match in ("007", "2024-01-02", "7"):
         feed.events(1, match=match)

@@ -30,7 +30,8 @@ def set_up(spark: SparkSession, options: argparse.Namespace) -> None:
 def load(spark: SparkSession, options: argparse.Namespace) -> None:
     """Facts are appended. Dimensions are merged by key with what was loaded before, the
     newest row of a key winning, and published as a new version; one without CSV files
-    stays as it is. The historical mean is stored, so that live views needn't read facts."""
+    stays as it is. Events per match are stored for each load, and the mean over all loads: live
+    views needn't read facts, and a load reads none but its own."""
     published = jobs.ServingFrames(options.warehouse)
     for name, pattern in DIMENSION_FILES.items():
         table = schemas.WAREHOUSE[name]
@@ -46,14 +47,16 @@ def load(spark: SparkSession, options: argparse.Namespace) -> None:
     target = f"{options.warehouse}/{schemas.FACTS.name}"
     report = tables.append(facts, target, schemas.FACTS, layout="ranged")
     stored = spark.read.schema(schemas.FACTS.schema).parquet(target)
-    published.publish("average", baseline.historical_average(stored))
+    counted = f"{options.warehouse}/events_per_match"
+    new = baseline.events_per_match(facts if files.exists(spark, counted) else stored)
+    new.write.mode("append").parquet(counted)
+    published.publish("average", baseline.average_of(spark.read.schema(new.schema).parquet(counted)))
     print(f"appended {report.rows} events to {report.target}")
 
 
 def deploy(spark: SparkSession, options: argparse.Namespace) -> None:
     teams = jobs.ServingFrames(options.warehouse).read(spark, "teams", schemas.TEAMS.schema)
-    stats = jobs.team_stats_log(f"{options.root}/live_team_stats")
-    live_tables = (stats,) if options.truncate else ()
+    live_tables = (jobs.team_stats(options.root),) if options.truncate else ()
     session = control.deploy_match(
         spark,
         team_options(teams),
@@ -66,7 +69,8 @@ def deploy(spark: SparkSession, options: argparse.Namespace) -> None:
 
 
 def reset(spark: SparkSession, options: argparse.Namespace) -> None:
-    control.reset_session(spark, f"{options.root}/resets", options.session)
+    counts = jobs.team_stats(options.root)
+    control.reset_session(spark, f"{options.root}/resets", options.session, counts)
 
 
 def stream(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -80,11 +84,32 @@ def stream(spark: SparkSession, options: argparse.Namespace) -> None:
         options.buckets,
         options.state_partitions,
     )
-    if options.every:
-        jobs.await_any(spark)
-    else:
+    if not options.every:
         for query in queries:
             query.awaitTermination()
+        queries = []
+    if options.names:
+        events = messages.valid_events(messages.decode(source))
+        queries.append(
+            jobs.start_enriched(
+                events,
+                jobs.published_dimensions(spark, options.warehouse),
+                jobs.enriched_log(f"{options.root}/named_events"),
+                f"{options.root}/checkpoints/{options.version}/named",
+                trigger,
+                options.version,
+            )
+        )
+    if options.views:
+        queries.append(
+            jobs.start_views(
+                spark, options.root, options.warehouse, trigger, options.version, options.buckets
+            )
+        )
+    if options.every:
+        jobs.await_any(spark)
+    for query in queries:
+        query.awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -121,13 +146,19 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--every", help="trigger interval; without it, take what is there")
     command.add_argument("--version", default="v1", help="checkpoint version")
     command.add_argument("--buckets", type=int, default=jobs.RAW_BUCKETS, help="match buckets of the raw log")
+    command.add_argument("--warehouse", help="folder of the loaded history, for names and views")
+    command.add_argument("--names", action="store_true", help="log the events with their names")
+    command.add_argument("--views", action="store_true", help="keep the dashboard views current")
     command.add_argument("--state-partitions", type=int, help="fixed by the first run")
     command.set_defaults(run=stream)
     return top
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
-    options = parser().parse_args(arguments)
+    top = parser()
+    options = top.parse_args(arguments)
+    if options.command == "stream" and (options.names or options.views) and not options.warehouse:
+        top.error("--names and --views need --warehouse")
     options.run(spark or build_session(), options)
 
 

@@ -10,6 +10,26 @@ from touchline.functions import display
 from touchline.operators.enrich import in_session
 
 
+def events_per_match(facts: DataFrame) -> DataFrame:
+    """(match_id, n): what a load adds to the mean; counts of several loads add up."""
+    return facts.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def average_of(
+    counts: DataFrame, fallback: int = schemas.FALLBACK_EVENTS_PER_MATCH
+) -> DataFrame:
+    """:func:`historical_average` from the :func:`events_per_match` of any number of loads."""
+    return _average(counts.groupBy("match_id").agg(F.sum("n").alias("n")), fallback)
+
+
+def _average(per_match: DataFrame, fallback: int) -> DataFrame:
+    mean = F.try_divide(F.sum("n"), F.count("match_id"))
+    return per_match.agg(
+        mean.alias("average_exact"),
+        F.coalesce(mean.cast("int"), F.lit(fallback)).alias("historical_avg"),
+    )
+
+
 def historical_average(
     facts: DataFrame, fallback: int = schemas.FALLBACK_EVENTS_PER_MATCH
 ) -> DataFrame:
@@ -18,12 +38,7 @@ def historical_average(
     Counting per match first makes the distinct count a plain aggregate with a
     map-side combine.
     """
-    per_match = facts.groupBy("match_id").agg(F.count(F.lit(1)).alias("n"))
-    mean = F.try_divide(F.sum("n"), F.count("match_id"))
-    return per_match.agg(
-        mean.alias("average_exact"),
-        F.coalesce(mean.cast("int"), F.lit(fallback)).alias("historical_avg"),
-    )
+    return _average(events_per_match(facts), fallback)
 
 
 def live_counts(

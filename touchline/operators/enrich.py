@@ -34,6 +34,38 @@ def with_names(events: DataFrame, teams: DataFrame, players: DataFrame) -> DataF
     return with_player_name(with_team_name(events, teams), players)
 
 
+def _as_of(events: DataFrame, names: DataFrame, key: str, time: str) -> DataFrame:
+    """Left join by ``key`` of the name that was valid at ``time``."""
+    if "valid_from" not in names.columns:
+        return events.join(names, key, "left")
+    n = names.withColumnRenamed(key, "__key")
+    begun = F.col("valid_from").isNull() | (F.col(time) >= F.col("valid_from"))
+    open_ = F.col("valid_to").isNull() | (F.col(time) < F.col("valid_to"))
+    valid = (events[key] == n["__key"]) & begun & open_
+    return events.join(n, valid, "left").drop("__key", "valid_from", "valid_to")
+
+
+def with_names_as_of(
+    events: DataFrame, teams: DataFrame, players: DataFrame, time: str = "ingest_time"
+) -> DataFrame:
+    """Both names, each as it was valid at ``time``.
+
+    Dimensions with ``valid_from`` and ``valid_to`` hold one row per key and version; without
+    these columns, one row per key that is always valid.
+    """
+    span = [c for c in ("valid_from", "valid_to") if c in teams.columns]
+    team = teams.select(F.col("team_id").cast("string").alias("team"), "official_name", *span)
+    span = [c for c in ("valid_from", "valid_to") if c in players.columns]
+    player = players.select(F.col("player_id").cast("string").alias("player_id"), "short_name", *span)
+    named = _as_of(_as_of(events, team, "team", time), player, "player_id", time)
+    return named.withColumns(
+        {
+            "team_name": F.coalesce("official_name", "team"),
+            "player_name": F.coalesce("short_name", "player_id"),
+        }
+    ).drop("official_name", "short_name")
+
+
 def in_session(events: DataFrame, sessions: DataFrame) -> DataFrame:
     """Events of the two teams of their session, with the session's names."""
     named = sessions.select("match_id", "team_a_id", "team_a_name", "team_b_id", "team_b_name")

@@ -28,6 +28,7 @@ from touchline.session import scratch_path
 from touchline.sources import control, csvfiles, messages, tables
 from touchline.sources.keyed_log import KeyedLog
 from touchline.streaming import jobs, replay
+from touchline.streaming.counts import WindowCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -309,7 +310,7 @@ def event_log_upsert(spark, sf_dir):
 
 @query
 def keyed_log_compaction(spark, sf_dir):
-    """The same upserts through a keyed log: batches, a snapshot, a replay."""
+    """The same upserts through a keyed log: batches, a fold, a replay."""
     rows = _hourly(spark, sf_dir)
     log = KeyedLog(
         scratch_path(spark, "keyed-log"),
@@ -319,7 +320,7 @@ def keyed_log_compaction(spark, sf_dir):
     )
     late = F.col("event_type") == "shot"
     log.write_batch(rows.filter(~late), 0)
-    log.compact(spark)
+    log.compact(spark, "v1")
     log.write_batch(rows.filter(late), 1)
     log.write_batch(rows.filter(late), 1)
     return log.read(spark)
@@ -327,12 +328,25 @@ def keyed_log_compaction(spark, sf_dir):
 
 @query
 def session_reset(spark, sf_dir):
-    """Every session is reset at noon of its day."""
-    events = standins.live_events(spark, sf_dir).withColumnRenamed("event_time", "ingest_time")
-    resets = standins.sessions(spark, sf_dir).select(
-        "match_id", F.expr("to_timestamp(match_id) + INTERVAL 12 HOURS").alias("reset_at")
+    """Every session is reset at noon of its day; the live events after that."""
+    root = scratch_path(spark, "reset")
+    events = standins.live_events(spark, sf_dir)
+    raw = events.select(
+        *schemas.EVENT_SCHEMA.fieldNames(),
+        F.col("event_time").alias("ingest_time"),
+        F.lit(0).cast("long").alias("ingest_partition"),
+        F.col("event_id").cast("long").alias("ingest_offset"),
+        jobs.match_bucket(F.col("match_id"), jobs.RAW_BUCKETS).alias(jobs.BUCKET),
+    )
+    raw.write.partitionBy(jobs.BUCKET).parquet(f"{root}/live_events")
+    noon = F.expr("to_timestamp(match_id) + INTERVAL 12 HOURS").alias("reset_at")
+    standins.sessions(spark, sf_dir).select("match_id", noon).write.json(f"{root}/resets")
+    kept = jobs.read_live_events(
+        spark,
+        f"{root}/live_events",
+        buckets=jobs.RAW_BUCKETS,
+        resets=control.read_resets(spark, f"{root}/resets"),
     )
-    kept = control.after_resets(events, resets)
     return kept.groupBy("match_id").agg(
         F.count(F.lit(1)).alias("events"), F.min("timestamp").alias("first_ts")
     )
@@ -519,25 +533,65 @@ def _stream(spark: SparkSession, folder: str) -> DataFrame:
     return messages.valid_events(messages.decode(messages.file_stream(spark, folder)))
 
 
+def _count(spark: SparkSession, folder: str, counts: WindowCounts, run: str = "v1", **options):
+    """Take in what is new for a run, into wide windows."""
+    return jobs.start_counts(
+        _stream(spark, folder),
+        counts,
+        f"{counts.path}-checkpoint/{run}",
+        **WIDE,
+        state_partitions=_cores(spark),
+        run=run,
+        **options,
+    )
+
+
 @query
 def team_stats_upsert_stream(spark, sf_dir):
     """All events replayed as JSON in two steps into the keyed team counts."""
     root = scratch_path(spark, "team-stats")
-    log = jobs.team_stats_log(f"{root}/stats")
+    counts = jobs.team_stats(root)
     events = _wire_events(spark, sf_dir)
     replay.replay(
         events,
         replay.time_slices(events, 2),
         f"{root}/messages",
-        lambda: jobs.start_team_stats(
-            _stream(spark, f"{root}/messages"),
-            log,
-            f"{root}/checkpoint",
-            **WIDE,
-            state_partitions=_cores(spark),
-        ),
+        lambda: _count(spark, f"{root}/messages", counts),
     )
-    return _windows(log.read(spark))
+    return _windows(counts.read(spark))
+
+
+@query
+def checkpoint_version_stream(spark, sf_dir):
+    """Two checkpoints take turns over four parts of the events, and end in mid-window.
+
+    The newer one starts at the newest message, as a queue lets it; the older one meets what it
+    has missed when it goes on. The fourth part is counted by the newer one only.
+    """
+    root = scratch_path(spark, "versions")
+    counts = jobs.team_stats(root)
+    events = _wire_events(spark, sf_dir)
+    turns = [("v1", "*"), ("v2", "[2-4]"), ("v1", "*"), ("v2", "[2-4]")]
+    for part, (condition, (run, seen)) in enumerate(zip(replay.time_slices(events, 4), turns), 1):
+        messages.produce(messages.encode(events.filter(condition)), "files", f"{root}/messages/{part}")
+        _count(spark, f"{root}/messages/{seen}", counts, run).awaitTermination()
+    return _windows(counts.read(spark))
+
+
+@query
+def reset_counts_stream(spark, sf_dir):
+    """The match of the middle of the time is reset between two parts: its counts start again."""
+    root = scratch_path(spark, "reset-counts")
+    counts = jobs.team_stats(root)
+    events = _wire_events(spark, sf_dir)
+    middle = events.agg(F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2)
+    match_id = middle.select(F.timestamp_seconds(F.col(middle.columns[0])).cast("date").cast("string"))
+    for part, condition in enumerate(replay.time_slices(events, 2)):
+        if part:
+            control.reset_session(spark, f"{root}/resets", match_id.first()[0], counts)
+        messages.produce(messages.encode(events.filter(condition)), "files", f"{root}/messages")
+        _count(spark, f"{root}/messages", counts).awaitTermination()
+    return _windows(counts.read(spark))
 
 
 #: Delay of the late-event query: events of the last ten days still count.
@@ -548,22 +602,15 @@ LATE_DELAY = "10 days"
 def late_event_policy(spark, sf_dir):
     """All fouls arrive after everything else; expired windows no longer take them."""
     root = scratch_path(spark, "late")
-    log = jobs.window_log(f"{root}/windows")
+    counts = jobs.team_stats(root, "all")
     late = F.col("event_type") == "foul"
     replay.replay(
         _wire_events(spark, sf_dir),
         iter([~late, late]),
         f"{root}/messages",
-        lambda: jobs.start_window_log(
-            _stream(spark, f"{root}/messages"),
-            log,
-            f"{root}/checkpoint",
-            **WIDE,
-            delay=LATE_DELAY,
-            state_partitions=_cores(spark),
-        ),
+        lambda: _count(spark, f"{root}/messages", counts, delay=LATE_DELAY),
     )
-    return _windows(log.read(spark))
+    return _windows(counts.read(spark))
 
 
 @query
@@ -592,14 +639,42 @@ def enriched_stream(spark, sf_dir):
     log = jobs.enriched_log(f"{root}/events")
     jobs.start_enriched(
         _stream(spark, f"{root}/messages"),
-        lambda: _dimensions(spark, sf_dir),
+        lambda low, high: _dimensions(spark, sf_dir),
         log,
         f"{root}/checkpoint",
     ).awaitTermination()
     return log.read(spark).drop(*messages.INGEST_COLUMNS)
 
 
-def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
+@query
+def dim_reload(spark, sf_dir):
+    """Names as they were when an event came in: the dimensions change between two parts.
+
+    The stream runs after both parts have come, so that it can't tell by its own time.
+    """
+    root = scratch_path(spark, "reload")
+    published = jobs.ServingFrames(f"{root}/warehouse")
+    events = _wire_events(spark, sf_dir)
+    for part, condition in enumerate(replay.time_slices(events, 2)):
+        for table, name, rows in (
+            (schemas.TEAMS, "official_name", standins.teams(spark, sf_dir)),
+            (schemas.PLAYERS, "short_name", standins.players(spark, sf_dir)),
+        ):
+            whole = normalise.normalise(rows, table)
+            prefix = F.lit("New " if part else "")
+            published.publish(table.name, whole.withColumn(name, F.concat(prefix, name)))
+        messages.produce(messages.encode(events.filter(condition)), "files", f"{root}/messages")
+    log = jobs.enriched_log(f"{root}/events")
+    jobs.start_enriched(
+        _stream(spark, f"{root}/messages"),
+        jobs.published_dimensions(spark, f"{root}/warehouse"),
+        log,
+        f"{root}/checkpoint",
+    ).awaitTermination()
+    return log.read(spark).drop(*messages.INGEST_COLUMNS)
+
+
+def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingViews:
     """Messages through the raw log and the team counts into the dashboard views."""
     root = scratch_path(spark, "dashboard")
     messages.produce(messages.encode(_wire_events(spark, sf_dir)), "files", f"{root}/messages")
@@ -608,17 +683,20 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
         started.awaitTermination()
     teams, players = _dimensions(spark, sf_dir)
 
-    sessions = standins.sessions(spark, sf_dir)
     history = jobs.ServingFrames(f"{root}/history")
     history.publish("average", baseline.historical_average(standins.facts(spark, sf_dir)))
     average = history.read(spark, "average")
 
-    def load_inputs() -> dashboard.Inputs:
+    def load_inputs(sessions: DataFrame, touched: list[int]) -> dashboard.Inputs:
         return dashboard.Inputs(
             live=jobs.read_live_events(
-                spark, f"{root}/live_events", buckets=jobs.RAW_BUCKETS, sessions=sessions
+                spark,
+                f"{root}/live_events",
+                buckets=jobs.RAW_BUCKETS,
+                sessions=sessions,
+                only=touched,
             ),
-            stats=jobs.team_stats_log(f"{root}/live_team_stats").read(spark),
+            stats=jobs.team_stats(root).read(spark),
             sessions=sessions,
             teams=teams,
             players=players,
@@ -626,9 +704,10 @@ def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingFrames:
             average=average,
         )
 
-    serving = jobs.ServingFrames(f"{root}/views")
+    serving = jobs.ServingViews(f"{root}/views")
     jobs.start_refresh(
-        _stream(spark, f"{root}/messages"),
+        jobs.changes(spark, root),
+        lambda: standins.sessions(spark, sf_dir),
         load_inputs,
         serving,
         f"{root}/checkpoints/v1/views",

@@ -141,6 +141,21 @@ latest AS (
   GROUP BY ALL)
 """
 
+_MIDDLE = """
+middle AS (
+  SELECT min("timestamp") + (max("timestamp") - min("timestamp")) / 2 AS half FROM {events})
+"""
+#: The match of the middle starts again there.
+_RESET = (
+    _MIDDLE.format(events="arrived")
+    + """,
+ev AS (
+  SELECT arrived.* FROM arrived, middle
+  WHERE "timestamp" >= half
+     OR match_id <> strftime(make_timestamp(CAST(half * 1e6 AS BIGINT)), '%Y-%m-%d'))
+"""
+)
+
 _CARD = """
 card AS (
   SELECT match_id, team_a_id, team_b_id, a.total_events AS events_a, b.total_events AS events_b,
@@ -424,6 +439,12 @@ ORACLE: dict[str, str] = {
          FROM orders""",
     "team_stats_upsert_stream": _with(_EVENTS, _WIDE, _LATEST)
     + f"SELECT {_WINDOW_COLUMNS} FROM latest",
+    "checkpoint_version_stream": _with(_EVENTS, _WIDE, _LATEST)
+    + f"SELECT {_WINDOW_COLUMNS} FROM latest",
+    "reset_counts_stream": _with(
+        _EVENTS.replace("ev AS", "arrived AS"), _RESET, _WIDE, _LATEST
+    )
+    + f"SELECT {_WINDOW_COLUMNS} FROM latest",
     "late_event_policy": _with(
         _EVENTS,
         """
@@ -445,6 +466,14 @@ mark AS (
                 coalesce(short_name, ev.player_id) AS player_name
          FROM ev LEFT JOIN teams ON team = team_id
          LEFT JOIN players ON ev.player_id = players.player_id""",
+    "dim_reload": _with(_EVENTS, _DIMS, _MIDDLE.format(events="ev"))
+    + """SELECT match_id, "timestamp", team, ev.player_id, event_type, x_coord, y_coord,
+                coalesce(CASE WHEN "timestamp" < half THEN '' ELSE 'New ' END || official_name,
+                         team) AS team_name,
+                coalesce(CASE WHEN "timestamp" < half THEN '' ELSE 'New ' END || short_name,
+                         ev.player_id) AS player_name
+         FROM ev CROSS JOIN middle LEFT JOIN teams ON team = team_id
+         LEFT JOIN players ON ev.player_id = players.player_id""",
     "dashboard_refresh": _with(_FRAME)
     + """SELECT match_id, position, team_name AS "Team", player_name AS "Player",
                 event_type AS "Event", live_events,

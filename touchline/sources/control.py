@@ -10,7 +10,7 @@ from touchline import schemas
 from touchline.operators.recent import latest_per_key
 from touchline.operators.sessions import new_session, resolve_sessions
 from touchline.sources import files
-from touchline.sources.keyed_log import KeyedLog
+from touchline.streaming.counts import WindowCounts
 
 DEPLOYED = "deployed_at"
 DOCUMENT_SCHEMA = StructType(
@@ -31,7 +31,7 @@ def deploy_match(
     name_a: str,
     name_b: str,
     control_path: str,
-    live_tables: tuple[KeyedLog, ...] = (),
+    live_tables: tuple[WindowCounts, ...] = (),
 ) -> str:
     """Append a control document and empty the given live tables; new session id.
 
@@ -73,8 +73,12 @@ def current_session(
     return resolve_sessions(newest.limit(1), default_session)
 
 
-def reset_session(spark: SparkSession, resets_path: str, match_id: str) -> None:
-    """Hide all live events of a session that came in so far."""
+def reset_session(
+    spark: SparkSession, resets_path: str, match_id: str, counts: WindowCounts | None = None
+) -> None:
+    """Hide all live events of a session that came in so far, and let its counts restart."""
+    if counts is not None:
+        counts.clear(spark, match_id)
     row = spark.createDataFrame([(match_id,)], "match_id string")
     _append_row(spark, row.withColumn("reset_at", F.current_timestamp()), resets_path)
 

@@ -26,10 +26,15 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
-def touch(spark: SparkSession, path: str) -> None:
-    """Create an empty file, with its folders; an error if it is there."""
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file was written, in milliseconds."""
     fs, hadoop_path = _path(spark, path)
-    fs.create(hadoop_path, False).close()
+    return fs.getFileStatus(hadoop_path).getModificationTime()
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _path(spark, path)
+    fs.mkdirs(hadoop_path)
 
 
 def delete(spark: SparkSession, path: str) -> bool:

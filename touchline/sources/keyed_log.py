@@ -1,23 +1,15 @@
-"""A keyed table on plain files: committed batches plus a compacted snapshot.
+"""An upsert table in plain Parquet: a folder for each micro-batch, the newest row per key on reading.
 
-Layout under the table path::
-
-    log/batch_id=N/        rows written by micro-batch N, with _SUCCESS
-    snapshot/upto=N/       one row per key over the batches of a run up to N, with _SUCCESS
-
-A batch id holds the number of its run and, from 0 in each run, that of the batch. Runs are
-folded apart: a snapshot stands for batches of its own run only, so runs may write in any
-order, or at once.
-
-Nothing is changed in place. A batch or snapshot counts once its ``_SUCCESS``
-marker is there, which Spark writes last. Replaying a committed batch is a no-op,
-an uncommitted one is written again from the start, so a lost driver or executor
-leaves no half batch in view.
+Layout: ``run=<name>/batch=<n>/`` holds the rows of a micro-batch, and ``run=<name>/fold=<n>/`` the
+newest row per key over the batches of the run up to ``n``. A run is a checkpoint that counts its
+batches from 0. Every row holds its batch, so that it compares the same wherever it is stored: a
+row in a batch and in a fold is one row for a reader. A folder counts once Spark has marked it as
+complete, so a lost driver or executor leaves no half batch in view.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,18 +19,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from touchline.operators.recent import latest_per_key
 from touchline.sources import files
 
-BATCH = "batch_id"
-#: Batch ids of a run start at its number times this, so those of runs never meet.
-RUN_BATCHES = 1 << 40
-
-
-def run_of(batch_id: int) -> int:
-    return batch_id // RUN_BATCHES
-
-
-def _newest(snapshots: dict[int, str]) -> dict[int, int]:
-    """The last batch that the snapshots of each run stand for."""
-    return {run_of(n): n for n in sorted(snapshots)}
+BATCH = "batch"
+FOLD = "fold"
+RUN = "run"
 
 
 @dataclass(frozen=True)
@@ -54,92 +37,54 @@ class KeyedLog:
     def _stored(self) -> StructType:
         return StructType([*self.schema.fields, StructField(BATCH, LongType())])
 
-    def _committed(self, spark: SparkSession, kind: str, label: str) -> dict[int, str]:
-        pattern = f"{self.path}/{kind}/{label}=*/_SUCCESS"
-        found = {}
-        for marker in files.glob(spark, pattern):
-            folder = marker.rsplit("/", 1)[0]
-            found[int(re.search(rf"{label}=(\d+)$", folder).group(1))] = folder
-        return found
-
-    def batches(self, spark: SparkSession) -> dict[int, str]:
-        return self._committed(spark, "log", BATCH)
-
-    def snapshots(self, spark: SparkSession) -> dict[int, str]:
-        return self._committed(spark, "snapshot", "upto")
+    def _folders(self, spark: SparkSession, kind: str, run: str = "*") -> list[str]:
+        markers = files.glob(spark, f"{self.path}/{RUN}={run}/{kind}=*/_SUCCESS")
+        return [marker.rsplit("/", 1)[0] for marker in markers]
 
-    def uncompacted(self, spark: SparkSession, run: int | None = None) -> int:
-        """Committed batches, of one run or of all, that no snapshot covers yet."""
-        upto = _newest(self.snapshots(spark))
-        batches = [n for n in self.batches(spark) if run in (None, run_of(n))]
-        return sum(n > upto.get(run_of(n), -1) for n in batches)
-
-    def write_batch(self, rows: DataFrame, batch_id: int, earlier: tuple[int, ...] = ()) -> bool:
-        """Write one micro-batch; False when it was committed before.
-
-        ``earlier`` are ids that the same batch may have been committed under instead.
-        """
-        target = f"{self.path}/log/{BATCH}="
-        if any(files.exists(rows.sparkSession, f"{target}{n}/_SUCCESS") for n in (batch_id, *earlier)):
+    def write_batch(self, rows: DataFrame, batch_id: int, run: str = "v1") -> bool:
+        """Write one micro-batch; False when a replay finds it complete."""
+        target = f"{self.path}/{RUN}={run}/{BATCH}={batch_id}"
+        if files.exists(rows.sparkSession, f"{target}/_SUCCESS"):
             return False
-        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{target}{batch_id}")
+        numbered = rows.select(*self.schema.fieldNames(), F.lit(batch_id).cast("long").alias(BATCH))
+        numbered.write.mode("overwrite").parquet(target)
         return True
 
-    def writes(self, spark: SparkSession, run: int | None = None) -> DataFrame:
-        """Every row still needed, of one run or of all, with its batch: the newest snapshot
-        of each run and its later batches."""
-        snapshots = {n: s for n, s in self.snapshots(spark).items() if run in (None, run_of(n))}
-        upto = _newest(snapshots)
-        batches = [(n, b) for n, b in sorted(self.batches(spark).items()) if run in (None, run_of(n))]
-        parts = [folder for n, folder in batches if n > upto.get(run_of(n), -1)]
-        rows = spark.createDataFrame([], self._stored)
-        if parts:
-            rows = (
-                spark.read.schema(self._stored)
-                .option("basePath", f"{self.path}/log")
-                .parquet(*parts)
-                .select(*self._stored.fieldNames())
-            )
-        if snapshots:
-            base = spark.read.schema(self._stored).parquet(*[snapshots[n] for n in upto.values()])
-            rows = base if not parts else base.unionByName(rows)
-        return rows
-
-    def read(self, spark: SparkSession) -> DataFrame:
-        """One row per key: the greatest by ``order``, then by batch."""
-        return self._latest(self.writes(spark)).select(*self.schema.fieldNames())
+    def _rows(self, spark: SparkSession, run: str = "*") -> DataFrame:
+        folders = [*self._folders(spark, FOLD, run), *self._folders(spark, BATCH, run)]
+        if not folders:
+            return spark.createDataFrame([], self._stored)
+        return spark.read.schema(self._stored).parquet(*folders)
 
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.key, [*self.order, BATCH], keep_order=True)
 
-    def compact(self, spark: SparkSession, run: int | None = None) -> int | None:
-        """Fold the committed batches of a run, or of each, into a new snapshot of it;
-        returns the last batch folded."""
-        last = {run_of(n): n for n in sorted(self.batches(spark)) if run in (None, run_of(n))}
-        done = self.snapshots(spark)
-        todo = {r: n for r, n in last.items() if n not in done}
-        for r, upto in todo.items():
-            folded = self._latest(self.writes(spark, r)).select(*self._stored.fieldNames())
-            folded.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
-        return max(todo.values(), default=None)
-
-    def vacuum(self, spark: SparkSession, keep: int = 1, run: int | None = None) -> None:
-        """Remove what the newest ``keep`` snapshots of a run, or of each, don't need.
-
-        With one, run it without readers; with two, readers that listed the folders
-        before the newest snapshot was there can go on. The newest batch folder of a run
-        stays in any case: its marker makes a replay a no-op.
+    def read(self, spark: SparkSession) -> DataFrame:
+        """One row per key: the greatest by ``order``, then by batch."""
+        return self._latest(self._rows(spark)).select(*self.schema.fieldNames())
+
+    def compact(
+        self,
+        spark: SparkSession,
+        run: str,
+        needed: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> None:
+        """Fold the batches of a run into one folder, with what is ``needed`` of them.
+
+        What the fold before this one stands for goes now, so a reader that has listed the
+        folders before this fold was there still finds all of them.
         """
-        snapshots, batches = self.snapshots(spark), self.batches(spark)
-        for r in {run_of(n) for n in snapshots if run in (None, run_of(n))}:
-            needed = sorted(n for n in snapshots if run_of(n) == r)[-keep:]
-            if len(needed) < keep:
-                continue
-            for n, folder in [*snapshots.items(), *batches.items()]:
-                if run_of(n) == r and n < needed[0]:
-                    files.delete(spark, folder)
+        number = {f: int(f.rsplit("=", 1)[1]) for k in (FOLD, BATCH) for f in self._folders(spark, k, run)}
+        folds = [n for f, n in number.items() if f"/{FOLD}=" in f]
+        last, before = max(number.values(), default=-1), max(folds, default=-1)
+        if last == before:
+            return
+        rows = needed(self._latest(self._rows(spark, run))).select(*self._stored.fieldNames())
+        rows.write.mode("overwrite").parquet(f"{self.path}/{RUN}={run}/{FOLD}={last}")
+        for folder, n in number.items():
+            if n < before or (n == before and f"/{BATCH}=" in folder):
+                files.delete(spark, folder)
 
     def truncate(self, spark: SparkSession) -> None:
         """Remove every row of the table."""
-        for kind in ("log", "snapshot"):
-            files.delete(spark, f"{self.path}/{kind}")
+        files.delete(spark, self.path)

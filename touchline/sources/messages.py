@@ -47,7 +47,7 @@ def file_stream(
 ) -> DataFrame:
     """Messages from text files in a folder, one JSON document per line.
 
-    The offset is the start of a line's block, so lines of one block tie; which of them
+    A file is a partition of its own, named by the hash of its path. The offset is the start of a line's block, so lines of one block tie; which of them
     wins a key is then decided by their content. ``ordered=True`` makes the line number
     the offset: the last line wins. Each file is then read as one value, so it suits
     small files, as message files are.
@@ -56,12 +56,12 @@ def file_stream(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     time = F.col("_metadata.file_modification_time").alias("ingest_time")
-    partition = F.lit(0).cast("long").alias("ingest_partition")
+    partition = F.xxhash64("_metadata.file_path").alias("ingest_partition")
     if ordered:
         lines = F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")
-        numbered = reader.load(path).select(F.posexplode(lines).alias("line", "value"), time)
+        numbered = reader.load(path).select(F.posexplode(lines).alias("line", "value"), time, partition)
         offset = F.col("line").cast("long").alias("ingest_offset")
-        return numbered.select("value", "ingest_time", partition, offset)
+        return numbered.select("value", "ingest_time", "ingest_partition", offset)
     offset = F.col("_metadata.file_block_start").cast("long").alias("ingest_offset")
     return reader.load(path).select("value", time, partition, offset)
 

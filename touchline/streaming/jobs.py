@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,18 +21,13 @@ from pyspark.sql.types import (
 )
 
 from touchline import schemas
-from touchline.operators.enrich import of_sessions, with_names
+from touchline.operators.enrich import of_sessions, with_names_as_of
 from touchline.operators.recent import latest_per_key
-from touchline.operators.windows import KEYS, flatten_window, window_counts
 from touchline.plans import dashboard
 from touchline.sources import control, files, messages
-from touchline.sources.keyed_log import RUN_BATCHES, KeyedLog
-
-#: Columns that order the writes of one (match, team) key, by window policy.
-POLICY_ORDER = {
-    "latest": ("window_end",),
-    "max": ("total_events", "window_end"),
-}
+from touchline.sources.keyed_log import RUN, KeyedLog
+from touchline.sources.tables import dimension_snapshot
+from touchline.streaming.counts import PIECE_SCHEMA, WindowCounts, counts_by_piece
 
 #: Types of ``messages.INGEST_COLUMNS``.
 INGEST_FIELDS = (
@@ -65,9 +61,9 @@ class Trigger:
         return {"processingTime": self.every} if self.every else {"availableNow": True}
 
 
-def team_stats_log(path: str, policy: str = "latest") -> KeyedLog:
-    """Serving table of team counts; writes compete by event time, not arrival."""
-    return KeyedLog(path, schemas.TEAM_WINDOW_SCHEMA, KEYS, POLICY_ORDER[policy])
+def team_stats(root: str, policy: str = "latest") -> WindowCounts:
+    """The serving table of team counts under the folder of the live tables."""
+    return WindowCounts(f"{root}/live_team_stats", policy)
 
 
 def append_rows(
@@ -94,52 +90,6 @@ BUCKET = "match_bucket"
 RAW_BUCKETS = 64
 #: Tasks, and so files, a bucket is spread over in a micro-batch; one match may fill it.
 BUCKET_SPREAD = 4
-RUN = "run"
-#: Marks the numbers that a version gets when it is started again after another one.
-AGAIN = "again"
-
-
-def _marked(spark: SparkSession, root: str, version: str, mark: str) -> list[int]:
-    marks = files.glob(spark, f"{root}/checkpoints/{version}/{mark}=*")
-    return sorted(int(path.rsplit("=", 1)[1]) for path in marks)
-
-
-def _next_number(spark: SparkSession, root: str) -> int:
-    taken = [*_marked(spark, root, "*", RUN), *_marked(spark, root, "*", AGAIN)]
-    return 1 + max(taken, default=-1)
-
-
-def run_number(spark: SparkSession, root: str, version: str) -> int:
-    """The number of a checkpoint version, from 0 in the order of their first starts.
-
-    A new checkpoint counts its batches from 0 again. Outputs keep the runs apart by this
-    number, so that the batches of a new version aren't taken for replays.
-    """
-    own = _marked(spark, root, version, RUN)
-    if own:
-        return own[0]
-    number = _next_number(spark, root)
-    files.touch(spark, f"{root}/checkpoints/{version}/{RUN}={number}")
-    return number
-
-
-def start_numbers(spark: SparkSession, root: str, version: str) -> tuple[int, ...]:
-    """The numbers of a checkpoint version that is being started, its run number first.
-
-    The last one orders what is written from now on. A version that goes on after another one
-    was started takes a new number for it: its later counts replace those of the other.
-    """
-    first = run_number(spark, root, version)
-    own = (first, *_marked(spark, root, version, AGAIN))
-    number = _next_number(spark, root)
-    if own[-1] == number - 1:
-        return own
-    files.touch(spark, f"{root}/checkpoints/{version}/{AGAIN}={number}")
-    return *own, number
-
-
-def _batch(run: int, batch_id: int) -> int:
-    return run * RUN_BATCHES + batch_id
 
 
 def match_bucket(match_id: Column, buckets: int) -> Column:
@@ -175,12 +125,14 @@ def read_live_events(
     buckets: int | None = None,
     sessions: DataFrame | None = None,
     resets: DataFrame | None = None,
+    only: list[int] | None = None,
 ) -> DataFrame:
     """Keyed view of the raw log: one row per (match, timestamp), the last write.
 
     The log of every run under ``path`` counts; none gives no rows. A match id prunes the
     scan to its folder; ``sessions`` keeps only their matches, before any row is shuffled,
-    and with ``buckets`` as written scans only their buckets; ``resets`` hide what came in before them.
+    and with ``buckets`` as written scans only their buckets; ``only`` names buckets to scan;
+    ``resets`` hide what came in before them.
     """
     schema = RAW_SCHEMA
     if buckets is not None:
@@ -194,6 +146,8 @@ def read_live_events(
         raw = raw.filter(F.col("match_id") == match_id)
         if buckets is not None:
             raw = raw.filter(F.col(BUCKET) == match_bucket(F.lit(match_id), buckets))
+    if only is not None and buckets is not None:
+        raw = raw.filter(F.col(BUCKET).isin(only))
     if sessions is not None and buckets is not None:
         shown = sessions.select("match_id", match_bucket(F.col("match_id"), buckets).alias(BUCKET))
         raw = raw.join(shown, ["match_id", BUCKET], "left_semi")
@@ -219,8 +173,8 @@ def windowed_counts(
     slide: str = schemas.WINDOW_SLIDE,
     delay: str = schemas.WATERMARK_DELAY,
 ) -> DataFrame:
-    """Stateful count per sliding window, match and team under a watermark."""
-    return window_counts(events.withWatermark("event_time", delay), width, slide)
+    """Stateful count per sliding window, match and team, by piece, under a watermark."""
+    return counts_by_piece(events.withWatermark("event_time", delay), width, slide)
 
 
 @contextmanager
@@ -241,51 +195,33 @@ def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def _write_once(
-    log: KeyedLog, rows: DataFrame, batch_id: int, run: int, earlier: tuple[int, ...]
-) -> None:
-    """Write a batch; on replay of a committed one just run it, for its state."""
-    before = tuple(_batch(r, batch_id) for r in earlier)
-    if not log.write_batch(rows, _batch(run, batch_id), before):
-        rows.write.format("noop").mode("overwrite").save()
-
-
-def _fold(log: KeyedLog, spark: SparkSession, every: int, run: int) -> None:
-    """Fold the log after ``every`` batches of a run (0: never), so that its folders stay few."""
-    if every and log.uncompacted(spark, run) >= every:
-        log.compact(spark, run)
-        log.vacuum(spark, keep=2, run=run)
-
-
-def upsert_into(
-    log: KeyedLog, compact_every: int = 0, run: int = 0, earlier: tuple[int, ...] = ()
+def write_counts(
+    counts: WindowCounts, run: str, compact_every: int = 0
 ) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` callback: write the batch's newest row per key.
+    """``foreachBatch`` callback: write the counts that a batch has changed.
 
-    The batch is persisted because it is used twice, for the emptiness test and
-    the write; otherwise the stateful plan would run and count dropped rows twice.
-    After ``compact_every`` batches the log is folded, so that readers never meet
-    a long list of small batches. ``earlier`` are numbers that the run had before.
+    The batch is persisted because it is used twice, for the emptiness test and the write;
+    otherwise the stateful plan would run and count dropped rows twice. After every
+    ``compact_every`` batches (0: never) they are folded, so that readers never meet a long
+    list of small ones.
     """
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             if not batch.isEmpty():
-                rows = latest_per_key(
-                    flatten_window(batch), log.key, [*log.order], keep_order=True
-                )
-                _write_once(log, rows, batch_id, run, earlier)
-                _fold(log, rows.sparkSession, compact_every, run)
+                counts.write_batch(batch, batch_id, run)
         finally:
             batch.unpersist()
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            counts.compact(batch.sparkSession, run)
 
-    return upsert
+    return write
 
 
-def start_team_stats(
+def start_counts(
     events: DataFrame,
-    log: KeyedLog,
+    counts: WindowCounts,
     checkpoint: str,
     width: str = schemas.WINDOW_WIDTH,
     slide: str = schemas.WINDOW_SLIDE,
@@ -293,20 +229,17 @@ def start_team_stats(
     trigger: Trigger = Trigger(),
     compact_every: int = 100,
     state_partitions: int | None = None,
-    run: int = 0,
-    earlier: tuple[int, ...] = (),
+    run: str = "v1",
 ) -> StreamingQuery:
-    """Update-mode query that keeps the team counts current.
+    """Update-mode query that keeps the window counts current.
 
     The checkpoint fixes the number of state partitions; take a new one, and a new
-    ``run``, when the window or that number changes. A checkpoint that goes on after
-    another one takes a new ``run`` as well, and gives those it had as ``earlier``:
-    see :func:`start_numbers`.
+    ``run``, when the window or that number changes. Each checkpoint has a run of its own.
     """
     writer = (
         windowed_counts(events, width, slide, delay)
         .writeStream.outputMode("update")
-        .foreachBatch(upsert_into(log, compact_every, run, earlier))
+        .foreachBatch(write_counts(counts, run, compact_every))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
     )
@@ -314,41 +247,6 @@ def start_team_stats(
         return writer.start()
 
 
-def start_window_log(
-    events: DataFrame,
-    log: KeyedLog,
-    checkpoint: str,
-    width: str = schemas.WINDOW_WIDTH,
-    slide: str = schemas.WINDOW_SLIDE,
-    delay: str = schemas.WATERMARK_DELAY,
-    trigger: Trigger = Trigger(),
-    state_partitions: int | None = None,
-    run: int = 0,
-    compact_every: int = 100,
-    earlier: tuple[int, ...] = (),
-) -> StreamingQuery:
-    """Update-mode query that logs every changed window, keyed by window."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        _write_once(log, flatten_window(batch), batch_id, run, earlier)
-        _fold(log, batch.sparkSession, compact_every, run)
-
-    writer = (
-        windowed_counts(events, width, slide, delay)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger.options)
-    )
-    with _state_partitions(events.sparkSession, state_partitions):
-        return writer.start()
-
-
-def window_log(path: str) -> KeyedLog:
-    """Counts keyed by match, team and window; the last batch wins."""
-    return KeyedLog(path, schemas.TEAM_WINDOW_SCHEMA, (*KEYS, "window_start", "window_end"))
-
-
 def enriched_log(path: str) -> KeyedLog:
     """Named events by (match, timestamp); the last message wins, as in the raw log."""
     key, order = schemas.SERVING_KEYS["live_events"], messages.INGEST_COLUMNS
@@ -357,21 +255,27 @@ def enriched_log(path: str) -> KeyedLog:
 
 def start_enriched(
     events: DataFrame,
-    load_dimensions: Callable[[], tuple[DataFrame, DataFrame]],
+    load_dimensions: Callable[[datetime, datetime], tuple[DataFrame, DataFrame]],
     log: KeyedLog,
     checkpoint: str,
     trigger: Trigger = Trigger(),
-    run: int = 0,
+    run: str = "v1",
     compact_every: int = 100,
-    earlier: tuple[int, ...] = (),
 ) -> StreamingQuery:
-    """Live events with names; the dimensions are read anew for every batch."""
+    """Live events with names, each from the dimension version valid when it came in.
+
+    ``load_dimensions`` gets the first and the last ingest time of a batch and returns teams and
+    players; versions valid between the two carry ``valid_from`` and ``valid_to``. So the names
+    don't depend on when a batch runs, nor on whether it runs again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        teams, players = load_dimensions()
-        before = tuple(_batch(r, batch_id) for r in earlier)
-        log.write_batch(with_names(batch, teams, players), _batch(run, batch_id), before)
-        _fold(log, batch.sparkSession, compact_every, run)
+        low, high = batch.agg(F.min("ingest_time"), F.max("ingest_time")).first()
+        if low is not None:
+            teams, players = load_dimensions(low, high)
+            log.write_batch(with_names_as_of(batch, teams, players), batch_id, run)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            log.compact(batch.sparkSession, run)
 
     return (
         events.writeStream.outputMode("append")
@@ -384,70 +288,237 @@ def start_enriched(
 
 @dataclass(frozen=True)
 class ServingFrames:
-    """Materialised views, one folder per version; readers take the newest whole one.
-
-    The version before it stays for readers that have begun with it; older ones go.
-    """
+    """Small published tables, one folder per version."""
 
     path: str
+    #: Versions that stay; readers of older times get the oldest of them.
+    keep: int = 100
 
     def _versions(self, spark: SparkSession, name: str) -> dict[int, str]:
         markers = files.glob(spark, f"{self.path}/{name}/version=*/_SUCCESS")
         folders = [marker.rsplit("/", 1)[0] for marker in markers]
         return {int(folder.rsplit("=", 1)[1]): folder for folder in folders}
 
-    def write(self, name: str, frame: DataFrame, version: int) -> None:
-        frame.write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
-        stored = self._versions(frame.sparkSession, name)
-        for old in sorted(stored)[:-2]:
-            files.delete(frame.sparkSession, stored[old])
-
     def publish(self, name: str, frame: DataFrame) -> None:
         """Write the next version; ``frame`` may come from the one before."""
-        stored = self._versions(frame.sparkSession, name)
-        self.write(name, frame, 1 + max(stored, default=-1))
+        spark = frame.sparkSession
+        stored = self._versions(spark, name)
+        version = 1 + max(stored, default=-1)
+        frame.write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
+        for old in sorted(stored)[: 1 - self.keep]:
+            files.delete(spark, stored[old])
+
+    def newest(self, spark: SparkSession, name: str) -> int | None:
+        return max(self._versions(spark, name), default=None)
 
     def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
-        """The newest version; no rows when nothing was written yet."""
+        """The newest version; no rows when nothing was published yet."""
         stored = self._versions(spark, name)
         if not stored:
             return spark.createDataFrame([], schema or StructType([]))
         reader = spark.read if schema is None else spark.read.schema(schema)
         return reader.parquet(stored[max(stored)])
 
+    def valid(
+        self, spark: SparkSession, name: str, schema: StructType, low: datetime, high: datetime
+    ) -> DataFrame:
+        """The versions that were valid between two times, with ``valid_from`` and ``valid_to``.
+
+        A version is valid from when it was written until the next one was; the first one
+        also before.
+        """
+        stored = self._versions(spark, name)
+        order = sorted(stored)
+        times = [files.modified(spark, f"{stored[v]}/_SUCCESS") for v in order]
+        spans = [*zip([None, *times[1:]], [*times[1:], None])]
+        parts = []
+        for (start, end), version in zip(spans, order):
+            if (start or 0) <= _millis(high) and (end is None or end > _millis(low)):
+                rows = spark.read.schema(schema).parquet(stored[version])
+                parts.append(rows.withColumns({"valid_from": _time(start), "valid_to": _time(end)}))
+        if not parts:
+            none = spark.createDataFrame([], schema)
+            return none.withColumns({"valid_from": _time(None), "valid_to": _time(None)})
+        return reduce(DataFrame.unionByName, parts)
+
+
+def _millis(moment: datetime) -> int:
+    return int(moment.timestamp() * 1000)
+
+
+def _time(millis: int | None) -> Column:
+    return F.timestamp_millis(F.lit(millis).cast("long"))
+
+
+Dimensions = tuple[DataFrame, DataFrame]
+
+
+def published_dimensions(spark: SparkSession, warehouse: str) -> Callable[[datetime, datetime], Dimensions]:
+    """``load_dimensions`` of :func:`start_enriched` over what ``load`` has published."""
+    stored = ServingFrames(warehouse)
+
+    def load(low: datetime, high: datetime) -> Dimensions:
+        tables = (schemas.WAREHOUSE["teams"], schemas.WAREHOUSE["players"])
+        return tuple(stored.valid(spark, n, t.schema, low, high) for n, t in zip(("teams", "players"), tables))
+
+    return load
+
+
+@dataclass(frozen=True)
+class ServingViews:
+    """Materialised views, split by match bucket; a refresh replaces whole buckets."""
+
+    path: str
+    buckets: int = RAW_BUCKETS
+
+    def replace(self, name: str, view: DataFrame, touched: list[int]) -> None:
+        """Write the touched buckets anew; ``view`` holds rows of these only."""
+        spark, target = view.sparkSession, f"{self.path}/{name}"
+        rows = view.withColumn(BUCKET, match_bucket(F.col("match_id"), self.buckets)).persist()
+        try:
+            kept = {row[0] for row in rows.select(BUCKET).distinct().collect()}
+            writer = rows.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+            writer.option("partitionOverwriteMode", "dynamic").parquet(target)
+        finally:
+            rows.unpersist()
+        for bucket in set(touched) - kept:
+            files.delete(spark, f"{target}/{BUCKET}={bucket}")
+
+    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
+        """The rows of a view; none when it was not written yet."""
+        if not files.glob(spark, f"{self.path}/{name}/{BUCKET}=*"):
+            return spark.createDataFrame([], schema or StructType([]))
+        return spark.read.parquet(f"{self.path}/{name}").drop(BUCKET)
+
+
+def changes(spark: SparkSession, root: str, version: str = "v1") -> DataFrame:
+    """The matches that the raw log or the team counts of a version got rows of, as a stream."""
+    raw, counted = f"{root}/live_events/{RUN}={version}", team_stats(root).log.path
+    for folder in (raw, counted):
+        files.make_folder(spark, folder)
+    reader = spark.readStream.option("ignoreMissingFiles", True)
+    events = reader.schema(RAW_SCHEMA).option("recursiveFileLookup", True).parquet(raw)
+    counts = reader.schema(PIECE_SCHEMA).parquet(f"{counted}/{RUN}={version}/batch=*")
+    return events.select("match_id").unionByName(counts.select("match_id"))
+
+
+SHOWN = "shown"
+
+
+def _touched(
+    batch: DataFrame, shown: DataFrame, before: DataFrame, buckets: int
+) -> list[int]:
+    """Buckets of the shown matches that have changed: by a row of the batch, or themselves."""
+    own = batch.join(shown.select("match_id"), "match_id", "left_semi").select("match_id")
+    parts = [own]
+    if before.columns:
+        before = before.select(*shown.columns)
+        parts += [x.exceptAll(y).select("match_id") for x, y in ((shown, before), (before, shown))]
+    else:
+        parts.append(shown.select("match_id"))
+    numbers = [part.select(match_bucket(F.col("match_id"), buckets).alias(BUCKET)) for part in parts]
+    return sorted(row[0] for row in reduce(DataFrame.unionByName, numbers).distinct().collect())
+
 
 def start_refresh(
-    events: DataFrame,
-    load_inputs: Callable[[], dashboard.Inputs],
-    serving: ServingFrames,
+    changed: DataFrame,
+    load_shown: Callable[[], DataFrame],
+    load_inputs: Callable[[DataFrame, list[int]], dashboard.Inputs],
+    serving: ServingViews,
     checkpoint: str,
     trigger: Trigger = Trigger("1.5 seconds"),
-    run: int = 0,
 ) -> StreamingQuery:
-    """Rebuild the dashboard views whenever new events came in.
+    """Keep the dashboard views current: only the buckets with changed matches are rebuilt.
 
-    ``load_inputs`` runs for every batch, so it sees the control documents,
-    dimensions and live tables as they are then. The views share the live frame,
-    which is small, and so it is persisted while they are written.
+    ``changed`` is a stream of match ids. ``load_shown`` gives the sessions on show as they are
+    now, with whatever columns tell that their views must be built anew; it is compared
+    with what was shown before. ``load_inputs`` gets the sessions of the touched
+    buckets, and the buckets. The views share the live frame, which is persisted while they are
+    written.
     """
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
-        inputs = load_inputs()
-        frame = dashboard.live_frame(inputs).persist()
+        spark = batch.sparkSession
+        shown = load_shown().persist()
         try:
-            for name, view in dashboard.views(inputs, frame).items():
-                serving.write(name, view, _batch(run, batch_id))
+            touched = _touched(batch, shown, serving.read(spark, SHOWN, shown.schema), serving.buckets)
+            if not touched:
+                return
+            own = shown.where(match_bucket(F.col("match_id"), serving.buckets).isin(touched))
+            inputs = load_inputs(own, touched)
+            frame = dashboard.live_frame(inputs).persist()
+            try:
+                for name, view in dashboard.views(inputs, frame).items():
+                    serving.replace(name, view, touched)
+            finally:
+                frame.unpersist()
+            # At the end: a replay after a failure finds the same changes.
+            serving.replace(SHOWN, own, touched)
         finally:
-            frame.unpersist()
+            shown.unpersist()
 
     return (
-        events.writeStream.foreachBatch(rebuild)
+        changed.writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
         .start()
     )
 
 
+def start_views(
+    spark: SparkSession,
+    root: str,
+    warehouse: str,
+    trigger: Trigger = Trigger("1.5 seconds"),
+    version: str = "v1",
+    buckets: int = RAW_BUCKETS,
+) -> StreamingQuery:
+    """The dashboard views of the deployed sessions, under ``views``.
+
+    A new event, a deployed or reset session and a load of history reach them with the next
+    batch: a load changes all views, anything else those of its match's bucket.
+    """
+    stored = ServingFrames(warehouse)
+    dimensions = ("teams", "players", "average")
+
+    def load_shown() -> DataFrame:
+        sessions = control.read_sessions(spark, f"{root}/control")
+        resets = control.read_resets(spark, f"{root}/resets")
+        last = resets.groupBy("match_id").agg(F.max("reset_at").alias("reset_at"))
+        loaded = ",".join(str(stored.newest(spark, name)) for name in dimensions)
+        return sessions.join(last, "match_id", "left").withColumn("loaded", F.lit(loaded))
+
+    def load_inputs(sessions: DataFrame, touched: list[int]) -> dashboard.Inputs:
+        tables = [stored.read(spark, n, schemas.WAREHOUSE[n].schema) for n in ("teams", "players")]
+        teams, players = dimension_snapshot(*tables)
+        average = stored.read(spark, "average") if stored.newest(spark, "average") else None
+        return dashboard.Inputs(
+            live=read_live_events(
+                spark,
+                f"{root}/live_events",
+                buckets=buckets,
+                sessions=sessions,
+                resets=control.read_resets(spark, f"{root}/resets"),
+                only=touched,
+            ),
+            stats=team_stats(root).read(spark),
+            sessions=sessions,
+            teams=teams,
+            players=players,
+            facts=spark.createDataFrame([], schemas.FACTS.schema),
+            average=average,
+        )
+
+    return start_refresh(
+        changes(spark, root, version),
+        load_shown,
+        load_inputs,
+        ServingViews(f"{root}/views", buckets),
+        f"{root}/checkpoints/{version}/views",
+        trigger,
+    )
+
+
 def start_all(
     source: DataFrame,
     root: str,
@@ -465,20 +536,17 @@ def start_all(
     decoded = messages.decode(source)
     events = messages.valid_events(decoded)
     checkpoint = f"{root}/checkpoints/{version}"
-    first, *later = start_numbers(source.sparkSession, root, version)
-    raw, bad = f"{root}/live_events/{RUN}={first}", f"{root}/quarantine/{RUN}={first}"
-    *earlier, run = first, *later
+    raw, bad = f"{root}/live_events/{RUN}={version}", f"{root}/quarantine/{RUN}={version}"
     return [
         append_events(decoded, raw, f"{checkpoint}/raw", trigger, buckets),
         append_quarantine(decoded, bad, f"{checkpoint}/quarantine", trigger),
-        start_team_stats(
+        start_counts(
             events,
-            team_stats_log(f"{root}/live_team_stats"),
+            team_stats(root),
             f"{checkpoint}/stats",
             trigger=trigger,
             state_partitions=state_partitions,
-            run=run,
-            earlier=tuple(earlier),
+            run=version,
         ),
     ]
 

@@ -179,8 +179,8 @@ class ItemTree:
             below = self.levels[-1]
             groups = [below[i : i + ITEM_FAN] for i in range(0, len(below), ITEM_FAN)]
             self.levels.append([np.unique(np.concatenate(group)) for group in groups])
-        most = max(int(weights[terms].sum()) for terms in self.levels[0]) * 1_000_000
-        #: Products of such numbers are exact.
+        most = int(weights[self.levels[-1][0]].sum()) * 1_000_000
+        #: Products of such numbers are exact, bounds included.
         self.exact = np.float64 if most < 1 << 53 else np.int64
 
     def weakest(self, kth: np.ndarray) -> list[np.ndarray]:

@@ -2,7 +2,7 @@
 
 Every stage takes the documents that its predecessor kept, with all their columns, written
 as Parquet and read again; the last one returns the packed pieces. A stage maps
-(spark, docs, sf_dir) to a frame. Columns that begin with ``_`` are reserved.
+(spark, docs, sf_dir) to a frame.
 
 A text that loses lines keeps its row, with ``n_chars`` brought up to date; a text that loses
 all of them stays as an empty one.
@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from touchline.llm import linededup, minhash, packing, quality, toxicity
 from touchline.llm.common import ship, stored, table
@@ -33,13 +32,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of three documents or more stay in the last one only."""
     ship(spark)
-    marked = linededup.dedup_lines(docs)
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(linededup.kept_text(F.col("_kept")))
-    columns = {"text": text}
-    if "n_chars" in docs.columns:
-        size = F.length(text).cast(docs.schema["n_chars"].dataType)
-        columns["n_chars"] = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(size)
-    return marked.withColumns(columns).select(*docs.columns)
+    return linededup.without_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,7 +77,7 @@ def sql_of(sf_dir, *names):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(name, spark, sf_dir):
-    sql = sql_of(sf_dir, "documents", "embeddings", "conversations")
+    sql = sql_of(sf_dir, "documents", "embeddings", "conversations", "benchmark")
     assert difference(queries.QUERIES[name](spark, sf_dir), sql, queries.ORACLE[name]) == ""
 
 
@@ -529,30 +529,69 @@ def test_lines_equal_brute_force(docs):
     assert linededup.digests(linededup.dedup_lines(docs.limit(0))).count() == 0
 
 
-def test_levels_are_compacted_and_know_what_is_new(docs):
-    index = linededup.LineIndex(fan=2)
-    lines = linededup.document_lines(docs, 1)
-    for _ in range(4):
-        index.add(lines)
-    assert [len(level) for level in index.levels] == [0, 0, 1]
-    assert index.unseen(lines).count() == 0
-    other = docs.select("doc_id", F.lit("a line that no other document has").alias("text"))
-    assert index.unseen(linededup.document_lines(other, 1)).count() == docs.count()
+def numbered_lines(spark, *pairs):
+    texts = [(i, f"a line with the number {n} in it") for i, n in pairs]
+    return linededup.document_lines(spark.createDataFrame(texts, "doc_id long, text string"), 1)
 
 
-def test_a_batch_adds_only_its_new_keys_to_the_runs(spark, docs):
-    index = linededup.LineIndex(fan=3)
+def test_levels_are_compacted_and_know_what_is_new(spark, docs):
+    index = linededup.LineIndex(3)
+    for n in range(4):
+        index.add(numbered_lines(spark, (1, n), (2, n), (3, 0)))
+    assert [len(level) for level in index.runs.levels] == [0, 0, 1]
+    assert [len(level) for level in index.updates.levels] == [1, 1]
+    assert index.unseen(numbered_lines(spark, (7, 0), (7, 3), (8, 4))).count() == 1
+    other = docs.select("doc_id", F.lit("a line that no other document has").alias("text"))
+    assert index.unseen(linededup.document_lines(other, 1)).count() == docs.count()
+    index.drop_tables(spark)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("touchline_run")]
 
-    def lines(*pairs):
-        texts = [(i, f"a line with the number {n} in it") for i, n in pairs]
-        return linededup.document_lines(spark.createDataFrame(texts, "doc_id long, text string"), 1)
 
+def test_a_batch_adds_only_its_new_keys_to_the_runs(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "FAN", 9)
+    index = linededup.LineIndex(3)
     for batch in ([(1, 0), (2, 0), (2, 1)], [(3, 0), (3, 2), (4, 2)], [(5, 0), (5, 2), (6, 1), (6, 3)], [(7, 1)]):
-        index.add(lines(*batch))
-    rows = [tuple(r) for run in index.runs() for r in run.select(*linededup.KEY).collect()]
+        index.add(numbered_lines(spark, *batch))
+    rows = [tuple(r) for run in index.runs.all() for r in run.select(*linededup.KEY).collect()]
     assert len(rows) == len(set(rows)) == 4
-    assert [sum(r.documents for r in u.collect()) for u in index.updates] == [1, 3, 1]
+    assert [sum(r.documents for r in u.collect()) for u in index.updates.all()] == [1, 3, 1]
     assert sorted(r.keeper for r in index.common().collect()) == [5, 5, 7]
+    index.drop_tables(spark)
+
+
+def test_runs_meet_without_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "FAN", 9)
+    index = linededup.LineIndex(3)
+    for n in range(3):
+        index.add(numbered_lines(spark, (1, n), (2, n), (3, 0)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = index.runs.all()
+        for frame in (index.unseen(runs[0]), linededup.merged(runs[0], runs[1])):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    index.drop_tables(spark)
+
+
+CLASHING = ("_gone", "_kept", "_owner", "_text_key", "_component", "gone", "kept", "owner", "text_key", "row", "id", "key_a", "batch", "a.b")
+
+
+def test_columns_of_any_name_are_carried(spark):
+    rows = [(i, f"{LINE} {i % 2} and more words that are not alike {i // 6}\n{LINE}") for i in range(12)]
+    docs = spark.createDataFrame([*rows, (None, None)], "doc_id long, text string")
+    docs = docs.withColumn("n_chars", F.length("text"))
+    clashing = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))) for c in CLASHING})
+    for operator in (linededup.without_copies, minhash.drop_near_duplicates):
+        plain, found = operator(docs), operator(clashing)
+        assert found.columns == clashing.columns and found.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+        told = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"], r["n_chars"]) for r in found.collect() if r["text"])
+        assert told == sorted(tuple(r) for r in plain.collect() if r["text"])
+        for r in found.collect():
+            own = "none" if r["doc_id"] is None else r["doc_id"]
+            assert all(r[c] == f"{c} of {own}" for c in CLASHING)
+    assert linededup.without_copies(clashing).where("n_chars <> length(text)").isEmpty()
 
 
 def test_packing_widens_narrow_ids(spark):

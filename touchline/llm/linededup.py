@@ -1,36 +1,41 @@
 """Operator 9: line de-duplication by levelled sorted runs of line keys.
 
 A run holds one row for each line key: how many documents hold it and the largest of their
-ids. Runs are sorted by key. Every batch of documents is anti-joined with the runs there are:
-its new keys make a run of level 0, so that a key is in one run only. Its known keys, which a
-semi-join finds, go to the updates: counts and keepers that are added to those of the runs at
-the end. When a level has ``FAN`` runs, they are merged into one run of the next, so a key is
-rewritten once for each level and a batch meets few runs. When all batches are in, the lines
-of each document are joined with the common keys: a line is dropped if its key has a later
-keeper, and the others stay.
+ids. Runs are written in buckets of the key's hash, sorted by key, so that runs are joined bucket
+by bucket without a shuffle. Every batch of documents is anti-joined with the runs there are:
+its new keys make a run of level 0, so that a key is in one run only. Its known keys, the others,
+go to the updates: counts and keepers that are added to those of the runs at the end. When
+a level has ``FAN`` runs, they are merged into one run of the next, so a key is rewritten once for
+each level and a batch meets few runs; updates have levels of their own. When all batches are in,
+the lines of each document are joined with the common keys: a line is dropped if its key has a
+later keeper, and the others stay.
 
 A key is the line without white space at its ends and with A-Z in lower case, as two 64-bit
 hashes and its length. Batches are dealt by the hash of the document's id, so that a
-document, repeated rows of an id included, is in one batch.
+document, repeated rows of an id included, is in one batch; there is one for ``BATCH_ROWS``
+documents, and ``LEAST_BATCHES`` at least.
 
 Only DataFrame functions are used. Edge cases: a null or empty text is one empty line; keys
 shorter than ``LEAST`` code points always stay; a line repeated inside one document counts
 once and, in the keeper, stays every time; all rows of a repeated id are one document; null
-ids are one document that is before all others; an empty table gives no rows.
+ids are one document that is before all others; an empty table gives no rows. Columns of any
+name are carried.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BLANKS, stored
+from touchline.llm.common import BLANKS, empty, stored
+from touchline.session import scratch_path
 
 LEAST = 20
 DOCUMENTS = 3
-BATCHES = 4
+LEAST_BATCHES, BATCH_ROWS = 4, 1 << 28
 FAN = 2
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["key_a", "key_b"]
@@ -73,97 +78,129 @@ def document_lines(docs: DataFrame, batches: int) -> DataFrame:
 
 
 def make_run(lines: DataFrame) -> DataFrame:
-    """One row for each key of a batch, sorted by key.
+    """One row for each key of a batch.
 
     Documents are counted in two steps, by (key, owner) and by key; both add up in tasks
     before they shuffle, so a line of every third document is no load for one task.
     """
     once = lines.groupBy(*KEY, "owner").agg(F.lit(1).alias("_one"))
-    run = once.groupBy(*KEY).agg(
+    return once.groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("documents"), F.max("owner").alias("keeper")
     )
-    return run.sortWithinPartitions(*KEY)
 
 
-def merge_runs(runs: list[DataFrame]) -> DataFrame:
-    merged = reduce(DataFrame.unionByName, runs).groupBy(*KEY)
-    run = merged.agg(F.sum("documents").alias("documents"), F.max("keeper").alias("keeper"))
-    return run.sortWithinPartitions(*KEY)
-
+def merged(one: DataFrame, two: DataFrame) -> DataFrame:
+    """Two runs as one: a merge join of sorted buckets."""
+    documents = [F.coalesce(run["documents"], F.lit(0)) for run in (one, two)]
+    return one.join(two, KEY, "full").select(
+        *KEY,
+        (documents[0] + documents[1]).alias("documents"),
+        F.greatest(one["keeper"], two["keeper"]).alias("keeper"),
+    )
 
-class LineIndex:
-    """Levels of sorted runs, no key in two of them, and the updates of their keys.
 
-    A level that has ``fan`` runs is compacted into the next.
-    """
+class Runs:
+    """Levels of runs. A level that has ``FAN`` of them is merged into one of the next."""
 
-    def __init__(self, fan: int = FAN):
-        self.fan = fan
+    def __init__(self, buckets: int):
+        self.buckets = buckets
         self.levels: list[list[DataFrame]] = [[]]
-        self.updates: list[DataFrame] = []
+        self.tables: list[str] = []
 
-    def runs(self) -> list[DataFrame]:
+    def all(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def add(self, lines: DataFrame) -> None:
-        run = make_run(lines)
-        if self.runs():
-            batch = stored(run, "batch")
-            self.updates.append(stored(self.seen(batch).sortWithinPartitions(*KEY), "updates"))
-            run = self.unseen(batch).sortWithinPartitions(*KEY)
-        self.levels[0].append(stored(run, "run"))
+    def written(self, run: DataFrame) -> DataFrame:
+        """The run in sorted buckets, as an external table of the shared folder."""
+        spark, name = run.sparkSession, f"touchline_run_{uuid.uuid4().hex}"
+        writer = run.write.option("path", scratch_path(spark, "llm-run"))
+        writer.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
+        self.tables.append(name)
+        return spark.table(name)
+
+    def add(self, run: DataFrame) -> None:
+        self.levels[0].append(run)
         for n, level in enumerate(self.levels):
-            if len(level) < self.fan:
+            if len(level) < FAN:
                 return
-            merged = stored(merge_runs(level), "run")
+            whole = level[0]
+            for other in level[1:]:
+                whole = self.written(merged(whole, other))
             level.clear()
             if n + 1 == len(self.levels):
                 self.levels.append([])
-            self.levels[n + 1].append(merged)
+            self.levels[n + 1].append(whole)
+
+
+class LineIndex:
+    """Runs, no key in two of them, and the updates of their keys."""
+
+    def __init__(self, buckets: int):
+        self.runs, self.updates = Runs(buckets), Runs(buckets)
+
+    def add(self, lines: DataFrame) -> None:
+        batch = self.runs.written(make_run(lines))
+        new = batch
+        if self.runs.all():
+            new = self.runs.written(self.unseen(batch))
+            known = self.updates.written(batch.join(new.select(*KEY), KEY, "left_anti"))
+            if not empty(known):
+                self.updates.add(known)
+        self.runs.add(new)
 
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The lines of a new batch whose keys no run holds: an anti-join with each run."""
-        for run in self.runs():
+        for run in self.runs.all():
             lines = lines.join(run.select(*KEY), KEY, "left_anti")
         return lines
 
-    def seen(self, lines: DataFrame) -> DataFrame:
-        """The other lines: a semi-join with the runs."""
-        keys = reduce(DataFrame.unionByName, [run.select(*KEY) for run in self.runs()])
-        return lines.join(keys, KEY, "left_semi")
-
     def common(self, documents: int = DOCUMENTS) -> DataFrame:
         """Keys of at least so many documents, with their keepers."""
-        runs = [*self.runs(), *self.updates]
-        whole = merge_runs(runs) if len(runs) > 1 else runs[0]
+        # Joins, not a union: Spark 4.1 takes the rows of a union of bucketed scans to lie in
+        # the buckets of one of them.
+        runs = [*self.runs.all(), *self.updates.all()]
+        whole = reduce(lambda one, two: self.runs.written(merged(one, two)), runs)
         return whole.where(F.col("documents") >= documents).select(*KEY, "keeper")
 
+    def drop_tables(self, spark: SparkSession) -> None:
+        """Take the runs out of the catalog; their files are scratch data like others."""
+        for runs in (self.runs, self.updates):
+            while runs.tables:
+                name = runs.tables.pop()
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
+
 
-def drops(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
+def drops(docs: DataFrame, batches: int | None = None) -> DataFrame:
     """(owner, text_key, gone): the places of the lines that each text loses, in order."""
+    spark = docs.sparkSession
+    if batches is None:
+        batches = max(LEAST_BATCHES, -(-docs.count() // BATCH_ROWS))
     lines = stored(document_lines(docs, batches), "lines", ["batch"])
-    index = LineIndex()
+    index = LineIndex(int(spark.conf.get("spark.sql.shuffle.partitions")))
     for batch in range(batches):
         index.add(lines.where(F.col("batch") == batch).drop("batch"))
     common = stored(index.common(), "common")
+    index.drop_tables(spark)
     lost = lines.drop("batch").join(common, KEY).where("owner <> keeper")
     # At most the lines that the text has.
     places = F.array_sort(F.collect_set("place"))
     return lost.groupBy("owner", "text_key").agg(places.alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """``docs`` with ``_kept``, the lines that stay, and ``_gone``, the places of the others.
+def dedup_lines(docs: DataFrame, batches: int | None = None) -> DataFrame:
+    """(row, kept, gone): each row of ``docs`` as a struct, the lines of its text that stay, and
+    the places of the others, null if there are none.
 
-    The kept lines are the slices between two dropped ones. The names ``_owner``,
-    ``_text_key``, ``_gone`` and ``_kept`` must be free in ``docs``.
+    The kept lines are the slices between two dropped ones.
     """
-    lost = drops(docs, batches).toDF("_owner", "_text_key", "_gone")
-    keyed = docs.withColumns(
-        {"_owner": owner(), "_text_key": F.xxhash64(F.col("text").cast("string"))}
+    texts = docs.select("doc_id", "text")
+    lost = drops(texts, batches)
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    keyed = docs.select(
+        row, owner().alias("owner"), F.xxhash64(F.col("text").cast("string")).alias("text_key")
     )
-    joined = keyed.join(lost, ["_owner", "_text_key"], "left").drop("_owner", "_text_key")
-    lines, gone = lines_of(F.col("text")), F.col("_gone")
+    joined = keyed.join(lost, ["owner", "text_key"], "left")
+    lines, gone = lines_of(F.col("row.text")), F.col("gone")
 
     def between(k: Column) -> Column:
         """The lines after dropped place k - 1 and before place k."""
@@ -172,18 +209,33 @@ def dedup_lines(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
         return F.slice(lines, low + 2, high - low - 1)
 
     kept = F.flatten(F.transform(F.sequence(F.lit(0), F.size(gone)), between))
-    return joined.withColumn("_kept", F.when(gone.isNull(), lines).otherwise(kept))
+    return joined.select("row", F.when(gone.isNull(), lines).otherwise(kept).alias("kept"), "gone")
 
 
 def kept_text(lines: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` with the lines that stay as texts, and ``n_chars``, if there, up to date."""
+    changed = F.col("gone").isNotNull()
+    text = kept_text(F.col("kept"))
+    columns = []
+    for field in docs.schema:
+        value = F.col("row")[field.name]
+        if field.name == "text":
+            value = F.when(changed, text).otherwise(value)
+        elif field.name == "n_chars":
+            value = F.when(changed, F.length(text).cast(field.dataType)).otherwise(value)
+        columns.append(value.alias(field.name))
+    return dedup_lines(docs).select(*columns)
+
+
 def digests(marked: DataFrame) -> DataFrame:
-    dropped = F.coalesce(F.size("_gone"), F.lit(0)).cast("long")
+    dropped = F.coalesce(F.size("gone"), F.lit(0)).cast("long")
     return marked.select(
-        "doc_id",
-        (F.size("_kept") + dropped).alias("n_lines"),
+        "row.doc_id",
+        (F.size("kept") + dropped).alias("n_lines"),
         dropped.alias("n_dropped"),
-        F.sha2(kept_text(F.col("_kept")), 256).alias("kept_sha256"),
+        F.sha2(kept_text(F.col("kept")), 256).alias("kept_sha256"),
     )

@@ -351,6 +351,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component stays, with all columns."""
-    gone = near_duplicates(docs).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(stored(gone, "gone"), docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    """One document of each component stays, with all columns, whatever their names."""
+    gone = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    gone = stored(gone, "gone").alias("gone")
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), row)
+    return rows.join(gone, rows["id"] == F.col("gone.doc_id"), "left_anti").select("row.*")

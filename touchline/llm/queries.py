@@ -65,7 +65,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.digests(linededup.dedup_lines(table(spark, sf_dir, "documents")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.digests(linededup.dedup_lines(docs))
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

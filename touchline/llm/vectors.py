@@ -1,10 +1,11 @@
 """Operator 3: embedding near-duplicates by int8 tile products with error bounds.
 
 A unit vector x is stored as an int8 code c and a scale s with x = s * c + e. For two
-vectors, x.y differs from s_x s_y (c_x . c_y) by at most |e_x| + |s_x c_x| |e_y|, which are
-known for each vector. A tile multiplies the codes of its vectors; integer products are
-exact in floating point. Only pairs that could reach the limit within their bounds are
-recomputed in double precision, and that alone decides.
+vectors, x.y differs from s_x s_y (c_x . c_y) by at most |e_x| |s_y c_y| + |e_y|, which are
+known for each vector. A tile gets codes, scales and errors, no vectors, and multiplies the codes;
+integer products are exact in floating point. Pairs that reach the limit whatever their errors
+are linked, and those that can't are not. The vectors of the other pairs, the ends and not the
+pairs, come to their tile once more in full, and double precision decides.
 
 Tiles are the buckets of random-hyperplane tables, so the work grows with the number of
 vectors times the size of a tile and not with its square. There are as many bits as keep a
@@ -24,6 +25,7 @@ have no links and a null component; other columns are not read.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import cache
 from math import acos, ceil, log, log2, pi
 
@@ -40,6 +42,11 @@ TILE = 1024
 MISS = 1e-6
 STRIP = 256
 KEY = ["vec_a", "vec_b"]
+TILE_KEY = ["table", "key", "size", "one", "two"]
+TILE_SCHEMA = (
+    "vec_id long, table int, key long, size int, one long, two long, block long, "
+    "n_links long, near long, undecided boolean"
+)
 
 
 def plan(count: int, limit: float = LIMIT) -> tuple[int, int]:
@@ -75,28 +82,53 @@ def buckets(codes: np.ndarray, tables: int, bits: int) -> np.ndarray:
     return side.reshape(len(codes), tables, bits) @ (1 << np.arange(bits))
 
 
-def linked(x: np.ndarray, y: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, int]:
-    """Places (i, j) with x[i].y[j] >= limit, and how many pairs were recomputed."""
-    cx, sx, ex = quantised(x)
-    cy, sy, ey = quantised(y)
-    kind = np.float32 if x.shape[1] <= 1024 else np.float64
-    cyt = np.ascontiguousarray(cy.T, kind)
-    near = sy * np.sqrt((cy * cy).sum(axis=1))
-    rows, columns, tried = [], [], 0
-    for start in range(0, len(x), STRIP):
-        here = slice(start, start + STRIP)
-        # limit - bound <= s_x s_y (c_x . c_y), with a margin for the rounding of doubles.
-        products = (cx[here].astype(kind) @ cyt) * (sx[here, None] * sy)
-        bound = ex[here, None] * near + ey + 1e-9
+@dataclass
+class Coded:
+    """Vectors as codes, with their scales and the lengths of what the codes leave out."""
+
+    codes: np.ndarray
+    scale: np.ndarray
+    error: np.ndarray
+
+    def __getitem__(self, at) -> Coded:
+        return Coded(self.codes[at], self.scale[at], self.error[at])
+
+
+def judged(one: Coded, two: Coded, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (i, j) of the pairs that may reach the limit, and which of them do for sure."""
+    size = one.codes.shape[1]
+    kind = np.float32 if size <= 1024 else np.float64
+    turned = np.ascontiguousarray(two.codes.T, kind)
+    length = two.scale * np.sqrt((two.codes.astype(np.float64) ** 2).sum(axis=1))
+    rows, columns, sure = [], [], []
+    for start in range(0, len(one.codes), STRIP):
+        here = one[start : start + STRIP]
+        products = (here.codes.astype(kind) @ turned) * (here.scale[:, None] * two.scale)
+        # With a margin for the rounding of doubles.
+        bound = here.error[:, None] * length + two.error + 1e-9
         i, j = np.nonzero(products >= limit - bound)
-        tried += len(i)
-        for k in range(0, len(i), 1 << 16):
-            a, b = i[k : k + (1 << 16)], j[k : k + (1 << 16)]
-            exact = np.einsum("ij,ij->i", x[here][a], y[b]) >= limit
-            rows.append(a[exact] + start)
-            columns.append(b[exact])
+        rows.append(i + start)
+        columns.append(j)
+        sure.append(products[i, j] >= limit + bound[i, j])
     none = np.empty(0, int)
-    return np.concatenate([none, *rows]), np.concatenate([none, *columns]), tried
+    return np.concatenate([none, *rows]), np.concatenate([none, *columns]), np.concatenate([none > 0, *sure])
+
+
+def reach(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, limit: float) -> np.ndarray:
+    """Which pairs reach the limit in double precision."""
+    found = np.zeros(len(i), bool)
+    for k in range(0, len(i), 1 << 16):
+        some = slice(k, k + (1 << 16))
+        found[some] = np.einsum("ij,ij->i", x[i[some]], y[j[some]]) >= limit
+    return found
+
+
+def linked(x: np.ndarray, y: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, int]:
+    """Places (i, j) with x[i].y[j] >= limit, and how many pairs were recomputed."""
+    i, j, sure = judged(Coded(*quantised(x)), Coded(*quantised(y)), limit)
+    open_ = np.flatnonzero(~sure)
+    sure[open_] = reach(x, y, i[open_], j[open_], limit)
+    return i[sure], j[sure], len(open_)
 
 
 def _connected(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -112,30 +144,59 @@ def _connected(count: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = least
 
 
-def tile(frame: pd.DataFrame, tables: int, bits: int, limit: float) -> pd.DataFrame:
-    """(vec_id, n_links, near) of the vectors of one tile that have links there."""
+def _pairs(frame: pd.DataFrame, tables: int, bits: int, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places (i, j) of the pairs of a tile that may reach the limit, and which do for sure.
+    Pairs that an earlier table has brought together are left out."""
     first = frame.iloc[0]
     table, one, two = int(first["table"]), int(first["one"]), int(first["two"])
-    frame = frame.sort_values(["block", "vec_id"])
-    x = units([np.frombuffer(v, np.float64) for v in frame["vector"]])
-    left = int((frame["block"] == one).sum())
-    keys = buckets(quantised(x)[0], tables, bits)[:, :table]
+    codes = np.stack([np.frombuffer(c, np.int8) for c in frame["codes"]])
+    coded = Coded(codes, frame["scale"].to_numpy(), frame["error"].to_numpy())
     if one == two:
-        i, j, _ = linked(x, x, limit)
-        i, j = i[i < j], j[i < j]
+        i, j, sure = judged(coded, coded, limit)
+        upper = i < j
+        i, j, sure = i[upper], j[upper], sure[upper]
     else:
-        i, j, _ = linked(x[:left], x[left:], limit)
+        left = int((frame["block"] == one).sum())
+        i, j, sure = judged(coded[:left], coded[left:], limit)
         j = j + left
+    keys = buckets(codes, tables, bits)[:, :table]
     fresh = ~(keys[i] == keys[j]).any(axis=1)
-    i, j = i[fresh], j[fresh]
+    return i[fresh], j[fresh], sure[fresh]
+
+
+def _links(frame: pd.DataFrame, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector, how many others links lead to, and one that it is connected with."""
     ids, weight = frame["vec_id"].to_numpy(), frame["copies"].to_numpy()
-    total = np.bincount(i, weight[j], len(x)) + np.bincount(j, weight[i], len(x))
-    has = np.flatnonzero(total)
+    total = np.bincount(i, weight[j], len(ids)) + np.bincount(j, weight[i], len(ids))
     # Places are ordered by block, so the label need not be the least id; any member does.
-    label = _connected(len(x), i, j)
-    return pd.DataFrame(
-        {"vec_id": ids[has], "n_links": total[has].astype(np.int64), "near": ids[label[has]]}
-    )
+    return total.astype(np.int64), ids[_connected(len(ids), i, j)]
+
+
+def _in_order(frame: pd.DataFrame) -> pd.DataFrame:
+    return frame.sort_values(["block", "vec_id"], ignore_index=True)
+
+
+def tile(frame: pd.DataFrame, tables: int, bits: int, limit: float) -> pd.DataFrame:
+    """The vectors of a tile with sure links or open pairs there."""
+    frame = _in_order(frame)
+    i, j, sure = _pairs(frame, tables, bits, limit)
+    total, near = _links(frame, i[sure], j[sure])
+    undecided = np.zeros(len(frame), bool)
+    undecided[i[~sure]] = undecided[j[~sure]] = True
+    out = frame[["vec_id", *TILE_KEY, "block"]].assign(n_links=total, near=near, undecided=undecided)
+    return out[(total > 0) | undecided]
+
+
+def recomputed(frame: pd.DataFrame, tables: int, bits: int, limit: float) -> pd.DataFrame:
+    """The links among the open pairs of a tile, from the vectors that are part of one."""
+    frame = _in_order(frame)
+    i, j, sure = _pairs(frame, tables, bits, limit)
+    x = units([np.frombuffer(v, np.float64) for v in frame["vector"]])
+    i, j = i[~sure], j[~sure]
+    linked_here = reach(x, x, i, j, limit)
+    total, near = _links(frame, i[linked_here], j[linked_here])
+    out = pd.DataFrame({"vec_id": frame["vec_id"], "n_links": total, "near": near})
+    return out[total > 0]
 
 
 def usable(vector: Column) -> Column:
@@ -148,19 +209,21 @@ def usable(vector: Column) -> Column:
 
 
 def _prepared(unique: DataFrame, tables: int, bits: int) -> DataFrame:
-    """The vectors as bytes of doubles, with their keys."""
+    """The vectors as bytes of doubles, as codes, and with their keys."""
 
     def run(batches):
         for batch in batches:
             vectors = batch.column("vector").to_pylist()
             raw = [np.array(v, np.float64) for v in vectors]
-            keys: list = [None] * len(raw)
+            keys, codes, scales, errors = ([None] * len(raw) for _ in range(4))
             sizes = np.array([len(v) for v in raw])
             for size in np.unique(sizes):
                 at = np.flatnonzero(sizes == size)
-                found = buckets(quantised(units([raw[i] for i in at]))[0], tables, bits)
-                for i, key in zip(at, found):
-                    keys[i] = key
+                code, scale, error = quantised(units([raw[i] for i in at]))
+                found = buckets(code, tables, bits)
+                for k, i in enumerate(at):
+                    keys[i], scales[i], errors[i] = found[k], scale[k], error[k]
+                    codes[i] = code[k].astype(np.int8).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("vec_id"),
@@ -168,11 +231,17 @@ def _prepared(unique: DataFrame, tables: int, bits: int) -> DataFrame:
                     pa.array([v.tobytes() for v in raw], pa.binary()),
                     pa.array(sizes, pa.int32()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(codes, pa.binary()),
+                    pa.array(scales, pa.float64()),
+                    pa.array(errors, pa.float64()),
                 ],
-                ["vec_id", "copies", "vector", "size", "keys"],
+                ["vec_id", "copies", "vector", "size", "keys", "codes", "scale", "error"],
             )
 
-    schema = "vec_id long, copies long, vector binary, size int, keys array<long>"
+    schema = (
+        "vec_id long, copies long, vector binary, size int, keys array<long>, codes binary, "
+        "scale double, error double"
+    )
     return unique.select("vec_id", "copies", "vector").mapInArrow(run, schema)
 
 
@@ -201,7 +270,8 @@ def near_vectors(embeddings: DataFrame, column: str = "embedding", limit: float
     where = ["table", "key", "size"]
     sizes = placed.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / (2 * TILE)).alias("blocks"))
     sizes = stored(sizes.where("blocks > 1"), "blocks")
-    full = prepared.select("vec_id", "copies", "vector", F.posexplode("keys").alias("table", "key"), "size")
+    coded = ["vec_id", "copies", "codes", "scale", "error"]
+    full = prepared.select(*coded, F.posexplode("keys").alias("table", "key"), "size")
     blocks = F.coalesce("blocks", F.lit(1))
     dealt = (
         full.join(sizes, where, "left")
@@ -211,10 +281,16 @@ def near_vectors(embeddings: DataFrame, column: str = "embedding", limit: float
         .withColumn("two", F.greatest("block", "_with"))
         .drop("blocks", "_with")
     )
-    found = dealt.groupBy(*where, "one", "two").applyInPandas(
-        lambda frame: tile(frame, tables, bits, limit), "vec_id long, n_links long, near long"
+    judged_tiles = dealt.groupBy(*TILE_KEY).applyInPandas(
+        lambda frame: tile(frame, tables, bits, limit), TILE_SCHEMA
     )
-    found = stored(found, "tiles")
+    judged_tiles = stored(judged_tiles, "tiles")
+    undecided = judged_tiles.where("undecided").select("vec_id", *TILE_KEY, "block")
+    again = undecided.join(prepared.select(*coded, "vector"), "vec_id").groupBy(*TILE_KEY)
+    links = "vec_id long, n_links long, near long"
+    more = again.applyInPandas(lambda frame: recomputed(frame, tables, bits, limit), links)
+    sure = judged_tiles.where("n_links > 0").select("vec_id", "n_links", "near")
+    found = stored(sure.unionByName(more), "links")
     counts = found.groupBy("vec_id").agg(F.sum("n_links").alias("n_links"))
     named = grouped.select("vec_id", *KEY, "node", "copies", F.xxhash64("node", *KEY).alias("_node"))
     alias = stored(named.where("vec_id = node").select("_node", "node"), "nodes")

@@ -389,6 +389,28 @@ def test_formatting_is_read_back(spark):
     assert read.loss_text == "".join(t or "" for _, _, r, t in rows if r == "assistant")
 
 
+def test_whole_messages_come_back_from_their_events(spark):
+    long = "é😀x\n" * 500
+    rows = [
+        (1, 0, "user", long), (1, 1, "assistant", long + "!"), (1, 1, "assistant", "same turn"), (1, 1, None, "no role"),
+        (1, 1, "assistant", "same turn"), (1, None, "system", None), (2, 5, "assistant", ""), (None, 0, "user", "a" * chat.DELTA),
+        (None, 1, "assistant", "b" * (chat.DELTA + 1)),
+    ]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    frame = frame.withColumns({c: F.lit(1) for c in ("seq", "kind", "place", "events", "starts", "messages", "blocks", "n", "event")})
+    log = chat.as_events(frame.repartition(3))
+    kinds = {r.kind for r in log.select("kind").distinct().collect()}
+    assert kinds == {"message", "delta", "edit", "regenerate"} and log.where("length(text) > 256").isEmpty()
+    found = {r.conv_id: [tuple(m) for m in r.messages] for r in chat.reconstruct(log).collect()}
+    assert found == {
+        1: [("system", ""), ("user", long), ("", "no role"), ("assistant", "same turn"), ("assistant", "same turn"), ("assistant", long + "!")],
+        2: [("assistant", "")],
+        None: [("user", "a" * chat.DELTA), ("assistant", "b" * (chat.DELTA + 1))],
+    }
+    plan = chat.reconstruct(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 # --- 7: quality -------------------------------------------------------------------
 
 

@@ -1,7 +1,7 @@
 """Operator 6: chat formatting from event logs.
 
-A log holds events (conv_id, turn, seq, kind, role, text). The events of a conversation are
-gathered, sorted by turn and sequence, and folded into messages:
+A log holds events (conv_id, turn, seq, kind, role, text). The events of a turn are gathered,
+sorted by sequence, and folded into messages, before these are gathered by conversation:
 
 * ``message`` opens a message, also when its turn has one already;
 * ``delta`` adds its text to the message (streaming);
@@ -16,6 +16,9 @@ Rendering: ``### role:\\n`` text ``</turn>\\n`` for each message. In texts and r
 control string can stand in one, and reading back is exact. The loss mask is the list of
 character spans of the assistant texts in the formatted string.
 
+A table of whole messages becomes the log that would have led to it: a draft of each message, an
+edit or, for the assistant, a regeneration that takes its place, and deltas with the rest.
+
 Only DataFrame functions are used. Edge cases: null texts and roles are empty strings;
 null turns come first; rows with the same turn are separate messages, in the order of seq,
 role and text; rows with a null conv_id form one conversation; an empty table gives no
@@ -24,7 +27,7 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "### ", "</turn>\n"
@@ -49,16 +52,38 @@ def unescape(text: Column, more: tuple[tuple[str, str], ...] = ()) -> Column:
 COLON = ((":", "c"),)
 
 
+#: Code points of a delta.
+DELTA = 256
+#: Sequence numbers of a message, where several rows have one turn.
+STEP = 1 << 32
+EVENT = "array<struct<kind string, role string, text string>>"
+
+
 def as_events(rows: DataFrame) -> DataFrame:
-    """A table of whole messages (conv_id, turn, role, text) as a log."""
-    return rows.select(
-        "conv_id",
-        F.col("turn").cast("long").alias("turn"),
-        F.lit(0).cast("long").alias("seq"),
-        F.lit("message").alias("kind"),
-        F.col("role").cast("string").alias("role"),
-        F.col("text").cast("string").alias("text"),
-    )
+    """A table of whole messages (conv_id, turn, role, text) as a log of streamed ones."""
+    turn, role = F.col("turn").cast("long"), F.col("role").cast("string")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    whole = rows.select("conv_id", turn.alias("turn"), role.alias("role"), text.alias("text"))
+    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{DELTA}}}"), F.lit(0))
+    first = F.coalesce(F.get(pieces, F.lit(0)), F.lit(""))
+
+    def event(kind: Column, text: Column, role: Column = F.lit(None)) -> Column:
+        return F.struct(kind.alias("kind"), role.alias("role"), text.alias("text"))
+
+    again = F.when(F.col("role") == "assistant", "regenerate").otherwise("edit")
+    draft = F.array(
+        event(F.lit("message"), first, F.col("role")),
+        event(F.lit("delta"), F.lit(" (draft)")),
+        event(again, first),
+    ).cast(EVENT)
+    rest = F.transform(
+        F.slice(pieces, F.lit(2), F.greatest(F.size(pieces), F.lit(1))),
+        lambda p: event(F.lit("delta"), p),
+    ).cast(EVENT)
+    numbered = whole.withColumn("place", place.cast("long") * STEP)
+    events = numbered.select("conv_id", "turn", "place", F.posexplode(F.concat(draft, rest)).alias("n", "event"))
+    return events.select("conv_id", "turn", (F.col("place") + F.col("n")).alias("seq"), "event.*")
 
 
 def _folded(events: Column) -> Column:
@@ -78,25 +103,22 @@ def _folded(events: Column) -> Column:
 
 def reconstruct(log: DataFrame) -> DataFrame:
     """conv_id and ``messages``, an array of (role, text) in the order of turns."""
-    event = F.struct("turn", "seq", "role", "text", "kind")
-    gathered = log.groupBy("conv_id").agg(F.sort_array(F.collect_list(event)).alias("_events"))
-    events = F.col("_events")
+    event = F.struct("seq", "role", "text", "kind")
+    by_turn = log.groupBy("conv_id", "turn").agg(F.sort_array(F.collect_list(event)).alias("events"))
+    events = F.col("events")
     places = F.sequence(F.lit(0), F.size(events) - 1)
-
-    def opens(i: Column) -> Column:
-        here, last = F.get(events, i), F.get(events, i - 1)
-        return (i == 0) | (here["kind"] == "message") | ~here["turn"].eqNullSafe(last["turn"])
-
-    starts = F.col("_starts")
+    opens = F.filter(places, lambda i: (i == 0) | (F.get(events, i)["kind"] == "message"))
+    starts = F.col("starts")
     messages = F.transform(
         starts,
         lambda s, k: _folded(
             F.slice(events, s + 1, F.coalesce(F.get(starts, k + 1), F.size(events)) - s)
         ),
     )
-    return gathered.withColumn("_starts", F.filter(places, opens)).select(
-        "conv_id", messages.alias("messages")
-    )
+    folded = by_turn.withColumn("starts", opens).select("conv_id", "turn", messages.alias("messages"))
+    turns = F.sort_array(F.collect_list(F.struct("turn", "messages")))
+    gathered = folded.groupBy("conv_id").agg(turns.alias("turns"))
+    return gathered.select("conv_id", F.flatten(F.col("turns")["messages"]).alias("messages"))
 
 
 def render(conversations: DataFrame) -> DataFrame:
@@ -109,9 +131,9 @@ def render(conversations: DataFrame) -> DataFrame:
             m["role"].alias("role"),
         )
 
-    blocks = conversations.select("conv_id", F.transform("messages", block).alias("_blocks"))
+    blocks = conversations.select("conv_id", F.transform("messages", block).alias("blocks"))
     sizes = F.transform(
-        "_blocks",
+        "blocks",
         lambda b: F.struct(
             F.length(b["head"]).alias("head"),
             F.length(b["body"]).alias("body"),
@@ -131,7 +153,7 @@ def render(conversations: DataFrame) -> DataFrame:
         )
 
     text = F.array_join(
-        F.transform("_blocks", lambda b: F.concat(b["head"], b["body"], F.lit(CLOSE))), ""
+        F.transform("blocks", lambda b: F.concat(b["head"], b["body"], F.lit(CLOSE))), ""
     )
     mask = F.aggregate(sizes, start, walk, lambda s: s["spans"])
     return blocks.select("conv_id", text.alias("formatted"), mask.alias("loss_spans"))

@@ -100,36 +100,118 @@ def test_libraries_agree_with_their_classes():
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
+    """Edits from a to b; a swap of two letters is one."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        row, before = [i], row
+        row = [i]
         for j, y in enumerate(b, 1):
-            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
-    return row[-1]
+            least = min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                least = min(least, rows[-2][j - 2] + 1)
+            row.append(least)
+        rows.append(row)
+    return rows[-1][-1]
+
+
+def near_terms(word, terms):
+    """(edits, term) of all terms that the word is near to; a stem needs a beginning only."""
+    for t in terms:
+        letters = t.rstrip("*")
+        heads = [word[:n] for n in range(len(word) + 1)] if t.endswith("*") else [word]
+        least = min(distance(h, letters) for h in heads)
+        if least <= toxicity.edits(t):
+            yield least, t
 
 
 def test_automata_find_all_misspellings():
-    terms = {t: (float(i + 1), 1.0) for i, t in enumerate(["scum", "moron", "loser", "worthlessly"])}
+    names = ["scum", "moron", "loser", "worthlessly", "lowe*", "mor*", "crowdedness*", "x" * 45]
+    terms = {t: (float(i + 1), 1.0) for i, t in enumerate(names)}
     matcher = toxicity.Matcher(terms)
     r = random.Random(3)
     words = list(terms) + ["".join(r.choice("wormlsecuthny") for _ in range(r.randint(1, 12))) for _ in range(500)]
-    for term in list(terms) * 60:
-        letters = list(term)
+    for term in [t.rstrip("*") for t in terms] * 80:
+        letters = list(term + r.choice(["", "", "est", "x" * 50]))
         for _ in range(r.randint(0, 3)):
             at = r.randrange(len(letters) or 1)
-            letters[at : at + r.randint(0, 1)] = r.choice(["", "x", "o"])
+            if r.random() < 0.4:
+                letters[at : at + 2] = letters[at : at + 2][::-1]
+            else:
+                letters[at : at + r.randint(0, 1)] = r.choice(["", "x", "o"])
         words.append("".join(letters))
     for word in words:
-        near = [(distance(word, t), t) for t in terms if distance(word, t) <= toxicity.edits(t)]
+        near = list(near_terms(word, terms))
         found = matcher.match(word)
         assert (found is None) == (not near), word
         if near:
-            assert found[1] == min(near)[0]
+            assert found[1] == min(near)[0], word
+    assert matcher.match("x" * 51) is None and matcher.match("x" * 46) == ("x" * 45, 1)
+
+
+def test_a_small_table_of_states_gives_the_same():
+    terms = dict.fromkeys(["scum", "moron", "worthless", "lowe*"], (1.0, 1.0))
+    large, small = toxicity.Matcher(terms), toxicity.Matcher(terms, most=5)
+    r = random.Random(4)
+    for _ in range(300):
+        word = "".join(r.choice("scumornwthle") for _ in range(r.randint(2, 9)))
+        assert small.match(word) == large.match(word)
 
 
 def test_stems_match_by_their_beginning():
     matcher = toxicity.Matcher({"lowe*": (1.0, 1.0)})
-    assert matcher.match("lowerest") == ("lowe*", 0) and matcher.match("low") is None
+    assert matcher.match("lowerest") == ("lowe*", 0) and matcher.match("lo") is None
+    assert matcher.match("llowerest") == matcher.match("lwoerest") == ("lowe*", 1)
+
+
+def misspelled(term, kind, r):
+    at = r.randrange(len(term) - 1)
+    if kind == "swap":
+        at = next(i for i in range(len(term) - 1) if term[i] != term[i + 1])
+        return term[:at] + term[at + 1] + term[at] + term[at + 2 :]
+    return term[:at] + {"drop": "", "double": term[at] * 2, "replace": "x"}[kind] + term[at + 1 :]
+
+
+def test_planted_misspellings_are_found(spark):
+    """Each document with one misspelled term and nothing else of the lexicon."""
+    r = random.Random(6)
+    terms = ["skum", "moron", "halunke", "schuft", "worthless", "grobian"]
+    family = ["krethier", "krethiana", "krethios", "krethilund", "krethimo", "krethiwa", "krethiper"]
+    rows, labels = [], []
+    for i in range(1500):
+        words = prose(40, 5000 + i).split()
+        if i % 5 == 0:
+            words[r.randrange(40)] = r.choice(terms + [r.choice(family)])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 5 == 0)))
+    planted = {}
+    for i in range(400):
+        words = prose(40, 9000 + i).split()
+        kind = ["swap", "drop", "double", "replace"][i % 4]
+        term = r.choice(terms)
+        planted[10_000 + i] = kind if i % 7 else "stem"
+        words[r.randrange(40)] = misspelled(term, kind, r) if i % 7 else "kretih" + r.choice(["xe", "ola", "dum"])
+        rows.append((10_000 + i, " ".join(words)))
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(texts, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert any(t.startswith("kreth") and t.endswith("*") for t in model.terms) and "skum" in model.terms
+    found = {r.doc_id: r.predicted for r in toxicity.score(texts, model).collect()}
+    by_kind = defaultdict(list)
+    for i, kind in planted.items():
+        by_kind[kind].append(found[i])
+    assert all(sum(x) >= 0.9 * len(x) for x in by_kind.values()), {k: sum(x) / len(x) for k, x in by_kind.items()}
+    clean = [found[i] for i in range(1500) if i % 5]
+    assert sum(clean) <= 0.001 * len(clean)
+    assert all(found[i] for i in range(0, 1500, 5))
+
+
+def test_contexts_reach_over_cuts(monkeypatch):
+    from touchline.llm import textscan
+
+    model = toxicity.Model({"moron": (5.0, 4.0)}, (-4.0, 1.0, 1.0, 0.5))
+    text = 'it is said that they wrote "you moron" to them and more words that follow it'
+    whole = toxicity.Scorer(model).scores([text, "x", text])
+    for limit in (3, 10, 25, 40):
+        monkeypatch.setattr(toxicity, "parts", lambda texts, limit=limit: textscan.parts(texts, limit))
+        assert np.array_equal(toxicity.Scorer(model).scores([text, "x", text]), whole), limit
 
 
 def test_a_quotation_weighs_less():

@@ -2,16 +2,20 @@
 
 The lexicon is learned from labels: words, and stems that many words begin with, whose
 documents are toxic. A trie holds it, and Levenshtein automata intersected with the trie
-find the terms that a word is, or is a misspelling of. The intersection is made
-deterministic while it runs: a state is the set of trie nodes that can be reached, with the
-edits spent, and its transitions are kept.
+find the terms that a word is, or is a misspelling of: letters put in, left out, replaced, or
+swapped with the next one, each one edit. The intersection is made deterministic while it runs:
+a state is the set of trie nodes that can be reached, with the edits spent, and its transitions
+are kept. Words of any length are matched whole.
 
 Every hit is weighed by its context: quotation marks around it and words of reporting within
 a window speak for a quotation, others for abuse. A logistic model of the weights of exact,
-misspelled and quoted hits gives the score.
+misspelled and quoted hits gives the score. What a misspelling weighs is learned from the words
+of the labelled rows that look like the term: where clean rows hold many, it tells little. Labels
+hold few misspellings and quotations, so some rows are learned from a second time with their hits
+taken for misspelled ones, and some as clean rows that quote them (``AUGMENT``).
 
 Learning uses at most ``TOXIC`` and ``CLEAN`` labelled rows, those with the least hash of
-their id, and of near copies one. Scoring reads every whole text. Only text and label are
+their id, and of near copies one; every term with enough evidence there is in the lexicon. Scoring reads every whole text. Only text and label are
 inputs of the model.
 
 Edge cases: null and empty texts have no hits and get the score of a text without any; rows
@@ -41,18 +45,19 @@ from touchline.llm.textscan import code_points, parts, text_words
 
 #: Labelled rows that are learned from, at most.
 TOXIC, CLEAN = 10_000, 20_000
-#: Terms in the lexicon, at most.
-TERMS = 2_000
 #: A term's share of toxic documents; clean ones count more where they are fewer.
-LEAST_SHARE = 0.97
+LEAST_SHARE = 0.9
 #: How many terms of the lexicon may be there by luck alone.
-LUCK = 1.0
+LUCK = 2.0
 #: One in so many toxic rows is learned from with its terms misspelled, and one as a clean
 #: row that quotes them: labels hold few of either.
-AUGMENT = 25
+AUGMENT = 10
 STEMS = (4, 5, 6)
-LONGEST = 40
+#: Letters of a term.
+LEAST, LONGEST = 3, 40
 WINDOW = 48
+#: All hits of a kind in a text weigh so much at most.
+MOST = 12.0
 QUOTES = "\"“”„«»‟‹›"
 #: Words that report what someone else said.
 REPORTING = frozenset(
@@ -63,8 +68,10 @@ _WORD = re.compile(r"[^\W_]+")
 
 
 def edits(term: str) -> int:
-    """Misspellings that a term of this length allows."""
-    return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
+    """Misspellings that a term of this length allows; a stem allows one at most."""
+    letters = len(term.rstrip("*"))
+    most = 0 if letters < 4 else 1 if letters < 10 else 2
+    return min(most, 1) if term.endswith("*") else most
 
 
 @dataclass
@@ -76,80 +83,91 @@ class Model:
     coefficients: tuple[float, ...] = (-4.0, 0.0, 0.0, 0.0)
 
 
+#: A stem has been read; any letters may follow.
+REST = "*"
+
+
 class Matcher:
-    """Levenshtein automata on the lexicon trie, made deterministic state by state."""
+    """Levenshtein automata on the lexicon trie, made deterministic state by state.
+
+    A place is a trie node and what is pending there: nothing, the letter that must come next
+    because it was swapped with the one before, or ``REST``.
+    """
 
     def __init__(self, terms: dict[str, tuple[float, float]], most: int = 100_000):
         self.most = most
         self.children: list[dict[str, int]] = [{}]
-        self.ends: list[str] = [""]
-        self.stem: list[bool] = [False]
+        self.words: list[str] = [""]
+        self.stems: list[str] = [""]
         self.allows: list[int] = [0]
         self.weights = terms
         for term in sorted(terms):
-            stem = term.endswith("*")
-            letters = term.rstrip("*")
-            allowed = 0 if stem else edits(letters)
             node = 0
-            self.allows[0] = max(self.allows[0], allowed)
-            for letter in letters:
+            self.allows[0] = max(self.allows[0], edits(term))
+            for letter in term.rstrip("*"):
                 nxt = self.children[node].get(letter)
                 if nxt is None:
                     nxt = self.children[node][letter] = len(self.children)
                     self.children.append({})
-                    self.ends.append("")
-                    self.stem.append(False)
+                    self.words.append("")
+                    self.stems.append("")
                     self.allows.append(0)
                 node = nxt
-                self.allows[node] = max(self.allows[node], allowed)
-            if not self.ends[node] or stem:
-                self.ends[node], self.stem[node] = term, stem
+                self.allows[node] = max(self.allows[node], edits(term))
+            (self.stems if term.endswith("*") else self.words)[node] = term
         self._clear()
 
     def _clear(self) -> None:
-        first = self._closed({0: 0})
+        first = self._closed({(0, ""): 0})
         self.states: list[tuple] = [(), first]
         self.number = {(): 0, first: 1}
         self.moves: dict[tuple[int, str], int] = {}
         self.found: list[tuple[str, int] | None] = [None, self._best(first)]
 
-    def _closed(self, spent: dict[int, int]) -> tuple:
-        """With the nodes that leaving out letters of a term reaches."""
-        todo = list(spent.items())
+    def _closed(self, spent: dict[tuple[int, str], int]) -> tuple:
+        """With the places that leaving out letters of a term reaches, and stems at their ends."""
+        todo = [(node, e) for (node, pending), e in spent.items() if not pending]
         while todo:
             node, e = todo.pop()
             for child in self.children[node].values():
-                if e + 1 <= self.allows[child] and spent.get(child, 9) > e + 1:
-                    spent[child] = e + 1
+                if e + 1 <= self.allows[child] and spent.get((child, ""), 9) > e + 1:
+                    spent[child, ""] = e + 1
                     todo.append((child, e + 1))
+        for (node, pending), e in list(spent.items()):
+            stem = self.stems[node]
+            if stem and not pending and e <= edits(stem):
+                spent[node, REST] = min(e, spent.get((node, REST), 9))
         return tuple(sorted(spent.items()))
 
     def _best(self, state: tuple) -> tuple[str, int] | None:
         """The term that a word ending here is nearest to, and how many edits away."""
-        ends = [
-            (e, -self.weights[self.ends[n]][0], self.ends[n])
-            for n, e in state
-            if self.ends[n] and (e == 0 if self.stem[n] else e <= edits(self.ends[n]))
-        ]
-        return (min(ends)[2], min(ends)[0]) if ends else None
+        ends = []
+        for (node, pending), e in state:
+            term = self.stems[node] if pending == REST else "" if pending else self.words[node]
+            if term and e <= edits(term):
+                ends.append((e, -self.weights[term][min(e, 1)], -len(term), term))
+        return (min(ends)[3], min(ends)[0]) if ends else None
 
     def _move(self, number: int, letter: str) -> int:
-        spent: dict[int, int] = {}
-
-        def reach(node: int, e: int) -> None:
-            if e <= self.allows[node] and spent.get(node, 9) > e:
-                spent[node] = e
-
-        for node, e in self.states[number]:
-            if self.stem[node] and e == 0:
-                spent[node] = 0
-            reach(node, e + 1)
-            for other, child in self.children[node].items():
-                if other == letter:
-                    if e <= self.allows[child] and spent.get(child, 9) > e:
-                        spent[child] = e
-                else:
-                    reach(child, e + 1)
+        spent: dict[tuple[int, str], int] = {}
+
+        def reach(node: int, e: int, pending: str = "") -> None:
+            if e <= self.allows[node] and spent.get((node, pending), 9) > e:
+                spent[node, pending] = e
+
+        for (node, pending), e in self.states[number]:
+            if pending == REST:
+                reach(node, e, REST)
+            elif pending:
+                if letter == pending:
+                    reach(node, e)
+            else:
+                reach(node, e + 1)
+                for other, child in self.children[node].items():
+                    reach(child, e if other == letter else e + 1)
+                    later = self.children[child].get(letter)
+                    if later is not None and other != letter:
+                        reach(later, e + 1, other)
         state = self._closed(spent) if spent else ()
         nxt = self.number.get(state)
         if nxt is None:
@@ -160,8 +178,6 @@ class Matcher:
         return nxt
 
     def match(self, word: str) -> tuple[str, int] | None:
-        if len(word) > LONGEST:
-            word = word[: LONGEST + 1]
         if len(self.states) > self.most:
             self._clear()
         state, moves = 1, self.moves
@@ -211,11 +227,17 @@ class Scorer:
 
     def features(self, texts: list[str]) -> np.ndarray:
         """Weights of exact, misspelled and quoted hits of each text, and what the exact
-        ones would weigh if they were misspelled."""
+        ones would weigh if they were misspelled. Of misspelled hits the heaviest counts:
+        words that look alike come in flocks, as forms of one word do."""
         found = np.zeros((len(texts), 4))
         if not self.names:
             return found
+        begun = [0] * len(texts)
         for group in parts(texts):
+            offsets = []
+            for i, p in group:
+                offsets.append(begun[i])
+                begun[i] += len(p)
             whole = BREAK.join(p.lower() for _, p in group)
             points = code_points(whole)
             sizes = np.array([len(p.lower()) + 1 for _, p in group])
@@ -227,19 +249,26 @@ class Scorer:
             for k in np.flatnonzero(codes >= 0):
                 start, end = int(starts[k]), int(starts[k] + lengths[k])
                 part = int(np.searchsorted(first, start, "right") - 1)
-                low = max(int(first[part]), start - WINDOW)
-                high = min(int(first[part] + sizes[part] - 1), end + WINDOW)
-                quoted = quotation(whole[low:start], whole[end:high])
+                low, high = int(first[part]), int(first[part] + sizes[part] - 1)
+                before, after = whole[max(low, start - WINDOW) : start], whole[end : min(high, end + WINDOW)]
+                i, p = group[part]
+                if start - low < WINDOW and offsets[part]:
+                    cut = offsets[part]
+                    before = (texts[i][max(0, cut - WINDOW) : cut].lower() + before)[-WINDOW:]
+                if high - end < WINDOW and offsets[part] + len(p) < len(texts[i]):
+                    cut = offsets[part] + len(p)
+                    after = (after + texts[i][cut : cut + WINDOW].lower())[:WINDOW]
+                quoted = quotation(before, after)
                 exact, misspelled = self.model.terms[self.names[codes[k] >> 2]]
-                row = found[group[part][0]]
+                row = found[i]
                 if codes[k] & 3:
-                    row[1] += misspelled * (1 - quoted)
+                    row[1] = max(row[1], misspelled * (1 - quoted))
                     row[2] += misspelled * quoted
                 else:
                     row[0] += exact * (1 - quoted)
                     row[2] += exact * quoted
-                    row[3] += misspelled
-        return np.log1p(found)
+                    row[3] = max(row[3], misspelled)
+        return np.minimum(found, MOST)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         bias, *weights = self.model.coefficients
@@ -253,7 +282,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _distinct_words(text: str) -> set[str]:
-    return {w for w in _WORD.findall(text.lower()) if 3 <= len(w) <= LONGEST}
+    return {w for w in _WORD.findall(text.lower()) if LEAST <= len(w) <= LONGEST}
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -320,17 +349,19 @@ def learn_terms(docs: DataFrame, chosen: DataFrame) -> tuple[dict[str, float], i
     counted = _with_text(docs, chosen).select("toxic", "text").mapInArrow(run, schema)
     counted = counted.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     counted = stored(counted, "terms")
-    share = F.col("toxic") / (F.col("toxic") + F.col("clean") * max(1.0, toxic / clean))
-    rows = counted.where((F.col("toxic") > 1) & (share >= LEAST_SHARE))
-    rows = rows.orderBy(F.desc("toxic"), "term")
-    found = {r["term"]: (r["toxic"], r["clean"]) for r in rows.limit(TERMS).collect()}
+    t, c = F.col("toxic"), F.col("clean")
+    share = t / (t + c * max(1.0, toxic / clean))
+    base = toxic / (toxic + clean)
+    told = t * F.log(t / (t + c) / base) + F.when(c > 0, c * F.log(c / (t + c) / (1 - base))).otherwise(0.0)
     needed = math.log(max(counted.where("toxic + clean > 1").count(), 1) / LUCK)
-    found = {t: n for t, n in found.items() if _evidence(*n, toxic, clean) >= needed}
+    # The cover asks for the evidence in the rows that are still open, where two tell little.
+    rows = counted.where((t > 2) & (share >= LEAST_SHARE) & ((told >= needed) | (c == 0)))
+    found = {r["term"]: (r["toxic"], r["clean"]) for r in rows.collect()}
     # The most evident first; words before stems and long stems before short ones.
     order = {t: -round(_evidence(*n, toxic, clean), 6) for t, n in found.items()}
     found = {t: found[t] for t in sorted(found, key=lambda t: (order[t], t.endswith("*"), -len(t), t))}
     held = _holders(docs, chosen, list(found))
-    kept = _strong(found, held, toxic, clean, 1.5 * needed)
+    kept = _strong(found, held, toxic, clean, needed)
     kept = list(dict.fromkeys(kept + _cover(found, held, toxic, clean, needed)))
     alike = _look_alikes(counted, kept)
 
@@ -341,16 +372,17 @@ def learn_terms(docs: DataFrame, chosen: DataFrame) -> tuple[dict[str, float], i
     terms = {}
     for term in kept:
         t, c = alike.get(term, (0, 0))
-        terms[term] = odds(*found[term]), odds(found[term][0] / AUGMENT + t, c)
+        t += found[term][0] / AUGMENT
+        terms[term] = odds(*found[term]), odds(t, c) if t >= 1 + c else 0.0
     return terms, toxic, clean
 
 
 def _look_alikes(counted: DataFrame, terms: list[str]) -> dict[str, tuple[int, int]]:
     """Toxic and clean rows that hold words at most a few edits from each term."""
-    plain = {t: (1.0, 1.0) for t in terms if not t.endswith("*")}
+    equal = dict.fromkeys(terms, (1.0, 1.0))
 
     def run(batches):
-        matcher = Matcher(plain)
+        matcher = Matcher(equal)
         for batch in batches:
             hits = [matcher.match(w) for w in batch.column("term").to_pylist()]
             near = pa.array([h[0] if h and h[1] else None for h in hits], pa.string())
@@ -425,13 +457,11 @@ def _cover(
     for row, places in enumerate(held):
         for i in places:
             rows[i].add(row)
-    open_rows, taken = set(range(len(held))), []
+    gains, left, taken = [len(r) for r in rows], len(held), []
     while True:
-        gains = [len(r & open_rows) for r in rows]
         best = max(range(len(terms)), key=lambda i: (gains[i], -i), default=None)
         if best is None or not gains[best]:
             return taken
-        left = len(open_rows)
         if _evidence(gains[best], found[terms[best]][1], max(left, 1), clean) < needed:
             return taken
         # A word in place of a stem that explains hardly more.
@@ -440,7 +470,12 @@ def _cover(
                 best = i
                 break
         taken.append(terms[best])
-        open_rows -= rows[best]
+        for row in rows[best]:
+            if held[row]:
+                left -= 1
+                for i in held[row]:
+                    gains[i] -= 1
+                held[row] = []
 
 
 def fit(features: np.ndarray, toxic: np.ndarray, ridge: float = 0.01) -> tuple[float, ...]:

@@ -615,6 +615,48 @@ def test_unknown_sink(spark):
         messages.produce(spark.createDataFrame([("x",)], "value string"), "socket", "localhost")
 
 
+def test_stream_spells_are_those_of_the_batch(spark, feed, tmp_path, events, rows):
+    """Events out of order within the delay, matches that rest, a team that is missing."""
+    import random
+
+    from touchline.operators.spells import possession_spells
+    from touchline.streaming.spells import start_spells
+
+    r = random.Random(2)
+    data = [("m", 1000 + t * 0.5, r.choice("AAAB"), f"p{t % 3}", r.choice(["pass", "interception"])) for t in range(400)]
+    data += [("n", 1000 + 3.0 * t, r.choice(["A", None]), "p", "pass") for t in range(20)]
+    arrived = sorted(data, key=lambda e: e[1] + r.uniform(0, 8))
+
+    def send(part):
+        feed.push(*[
+            json.dumps({"match_id": m, "timestamp": t, "team": team, "player_id": p, "event_type": kind})
+            for m, t, team, p, kind in part
+        ])
+
+    def run():
+        stream = messages.valid_events(decoded(spark, feed, 1))
+        start_spells(stream, f"{tmp_path}/spells", f"{tmp_path}/cp", idle="1 minute").awaitTermination()
+
+    for i in range(0, len(arrived), 60):
+        send(arrived[i : i + 60])
+    run()
+    found = spark.read.parquet(f"{tmp_path}/spells")
+    assert {r.match_id for r in found.collect()} == {"m", "n"}
+    # The clock goes on: the last spells end; a replay of the query adds nothing.
+    send([("clock", 1400.0, "A", "p", "pass")])
+    run()
+    run()
+    expected = sorted(map(str, possession_spells(events(data)).collect()))
+    assert sorted(map(str, spark.read.parquet(f"{tmp_path}/spells").collect())) == expected
+    # A match that goes on after its rest has further spells, and late events have none.
+    send([("n", 1500.0, "B", "p", "pass"), ("m", 1001.0, "A", "p", "pass")])
+    send([("clock", 1700.0, "A", "p", "pass")])
+    run()
+    more = rows(spark.read.parquet(f"{tmp_path}/spells").where("start_ts > 1450"))
+    assert [x[:5] for x in more] == [("n", "B", 1500.0, 1500.0, 1)]
+    assert spark.read.parquet(f"{tmp_path}/spells").count() == len(expected) + 1
+
+
 def test_interval_trigger(spark, feed, tmp_path):
     feed.events(1)
     query = jobs.append_quarantine(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -26,8 +27,10 @@ from touchline.operators import sessions as match_setup
 from touchline.plans import dashboard, standins
 from touchline.session import scratch_path
 from touchline.sources import control, csvfiles, messages, tables
+from touchline.sources.archive import EventArchive
 from touchline.sources.keyed_log import KeyedLog
 from touchline.streaming import jobs, replay
+from touchline.streaming import spells as spells_stream
 from touchline.streaming.counts import WindowCounts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +355,40 @@ def session_reset(spark, sf_dir):
     )
 
 
+def _archive(spark: SparkSession, sf_dir: str) -> EventArchive:
+    """All events in the archive, the newest time ranges in a second write."""
+    archive = EventArchive(f"touchline_archive_{uuid.uuid4().hex}", scratch_path(spark, "archive"), seconds=86400)
+    events = standins.live_events(spark, sf_dir)
+    middle = events.agg(F.min("timestamp") + (F.max("timestamp") - F.min("timestamp")) / 2).first()[0] or 0
+    late = F.col("timestamp") >= middle // archive.seconds * archive.seconds
+    archive.write(events.where(~late))
+    archive.write(events.where(late))
+    return archive
+
+
+@query
+def archive_recent_of_match(spark, sf_dir):
+    """The newest events of one match, from its bucket and its newest time ranges."""
+    return _archive(spark, sf_dir).newest_of_match(spark, "2024-01-02")
+
+
+@query
+def archive_recent(spark, sf_dir):
+    """The newest events of every match, without those of older time ranges."""
+    return _archive(spark, sf_dir).newest(spark, 100)
+
+
+@query
+def archive_by_match(spark, sf_dir):
+    """Events, players and time of every match, grouped in the buckets of the archive."""
+    latest = _archive(spark, sf_dir).latest(spark, ["player_id"])
+    return latest.groupBy("match_id").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.count_distinct("player_id").alias("players"),
+        F.max("timestamp").alias("last_ts"),
+    )
+
+
 # --- baseline -----------------------------------------------------------------
 
 
@@ -613,6 +650,25 @@ def late_event_policy(spark, sf_dir):
     return _windows(counts.read(spark))
 
 
+@query
+def possession_spells_stream(spark, sf_dir):
+    """The spells as the stream finds them, in four parts and an event of a later day, which
+    lets the last spells of all matches end."""
+    root = scratch_path(spark, "spells")
+    events = _wire_events(spark, sf_dir)
+    later = events.agg((F.max("timestamp") + 10 * 86400).alias("timestamp")).select(
+        F.lit("later").alias("match_id"), "timestamp"
+    )
+    started = lambda: spells_stream.start_spells(
+        _stream(spark, f"{root}/messages"), f"{root}/spells", f"{root}/checkpoint", idle="3 days"
+    )
+    with jobs.fixed_partitions(spark, _cores(spark)):
+        replay.replay(events, replay.time_slices(events, 4), f"{root}/messages", started)
+        messages.produce(messages.encode(later), "files", f"{root}/messages")
+        started().awaitTermination()
+    return spark.read.parquet(f"{root}/spells")
+
+
 @query
 def raw_append_stream(spark, sf_dir):
     """Raw log and quarantine from one source; the keyed view of the log."""

@@ -296,6 +296,12 @@ ORACLE: dict[str, str] = {
     + """SELECT match_id, printf('%.1f', round(possession_a, 1)) || '%' AS text_a,
                 printf('%.1f', round(possession_b, 1)) || '%' AS text_b FROM card""",
     "possession_spells": _with(_EVENTS, _SPELLS)
+    + """SELECT match_id, any_value(team) AS team, min("timestamp") AS start_ts,
+                max("timestamp") AS end_ts, count(*) AS events,
+                coalesce(any_value(next_type) FILTER (ends) = 'interception', false)
+                  AS ended_by_turnover
+         FROM numbered GROUP BY match_id, spell""",
+    "possession_spells_stream": _with(_EVENTS, _SPELLS)
     + """SELECT match_id, any_value(team) AS team, min("timestamp") AS start_ts,
                 max("timestamp") AS end_ts, count(*) AS events,
                 coalesce(any_value(next_type) FILTER (ends) = 'interception', false)
@@ -364,6 +370,19 @@ ORACLE: dict[str, str] = {
     "session_reset": _with(_EVENTS)
     + """SELECT match_id, count(*) AS events, min("timestamp") AS first_ts FROM ev
          WHERE event_time > CAST(match_id AS TIMESTAMP) + INTERVAL 12 HOURS GROUP BY 1""",
+    "archive_recent_of_match": _with(_EVENTS)
+    + """SELECT * EXCLUDE (event_time, event_id) FROM ev WHERE match_id = '2024-01-02'
+         ORDER BY "timestamp" DESC, player_id, event_type LIMIT 1000""",
+    "archive_recent": _with(_EVENTS)
+    + """SELECT * EXCLUDE (event_time, event_id),
+                CAST(row_number() OVER (PARTITION BY match_id
+                  ORDER BY "timestamp" DESC, player_id, event_type) AS INTEGER) AS recency
+         FROM ev QUALIFY recency <= 100""",
+    "archive_by_match": _with(_EVENTS)
+    + """SELECT match_id, count(*) AS events, count(DISTINCT player_id) AS players,
+                max("timestamp") AS last_ts
+         FROM (SELECT match_id, "timestamp", max(player_id) AS player_id FROM ev GROUP BY 1, 2)
+         GROUP BY 1""",
     "hist_avg_events": """
          SELECT count(*) / count(DISTINCT l_orderkey) AS average_exact,
                 coalesce(CAST(trunc(count(*) / count(DISTINCT l_orderkey)) AS INTEGER), 1450)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +65,39 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file in any store that Spark can reach."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let the executors import this package, from a zip file in the shared folder.
+
+    Needed where Python runs in tasks; done once for an application.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    data = io.BytesIO()
+    root = Path(__file__).parent
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    path = scratch_path(spark, "package") + ".zip"
+    write_bytes(spark, path, data.getvalue())
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove this process's scratch data; its results must be consumed by then."""
     from touchline.sources.files import delete

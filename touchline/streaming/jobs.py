@@ -178,7 +178,7 @@ def windowed_counts(
 
 
 @contextmanager
-def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+def fixed_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
     """Shuffle partitions a query started inside gets; None keeps the session's.
 
     A query takes over the setting when it starts, and its checkpoint then fixes
@@ -243,7 +243,7 @@ def start_counts(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger.options)
     )
-    with _state_partitions(events.sparkSession, state_partitions):
+    with fixed_partitions(events.sparkSession, state_partitions):
         return writer.start()
 
 

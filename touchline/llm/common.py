@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
 from collections.abc import Iterable
-from pathlib import Path
 
-import touchline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline import session
 from touchline.session import scratch_path
 
 #: White space that separates words and is stripped from lines: space and \t to \r.
@@ -23,38 +20,16 @@ SALTS = 128
 BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-_shipped: set[str] = set()
-
 
 def ship(spark: SparkSession) -> None:
-    """Let the executors import this package, from a zip file in the shared folder.
+    """Let the executors import this package.
 
-    Where the session doesn't say how many bytes an Arrow batch holds, it is ``BATCH_BYTES``.
+    Where the session doesn't say how many bytes an Arrow batch holds, it is ``BATCH_BYTES`` from
+    now on, for all of its queries: Spark reads the setting when a query runs.
     """
     if spark.conf.get(_BATCH_SETTING, None) is None:
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    data = io.BytesIO()
-    root = Path(touchline.__file__).parent
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as file:
-        for source in sorted(root.rglob("*.py")):
-            file.write(source, source.relative_to(root.parent))
-    path = scratch_path(spark, "package") + ".zip"
-    write_bytes(spark, path, data.getvalue())
-    context.addPyFile(path)
-    _shipped.add(context.applicationId)
-
-
-def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
-    try:
-        stream.write(bytearray(data))
-    finally:
-        stream.close()
+    session.ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

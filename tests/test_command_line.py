@@ -82,6 +82,44 @@ def test_a_load_without_a_dimension_leaves_it(spark, tmp_path):
     assert teams == {"1": "Alpha", "2": "Better", "3": "Gamma"}
 
 
+def test_tables_that_set_up_makes_hold_what_load_and_streams_write(spark, tmp_path):
+    csv, source, root = tmp_path / "csv", tmp_path / "messages", f"{tmp_path}/live"
+    for folder in (csv, source):
+        folder.mkdir()
+    (csv / "events_x.csv").write_text("matchId,playerId\n5,8\n5,9\n6,9\n")
+    (csv / "teams.csv").write_text("wyId,officialName\n1,Alpha\n2,Beta\n")
+    (csv / "eventid2name.csv").write_text("event,subevent,event_label,subevent_label\n1,10,Duel,Air duel\n")
+    (csv / "tags2name.csv").write_text("Tag,Label,Description\n101,Goal,A goal\n1801,accurate,Accurate")
+    (csv / "competitions.csv").write_text('name,wyId,format,area,type\nFirst,524,League,"{\'id\': \'380\'}",club\n')
+    main(["setup", "--database", "whole"], spark)
+    load = ["load", "--csv", str(csv), "--warehouse", f"{tmp_path}/wh", "--database", "whole"]
+    for loads in (1, 2):
+        main(load, spark)
+        assert spark.table("whole.wyscout_events").count() == 3 * loads
+        assert spark.table("whole.teams").count() == 2 and spark.table("whole.matches").count() == 0
+    assert jobs.ServingFrames(f"{tmp_path}/wh").read(spark, "average").first().average_exact == 3.0
+    found = {n: [tuple(r) for r in spark.table(f"whole.{n}").collect()] for n in ("event_names", "tags", "competitions")}
+    assert found == {
+        "event_names": [("1", "10", "Duel", "Air duel")],
+        "tags": [("101", "Goal", "A goal"), ("1801", "accurate", "Accurate")],
+        "competitions": [("524", "First", "League", "club")],
+    }
+
+    lines = [json.dumps({"match_id": "m", "timestamp": 5.0, "team": t}) for t in "AB"]
+    (source / "1.json").write_text("\n".join(lines))
+    stream = ["stream", "--source", "files", "--messages", str(source), "--root", root]
+    main(stream, spark)
+    for _ in range(2):
+        main(["publish", "--root", root, "--database", "whole"], spark)
+        # The last line of a key wins, as the source is read in order.
+        assert [(r.match_id, r.team) for r in spark.table("whole.live_events").collect()] == [("m", "B")]
+        assert {r.team: r.total_events for r in spark.table("whole.live_team_stats").collect()} == {"A": 1, "B": 1}
+    main(["reset", "m", "--root", root], spark)
+    main(["publish", "--root", root, "--database", "whole"], spark)
+    assert spark.table("whole.live_events").isEmpty() and spark.table("whole.live_team_stats").isEmpty()
+    spark.sql("DROP DATABASE whole CASCADE")
+
+
 def test_unknown_teams_are_refused(spark, tmp_path):
     options = spark.createDataFrame([("1", "Alpha")], "team_id string, official_name string")
     with pytest.raises(ValueError, match="Omega"):

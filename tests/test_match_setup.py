@@ -163,3 +163,16 @@ def test_baseline_card(spark, events):
     assert found == {"m": (2, 1450, 1448), "quiet": (0, 1450, 1450)}
     text = {r.match_id: tuple(r)[1:] for r in baseline.baseline_text(card).collect()}
     assert text["m"] == ("1,450", "2", "1448 to average")
+
+
+def test_label_lists(spark):
+    from pyspark.sql import functions as F
+
+    from touchline.operators import labels
+
+    rows = spark.createDataFrame(
+        [(1, "[{'id': 1801}, {'id': 101}, {'id': 9}, {'id': 101}]"), (2, "[]"), (3, None)], "id int, tags string"
+    ).withColumn("codes", labels.code_list(F.col("tags")))
+    tags = spark.createDataFrame([("101", "Goal"), ("1801", "accurate")], "tag string, label string")
+    found = labels.with_label_lists(rows, ("id",), "codes", tags)
+    assert {r.id: r.labels for r in found.collect()} == {1: ["accurate", "Goal", "9", "Goal"], 2: [], 3: []}

@@ -615,6 +615,31 @@ def test_unknown_sink(spark):
         messages.produce(spark.createDataFrame([("x",)], "value string"), "socket", "localhost")
 
 
+def test_rows_on_time_and_late_rows_are_all_rows(spark, feed, tmp_path):
+    counts = WindowCounts(f"{tmp_path}/counts", "all")
+
+    def run(version="v1"):
+        events = messages.valid_events(decoded(spark, feed, 1))
+        jobs.start_counts(events, counts, f"{tmp_path}/cp-{version}", run=version).awaitTermination()
+        jobs.append_events(decoded(spark, feed), f"{tmp_path}/raw/run={version}", f"{tmp_path}/cp-raw-{version}").awaitTermination()
+        raw = jobs.read_raw_events(spark, f"{tmp_path}/raw").dropDuplicates(["ingest_partition", "timestamp"])
+        late = counts.late_rows(raw).groupBy("window_end").count().collect()
+        whole = raw.count() * 6
+        on_time = counts.read(spark).agg(F.sum("total_events")).first()[0]
+        return {int(r.window_end.timestamp()): r["count"] for r in late}, on_time, whole
+
+    for seconds in ([0], [100], [101]):
+        feed.events(*seconds)
+    assert run() == ({}, 18, 18)
+    feed.events(35, 85, 86)
+    late, on_time, whole = run()
+    assert late == {40: 1, 50: 1, 60: 1, 70: 1, 80: 1, 90: 3} and on_time + sum(late.values()) == whole == 36
+    counts.compact(spark, "v1")
+    assert run() == (late, on_time, whole)
+    with pytest.raises(ValueError):
+        jobs.team_stats(str(tmp_path)).late_rows(jobs.read_raw_events(spark, f"{tmp_path}/raw"))
+
+
 def test_stream_spells_are_those_of_the_batch(spark, feed, tmp_path, events, rows):
     """Events out of order within the delay, matches that rest, a team that is missing."""
     import random

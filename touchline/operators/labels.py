@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,3 +26,29 @@ def with_labels(
         *rows.columns,
         *[F.coalesce(lookup[f"__{name}"], fallback).alias(out) for name, out in labels.items()],
     )
+
+
+def code_list(text: Column) -> Column:
+    """The codes of a list in text form, such as ``[{'id': 101}, {'id': 1801}]``, in order."""
+    return F.regexp_extract_all(text, F.lit("[0-9]+"), F.lit(0))
+
+
+def with_label_lists(
+    rows: DataFrame,
+    key: tuple[str, ...],
+    codes: str,
+    dictionary: DataFrame,
+    code: str = "tag",
+    label: str = "label",
+    out: str = "labels",
+) -> DataFrame:
+    """Add the labels of a column of code lists, in their order; a code without one stands for
+    itself. ``key`` tells rows apart; a row without codes gets an empty list."""
+    each = rows.select(*key, F.posexplode(codes).alias("__place", "__code"))
+    lookup = dictionary.select(F.col(code).cast("string").alias("__code"), F.col(label).alias("__label"))
+    named = each.join(lookup, "__code", "left").select(
+        *key, F.struct("__place", F.coalesce("__label", "__code").alias("text")).alias("__named")
+    )
+    lists = named.groupBy(*key).agg(F.sort_array(F.collect_list("__named"))["text"].alias(out))
+    none = F.array().cast("array<string>")
+    return rows.join(lists, [*key], "left").withColumn(out, F.coalesce(out, none))

@@ -24,6 +24,7 @@ from touchline.operators import (
     windows,
 )
 from touchline.operators import sessions as match_setup
+from touchline.operators.windows import KEYS
 from touchline.plans import dashboard, standins
 from touchline.session import scratch_path
 from touchline.sources import control, csvfiles, messages, tables
@@ -517,6 +518,22 @@ def event_label_lookup(spark, sf_dir):
     )
 
 
+@query
+def tag_label_lists(spark, sf_dir):
+    """Lists of codes in text form with their labels: two nations of every customer, of which
+    the second is often unknown."""
+    rows = standins.table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.format_string("[{'id': %d}, {'id': %d}]", "c_nationkey", F.col("c_custkey") % 40).alias("tags"),
+    )
+    dictionary = standins.table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("tag"), F.col("n_name").alias("label")
+    )
+    codes = rows.withColumn("codes", labels.code_list(F.col("tags")))
+    labelled = labels.with_label_lists(codes, ("c_custkey",), "codes", dictionary)
+    return labelled.select("c_custkey", F.array_join("labels", "/").alias("labels"))
+
+
 # --- rosters and match set-up ---------------------------------------------------
 
 
@@ -635,9 +652,8 @@ def reset_counts_stream(spark, sf_dir):
 LATE_DELAY = "10 days"
 
 
-@query
-def late_event_policy(spark, sf_dir):
-    """All fouls arrive after everything else; expired windows no longer take them."""
+def _fouls_late(spark: SparkSession, sf_dir: str) -> tuple[str, WindowCounts]:
+    """All fouls arrive after everything else; the folder of the messages, and the counts."""
     root = scratch_path(spark, "late")
     counts = jobs.team_stats(root, "all")
     late = F.col("event_type") == "foul"
@@ -647,9 +663,28 @@ def late_event_policy(spark, sf_dir):
         f"{root}/messages",
         lambda: _count(spark, f"{root}/messages", counts, delay=LATE_DELAY),
     )
+    return root, counts
+
+
+@query
+def late_event_policy(spark, sf_dir):
+    """Fouls arrive late; expired windows no longer take them."""
+    _, counts = _fouls_late(spark, sf_dir)
     return _windows(counts.read(spark))
 
 
+@query
+def late_event_log(spark, sf_dir):
+    """Fouls arrive late: the events that expired windows did not take, by window."""
+    root, counts = _fouls_late(spark, sf_dir)
+    decoded = messages.decode(messages.file_stream(spark, f"{root}/messages"))
+    raw = f"{root}/live_events/run=v1"
+    jobs.append_events(decoded, raw, f"{root}/raw-checkpoint", buckets=8).awaitTermination()
+    events = jobs.read_raw_events(spark, f"{root}/live_events", buckets=8)
+    late = counts.late_rows(events, **WIDE).groupBy(*KEYS, "window_start", "window_end")
+    return _windows(late.agg(F.count(F.lit(1)).alias("late_events")))
+
+
 @query
 def possession_spells_stream(spark, sf_dir):
     """The spells as the stream finds them, in four parts and an event of a later day, which

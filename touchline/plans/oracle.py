@@ -432,6 +432,11 @@ ORACLE: dict[str, str] = {
     "event_label_lookup": """
          SELECT c_custkey, c_nationkey, coalesce(n_name, CAST(c_nationkey AS VARCHAR)) AS label
          FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "tag_label_lists": """
+         SELECT c_custkey, coalesce(a.n_name, CAST(c_nationkey AS VARCHAR)) || '/' ||
+                coalesce(b.n_name, CAST(c_custkey % 40 AS VARCHAR)) AS labels
+         FROM customer LEFT JOIN nation a ON a.n_nationkey = c_nationkey
+         LEFT JOIN nation b ON b.n_nationkey = c_custkey % 40""",
     "roster_fill": _with(_ROSTER) + "SELECT * FROM squads",
     "lineup_positions": _with(_ROSTER, _LINEUP)
     + """SELECT match_id, player_id, side, team_id, slot, player_name,
@@ -477,6 +482,19 @@ mark AS (
                 CAST(sum(n) AS BIGINT) AS total_events
          FROM counts, mark WHERE NOT late OR window_end > watermark
          GROUP BY 1, 2, 3, 4""",
+    "late_event_log": _with(
+        _EVENTS,
+        """
+mark AS (
+  SELECT date_trunc('milliseconds', max(event_time)) - INTERVAL 10 DAYS AS watermark
+  FROM ev WHERE event_type <> 'foul')
+""",
+        _WIDE.replace("count(*) AS total_events", "event_type = 'foul' AS late, count(*) AS n"),
+    )
+    + """SELECT match_id, team, window_start, window_end,
+                CAST(sum(n) AS BIGINT) AS late_events
+         FROM counts, mark WHERE late AND window_end <= watermark
+         GROUP BY 1, 2, 3, 4""",
     "raw_append_stream": _with(_EVENTS, _QUARANTINE)
     + """SELECT coalesce(reason, match_id) AS target, count(*) AS n FROM routes GROUP BY 1""",
     "enriched_stream": _with(_EVENTS, _DIMS)

@@ -142,6 +142,36 @@ MATCHES = WarehouseTable(
 
 WAREHOUSE = {table.name: table for table in (FACTS, PLAYERS, TEAMS, MATCHES)}
 
+#: Dictionaries of codes, loaded like dimensions.
+EVENT_NAMES = WarehouseTable(
+    name="event_names",
+    schema=StructType(_strings("event", "subevent", "event_label", "subevent_label")),
+    sort_key=("event", "subevent"),
+    rename={},
+    id_columns=("event", "subevent"),
+    key=("event", "subevent"),
+)
+
+TAGS = WarehouseTable(
+    name="tags",
+    schema=StructType(_strings("tag", "label", "description")),
+    sort_key=("tag",),
+    rename={"Tag": "tag", "Label": "label", "Description": "description"},
+    id_columns=("tag",),
+    key=("tag",),
+)
+
+COMPETITIONS = WarehouseTable(
+    name="competitions",
+    schema=StructType(_strings("competition_id", "name", "format", "type")),
+    sort_key=("competition_id",),
+    rename={"wyId": "competition_id"},
+    id_columns=("competition_id",),
+    key=("competition_id",),
+)
+
+DICTIONARIES = {table.name: table for table in (EVENT_NAMES, TAGS, COMPETITIONS)}
+
 # --- Fixed values: they must equal the source data model for equal results ----
 
 #: Texts a CSV reader takes for a missing value.

@@ -28,9 +28,9 @@ def _create_table(
 
 
 def create_warehouse(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database and its four tables where they do not exist."""
+    """Create the database and its tables, dictionaries included, where they do not exist."""
     create_database(spark, database, location)
-    for table in schemas.WAREHOUSE.values():
+    for table in (schemas.WAREHOUSE | schemas.DICTIONARIES).values():
         _create_table(
             spark,
             f"{database}.{table.name}",
@@ -89,6 +89,12 @@ def append(
     return AppendReport(target, seen.get["rows"])
 
 
+def replace(rows: DataFrame, target: str) -> None:
+    """Replace the rows of a table; ``rows`` must not come from it."""
+    columns = rows.sparkSession.table(target).columns
+    rows.select(*columns).write.insertInto(target, overwrite=True)
+
+
 def dimension_snapshot(teams: DataFrame, players: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The dimension columns live views read, ids as text.
 

@@ -15,6 +15,7 @@ start at given offsets is exact when these are multiples of ``PIECE``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -150,6 +151,36 @@ class WindowCounts:
         joined = counts.join(last, [*WINDOW], "left").withColumn("total_events", left)
         return joined.where("total_events > 0").drop("cleared")
 
+    def late_rows(
+        self,
+        events: DataFrame,
+        width: str = schemas.WINDOW_WIDTH,
+        slide: str = schemas.WINDOW_SLIDE,
+    ) -> DataFrame:
+        """The events of the raw log that came too late for a window, each with that window.
+
+        An event is on time for a window if a run has counted its offset there: within a
+        partition, what comes after the last counted offset of a window came behind the
+        watermark. So rows on time and late rows together are all rows.
+        """
+        if self.policy != "all":
+            raise ValueError("only a table that keeps all windows tells late events")
+        window = F.window("event_time", width, slide).alias("window")
+        piece = F.floor(F.col("ingest_offset") / PIECE).alias("piece")
+        placed = events.select("*", window, piece)
+        own = placed.select(
+            *events.columns,
+            "piece",
+            F.col("window.start").alias("window_start"),
+            F.col("window.end").alias("window_end"),
+        )
+        place = [*WINDOW, *PLACE]
+        counted = self.log.read(events.sparkSession).select(*place, "first_offset", "last_offset")
+        same = reduce(lambda x, y: x & y, [F.col(f"e.{c}").eqNullSafe(F.col(f"c.{c}")) for c in place])
+        seen = F.col("e.ingest_offset").between(F.col("c.first_offset"), F.col("c.last_offset"))
+        late = own.alias("e").join(counted.alias("c"), same & seen, "left_anti")
+        return late.drop("piece")
+
     def truncate(self, spark: SparkSession) -> None:
         """Remove every row of the table."""
         files.delete(spark, self.path)

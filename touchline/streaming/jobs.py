@@ -21,6 +21,7 @@ from pyspark.sql.types import (
 )
 
 from touchline import schemas
+from touchline.functions.eventtime import event_time
 from touchline.operators.enrich import of_sessions, with_names_as_of
 from touchline.operators.recent import latest_per_key
 from touchline.plans import dashboard
@@ -118,6 +119,27 @@ def append_events(
     return append_rows(gathered, path, checkpoint, trigger, (BUCKET,))
 
 
+def read_raw_events(
+    spark: SparkSession, path: str, buckets: int | None = None
+) -> DataFrame:
+    """Every row of the raw log, of all runs, with its event time; none gives no rows.
+
+    A message that several runs have read is there once for each.
+    """
+    return _raw_log(spark, path, buckets).withColumn("event_time", event_time(F.col("timestamp")))
+
+
+def _raw_log(spark: SparkSession, path: str, buckets: int | None) -> DataFrame:
+    schema = RAW_SCHEMA
+    if buckets is not None:
+        schema = StructType([*RAW_SCHEMA.fields, StructField(BUCKET, IntegerType())])
+    runs = files.glob(spark, f"{path}/{RUN}=*")
+    if not runs and not files.exists(spark, path):
+        return spark.createDataFrame([], schema)
+    logs = [spark.read.schema(schema).parquet(log) for log in runs or [path]]
+    return reduce(DataFrame.unionByName, logs)
+
+
 def read_live_events(
     spark: SparkSession,
     path: str,
@@ -134,14 +156,7 @@ def read_live_events(
     and with ``buckets`` as written scans only their buckets; ``only`` names buckets to scan;
     ``resets`` hide what came in before them.
     """
-    schema = RAW_SCHEMA
-    if buckets is not None:
-        schema = StructType([*RAW_SCHEMA.fields, StructField(BUCKET, IntegerType())])
-    runs = files.glob(spark, f"{path}/{RUN}=*")
-    if not runs and not files.exists(spark, path):
-        return spark.createDataFrame([], RAW_SCHEMA)
-    logs = [spark.read.schema(schema).parquet(log) for log in runs or [path]]
-    raw = reduce(DataFrame.unionByName, logs)
+    raw = _raw_log(spark, path, buckets)
     if match_id is not None:
         raw = raw.filter(F.col("match_id") == match_id)
         if buckets is not None:

@@ -56,7 +56,12 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.repetition(table(spark, sf_dir, "documents"))
+    rules = quality.Rules()
+    measured = quality.repetition(table(spark, sf_dir, "documents"), rules)
+    shares = {
+        f"dup_gram{n}_share": F.col("dup_gram_shares")[i] for i, (n, _) in enumerate(rules.coverage)
+    }
+    return measured.withColumns(shares).drop("dup_gram_shares")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +170,33 @@ _GAPS = _parts(0, secrets.Kind("gap", "gap", secrets.GAP))
 _NAMES = "[" + ", ".join(f"'{kind.name}'" for kind in secrets.KINDS) + "]"
 _N_BASE = len(secrets.BASE)
 
+_RULES = quality.Rules()
+_WORD = "[^\\x20\\x09-\\x0D]"
+
+
+def _covered(n: int) -> str:
+    """(id, words, chars): what stands in runs of ``n`` words found twice or more."""
+    return f"""
+        SELECT id, count(*) AS words, sum(chars) AS chars FROM (
+            SELECT DISTINCT id, place, length(w[place]) AS chars FROM (
+                SELECT id, w, unnest(range(p, p + {n})) AS place FROM (
+                    SELECT id, w, p, count(*) OVER (PARTITION BY id, gram) AS held FROM (
+                        SELECT id, w, p, array_to_string(w[p:p + {n - 1}], ' ') AS gram
+                        FROM (SELECT id, w, unnest(range(1, len(w) - {n - 2})) AS p FROM words)))
+                WHERE held > 1))
+        GROUP BY id"""
+
+
+_SHARES = [n for n, _ in _RULES.coverage]
+_GRAMS = ", ".join(f"covered{n} AS ({_covered(n)})" for n in {_RULES.base_window, *_SHARES})
+_JOINS = " ".join(f"LEFT JOIN covered{n} USING (id)" for n in {_RULES.base_window, *_SHARES})
+_SHARE_COLUMNS = ", ".join(
+    f"CASE WHEN word_chars > 0 THEN coalesce(covered{n}.chars, 0) / word_chars ELSE 0 END"
+    f"::DOUBLE AS dup_gram{n}_share"
+    for n in _SHARES
+)
+_SHARE_LIMITS = " AND ".join(f"dup_gram{n}_share <= {most}" for n, most in _RULES.coverage)
+
 ORACLE = {
     "op2_minhash": f"""
         WITH RECURSIVE words AS (
@@ -215,6 +247,36 @@ ORACLE = {
         SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars,
                sha256(loss) AS loss_sha256, formatted_chars
         FROM told""",
+    "op7_quality": f"""
+        WITH texts AS MATERIALIZED (
+            SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS t FROM documents),
+        words AS MATERIALIZED (
+            SELECT id, regexp_extract_all(t, '{_WORD}+') AS w FROM texts),
+        lines AS (
+            SELECT id, line, row_number() OVER (PARTITION BY id, line ORDER BY place) > 1
+                AND regexp_matches(line, '{_WORD}') AS again
+            FROM (SELECT id, unnest(l) AS line, unnest(range(len(l))) AS place
+                FROM (SELECT id, string_split(t, chr(10)) AS l FROM texts))),
+        by_line AS (
+            SELECT id, count(*) FILTER (again) AS n_dup_lines,
+                coalesce(sum(length(line)) FILTER (again), 0) AS dup_chars, sum(length(line)) AS line_chars
+            FROM lines GROUP BY id),
+        {_GRAMS},
+        measured AS (
+            SELECT doc_id, len(w) AS n_words,
+                coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, n_dup_lines,
+                coalesce(covered{_RULES.base_window}.words, 0) AS n_repeat_words,
+                CASE WHEN line_chars > 0 THEN dup_chars / line_chars ELSE 0 END::DOUBLE
+                    AS dup_line_share,
+                {_SHARE_COLUMNS}
+            FROM texts JOIN words USING (id) JOIN by_line USING (id) {_JOINS}),
+        judged AS (
+            SELECT *, n_words < {_RULES.least_words}
+                OR 100 * n_repeat_words > {_RULES.base_percent} * n_words AS base_failed
+            FROM measured)
+        SELECT *, NOT base_failed AND dup_line_share <= {_RULES.lines} AND {_SHARE_LIMITS} AS kept
+        FROM judged""",
     "op9_lines": """
         WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
         lines AS (

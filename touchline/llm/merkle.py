@@ -213,8 +213,8 @@ class Manifest:
 def build(leaves: DataFrame) -> Manifest:
     """The manifest of (doc_id, lang, digest, changed): ``changed`` is null, or what a tampered
     leaf has become."""
-    # The number deals out equal rows.
-    dealt = leaves.withColumn("_copy", F.monotonically_increasing_id())
+    # Stored: sorting looks at the leaves twice. The number deals out equal rows.
+    dealt = stored(leaves, "digests").withColumn("_copy", F.monotonically_increasing_id())
     rows = numbered(dealt, ["lang", "doc_id", "digest", "_copy"], "leaves")
     langs = rows.groupBy("lang").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n"))
     langs = stored(numbered(langs, ["lang"], "langs").withColumnRenamed("row", "tree"), "trees")

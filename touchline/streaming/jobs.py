@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
@@ -418,6 +419,8 @@ def changes(spark: SparkSession, root: str, version: str = "v1") -> DataFrame:
 
 
 SHOWN = "shown"
+#: Views that are written at the same time; each is small.
+WRITERS = 4
 
 
 def _touched(
@@ -463,8 +466,10 @@ def start_refresh(
             inputs = load_inputs(own, touched)
             frame = dashboard.live_frame(inputs).persist()
             try:
-                for name, view in dashboard.views(inputs, frame).items():
-                    serving.replace(name, view, touched)
+                frame.count()  # before the views, which are written side by side
+                with ThreadPoolExecutor(WRITERS) as pool:
+                    views = dashboard.views(inputs, frame).items()
+                    list(pool.map(lambda view: serving.replace(*view, touched), views))
             finally:
                 frame.unpersist()
             # At the end: a replay after a failure finds the same changes.

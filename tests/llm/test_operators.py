@@ -26,6 +26,7 @@ from touchline.llm import tokencount, toxicity, vectors
 from touchline.llm.common import ship
 from touchline.llm.pretokens import library_classes
 from touchline.llm.textscan import text_words
+from touchline.sources import files
 
 WORD = "word_bpe_49k.json"
 random.seed(5)
@@ -640,27 +641,29 @@ def numbered_lines(spark, *pairs):
 
 def test_levels_are_compacted_and_know_what_is_new(spark, docs):
     index = linededup.LineIndex(3)
-    for n in range(4):
+    for n in range(7):
         index.add(numbered_lines(spark, (1, n), (2, n), (3, 0)))
-    assert [len(level) for level in index.runs.levels] == [0, 0, 1]
-    assert [len(level) for level in index.updates.levels] == [1, 1]
-    assert index.unseen(numbered_lines(spark, (7, 0), (7, 3), (8, 4))).count() == 1
+    assert [len(level) for level in index.levels] == [1, 1, 1]
+    assert index.unseen(numbered_lines(spark, (7, 0), (7, 6), (8, 7))).count() == 1
     other = docs.select("doc_id", F.lit("a line that no other document has").alias("text"))
     assert index.unseen(linededup.document_lines(other, 1)).count() == docs.count()
-    index.drop_tables(spark)
+    folders = [path for _, path in index.tables.values()]
+    assert len(folders) == 3
+    assert sorted(r.keeper for r in index.common().collect()) == [3]
+    assert not any(files.exists(spark, path) for path in folders) and not index.tables
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("touchline_run")]
 
 
-def test_a_batch_adds_only_its_new_keys_to_the_runs(spark, monkeypatch):
+def test_a_key_has_one_home_and_updates_of_it(spark, monkeypatch):
     monkeypatch.setattr(linededup, "FAN", 9)
     index = linededup.LineIndex(3)
     for batch in ([(1, 0), (2, 0), (2, 1)], [(3, 0), (3, 2), (4, 2)], [(5, 0), (5, 2), (6, 1), (6, 3)], [(7, 1)]):
         index.add(numbered_lines(spark, *batch))
-    rows = [tuple(r) for run in index.runs.all() for r in run.select(*linededup.KEY).collect()]
+    rows = [tuple(r) for run in index.runs() for r in run.where("home").select(*linededup.KEY).collect()]
     assert len(rows) == len(set(rows)) == 4
-    assert [sum(r.documents for r in u.collect()) for u in index.updates.all()] == [1, 3, 1]
+    updates = [sum(r.documents for r in run.where("NOT home").collect()) for run in index.runs()]
+    assert updates == [0, 1, 3, 1]
     assert sorted(r.keeper for r in index.common().collect()) == [5, 5, 7]
-    index.drop_tables(spark)
 
 
 def test_runs_meet_without_a_shuffle(spark, monkeypatch):
@@ -670,13 +673,13 @@ def test_runs_meet_without_a_shuffle(spark, monkeypatch):
         index.add(numbered_lines(spark, (1, n), (2, n), (3, 0)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        runs = index.runs.all()
-        for frame in (index.unseen(runs[0]), linededup.merged(runs[0], runs[1])):
+        runs = index.runs()
+        for frame in (index.unseen(runs[0].select(*linededup.KEY)), linededup.merged(runs[0], runs[1])):
             plan = frame._jdf.queryExecution().executedPlan().toString()
             assert "SortMergeJoin" in plan and "Exchange" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    index.drop_tables(spark)
+    index.common()
 
 
 CLASHING = ("_gone", "_kept", "_owner", "_text_key", "_component", "gone", "kept", "owner", "text_key", "row", "id", "key_a", "batch", "a.b")
@@ -698,12 +701,29 @@ def test_columns_of_any_name_are_carried(spark):
     assert linededup.without_copies(clashing).where("n_chars <> length(text)").isEmpty()
 
 
-def test_packing_widens_narrow_ids(spark):
+def test_pieces_of_ids_of_any_width(spark):
     ids = np.array([0, 1, 2, 255, 256, 49151, 65535])
     for width in (2, 4):
-        frame = spark.createDataFrame([(bytearray(ids.astype(f"<u{width}").tobytes()),)], "ids binary")
-        found = frame.select(packing.as_32_bits(F.col("ids"), width)).first()[0]
-        assert bytes(found) == ids.astype("<u4").tobytes()
+        raw = bytearray(ids.astype(f"<u{width}").tobytes())
+        rows = [(1, 7, raw, 0), (None, 7, raw, 7), (2, 1, raw[: width], 14)]
+        frame = spark.createDataFrame(rows, "doc_id int, tokens long, ids binary, start long")
+        found = [tuple(r) for r in packing.cut(frame, 10, width).orderBy("sequence_id", "offset").collect()]
+        crc = [zlib.crc32(x.astype("<u4").tobytes()) for x in (ids, ids[:3], ids[3:], ids[:1])]
+        assert found == [
+            (1, 0, 7, crc[0], 7, 0, 0), (None, 0, 3, crc[1], 7, 0, 7), (None, 3, 4, crc[2], 7, 1, 0), (2, 0, 1, crc[3], 1, 1, 4),
+        ]
+        assert packing.cut(frame.limit(0), 10, width).isEmpty()
+
+
+def test_sources_without_a_target(spark):
+    rows = [(i, "ab"[i % 2], i, 10) for i in range(200)]
+    lengths = spark.createDataFrame(rows, "row long, source string, doc_id long, tokens long")
+
+    def share(others):
+        dealt = packing.windows(lengths, 100, {"a": 0.5}, others)
+        return dealt.where("window = 3 AND source = 'b'").count()
+
+    assert (share(None), share(0.1), share(0.5)) == (0, 1, 5)
 
 
 # --- the pipeline -----------------------------------------------------------------

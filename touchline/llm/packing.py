@@ -9,7 +9,8 @@ and no deficit has to be handed from task to task. The windows, one after the ot
 cut into sequences; only the last sequence is not full.
 
 By default a source's target is its share of all tokens: then all queues end together.
-With other targets a queue that runs dry leaves its windows to the others.
+With other targets a queue that runs dry leaves its windows to the others. The pieces and
+their checksums are cut in the tasks that hold the ids.
 
 Edge cases: null and empty texts are the end token alone; null sources form a queue;
 repeated rows and rows with null ids are packed like any others; documents longer than
@@ -18,10 +19,12 @@ a window span several. Other columns are not read.
 
 from __future__ import annotations
 
+from zlib import crc32
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,11 +70,34 @@ def tokenized(docs: DataFrame, path: str, end: int = END) -> DataFrame:
     return docs.select(*wanted).mapInArrow(run, schema)
 
 
-def as_32_bits(ids: Column, width: int) -> Column:
-    """Little-endian ids of ``width`` bytes as ids of four."""
-    if width == 4:
-        return ids
-    return F.unhex(F.regexp_replace(F.hex(ids), "(.{4})", "$10000"))
+def cut(rows: DataFrame, length: int, width: int) -> DataFrame:
+    """The pieces of (doc_id, tokens, ids, start), where ``start`` counts the tokens before."""
+    ident = rows.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column("tokens").to_numpy()
+            begin = batch.column("start").to_numpy()
+            first = begin // length
+            counts = (begin + sizes - 1) // length - first + 1
+            row = np.repeat(np.arange(len(sizes)), counts)
+            k = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            low = np.maximum(begin[row], k * length)
+            high = np.minimum((begin + sizes)[row], (k + 1) * length)
+            held = np.cumsum(sizes) - sizes
+            raw = b"".join(x.as_buffer() for x in batch.column("ids"))
+            ids = memoryview(np.frombuffer(raw, f"<u{width}").astype("<u4")).cast("B")
+            at = 4 * (held[row] + low - begin[row])
+            ends = at + 4 * (high - low)
+            crc = [crc32(ids[x:y]) for x, y in zip(at.tolist(), ends.tolist())]
+            doc_id = batch.column("doc_id").take(pa.array(row))
+            numbers = [low - begin[row], high - low, crc, sizes[row], k, low - k * length]
+            arrays = [doc_id, *(pa.array(x, pa.int64()) for x in numbers)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    schema = ", ".join([f"doc_id {ident}", *(f"{n} long" for n in names[1:])])
+    return rows.select("doc_id", "tokens", "ids", "start").mapInArrow(run, schema)
 
 
 def running_starts(df: DataFrame, order: list, name: str) -> DataFrame:
@@ -102,7 +128,12 @@ def running_starts(df: DataFrame, order: list, name: str) -> DataFrame:
     )
 
 
-def windows(lengths: DataFrame, window: int, targets: dict[str, float] | None) -> DataFrame:
+def windows(
+    lengths: DataFrame,
+    window: int,
+    targets: dict[str, float] | None,
+    others: float | None = None,
+) -> DataFrame:
     """Add the window of each (row, source, doc_id, tokens)."""
     queued = running_starts(lengths, ["source", "doc_id", "row"], "queues")
     queues = queued.groupBy("source").agg(
@@ -111,8 +142,7 @@ def windows(lengths: DataFrame, window: int, targets: dict[str, float] | None) -
     if targets is None:
         share = F.col("_all") / F.lit(lengths.agg(F.sum("tokens")).first()[0] or 1)
     else:
-        least = min(targets.values()) / 10
-        share = F.lit(least)
+        share = F.lit(min(targets.values()) / 10 if others is None else others)
         for source, target in targets.items():
             share = F.when(F.col("source") == source, float(target)).otherwise(share)
     queues = queues.select(
@@ -135,34 +165,18 @@ def pack(
     length: int = SEQUENCE,
     window: int = WINDOW,
     targets: dict[str, float] | None = None,
+    others: float | None = None,
 ) -> DataFrame:
-    """The pieces of all documents: where each stands in its document and its sequence."""
+    """The pieces of all documents: where each stands in its document and its sequence.
+
+    ``targets`` are the shares of sources in a window; each source that is not named gets
+    ``others``, or a tenth of the least target.
+    """
     tokens = tokenized(docs, path).withColumn("row", F.monotonically_increasing_id())
     tokens = stored(tokens, "tokens")
     width = id_bytes(path, END)
     lengths = tokens.select("row", "source", "doc_id", "tokens")
-    dealt = windows(lengths, window, targets)
+    dealt = windows(lengths, window, targets, others)
     placed = running_starts(dealt, ["window", "source", "doc_id", "row"], "placed")
     placed = placed.select("row", "start")
-    begin, end = F.col("start"), F.col("start") + F.col("tokens")
-    first, last = F.floor(begin / length), F.floor((end - 1) / length)
-
-    def piece(k):
-        low = F.greatest(begin, k * length)
-        size = F.least(end, (k + 1) * length) - low
-        at = (low - begin).cast("int") * width + 1
-        ids = F.substring(F.col("ids"), at, (size * width).cast("int"))
-        return F.struct(
-            (low - begin).alias("start"),
-            size.alias("length"),
-            F.crc32(as_32_bits(ids, width)).alias("ids_crc32"),
-            k.alias("sequence_id"),
-            (low - k * length).alias("offset"),
-        )
-
-    pieces = F.transform(F.sequence(first, last), piece)
-    return (
-        tokens.join(placed, "row")
-        .select("doc_id", F.col("tokens").alias("doc_tokens"), F.explode(pieces).alias("_p"))
-        .select("doc_id", "_p.start", "_p.length", "_p.ids_crc32", "doc_tokens", "_p.sequence_id", "_p.offset")
-    )
+    return cut(tokens.join(placed, "row"), length, width)

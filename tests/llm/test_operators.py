@@ -22,7 +22,7 @@ from compare import difference
 from pyspark.sql import functions as F
 
 from touchline.llm import bytebpe, chat, linededup, minhash, packing, quality, queries, sharding
-from touchline.llm import tokencount, toxicity, vectors
+from touchline.llm import tokencount, toxicity, vectors, wordbpe
 from touchline.llm.common import ship
 from touchline.llm.pretokens import library_classes
 from touchline.llm.textscan import text_words
@@ -609,6 +609,54 @@ def test_token_counts_equal_the_library(docs):
     assert tokencount.token_counts(docs.limit(0), path).count() == 0
 
 
+@pytest.fixture(scope="module")
+def beyond():
+    """Texts longer than what is worked on at once, one of them without white space."""
+    from touchline.llm import textscan
+
+    r = random.Random(12)
+    texts = ["short", " ".join(r.choice(ODD[:12]) for _ in range(90_000)), "é" * (textscan.LIMIT + 9), prose(180_000, 3)]
+    assert all(len(t) > textscan.LIMIT for t in texts[1:]) and len(list(textscan.parts(texts))) > 3
+    return texts
+
+
+def test_tokens_of_texts_beyond_a_cut(beyond):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = [x.tolist() for x in bytebpe.codec(path).encode(beyond)]
+    assert found == list(map(library.encode_ordinary, beyond))
+    for name, count in (("byte_bpe_50k.json", lambda p: tokencount.counter(p).counts(beyond)),
+                        (WORD, lambda p: [len(x) for x in wordbpe.word_bpe(p).encode(beyond)])):
+        path = public_tokenizers.path(name)
+        library = tokenizers.Tokenizer.from_file(path)
+        assert count(path) == [len(library.encode(t, add_special_tokens=False).ids) for t in beyond]
+
+
+def test_words_of_texts_beyond_a_cut(spark, beyond):
+    rows = list(enumerate(beyond)) + [(9, beyond[3] + " one more")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in minhash.near_duplicates(frame).collect()}
+    assert all(found[i].n_shingles == len(shingle_set(t)) for i, t in rows)
+    assert {i: r.component_id for i, r in found.items()} == {0: 0, 1: 1, 2: 2, 3: 3, 9: 3}
+    told = {r.doc_id: (r.dup_line_share, r.base_failed, r.kept) for r in quality.repetition(frame.where("doc_id < 3")).collect()}
+    assert told == {i: (v[0], *v[2:]) for i, v in enumerate(map(brute_verdict, beyond[:3]))}
+
+
+def test_small_tables_of_pieces_and_states_give_the_same():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = odd_texts()
+    whole = tokencount.counter(path)
+    small = tokencount.TokenCounter(path)
+    small.machine.most, small.table.most = 3, 4
+    assert [small.counts([t]) for t in texts] == [whole.counts([t]) for t in texts]
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    codec = bytebpe.ByteBpe(path)
+    codec.table.most = 4
+    assert [next(codec.encode([t])).tolist() for t in texts] == [x.tolist() for x in bytebpe.codec(path).encode(texts)]
+
+
 # --- 9: lines ---------------------------------------------------------------------
 
 

@@ -323,7 +323,7 @@ ORACLE = {
             SELECT row_number() OVER () AS id, doc_id, lang,
                 {_FIELDS} AS head, text,
                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
-                {_CRC} % 3 = 0 AS tampered
+                doc_id IS NOT NULL AND {_CRC} % 3 = 0 AS tampered
             FROM documents),
         leaves AS (
             SELECT id, doc_id, lang, sha256(head || {_field('text')}) AS leaf,

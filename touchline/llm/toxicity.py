@@ -221,7 +221,9 @@ class Scorer:
 
         def code(word: str) -> list[int]:
             hit = self.matcher.match(word)
-            return [-1 if hit is None else place[hit[0]] * 4 + hit[1]]
+            # Hits without weight are no hits: short stems look like many words.
+            told = hit is not None and model.terms[hit[0]][min(hit[1], 1)] > 0
+            return [place[hit[0]] * 4 + hit[1] if told else -1]
 
         self.table = PieceTable(code)
 

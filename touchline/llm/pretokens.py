@@ -123,23 +123,24 @@ class PieceTable:
     """Ids of distinct pieces, by their hashes; starts anew when ``most`` is reached.
 
     Pieces are told apart by 64-bit hashes. With less than a million of them in a table,
-    two share one with a chance under 1e-7.
+    two share one with a chance under 1e-7. Hashes stand in order, so a batch is looked up at
+    once and its new ones are merged in.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], most: int = 400_000):
+    def __init__(self, encode: Callable[[str], list[int]], most: int = 800_000):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[int, int] = {}
-        self.count = np.zeros(1 << 12, np.int64)
+        self.keys = np.empty(0, np.uint64)
+        self.slot = np.empty(0, np.int32)
+        self.count = np.zeros(1 << 12, np.int32)
         self.first = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.int32)
         self.used = 0
 
-    def _add(self, key: int, piece: str) -> int:
+    def _add(self, slot: int, piece: str) -> None:
         ids = self.encode(piece)
-        slot = len(self.slots)
         if slot == len(self.count):
             self.count = np.concatenate((self.count, np.zeros_like(self.count)))
             self.first = np.concatenate((self.first, np.zeros_like(self.first)))
@@ -149,23 +150,28 @@ class PieceTable:
         self.flat[self.used : end] = ids
         self.first[slot], self.count[slot] = self.used, len(ids)
         self.used = end
-        self.slots[key] = slot
-        return slot
 
     def find(self, points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The slot of each piece."""
-        if len(self.slots) > self.most:
+        if len(self.keys) > self.most:
             self._clear()
         keys, places, inverse = np.unique(
             span_hashes(points, starts, lengths), return_index=True, return_inverse=True
         )
-        slots = [self.slots.get(k, -1) for k in keys.tolist()]
-        for i, slot in enumerate(slots):
-            if slot < 0:
-                at = starts[places[i]]
-                piece = points[at : at + lengths[places[i]]].tobytes().decode("utf-32-le")
-                slots[i] = self._add(int(keys[i]), piece)
-        return np.array(slots, np.int64)[inverse]
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        slots = np.empty(len(keys), np.int64)
+        slots[known] = self.slot[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            slots[new] = len(self.keys) + np.arange(len(new))
+            for slot, i in zip(slots[new].tolist(), places[new].tolist()):
+                start = starts[i]
+                self._add(slot, points[start : start + lengths[i]].tobytes().decode("utf-32-le"))
+            self.slot = np.insert(self.slot, at[new], slots[new])
+            self.keys = np.insert(self.keys, at[new], keys[new])
+        return slots[inverse]
 
     def ids(self, slots: np.ndarray) -> np.ndarray:
         """The ids of all pieces, one after the other."""

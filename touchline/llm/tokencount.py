@@ -230,7 +230,7 @@ class TokenCounter:
             sizes = np.array([len(p) + 1 for _, p in group])
             part = np.searchsorted(np.cumsum(sizes) - sizes, starts, "right") - 1
             owner = np.array([owners[i] for i, _ in group])[part]
-            np.add.at(total, owner, counts)
+            total += np.bincount(owner, counts, len(total)).astype(np.int64)
         return total.tolist()
 
 

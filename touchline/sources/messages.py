@@ -47,10 +47,10 @@ def file_stream(
 ) -> DataFrame:
     """Messages from text files in a folder, one JSON document per line.
 
-    A file is a partition of its own, named by the hash of its path. The offset is the start of a line's block, so lines of one block tie; which of them
-    wins a key is then decided by their content. ``ordered=True`` makes the line number
-    the offset: the last line wins. Each file is then read as one value, so it suits
-    small files, as message files are.
+    A file is a partition of its own, named by the hash of its path. The offset is the start of
+    a line's block, so lines of one block tie; which of them wins a key is then decided by their
+    content. ``ordered=True`` makes the line number the offset: the last line wins. Each file is
+    then read as one value, so it suits small files, as message files are.
     """
     reader = spark.readStream.format("text").option("wholetext", ordered)
     if max_files_per_trigger is not None:

@@ -327,7 +327,8 @@ def rank(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     ranked = [rank_block(docs, block, k) for block in blocks(items)]
     if not ranked:
         none = F.lit(None).cast("long")
-        ranked = [items.limit(0).select("item", none.cast("int").alias("rank"), none.alias("doc_id"), none.alias("score"))]
+        columns = [none.cast("int").alias("rank"), none.alias("doc_id"), none.alias("score")]
+        ranked = [items.limit(0).select("item", *columns)]
     whole = ranked[0]
     for more in ranked[1:]:
         whole = whole.unionByName(more)

@@ -15,8 +15,8 @@ hold few misspellings and quotations, so some rows are learned from a second tim
 taken for misspelled ones, and some as clean rows that quote them (``AUGMENT``).
 
 Learning uses at most ``TOXIC`` and ``CLEAN`` labelled rows, those with the least hash of
-their id, and of near copies one; every term with enough evidence there is in the lexicon. Scoring reads every whole text. Only text and label are
-inputs of the model.
+their id, and of near copies one; every term with enough evidence there is in the lexicon.
+Scoring reads every whole text. Only text and label are inputs of the model.
 
 Edge cases: null and empty texts have no hits and get the score of a text without any; rows
 without a label, or with another than 0 and 1, aren't learned from; of several labels of an

@@ -1,14 +1,14 @@
 """Operator 9: line de-duplication by levelled sorted runs of line keys.
 
-A run holds one row for each line key: how many documents hold it and the largest of their
-ids. Runs are written in buckets of the key's hash, sorted by key, so that runs are joined bucket
-by bucket without a shuffle. Every batch of documents is anti-joined with the runs there are:
-its new keys make a run of level 0, so that a key is in one run only. Its known keys, the others,
-go to the updates: counts and keepers that are added to those of the runs at the end. When
-a level has ``FAN`` runs, they are merged into one run of the next, so a key is rewritten once for
-each level and a batch meets few runs; updates have levels of their own. When all batches are in,
-the lines of each document are joined with the common keys: a line is dropped if its key has a
-later keeper, and the others stay.
+A run holds one row for each line key: how many documents hold it, the largest of their ids,
+and whether the run is the key's home. Runs are written in buckets of the key's hash, sorted by
+key, so that they are joined bucket by bucket without a shuffle. Every batch of documents is
+anti-joined with the homes that there are: its new keys get theirs in the batch's own run, so that
+a key has one home; its other keys stand there too, as updates of the run that is their home.
+When a level has ``FAN`` runs, they are merged into one run of the next, updates into the homes
+that are among them. So a key is rewritten once for each level, and a batch meets few runs. When all
+batches are in, all runs are merged, and the lines of each document are joined with the
+common keys: a line is dropped if its key has a later keeper, and the others stay.
 
 A key is the line without white space at its ends and with A-Z in lower case, as two 64-bit
 hashes and its length. Batches are dealt by the hash of the document's id, so that a
@@ -27,11 +27,12 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BLANKS, empty, stored
+from touchline.llm.common import BLANKS, stored
 from touchline.session import scratch_path
+from touchline.sources import files
 
 LEAST = 20
 DOCUMENTS = 3
@@ -51,9 +52,8 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
 
 
-def hashed(line: Column) -> Column:
+def hashed(key: Column) -> Column:
     """The two hashes of a key that is long enough, else null."""
-    key = line_key(line)
     both = F.struct(F.xxhash64(key).alias("key_a"), F.xxhash64(F.lit(1), key).alias("key_b"))
     return F.when(F.length(key) >= LEAST, both)
 
@@ -63,18 +63,21 @@ def owner(column: str = "doc_id") -> Column:
 
 
 def document_lines(docs: DataFrame, batches: int) -> DataFrame:
-    """(key_a, key_b, owner, text_key, place, batch): the long lines of all documents."""
-    keys = F.transform(lines_of(F.col("text")), hashed)
-    return (
-        docs.select(
-            owner().alias("owner"),
-            F.xxhash64(F.col("text").cast("string")).alias("text_key"),
-            F.posexplode(keys).alias("place", "_key"),
-        )
-        .where(F.col("_key").isNotNull())
-        .select("_key.*", "owner", "text_key", "place")
-        .withColumn("batch", F.pmod(F.xxhash64("owner"), F.lit(batches)).cast("int"))
+    """(key_a, key_b, owner, text_key, place, batch): the long lines of all documents.
+
+    They lie by batch in every task, so that a batch is read without the others.
+    """
+    # In two steps, so that a key is made once for its length and its hashes.
+    keys = F.transform(F.transform(lines_of(F.col("text")), line_key), hashed)
+    # The generator holds the expression itself: of a column, Spark would ask twice for it.
+    lines = docs.select(
+        owner().alias("owner"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_key"),
+        F.pmod(F.xxhash64(owner()), F.lit(batches)).cast("int").alias("batch"),
+        F.posexplode(keys).alias("place", "_key"),
     )
+    lines = lines.where(F.col("_key").isNotNull()).select("_key.*", "owner", "text_key", "place", "batch")
+    return lines.sortWithinPartitions("batch")
 
 
 def make_run(lines: DataFrame) -> DataFrame:
@@ -92,82 +95,82 @@ def make_run(lines: DataFrame) -> DataFrame:
 def merged(one: DataFrame, two: DataFrame) -> DataFrame:
     """Two runs as one: a merge join of sorted buckets."""
     documents = [F.coalesce(run["documents"], F.lit(0)) for run in (one, two)]
+    home = [F.coalesce(run["home"], F.lit(False)) for run in (one, two)]
     return one.join(two, KEY, "full").select(
         *KEY,
         (documents[0] + documents[1]).alias("documents"),
         F.greatest(one["keeper"], two["keeper"]).alias("keeper"),
+        (home[0] | home[1]).alias("home"),
     )
 
 
-class Runs:
+class LineIndex:
     """Levels of runs. A level that has ``FAN`` of them is merged into one of the next."""
 
     def __init__(self, buckets: int):
         self.buckets = buckets
         self.levels: list[list[DataFrame]] = [[]]
-        self.tables: list[str] = []
+        #: The name and folder of the table of each run.
+        self.tables: dict[DataFrame, tuple[str, str]] = {}
 
-    def all(self) -> list[DataFrame]:
+    def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
     def written(self, run: DataFrame) -> DataFrame:
         """The run in sorted buckets, as an external table of the shared folder."""
         spark, name = run.sparkSession, f"touchline_run_{uuid.uuid4().hex}"
-        writer = run.write.option("path", scratch_path(spark, "llm-run"))
+        path = scratch_path(spark, "llm-run")
+        writer = run.write.option("path", path)
         writer.bucketBy(self.buckets, *KEY).sortBy(*KEY).saveAsTable(name)
-        self.tables.append(name)
-        return spark.table(name)
+        table = spark.table(name)
+        self.tables[table] = name, path
+        return table
+
+    def forget(self, *runs: DataFrame) -> None:
+        """Remove runs that nothing needs any more: all that came of them is written."""
+        for run in runs:
+            name, path = self.tables.pop(run)
+            run.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+            files.delete(run.sparkSession, path)
 
-    def add(self, run: DataFrame) -> None:
-        self.levels[0].append(run)
+    def add(self, lines: DataFrame) -> None:
+        """Take in a batch: its new keys are at home in its run."""
+        batch = make_run(lines).withColumn("home", F.lit(True))
+        for run in self.runs():
+            known = run.where("home").select(*KEY, F.lit(True).alias("known"))
+            new = F.col("home") & F.col("known").isNull()
+            batch = batch.join(known, KEY, "left").withColumn("home", new).drop("known")
+        self.levels[0].append(self.written(batch))
         for n, level in enumerate(self.levels):
             if len(level) < FAN:
                 return
             whole = level[0]
             for other in level[1:]:
-                whole = self.written(merged(whole, other))
+                both = whole, other
+                whole = self.written(merged(*both))
+                self.forget(*both)
             level.clear()
             if n + 1 == len(self.levels):
                 self.levels.append([])
             self.levels[n + 1].append(whole)
 
-
-class LineIndex:
-    """Runs, no key in two of them, and the updates of their keys."""
-
-    def __init__(self, buckets: int):
-        self.runs, self.updates = Runs(buckets), Runs(buckets)
-
-    def add(self, lines: DataFrame) -> None:
-        batch = self.runs.written(make_run(lines))
-        new = batch
-        if self.runs.all():
-            new = self.runs.written(self.unseen(batch))
-            known = self.updates.written(batch.join(new.select(*KEY), KEY, "left_anti"))
-            if not empty(known):
-                self.updates.add(known)
-        self.runs.add(new)
-
     def unseen(self, lines: DataFrame) -> DataFrame:
         """The lines of a new batch whose keys no run holds: an anti-join with each run."""
-        for run in self.runs.all():
-            lines = lines.join(run.select(*KEY), KEY, "left_anti")
+        for run in self.runs():
+            lines = lines.join(run.where("home").select(*KEY), KEY, "left_anti")
         return lines
 
     def common(self, documents: int = DOCUMENTS) -> DataFrame:
-        """Keys of at least so many documents, with their keepers."""
+        """Keys of at least so many documents, with their keepers. The index is empty then."""
         # Joins, not a union: Spark 4.1 takes the rows of a union of bucketed scans to lie in
         # the buckets of one of them.
-        runs = [*self.runs.all(), *self.updates.all()]
-        whole = reduce(lambda one, two: self.runs.written(merged(one, two)), runs)
-        return whole.where(F.col("documents") >= documents).select(*KEY, "keeper")
-
-    def drop_tables(self, spark: SparkSession) -> None:
-        """Take the runs out of the catalog; their files are scratch data like others."""
-        for runs in (self.runs, self.updates):
-            while runs.tables:
-                name = runs.tables.pop()
-                spark.sql(f"DROP TABLE IF EXISTS {name}")
+        runs = self.runs()
+        whole = reduce(merged, runs)
+        found = whole.where(F.col("documents") >= documents).select(*KEY, "keeper")
+        found = stored(found, "common")
+        self.levels = [[]]
+        self.forget(*runs)
+        return found
 
 
 def drops(docs: DataFrame, batches: int | None = None) -> DataFrame:
@@ -175,13 +178,11 @@ def drops(docs: DataFrame, batches: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     if batches is None:
         batches = max(LEAST_BATCHES, -(-docs.count() // BATCH_ROWS))
-    lines = stored(document_lines(docs, batches), "lines", ["batch"])
+    lines = stored(document_lines(docs, batches), "lines")
     index = LineIndex(int(spark.conf.get("spark.sql.shuffle.partitions")))
     for batch in range(batches):
         index.add(lines.where(F.col("batch") == batch).drop("batch"))
-    common = stored(index.common(), "common")
-    index.drop_tables(spark)
-    lost = lines.drop("batch").join(common, KEY).where("owner <> keeper")
+    lost = lines.drop("batch").join(index.common(), KEY).where("owner <> keeper")
     # At most the lines that the text has.
     places = F.array_sort(F.collect_set("place"))
     return lost.groupBy("owner", "text_key").agg(places.alias("gone"))

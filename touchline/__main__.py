@@ -27,6 +27,7 @@ DIMENSION_FILES = {
 
 def set_up(spark: SparkSession, options: argparse.Namespace) -> None:
     tables.create_warehouse(spark, options.database, options.location)
+    tables.create_dictionaries(spark, options.database, options.location)
     tables.create_serving(spark, options.database, options.location)
 
 

@@ -27,10 +27,11 @@ def _create_table(
     )
 
 
-def create_warehouse(spark: SparkSession, database: str, location: str | None = None) -> None:
-    """Create the database and its tables, dictionaries included, where they do not exist."""
+def _create_all(
+    spark: SparkSession, database: str, location: str | None, made: dict[str, WarehouseTable]
+) -> None:
     create_database(spark, database, location)
-    for table in (schemas.WAREHOUSE | schemas.DICTIONARIES).values():
+    for table in made.values():
         _create_table(
             spark,
             f"{database}.{table.name}",
@@ -39,6 +40,16 @@ def create_warehouse(spark: SparkSession, database: str, location: str | None =
         )
 
 
+def create_warehouse(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the database and its four tables where they do not exist."""
+    _create_all(spark, database, location, schemas.WAREHOUSE)
+
+
+def create_dictionaries(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the tables of code dictionaries where they do not exist."""
+    _create_all(spark, database, location, schemas.DICTIONARIES)
+
+
 def create_serving(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the two serving tables; their keys are table properties."""
     create_database(spark, database, location)

@@ -813,3 +813,32 @@ def dashboard_refresh(spark, sf_dir):
     serving = _dashboard(spark, sf_dir)
     card = serving.read(spark, "baseline").select("match_id", "live_events", "delta")
     return serving.read(spark, "feed").join(card, "match_id")
+
+
+@query
+def deployed_sessions(spark, sf_dir):
+    """Two matches are deployed one after the other while the views run; both cards.
+
+    The events of all days are played as those of either match, of the second one ten years
+    later; its teams, names and views reach a query that has begun before it was deployed.
+    """
+    root = scratch_path(spark, "deployed")
+    warehouse = f"{root}/warehouse"
+    published = jobs.ServingFrames(warehouse)
+    teams = normalise.normalise(standins.teams(spark, sf_dir), schemas.TEAMS)
+    published.publish("teams", teams)
+    published.publish("average", baseline.historical_average(standins.facts(spark, sf_dir)))
+    options = match_setup.team_options(published.read(spark, "teams"))
+    for years, (home, away) in zip((0, 10), (("ASIA", "EUROPE"), ("AFRICA", "AMERICA"))):
+        session = control.deploy_match(spark, options, home, away, f"{root}/control")
+        played = _wire_events(spark, sf_dir).withColumns(
+            {"match_id": F.lit(session), "timestamp": F.col("timestamp") + years * 365 * 86400.0}
+        )
+        messages.produce(messages.encode(played), "files", f"{root}/messages")
+        source = messages.file_stream(spark, f"{root}/messages")
+        for started in jobs.start_all(source, root, state_partitions=_cores(spark)):
+            started.awaitTermination()
+        jobs.start_views(spark, root, warehouse, jobs.Trigger()).awaitTermination()
+    views = jobs.ServingViews(f"{root}/views")
+    card = views.read(spark, "possession").join(views.read(spark, "baseline"), "match_id")
+    return card.select("team_a_id", "team_b_id", "events_a", "events_b", "live_events", "historical_avg")

@@ -518,4 +518,20 @@ mark AS (
                  FROM lineitem) - live_events AS delta
          FROM (SELECT *, count(*) OVER (PARTITION BY match_id) AS live_events FROM named)
          WHERE position <= 6""",
+    "deployed_sessions": _with(
+        _EVENTS,
+        """
+pairs(team_a_id, team_b_id) AS (VALUES ('2', '3'), ('0', '1')),
+newest AS (SELECT team, floor(max("timestamp") / 10) * 10 AS start FROM ev GROUP BY 1),
+counts AS (
+  SELECT team, count(*) AS n FROM ev JOIN newest USING (team) WHERE "timestamp" >= start GROUP BY 1),
+recent AS (SELECT team FROM ev ORDER BY "timestamp" DESC, player_id, event_type LIMIT 1000)
+""",
+    )
+    + """SELECT team_a_id, team_b_id, a.n AS events_a, b.n AS events_b,
+                (SELECT count(*) FROM recent WHERE recent.team IN (team_a_id, team_b_id))
+                  AS live_events,
+                (SELECT CAST(trunc(count(*) / count(DISTINCT l_orderkey)) AS INTEGER)
+                 FROM lineitem) AS historical_avg
+         FROM pairs JOIN counts a ON a.team = team_a_id JOIN counts b ON b.team = team_b_id""",
 }

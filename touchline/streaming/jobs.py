@@ -511,7 +511,8 @@ def start_views(
     def load_inputs(sessions: DataFrame, touched: list[int]) -> dashboard.Inputs:
         tables = [stored.read(spark, n, schemas.WAREHOUSE[n].schema) for n in ("teams", "players")]
         teams, players = dimension_snapshot(*tables)
-        average = stored.read(spark, "average") if stored.newest(spark, "average") else None
+        known = stored.newest(spark, "average") is not None
+        average = stored.read(spark, "average") if known else None
         return dashboard.Inputs(
             live=read_live_events(
                 spark,

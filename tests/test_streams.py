@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from touchline import schemas
 from touchline.operators.normalise import normalise
-from touchline.sources import messages
+from touchline.sources import control, messages
 from touchline.sources.keyed_log import KeyedLog
 from touchline.streaming import jobs, replay
-from touchline.streaming.counts import WindowCounts
+from touchline.streaming.counts import WindowCounts, newest_windows
 
 
 class Feed:
@@ -209,6 +209,83 @@ def test_older_window_arriving_later_does_not_win(spark, tmp_path):
         WindowCounts(counts.path, "first")
 
 
+def test_newest_windows_are_found_without_gathering_a_team(spark, tmp_path):
+    counts = WindowCounts(f"{tmp_path}/stats")
+    parts = [piece(spark, "A", end, end, number=n) for end in (60, 70, 80) for n in (0, 1)]
+    parts += [piece(spark, "B", 70, 5), piece(spark, "B", 60, 6)]
+    nobody = piece(spark, "C", 90, 7).withColumn("team", F.lit(None).cast("string"))
+    counts.write_batch(reduce(DataFrame.unionByName, [*parts, nobody]), 0)
+    assert served(spark, counts) == {"A": 160, "B": 5, None: 7}
+    stored = spark.read.parquet(f"{counts.log.path}/run=v1/batch=0")
+    assert "Window" not in newest_windows(stored)._jdf.queryExecution().executedPlan().toString()
+    counts.compact(spark, "v1")
+    assert spark.read.parquet(f"{counts.log.path}/run=v1/fold=0").count() == 4
+    assert served(spark, counts) == {"A": 160, "B": 5, None: 7}
+
+
+def test_steps_are_bounded_and_whole(spark, events, rows, tmp_path):
+    data = [("m", t * 7 % 1000, "AB"[t % 2]) for t in range(1000)]
+    untimed = events([("m", 0, "A")] * 3).withColumn("timestamp", F.lit(None).cast("double"))
+    given = events(data).unionByName(untimed).drop("event_time")
+    steps = replay.in_steps(given, 100, f"{tmp_path}/steps")
+    sizes = [step.count() for step in steps]
+    assert len(steps) == 11 and sum(sizes) == 1003 and max(sizes) <= 110
+    assert Counter(rows(reduce(DataFrame.unionByName, steps).dropna())) == Counter(rows(given.dropna()))
+    ends = [step.agg(F.min("timestamp"), F.max("timestamp")).first() for step in steps]
+    assert all(before[1] < after[0] for before, after in zip(ends, ends[1:]))
+    assert steps[0].where("timestamp IS NULL").count() == 3
+    assert [step.count() for step in replay.in_steps(given.limit(0), 100, f"{tmp_path}/none")] == [0]
+    one_time = events([("m", 5, "A")] * 300).drop("event_time")
+    assert [s.count() for s in replay.in_steps(one_time, 100, f"{tmp_path}/one")] == [0, 300]
+    assert [s.count() for s in replay.in_steps(untimed, 1, f"{tmp_path}/untimed")] == [3]
+
+
+@pytest.mark.parametrize("name", ["deployed_sessions", "dashboard_refresh"])
+def test_matches_played_in_steps(name, spark, sf_dir, duck, monkeypatch):
+    """No micro-batch of the counts takes more than a step, and the result is that of one step."""
+    import __spark_entry__ as contract
+    from compare import difference
+    from touchline.plans import catalog
+
+    taken = []
+    write = WindowCounts.write_batch
+
+    def written(self, batch, batch_id, run):
+        taken.append(batch.count())
+        return write(self, batch, batch_id, run)
+
+    monkeypatch.setattr(WindowCounts, "write_batch", written)
+    monkeypatch.setattr(catalog, "STEP_EVENTS", 400, raising=False)
+    assert difference(contract.queries()[name](spark, sf_dir), duck, contract.oracle_sql()[name]) == ""
+    assert max(taken) <= 420 * 6  # an event is in six windows
+
+
+@pytest.mark.parametrize("reset", [False, True])
+def test_a_match_is_not_one_tasks_work_where_it_meets_resets(spark, events, tmp_path, reset):
+    root, started = str(tmp_path), time.time()
+    ingest = {f.name: F.lit(None).cast(f.dataType) for f in jobs.INGEST_FIELDS}
+    came = ingest | {"ingest_time": F.timestamp_seconds(F.lit(started) + F.col("timestamp") - 1000)}
+    rows = events([("m", t, "A") for t in range(2000)]).drop("event_time").withColumns(came)
+    rows.withColumn(jobs.BUCKET, jobs.match_bucket(F.col("match_id"), 8)).write.parquet(f"{root}/log")
+    if reset:
+        told = [("m", started), ("m", started - 500), ("other", started + 5000)]
+        resets = spark.createDataFrame(told, "match_id string, at double")
+        resets.select("match_id", F.timestamp_seconds("at").alias("reset_at")).write.json(f"{root}/resets")
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in held}
+    try:
+        for name, value in held.items():
+            spark.conf.set(name, value)
+        resets = control.read_resets(spark, f"{root}/resets")
+        live = jobs.read_live_events(spark, f"{root}/log", buckets=8, resets=resets)
+        sizes = [r[1] for r in live.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert abs(sum(sizes) - (1000 if reset else 2000)) <= 2
+    assert len(sizes) > 1 and max(sizes) < 0.5 * sum(sizes)
+
+
 def test_replayed_and_half_written_batches(spark, tmp_path):
     log = KeyedLog(f"{tmp_path}/log", piece(spark, "A", 60, 1).schema, ("match_id", "team"))
     assert log.read(spark).isEmpty() and log.compact(spark, "v1") is None

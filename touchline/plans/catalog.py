@@ -765,13 +765,23 @@ def dim_reload(spark, sf_dir):
     return log.read(spark).drop(*messages.INGEST_COLUMNS)
 
 
+#: Events that come in before the streams of a replayed match run; they bound their state.
+STEP_EVENTS = 2_000_000
+
+
+def _play(spark: SparkSession, steps: list[DataFrame], root: str) -> None:
+    """Each step of events as messages, through the raw log, the quarantine and the team counts."""
+    for events in steps:
+        messages.produce(messages.encode(events), "files", f"{root}/messages")
+        source = messages.file_stream(spark, f"{root}/messages")
+        for started in jobs.start_all(source, root, state_partitions=_cores(spark)):
+            started.awaitTermination()
+
+
 def _dashboard(spark: SparkSession, sf_dir: str) -> jobs.ServingViews:
     """Messages through the raw log and the team counts into the dashboard views."""
     root = scratch_path(spark, "dashboard")
-    messages.produce(messages.encode(_wire_events(spark, sf_dir)), "files", f"{root}/messages")
-    source = messages.file_stream(spark, f"{root}/messages")
-    for started in jobs.start_all(source, root, state_partitions=_cores(spark)):
-        started.awaitTermination()
+    _play(spark, replay.in_steps(_wire_events(spark, sf_dir), STEP_EVENTS, f"{root}/steps"), root)
     teams, players = _dimensions(spark, sf_dir)
 
     history = jobs.ServingFrames(f"{root}/history")
@@ -829,15 +839,12 @@ def deployed_sessions(spark, sf_dir):
     published.publish("teams", teams)
     published.publish("average", baseline.historical_average(standins.facts(spark, sf_dir)))
     options = match_setup.team_options(published.read(spark, "teams"))
+    steps = replay.in_steps(_wire_events(spark, sf_dir), STEP_EVENTS, f"{root}/steps")
     for years, (home, away) in zip((0, 10), (("ASIA", "EUROPE"), ("AFRICA", "AMERICA"))):
         session = control.deploy_match(spark, options, home, away, f"{root}/control")
-        played = _wire_events(spark, sf_dir).withColumns(
-            {"match_id": F.lit(session), "timestamp": F.col("timestamp") + years * 365 * 86400.0}
-        )
-        messages.produce(messages.encode(played), "files", f"{root}/messages")
-        source = messages.file_stream(spark, f"{root}/messages")
-        for started in jobs.start_all(source, root, state_partitions=_cores(spark)):
-            started.awaitTermination()
+        later = F.col("timestamp") + years * 365 * 86400.0
+        played = {"match_id": F.lit(session), "timestamp": later}
+        _play(spark, [events.withColumns(played) for events in steps], root)
         jobs.start_views(spark, root, warehouse, jobs.Trigger()).awaitTermination()
     views = jobs.ServingViews(f"{root}/views")
     card = views.read(spark, "possession").join(views.read(spark, "baseline"), "match_id")

@@ -13,6 +13,8 @@ from touchline.sources import files
 from touchline.streaming.counts import WindowCounts
 
 DEPLOYED = "deployed_at"
+#: Shares of a match's events where they meet its resets.
+SHARES = 256
 DOCUMENT_SCHEMA = StructType(
     [*schemas.MATCH_CONFIG_SCHEMA.fields, StructField(DEPLOYED, TimestampType())]
 )
@@ -85,15 +87,23 @@ def reset_session(
 
 def read_resets(spark: SparkSession, resets_path: str) -> DataFrame:
     if not files.exists(spark, resets_path):
-        return spark.createDataFrame([], RESET_SCHEMA)
+        return spark.createDataFrame([], RESET_SCHEMA).limit(0)  # known to be empty when planned
     return spark.read.schema(RESET_SCHEMA).json(resets_path)
 
 
 def after_resets(events: DataFrame, resets: DataFrame, time: str = "ingest_time") -> DataFrame:
     """Events that came in after the last reset of their session.
 
-    Files stay as they are, so a running stream and its readers are not disturbed.
+    Files stay as they are, so a running stream and its readers are not disturbed. Events meet the
+    resets by match and share, so that one match which holds most of them is not one task's work,
+    in the join or after it.
     """
+    shares = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
     last = resets.groupBy("match_id").agg(F.max("reset_at").alias("__reset_at"))
+    spread = [c for c in events.columns if c != "match_id"]
+    share = F.pmod(F.xxhash64(*spread), F.lit(SHARES)).cast("int")
+    joined = events.withColumn("__share", share).join(
+        last.withColumn("__share", shares), ["match_id", "__share"], "left"
+    )
     kept = F.col("__reset_at").isNull() | (F.col(time) > F.col("__reset_at"))
-    return events.join(last, "match_id", "left").filter(kept).drop("__reset_at")
+    return joined.filter(kept).drop("__reset_at", "__share")

@@ -23,6 +23,8 @@ BATCH = "batch"
 FOLD = "fold"
 RUN = "run"
 
+Needed = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class KeyedLog:
@@ -59,17 +61,20 @@ class KeyedLog:
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest_per_key(rows, self.key, [*self.order, BATCH], keep_order=True)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """One row per key: the greatest by ``order``, then by batch."""
-        return self._latest(self._rows(spark)).select(*self.schema.fieldNames())
+    def read(self, spark: SparkSession, needed: Needed = lambda rows: rows) -> DataFrame:
+        """One row per key: the greatest by ``order``, then by batch.
+
+        ``needed`` picks stored rows by their key alone, so it comes before older rows go.
+        """
+        return self._latest(needed(self._rows(spark))).select(*self.schema.fieldNames())
 
     def compact(
         self,
         spark: SparkSession,
         run: str,
-        needed: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+        needed: Needed = lambda rows: rows,
     ) -> None:
-        """Fold the batches of a run into one folder, with what is ``needed`` of them.
+        """Fold the batches of a run into one folder, with what is ``needed`` of them, by key alone.
 
         What the fold before this one stands for goes now, so a reader that has listed the
         folders before this fold was there still finds all of them.
@@ -79,7 +84,7 @@ class KeyedLog:
         last, before = max(number.values(), default=-1), max(folds, default=-1)
         if last == before:
             return
-        rows = needed(self._latest(self._rows(spark, run))).select(*self._stored.fieldNames())
+        rows = self._latest(needed(self._rows(spark, run))).select(*self._stored.fieldNames())
         rows.write.mode("overwrite").parquet(f"{self.path}/{RUN}={run}/{FOLD}={last}")
         for folder, n in number.items():
             if n < before or (n == before and f"/{BATCH}=" in folder):

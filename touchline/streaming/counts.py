@@ -87,9 +87,16 @@ def put_together(pieces: DataFrame) -> DataFrame:
 
 
 def newest_windows(rows: DataFrame) -> DataFrame:
-    """The rows of the window with the greatest end, per match and team."""
-    newest = F.max("window_end").over(Window.partitionBy(*KEYS))
-    return rows.withColumn("newest", newest).where("window_end = newest").drop("newest")
+    """The rows of the window with the greatest end, per match and team.
+
+    The ends are an aggregate, and rows meet them by key and end: no task gets all windows of a
+    team, which may be most of the table.
+    """
+    ends = rows.groupBy(*KEYS).agg(F.max("window_end").alias("window_end"))
+    newest = ends.select(*[F.col(c).alias(f"newest_{c}") for c in ends.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"newest_{c}")) for c in KEYS]
+    found = reduce(lambda x, y: x & y, same, F.col("window_end") == F.col("newest_window_end"))
+    return rows.join(newest, found, "left_semi")
 
 
 @dataclass(frozen=True)
@@ -120,9 +127,7 @@ class WindowCounts:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """match_id, team, window_start, window_end, total_events."""
-        pieces = self.log.read(spark)
-        if self.policy == "latest":
-            pieces = newest_windows(pieces)
+        pieces = self.log.read(spark, newest_windows) if self.policy == "latest" else self.log.read(spark)
         counts = self._without_cleared(put_together(pieces))
         if self.policy == "max":
             best = F.max(F.struct("total_events", "window_end", "window_start")).alias("best")
